@@ -3,9 +3,10 @@ comparison lists and text embeddings (T1-T4, P6, E1-E3)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -226,12 +227,12 @@ def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"\W+", toLowercase=True),
+        RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"(?U)\W+", toLowercase=True),
         HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim),
         IDF(inputCol="__tf", outputCol="__idf"),
         Normalizer(inputCol="__idf", outputCol="__vec", p=2.0),
     ])
-    return pipe.fit(texts.select(text_col))
+    return pipe.fit(texts.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col)))
 
 
 def embed(model, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
@@ -248,10 +249,8 @@ def embed_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Calla
     """Plug in any encoder: ``encoder_factory()`` runs once per Python worker
     and returns ``f(list[str]) -> ndarray (n, dim)``; texts arrive as Arrow
     batches and are encoded ``batch_size`` at a time, then L2-normalised."""
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _enc(it):
+    def _enc(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         f = encoder_factory()
         for s in it:
             texts = s.fillna("").tolist()

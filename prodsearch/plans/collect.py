@@ -24,22 +24,24 @@ def _suffix_keys(rec: Column, other: Column, suffix: str) -> Column:
         F.concat(k, F.lit(suffix))).otherwise(k))
 
 
-def merge_records(pages_df: DataFrame, null_safe: bool = False) -> DataFrame:
+def merge_records(pages_df: DataFrame, null_safe: bool = False,
+                  group_extra: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Base and option records of every complete (api, sector) group, joined
     base-left-option on the product code (company code for division F);
     groups without base records keep their options as they are. Output:
-    ``(api, region_code, prdt_div, rec map<string,string>)``."""
-    good = P.complete_groups(pages_df).select(*P.GROUP)
-    ok_pages = pages_df.join(good, P.GROUP, "left_semi")
+    ``(api, region_code, [group_extra], prdt_div, rec map<string,string>)``."""
+    group = [*group_extra, *P.GROUP]
+    good = P.complete_groups(pages_df, group).select(*group)
+    ok_pages = pages_df.join(good, group, "left_semi")
     key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
-    base = (P.explode_records(ok_pages, "baseList")
+    base = (P.explode_records(ok_pages, "baseList", group)
             .withColumn("k", F.col("rec")[key]).withColumnRenamed("rec", "brec")
             .drop("pageNo", "pos"))
-    opt = (P.explode_records(ok_pages, "optionList")
+    opt = (P.explode_records(ok_pages, "optionList", group)
            .withColumn("k", F.col("rec")[key]).withColumnRenamed("rec", "orec")
            .drop("pageNo", "pos"))
-    merged = joins.option_only_fallback(base, opt, keys=["k"], groups=[*P.GROUP, "prdt_div"],
+    merged = joins.option_only_fallback(base, opt, keys=["k"], groups=[*group, "prdt_div"],
                                         null_safe=null_safe)
     div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
@@ -47,7 +49,7 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False) -> DataFrame:
     b = F.coalesce(F.col("brec"), empty)
     o = F.map_filter(F.coalesce(F.col("orec"), empty), lambda k, _v: k != div_key)
     rec = F.map_concat(_suffix_keys(b, o, "_x"), _suffix_keys(o, b, "_y"))
-    return merged.select(*P.GROUP, F.col("prdt_div"), rec.alias("rec"))
+    return merged.select(*group, F.col("prdt_div"), rec.alias("rec"))
 
 
 def collect_landing(spark: SparkSession, root: str, snapshot_ts: str,

@@ -131,15 +131,17 @@ def response_rows(final: DataFrame, results: DataFrame, queries: DataFrame,
            .agg(F.sort_array(F.collect_list(F.struct("rank", "product_name", "company",
                                                      "product_type", "score", "valid")))
                 .alias("search_results")))
-    q = queries.select("query_id", "conv_id", "analysis",
-                       *(["analysis_error"] if "analysis_error" in queries.columns else []))
+    if "analysis_error" not in queries.columns:
+        queries = queries.withColumn("analysis_error", F.lit(None).cast(
+            "struct<error:string,raw_response:string,status:string>"))
+    q = queries.select("query_id", "conv_id", "analysis", "analysis_error")
     r = final.select("query_id", "recommendation").join(q, "query_id", "right").join(
         res, "query_id", "left")
     if history_turns is not None:
         r = r.join(history_turns, "conv_id", "left")
     else:
         r = r.withColumn("turns", F.lit(None).cast("long"))
-    err = F.col("analysis_error") if "analysis_error" in q.columns else F.lit(None)
+    err = F.col("analysis_error")
     status = F.when(err.isNotNull(), F.lit("error")).otherwise(F.lit("success"))
     return r.select("query_id", status.alias("status"),
                     F.when(err.isNull(), F.col("recommendation"))

@@ -145,7 +145,7 @@ def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_c
     n, nbytes = guard.text_bytes(pats, "p")
     out_schema = T.StructType([T.StructField(text_id, texts.schema[text_id].dataType),
                                T.StructField(pattern_id, T.LongType())])
-    tx = texts.select(text_id, text_col).where(F.col(text_col).isNotNull())
+    tx = guard.spread(texts.select(text_id, text_col).where(F.col(text_col).isNotNull()))
     n_chunks = max(1, -(-nbytes // max_chunk_bytes))
     parts = []
     for c in range(n_chunks):

@@ -89,9 +89,9 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     q = (queries.select(F.col(query_id).cast("long").alias("qid"),
                         F.col(query_vec).cast("array<double>").alias("v"))
          .where(F.col("v").isNotNull()))
-    p = (products.select(F.col(product_id).cast("long").alias("pid"),
-                         F.col(product_vec).cast("array<float>").alias("v"))
-         .where(F.col("v").isNotNull()))
+    p = guard.spread(products.select(F.col(product_id).cast("long").alias("pid"),
+                                     F.col(product_vec).cast("array<float>").alias("v"))
+                     .where(F.col("v").isNotNull()))
     dim_row = q.select(F.size("v").alias("d")).first()
     out_schema = T.StructType([T.StructField(query_id, T.LongType()),
                                T.StructField(product_id, T.LongType()),
@@ -232,14 +232,16 @@ def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):
         IDF(inputCol="__tf", outputCol="__idf"),
         Normalizer(inputCol="__idf", outputCol="__vec", p=2.0),
     ])
-    return pipe.fit(texts.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col)))
+    return pipe.fit(guard.spread(
+        texts.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col))))
 
 
 def embed(model, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
     """Apply a fitted encoder (the same one for products and queries)."""
     from pyspark.ml.functions import vector_to_array
 
-    t = model.transform(df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))))
+    t = model.transform(guard.spread(
+        df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))))
     return (t.withColumn(out, vector_to_array("__vec", "float32"))
             .drop("__tok", "__tf", "__idf", "__vec"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import text as TX
 from ..operators import clean, dialog, joins, retrieve
+from ..session import cut_lineage
 
 
 def parse_json_or_error(df: DataFrame, raw: str, schema: T.StructType, out: str,
@@ -151,12 +152,21 @@ def response_rows(final: DataFrame, results: DataFrame, queries: DataFrame,
 
 
 def recommend(products: DataFrame, queries: DataFrame, messages: DataFrame | None = None,
-              answers: DataFrame | None = None, k: int = S.RETRIEVE_K) -> dict[str, DataFrame]:
+              answers: DataFrame | None = None, k: int = S.RETRIEVE_K,
+              materialize: bool = True) -> dict[str, DataFrame]:
     """The whole job. queries need (query_id, conv_id, text, embedding) and
-    either ``analysis`` or nothing (then keywords decide)."""
+    either ``analysis`` or nothing (then keywords decide).
+
+    The ranked results feed every output (prompts, answers, responses), so
+    by default they are checkpointed once into the shared checkpoint folder:
+    the product scan runs once, and a lost executor re-reads the checkpoint
+    instead of recomputing the scan.
+    """
     if "analysis" not in queries.columns:
         queries = analysis_from_keywords(queries, "text")
     results = search(products, queries, k)
+    if materialize:
+        results = cut_lineage(results)
     notes = None
     if messages is not None:
         m = clean.normalize_roles(messages)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..operators import guard
 
 GROUP = ["api", "region_code"]
 
@@ -104,26 +105,27 @@ def pack_pages(base: DataFrame, options: DataFrame, key: str, *, division: str,
     comes from its row count (a hash aggregate), and rows are spread by hash,
     so no key's rows are ever collected into one list.
     """
-    def as_map(df):
-        pairs = []
-        for c in df.columns:
-            pairs += [F.lit(c), F.col(c).cast("string")]
-        return F.create_map(*pairs)
+    def as_record(df):
+        # a struct of strings serialises to the same JSON object as a
+        # map<string,string> but is cheaper to build, collect and write
+        return F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
+    options = guard.spread(options)
     n = options.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     o = (options.join(n, key)
          .withColumn("__pages", F.greatest(F.lit(1), F.ceil(F.col("__n") / page_size)))
          .withColumn("pageNo", (F.pmod(F.xxhash64(*options.columns), F.col("__pages")) + 1))
-         .withColumn("__rec", as_map(options.select(*options.columns))))
+         .withColumn("__rec", as_record(options.select(*options.columns))))
     pages = o.groupBy(key, "pageNo").agg(F.collect_list("__rec").alias("optionList"),
                                           F.max("__pages").alias("max_page_no"))
-    b = base.withColumn("__base", F.array(as_map(base)))
+    b = base.withColumn("__base", F.array(as_record(base)))
     env = pages.join(b.select(key, "__base"), key, "left")
+    base_type = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in base.columns]))
     result = F.struct(
         (total if total is not None else F.lit(1)).cast("long").alias("total_count"),
         F.col("max_page_no").cast("long").alias("max_page_no"),
         F.col("pageNo").cast("long").alias("now_page_no"),
         F.lit(division).alias("prdt_div"),
-        F.coalesce(F.col("__base"), F.array().cast(T.ArrayType(S.RECORD))).alias("baseList"),
+        F.coalesce(F.col("__base"), F.array().cast(base_type)).alias("baseList"),
         F.col("optionList").alias("optionList"))
     return env.select(key, "pageNo", F.to_json(F.struct(result.alias("result"))).alias("page_json"))

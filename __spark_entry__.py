@@ -330,11 +330,12 @@ def q_vector_topk(spark, d):
 
 
 def _with_fallback(spark, d):
+    """Top-3 with the product label carried through the scan (no join back
+    to the product side); the wanted type is the query's own label."""
     e = _emb(spark, d)
-    top = _topk(spark, d)
-    top = (top.join(e.select("vec_id", "label"), "vec_id")
-           .join(e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("target")),
-                 "query_id"))
+    top = _topk(spark, d, payload=["label"])
+    top = top.join(e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("target")),
+                   "query_id")
     return retrieve.category_fallback(top, "query_id", "label", "target", out_hit="hit")
 
 

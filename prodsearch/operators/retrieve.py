@@ -35,8 +35,9 @@ def _vectors(col: pa.Array, n: int) -> np.ndarray:
     return flat.reshape(n, int(dims[0]))
 
 
-def _topk_cols(ids: np.ndarray, s: np.ndarray, raw: np.ndarray, k: int):
-    """Per column of s (n x q): the k best rows by (score desc, id asc).
+def _topk_cols(ids: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
+    """Row positions of the k best rows per column of s (n x q), by
+    (score desc, id asc).
 
     argpartition finds the cut quickly; columns where equal scores straddle
     the cut are re-done with an exact lexicographic sort, so ties are always
@@ -51,31 +52,32 @@ def _topk_cols(ids: np.ndarray, s: np.ndarray, raw: np.ndarray, k: int):
     straddle = np.nonzero((s == cut).sum(axis=0) > (sel == cut).sum(axis=0))[0]
     for j in straddle:
         part[:, j] = np.lexsort((ids, -s[:, j]))[:kk]
-    return ids[part], np.take_along_axis(s, part, axis=0), np.take_along_axis(raw, part, axis=0)
+    return part
 
 
-def _merge(best_ids, best_s, best_raw, ids, s, raw, k):
-    if best_ids is None:
-        return ids, s, raw
-    ci = np.concatenate([best_ids, ids], axis=0)
-    cs = np.concatenate([best_s, s], axis=0)
-    cr = np.concatenate([best_raw, raw], axis=0)
-    order = np.lexsort((ci, -cs), axis=0)[:k]
-    return (np.take_along_axis(ci, order, axis=0), np.take_along_axis(cs, order, axis=0),
-            np.take_along_axis(cr, order, axis=0))
+def _merge(best: list | None, cand: list, k: int) -> list:
+    """Keep the k best of two candidate sets. Each set is a list of (k x q)
+    arrays: ids, rounded scores, raw scores, then payload columns."""
+    if best is None:
+        return cand
+    joined = [np.concatenate([x, y], axis=0) for x, y in zip(best, cand)]
+    order = np.lexsort((joined[0], -joined[1]), axis=0)[:k]
+    return [np.take_along_axis(x, order, axis=0) for x in joined]
 
 
 def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
                 product_id: str = "product_id", query_id: str = "query_id",
                 product_vec: str = "embedding", query_vec: str = "embedding",
-                exclude_self: bool = False, digits: int = 6, keep_raw: bool = False,
-                max_block_bytes: int = guard.DEFAULT_BROADCAST_BYTES,
+                payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
+                keep_raw: bool = False, max_block_bytes: int = guard.DEFAULT_BROADCAST_BYTES,
                 slice_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Exact top-k products per query by dot product (cosine on unit vectors).
 
-    Output ``(query_id, product_id, score, rank)`` with score rounded to
-    ``digits`` and rank 1..k ordered by (score desc, product id asc);
-    ``keep_raw`` adds the unrounded ``raw_score``.
+    Output ``(query_id, product_id, score, rank, *payload)`` with score
+    rounded to ``digits`` and rank 1..k ordered by (score desc, product id
+    asc); ``keep_raw`` adds the unrounded ``raw_score``. ``payload`` product
+    columns (type, name, ...) travel with the winners, so callers never join
+    the results back to the large product table.
 
     Plan: the product side (the big one) is scanned in place, never
     shuffled. The query side is sized first and cut into blocks of at most
@@ -83,27 +85,44 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     scores it with one matrix product per slice, keeping only a running top-k
     per query. Only partitions x queries x k candidates are shuffled, to a
     final ``row_number <= k`` per query. All pairs are scored but never
-    materialised as rows.
+    materialised as rows. With several query blocks the product side is
+    persisted once (recomputed from its source if an executor is lost).
     """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     spark = products.sparkSession
+    payload = list(payload)
     q = (queries.select(F.col(query_id).cast("long").alias("qid"),
                         F.col(query_vec).cast("array<double>").alias("v"))
          .where(F.col("v").isNotNull()))
     p = guard.spread(products.select(F.col(product_id).cast("long").alias("pid"),
-                                     F.col(product_vec).cast("array<float>").alias("v"))
+                                     F.col(product_vec).cast("array<float>").alias("v"),
+                                     *payload)
                      .where(F.col("v").isNotNull()))
-    dim_row = q.select(F.size("v").alias("d")).first()
+    pay_fields = [products.schema[c] for c in payload]
     out_schema = T.StructType([T.StructField(query_id, T.LongType()),
                                T.StructField(product_id, T.LongType()),
                                T.StructField("score", T.DoubleType()),
-                               T.StructField("raw_score", T.DoubleType())])
+                               T.StructField("raw_score", T.DoubleType())]
+                              + [T.StructField(f.name, f.dataType) for f in pay_fields])
+    pay_arrow = [to_arrow_type(f.dataType) for f in pay_fields]
+
+    def finish(cand: DataFrame) -> DataFrame:
+        w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(product_id).asc())
+        out = cand.withColumn("rank", F.row_number().over(w).cast("long")).where(
+            F.col("rank") <= k)
+        out = out.select(query_id, product_id, "score", "rank", "raw_score", *payload)
+        return out if keep_raw else out.drop("raw_score")
+
+    dim_row = q.select(F.size("v").alias("d")).first()
     if dim_row is None:
-        empty = spark.createDataFrame([], out_schema).withColumn("rank", F.lit(None).cast("long"))
-        return empty if keep_raw else empty.drop("raw_score")
+        return finish(spark.createDataFrame([], out_schema))
     dim = max(int(dim_row["d"]), 1)
     n_q = q.count()
     per_query = 8 * dim + 8
     n_blocks = max(1, -(-(n_q * per_query) // max_block_bytes))
+    if n_blocks > 1:
+        p = p.persist()
 
     parts = []
     for b in range(n_blocks):
@@ -119,7 +138,7 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
             qids_, qmat_ = bc.value
             qt = np.ascontiguousarray(qmat_.T)
             rows_per_slice = max(1, slice_bytes // (8 * max(1, len(qids_))))
-            best_ids = best_s = best_raw = None
+            best = None
             for batch in batches:
                 n = batch.num_rows
                 if n == 0:
@@ -132,26 +151,31 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
                     s = _round_half_away(raw, digits)
                     if exclude_self:
                         s[ids[lo:hi, None] == qids_[None, :]] = -np.inf
-                    ti, ts, tr = _topk_cols(ids[lo:hi], s, raw, k)
-                    best_ids, best_s, best_raw = _merge(best_ids, best_s, best_raw, ti, ts, tr, k)
-            if best_ids is None:
+                    pos = _topk_cols(ids[lo:hi], s, k)
+                    cand = [ids[lo:hi][pos], np.take_along_axis(s, pos, axis=0),
+                            np.take_along_axis(raw, pos, axis=0)]
+                    flat = pa.array((pos + lo).ravel())
+                    for c in payload:
+                        vals = batch.column(c).take(flat).to_pylist()
+                        arr = np.empty(len(vals), dtype=object)
+                        arr[:] = vals
+                        cand.append(arr.reshape(pos.shape))
+                    best = _merge(best, cand, k)
+            if best is None:
                 return
-            keep = np.isfinite(best_s)
-            qcol = np.broadcast_to(qids_[None, :], best_s.shape)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qcol[keep], pa.int64()), pa.array(best_ids[keep], pa.int64()),
-                 pa.array(best_s[keep], pa.float64()), pa.array(best_raw[keep], pa.float64())],
-                names=[query_id, product_id, "score", "raw_score"])
+            keep = np.isfinite(best[1])
+            qcol = np.broadcast_to(qids_[None, :], best[1].shape)
+            cols = [pa.array(qcol[keep], pa.int64()), pa.array(best[0][keep], pa.int64()),
+                    pa.array(best[1][keep], pa.float64()), pa.array(best[2][keep], pa.float64())]
+            cols += [pa.array(list(x[keep]), type=t) for x, t in zip(best[3:], pay_arrow)]
+            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in out_schema.fields])
         parts.append(p.mapInArrow(score, out_schema))
     if not parts:
-        empty = spark.createDataFrame([], out_schema).withColumn("rank", F.lit(None).cast("long"))
-        return empty if keep_raw else empty.drop("raw_score")
+        return finish(spark.createDataFrame([], out_schema))
     cand = parts[0]
     for x in parts[1:]:
         cand = cand.unionByName(x)
-    w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(product_id).asc())
-    out = cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
-    return out if keep_raw else out.drop("raw_score")
+    return finish(cand)
 
 
 def category_fallback(results: DataFrame, query_id: str, type_col: str, target_col: str,

@@ -66,13 +66,14 @@ def search(products: DataFrame, queries: DataFrame, k: int = S.RETRIEVE_K, *,
     products: (product_id, product_type, company, product_name, raw_data,
     embedding); queries: (query_id, embedding, analysis struct).
     """
+    attrs = [c for c in ("product_type", "company", "product_name", "raw_data")
+             if c in products.columns]
     top = retrieve.vector_topk(products, queries, k, product_id="product_id",
-                               query_id="query_id")
+                               query_id="query_id", payload=attrs)
     target = TX.category_to_type(F.coalesce(F.col("analysis.product_category"), F.lit("")),
                                  TX.category_rules(compat_rules))
     tq = queries.select("query_id", target.alias("target_type"))
-    attrs = products.select("product_id", "product_type", "company", "product_name", "raw_data")
-    r = top.join(tq, "query_id").join(attrs, "product_id")
+    r = top.join(tq, "query_id")
     r = retrieve.category_fallback(r, "query_id", "product_type", "target_type", out_hit="hit")
     r = retrieve.rank_results(r, ["query_id"], "score", "product_id", out="rank",
                               digits=S.SCORE_DIGITS)

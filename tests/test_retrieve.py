@@ -101,3 +101,16 @@ def test_embed_with_plugged_encoder(spark):
         return lambda texts: np.array([[len(t), 1.0] for t in texts])
     rows = retrieve.embed_with(docs, "text", factory, dim=2).orderBy("id").collect()
     assert np.allclose(rows[1].embedding, np.array([4, 1]) / np.sqrt(17), atol=1e-6)
+
+
+def test_payload_travels_with_winners_across_blocks(spark):
+    rng = np.random.default_rng(3)
+    P = rng.normal(size=(40, 6)).astype(np.float32)
+    p, q = frames(spark, P, P[:12].astype(np.float64))
+    p = p.withColumn("label", (F.col("product_id") % 4).cast("int")).withColumn(
+        "name", F.concat(F.lit("n"), F.col("product_id").cast("string")))
+    for blocks in (10**9, 200):
+        rows = retrieve.vector_topk(p, q, 3, payload=["label", "name"],
+                                    max_block_bytes=blocks).collect()
+        assert len(rows) == 36
+        assert all(r.label == r.product_id % 4 and r.name == f"n{r.product_id}" for r in rows)

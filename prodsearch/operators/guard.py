@@ -48,4 +48,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))
+    # maps cannot be hashed; the other columns identify the row well enough
+    cols = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    if not cols:
+        return df.repartition(target)
+    return df.repartition(target, F.xxhash64(*cols))

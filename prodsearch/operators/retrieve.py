@@ -251,13 +251,14 @@ def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"(?U)\W+", toLowercase=True),
+        RegexTokenizer(inputCol="__enc_in", outputCol="__tok", pattern=r"(?U)\W+",
+                       toLowercase=True),
         HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim),
         IDF(inputCol="__tf", outputCol="__idf"),
         Normalizer(inputCol="__idf", outputCol="__vec", p=2.0),
     ])
     return pipe.fit(guard.spread(
-        texts.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col))))
+        texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("__enc_in"))))
 
 
 def embed(model, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
@@ -265,9 +266,9 @@ def embed(model, df: DataFrame, text_col: str, out: str = "embedding") -> DataFr
     from pyspark.ml.functions import vector_to_array
 
     t = model.transform(guard.spread(
-        df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))))
+        df.withColumn("__enc_in", F.coalesce(F.col(text_col), F.lit("")))))
     return (t.withColumn(out, vector_to_array("__vec", "float32"))
-            .drop("__tok", "__tf", "__idf", "__vec"))
+            .drop("__enc_in", "__tok", "__tf", "__idf", "__vec"))
 
 
 def embed_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Callable],

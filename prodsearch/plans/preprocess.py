@@ -43,6 +43,17 @@ def preprocess(df: DataFrame, *, core: Sequence[str], essentials: Sequence[str],
     return p.withColumn(search_out, text)
 
 
+def from_records(records: DataFrame, product_type: str, rec: str = "rec") -> DataFrame:
+    """Collected records of one product type as its all-string columns
+    (the division letter selects the type), in collection order."""
+    letter = {v: k for k, v in S.DIVISION_TYPES.items()}[product_type]
+    cols = [f.name for f in S.product_schema(product_type).fields]
+    r = records.where(F.col("prdt_div") == letter)
+    out = [F.col(rec)[c].alias(c) for c in cols if c not in ("region_code", "region_name")]
+    keep = [c for c in ("region_code", "region_name", "snapshot_ts") if c in records.columns]
+    return r.select(*keep, *out)
+
+
 def preprocess_product(df: DataFrame, product_type: str, compat: bool = False) -> DataFrame:
     """Bind the chain to one product type's columns and template."""
     if product_type not in S.CORE_COLUMNS:

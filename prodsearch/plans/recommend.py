@@ -36,6 +36,21 @@ def answer_cascade(grounded: Column, generated: Column, fallback: Column) -> Col
                                   F.lit(S.GENERATION_ERROR_MESSAGE))))
 
 
+def product_documents(processed: DataFrame, type_col: str = "product_type") -> DataFrame:
+    """Processed products of all types (one table, e.g. read back from
+    ``files.write_processed``) as search documents: a stable id, type,
+    company, name, search text and the row packed as ``raw_data`` (columns
+    another type owns, null here, are left out)."""
+    data_cols = [c for c in processed.columns if c != type_col]
+    packed = clean.pack_raw(processed, data_cols, "raw_data")
+    raw = F.map_filter("raw_data", lambda _k, v: v.isNotNull())
+    pid = F.xxhash64(F.col(type_col), F.col(S.COMPANY_COL), F.col(S.PRODUCT_COL))
+    return packed.select(pid.alias("product_id"), F.col(type_col).alias("product_type"),
+                         F.col(S.COMPANY_COL).alias("company"),
+                         F.col(S.PRODUCT_COL).alias("product_name"), "search_text",
+                         raw.alias("raw_data"))
+
+
 def analysis_from_json(df: DataFrame, raw: str, out: str = "analysis") -> DataFrame:
     """Parse the analysis JSON. Unparsable text becomes an error value
     ``{error, raw_response (first 50 chars + ...), status}``; it is data,

@@ -56,18 +56,32 @@ def latest_per_group(df: DataFrame, group: Sequence[str], order: str | F.Column)
     return t.join(mx, [*group, "__o"], "left_semi").drop("__o")
 
 
+def flatten_records(df: DataFrame, rec: str = "rec", max_keys: int = 10_000) -> DataFrame:
+    """Map records to one string column per key (the union of keys, sorted),
+    for formats without map columns. The key set is a distributed distinct;
+    only the keys (bounded by ``max_keys``) reach the driver."""
+    keys_df = df.select(F.explode(F.map_keys(rec)).alias("k")).distinct()
+    keys = sorted(r["k"] for r in keys_df.limit(max_keys + 1).collect())
+    if len(keys) > max_keys:
+        raise ValueError(f"more than {max_keys} distinct record keys")
+    others = [c for c in df.columns if c != rec and c not in keys]
+    return df.select(*others, *[F.col(rec)[k].alias(k) for k in keys])
+
+
 def write_raw(df: DataFrame, out: str, fmt: str = "parquet", mode: str = "append") -> bool:
     """Write collected records partitioned by division and snapshot.
 
+    Parquet keeps the record map; CSV gets one column per record key.
     An empty frame writes nothing (checked with a one-row probe, not a count).
     """
     if df.limit(1).count() == 0:
         return False
-    w = df.write.mode(mode).partitionBy("prdt_div", "snapshot_ts")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(out)
+        flat = flatten_records(df) if "rec" in df.columns else df
+        (flat.write.mode(mode).partitionBy("prdt_div", "snapshot_ts")
+         .option("header", True).option("escape", '"').csv(out))
     else:
-        w.parquet(out)
+        df.write.mode(mode).partitionBy("prdt_div", "snapshot_ts").parquet(out)
     return True
 
 

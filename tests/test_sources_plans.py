@@ -210,3 +210,28 @@ def test_pages_pack_and_explode(spark):
                                    {"k": "bigint", "n": "int", "x": "double"})
     assert sorted(tuple(r) for r in got.select("k", "n", "x").collect()) == sorted(
         tuple(r) for r in opt.collect())
+
+
+def test_pipeline_landing_to_answers(spark, scratch):
+    """Landing -> collect -> per-type preprocess -> processed files ->
+    documents -> embeddings -> batch recommend, all on Spark."""
+    landing_fixture(os.path.join(scratch, "land"))
+    recs, _, _ = collect.collect_landing(spark, os.path.join(scratch, "land"), "20250101_000000")
+    assert files.write_raw(recs, os.path.join(scratch, "raw_csv"), fmt="csv")
+    raw_back = spark.read.option("header", True).csv(os.path.join(scratch, "raw_csv"))
+    assert "save_trm" in raw_back.columns and raw_back.count() == 4
+    dep = preprocess.preprocess_product(preprocess.from_records(recs, "deposit"), "deposit")
+    sav = preprocess.preprocess_product(preprocess.from_records(recs, "saving"), "saving")
+    assert dep.count() == 2 and sav.count() == 0  # the saving option has no company/name
+    out = os.path.join(scratch, "processed")
+    files.write_processed(files.union_typed({"deposit": dep, "saving": sav}).drop("_pos"), out)
+    docs = recommend.product_documents(spark.read.parquet(out))
+    from prodsearch.operators import retrieve
+    model = retrieve.fit_hashing_encoder(docs, "search_text", dim=32)
+    prods = retrieve.embed(model, docs, "search_text")
+    qs = spark.createDataFrame([(1, 7, "예금1 정기예금 추천해줘")], "query_id long, conv_id long, text string")
+    qs = retrieve.embed(model, qs, "text")
+    res = recommend.recommend(prods, qs, k=2)
+    top = res["results"].orderBy("rank").first()
+    assert top.product_name == "예금1" and top.raw_data["kor_co_nm"] == "가나은행"
+    assert res["prompts"].first().route == "recommendation"

@@ -3,6 +3,7 @@ grounding and passage containment (J1-J4)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -101,6 +102,15 @@ def grounding(answers: DataFrame, candidates: DataFrame, key: str, answer_id: st
             .drop("__hit", "__has"))
 
 
+# Automata built in this Python worker, by broadcast id: workers are reused
+# across tasks, so each pattern chunk is compiled once per worker.
+_MATCHERS: dict[str, tuple] = {}
+
+# Pattern bytes per chunk. An automaton takes several times the bytes of its
+# patterns, so chunks stay well below the generic broadcast budget.
+PATTERN_CHUNK_BYTES = 16 * 1024 * 1024
+
+
 def _matcher(patterns: list[tuple[int, str]]):
     """Substring matcher over many patterns: Aho-Corasick when available,
     else a plain loop (same results, slower)."""
@@ -129,7 +139,7 @@ def _matcher(patterns: list[tuple[int, str]]):
 
 def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_col: str,
                      pattern_id: str, pattern_col: str,
-                     max_chunk_bytes: int = guard.DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                     max_chunk_bytes: int = PATTERN_CHUNK_BYTES) -> DataFrame:
     """All (text_id, pattern_id) where the pattern is a substring of the text.
 
     The text side is never shuffled: each task scans its texts once with an
@@ -156,10 +166,15 @@ def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_c
         if not rows:
             continue
         bc = spark.sparkContext.broadcast(rows)
-
-        def scan(it, bc=bc):
-            everywhere = [pid for pid, p in bc.value if p == ""]
-            match = _matcher([(pid, p) for pid, p in bc.value if p != ""])
+        token = uuid.uuid4().hex
+
+        def scan(it, bc=bc, token=token):
+            if token not in _MATCHERS:
+                _MATCHERS.clear()
+                _MATCHERS[token] = (
+                    [pid for pid, p in bc.value if p == ""],
+                    _matcher([(pid, p) for pid, p in bc.value if p != ""]))
+            everywhere, match = _MATCHERS[token]
             for pdf in it:
                 ids, found = [], []
                 for i, t in zip(pdf[text_id].tolist(), pdf[text_col].tolist()):

@@ -372,8 +372,8 @@ def q_l2_normalize(spark, d):
 
 def q_embed_texts(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
-    model = retrieve.fit_hashing_encoder(docs, "text", dim=64)
-    return retrieve.embed(model, docs, "text").select("doc_id", "embedding")
+    _, embedded = retrieve.fit_embed(docs, "text", dim=64)
+    return embedded.select("doc_id", "embedding")
 
 
 # ---------------------------------------------------------------------------

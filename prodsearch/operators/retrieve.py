@@ -261,6 +261,30 @@ def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):
         texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("__enc_in"))))
 
 
+def fit_embed(texts: DataFrame, text_col: str, dim: int = 256, out: str = "embedding"):
+    """Fit the default encoder on a corpus and embed that same corpus with
+    one tokenisation pass: term counts are computed once and persisted
+    (sparse, far smaller than the text), IDF is fitted on them and applied
+    to them. Returns (fitted model for other tables, embedded corpus)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+    from pyspark.ml.functions import vector_to_array
+
+    tok = RegexTokenizer(inputCol="__enc_in", outputCol="__tok", pattern=r"(?U)\W+",
+                         toLowercase=True)
+    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim)
+    counts = tf.transform(tok.transform(guard.spread(
+        texts.withColumn("__enc_in", F.coalesce(F.col(text_col), F.lit("")))))).drop(
+        "__enc_in", "__tok").persist()
+    idf = IDF(inputCol="__tf", outputCol="__idf").fit(counts)
+    norm = Normalizer(inputCol="__idf", outputCol="__vec", p=2.0)
+    model = PipelineModel(stages=[tok, tf, idf, norm])
+    embedded = (norm.transform(idf.transform(counts))
+                .withColumn(out, vector_to_array("__vec", "float32"))
+                .drop("__tf", "__idf", "__vec"))
+    return model, embedded
+
+
 def embed(model, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
     """Apply a fitted encoder (the same one for products and queries)."""
     from pyspark.ml.functions import vector_to_array

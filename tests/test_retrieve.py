@@ -114,3 +114,15 @@ def test_payload_travels_with_winners_across_blocks(spark):
                                     max_block_bytes=blocks).collect()
         assert len(rows) == 36
         assert all(r.label == r.product_id % 4 and r.name == f"n{r.product_id}" for r in rows)
+
+
+def test_fit_embed_equals_fit_then_embed(spark):
+    docs = spark.createDataFrame([(1, "정기예금 추천 상품"), (2, "적금 상품 비교"), (3, "대출 금리")],
+                                 "id long, text string")
+    model, emb = retrieve.fit_embed(docs, "text", dim=16)
+    a = {r.id: r.embedding for r in emb.collect()}
+    b = {r.id: r.embedding for r in retrieve.embed(model, docs, "text").collect()}
+    c = {r.id: r.embedding for r in
+         retrieve.embed(retrieve.fit_hashing_encoder(docs, "text", 16), docs, "text").collect()}
+    assert a.keys() == b.keys() == c.keys()
+    assert all(np.allclose(a[i], b[i]) and np.allclose(a[i], c[i]) for i in a)

@@ -103,29 +103,32 @@ def pack_pages(base: DataFrame, options: DataFrame, key: str, *, division: str,
     Used to land test pages and to replay tables as API pages. Options are
     cut into pages of about ``page_size`` per key: the page count of a key
     comes from its row count (a hash aggregate), and rows are spread by hash,
-    so no key's rows are ever collected into one list.
+    so no key's rows are ever collected into one list. Each record is
+    serialised where it lives (all cores busy); a page only joins strings.
     """
-    def as_record(df):
-        # a struct of strings serialises to the same JSON object as a
-        # map<string,string> but is cheaper to build, collect and write
-        return F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    def as_json(df):
+        return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns]))
 
     options = guard.spread(options)
     n = options.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     o = (options.join(n, key)
          .withColumn("__pages", F.greatest(F.lit(1), F.ceil(F.col("__n") / page_size)))
          .withColumn("pageNo", (F.pmod(F.xxhash64(*options.columns), F.col("__pages")) + 1))
-         .withColumn("__rec", as_record(options.select(*options.columns))))
-    pages = o.groupBy(key, "pageNo").agg(F.collect_list("__rec").alias("optionList"),
-                                          F.max("__pages").alias("max_page_no"))
-    b = base.withColumn("__base", F.array(as_record(base)))
-    env = pages.join(b.select(key, "__base"), key, "left")
-    base_type = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in base.columns]))
-    result = F.struct(
+         .withColumn("__rec", as_json(options.select(*options.columns))))
+    pages = o.groupBy(key, "pageNo").agg(
+        F.concat_ws(",", F.collect_list("__rec")).alias("__opts"),
+        F.max("__pages").alias("max_page_no"))
+    b = base.select(key, as_json(base).alias("__base"))
+    env = pages.join(b, key, "left")
+    head = F.to_json(F.struct(
         (total if total is not None else F.lit(1)).cast("long").alias("total_count"),
         F.col("max_page_no").cast("long").alias("max_page_no"),
         F.col("pageNo").cast("long").alias("now_page_no"),
-        F.lit(division).alias("prdt_div"),
-        F.coalesce(F.col("__base"), F.array().cast(base_type)).alias("baseList"),
-        F.col("optionList").alias("optionList"))
-    return env.select(key, "pageNo", F.to_json(F.struct(result.alias("result"))).alias("page_json"))
+        F.lit(division).alias("prdt_div")))
+    # '{"total_count":..,"prdt_div":".."}' + ',"baseList":[..],"optionList":[..]}'
+    body = F.concat(F.expr("substring(__head, 1, length(__head) - 1)"),
+                    F.lit(',"baseList":['), F.coalesce(F.col("__base"), F.lit("")),
+                    F.lit('],"optionList":['), F.col("__opts"), F.lit("]}"))
+    return (env.withColumn("__head", head)
+            .select(key, "pageNo", F.concat(F.lit('{"result":'), body, F.lit("}"))
+                    .alias("page_json")))

@@ -29,18 +29,19 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False,
     """Base and option records of every complete (api, sector) group, joined
     base-left-option on the product code (company code for division F);
     groups without base records keep their options as they are. Output:
-    ``(api, region_code, [group_extra], prdt_div, rec map<string,string>)``."""
+    ``(api, region_code, [group_extra], prdt_div, rec map<string,string>,
+    rec_order)``; ``rec_order`` sorts records in collection order."""
     group = [*group_extra, *P.GROUP]
     good = P.complete_groups(pages_df, group).select(*group)
     ok_pages = pages_df.join(good, group, "left_semi")
     key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
     base = (P.explode_records(ok_pages, "baseList", group)
-            .withColumn("k", F.col("rec")[key]).withColumnRenamed("rec", "brec")
-            .drop("pageNo", "pos"))
+            .withColumn("k", F.col("rec")[key])
+            .withColumnsRenamed({"rec": "brec", "pageNo": "bpage", "pos": "bpos"}))
     opt = (P.explode_records(ok_pages, "optionList", group)
-           .withColumn("k", F.col("rec")[key]).withColumnRenamed("rec", "orec")
-           .drop("pageNo", "pos"))
+           .withColumn("k", F.col("rec")[key])
+           .withColumnsRenamed({"rec": "orec", "pageNo": "opage", "pos": "opos"}))
     merged = joins.option_only_fallback(base, opt, keys=["k"], groups=[*group, "prdt_div"],
                                         null_safe=null_safe)
     div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
@@ -49,7 +50,10 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False,
     b = F.coalesce(F.col("brec"), empty)
     o = F.map_filter(F.coalesce(F.col("orec"), empty), lambda k, _v: k != div_key)
     rec = F.map_concat(_suffix_keys(b, o, "_x"), _suffix_keys(o, b, "_y"))
-    return merged.select(*group, F.col("prdt_div"), rec.alias("rec"))
+    # the order records were accumulated in: sectors in code order, base rows
+    # in page order, each followed by its options in page order
+    order = F.struct("region_code", "bpage", "bpos", "opage", "opos")
+    return merged.select(*group, F.col("prdt_div"), rec.alias("rec"), order.alias("rec_order"))
 
 
 def collect_landing(spark: SparkSession, root: str, snapshot_ts: str,

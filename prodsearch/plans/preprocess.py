@@ -44,13 +44,16 @@ def preprocess(df: DataFrame, *, core: Sequence[str], essentials: Sequence[str],
 
 
 def from_records(records: DataFrame, product_type: str, rec: str = "rec") -> DataFrame:
-    """Collected records of one product type as its all-string columns
-    (the division letter selects the type), in collection order."""
+    """Collected records of one product type as its all-string columns (the
+    division letter selects the type), with the collection order as the
+    position column that keep-first dedup follows."""
     letter = {v: k for k, v in S.DIVISION_TYPES.items()}[product_type]
     cols = [f.name for f in S.product_schema(product_type).fields]
     r = records.where(F.col("prdt_div") == letter)
     out = [F.col(rec)[c].alias(c) for c in cols if c not in ("region_code", "region_name")]
     keep = [c for c in ("region_code", "region_name", "snapshot_ts") if c in records.columns]
+    if "rec_order" in records.columns:
+        keep.append(F.col("rec_order").alias(POSITION))
     return r.select(*keep, *out)
 
 

@@ -78,6 +78,9 @@ def write_raw(df: DataFrame, out: str, fmt: str = "parquet", mode: str = "append
         return False
     if fmt == "csv":
         flat = flatten_records(df) if "rec" in df.columns else df
+        # CSV has no nested types: structs and arrays go out as JSON text
+        flat = flat.withColumns({f.name: F.to_json(f.name) for f in flat.schema.fields
+                                 if f.dataType.typeName() in ("struct", "array", "map")})
         (flat.write.mode(mode).partitionBy("prdt_div", "snapshot_ts")
          .option("header", True).option("escape", '"').csv(out))
     else:

@@ -235,3 +235,19 @@ def test_pipeline_landing_to_answers(spark, scratch):
     top = res["results"].orderBy("rank").first()
     assert top.product_name == "예금1" and top.raw_data["kor_co_nm"] == "가나은행"
     assert res["prompts"].first().route == "recommendation"
+
+
+def test_keep_first_follows_collection_order(spark, scratch):
+    """Two sectors hold the same product; page 2 of the first sector comes
+    before anything of the second, and the first option row wins."""
+    b = {"fin_co_no": "c1", "fin_prdt_cd": "A1", "kor_co_nm": "은행", "fin_prdt_nm": "예금"}
+    opts = [{"fin_prdt_cd": "A1", "save_trm": t, "intr_rate": r} for t, r in
+            (("12", "3.0"), ("6", "2.5"))]
+    land(scratch, region="030300", page=1, result=deposit_result(1, 1, [b], opts[1:]))
+    land(scratch, region="020000", page=1, result=deposit_result(1, 2, [], []))
+    land(scratch, region="020000", page=2, result=deposit_result(2, 2, [b], opts))
+    recs, _, _ = collect.collect_landing(spark, scratch, "20250101_000000")
+    out = preprocess.preprocess_product(preprocess.from_records(recs, "deposit").repartition(3),
+                                        "deposit")
+    r = out.first()
+    assert out.count() == 1 and r.save_trm == "12" and r.intr_rate == 3.0

@@ -20,9 +20,25 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # static broadcast only below 10 MB of estimated (compressed) size; AQE
+    # may convert a join later from measured shuffle sizes up to 32 MB
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # post-shuffle partitions are coalesced towards this size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
 
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: enough initial partitions that the
+    largest shuffle gets ~128 MB per partition (AQE coalesces the rest), and
+    never fewer than 3 per core. For 100 TB on 1000 executors x 8 cores this
+    gives ~800k initial partitions capped at 200k; AQE merges them down."""
+    initial = max(3 * cores, min(200_000, input_bytes // (128 * 1024 * 1024)))
+    return {"spark.sql.shuffle.partitions": str(initial),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial)}
+
+
 def build_session(master: str | None = None, app: str = "prodsearch",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -48,8 +48,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    # maps cannot be hashed; the other columns identify the row well enough
-    cols = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    if not cols:
-        return df.repartition(target)
-    return df.repartition(target, F.xxhash64(*cols))
+    return df.repartition(target, row_hash(df))
+
+
+def row_hash(df: DataFrame):
+    """Deterministic 64-bit hash of a whole row. Spark refuses to hash maps,
+    so map-bearing columns are hashed through their JSON text."""
+    cols = [F.to_json(F.col(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
+            for f in df.schema.fields]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from . import guard
 
 
+# Option rows per key above which the collect job salts a join key.
+DEFAULT_HOT_ROWS = 1_000_000
+
+
 def _rename_overlaps(base: DataFrame, options: DataFrame, keys: Sequence[str],
                      suffixes: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
     overlap = (set(base.columns) & set(options.columns)) - set(keys)
@@ -24,16 +28,23 @@ def _rename_overlaps(base: DataFrame, options: DataFrame, keys: Sequence[str],
 
 def left_join_records(base: DataFrame, options: DataFrame, keys: Sequence[str],
                       null_safe: bool = False,
-                      suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+                      suffixes: tuple[str, str] = ("_x", "_y"),
+                      hot_rows: int | None = None) -> DataFrame:
     """Every base row with each matching option row (or nulls).
 
     Non-key columns present on both sides get ``_x`` / ``_y`` suffixes and
     the keys appear once, taken from the base side. ``null_safe`` makes null
     keys match each other (the literal behaviour of a pandas merge); by
     default they do not.
+
+    ``hot_rows``: keys with more option rows than this are salted (see
+    ``_salted_left_join``). AQE can split a skewed *left* side of a left
+    join but not the right, so hot option keys need this.
     """
     keys = list(keys)
     b, o = _rename_overlaps(base, options, keys, suffixes)
+    if hot_rows is not None and not null_safe:
+        return _salted_left_join(b, o, keys, hot_rows)
     ok = {k: f"__opt_{k}" for k in keys}
     o = o.withColumnsRenamed(ok)
     cond = None
@@ -44,9 +55,33 @@ def left_join_records(base: DataFrame, options: DataFrame, keys: Sequence[str],
     return out.drop(*ok.values())
 
 
+def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Left join that splits hot keys: a key with n > hot_rows option rows
+    gets ceil(n / hot_rows) salts; its option rows are spread over the salts
+    by a deterministic hash and its base rows are repeated once per salt, so
+    each (key, salt) task sees about hot_rows option rows. Cold keys keep
+    salt 0 and plain left-join semantics. A replica of a hot base row whose
+    salt drew no option would add a null row; hot keys always have options,
+    so those rows are dropped and every result row appears exactly once."""
+    counts = (o.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+              .where(F.col("__n") > hot_rows)
+              .select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")))
+    os_ = (o.join(counts, keys, "left")
+           .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
+               F.pmod(guard.row_hash(o), F.col("__salts"))))
+           .drop("__salts").withColumn("__hit", F.lit(True)))
+    bs = (b.join(counts, keys, "left")
+          .withColumn("__salt", F.explode(F.sequence(
+              F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))))
+    j = bs.join(os_, [*keys, "__salt"], "left")
+    return (j.where(F.col("__salts").isNull() | F.col("__hit").isNotNull())
+            .drop("__salt", "__salts", "__hit"))
+
+
 def option_only_fallback(base: DataFrame, options: DataFrame, keys: Sequence[str],
                          groups: Sequence[str], null_safe: bool = False,
-                         suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+                         suffixes: tuple[str, str] = ("_x", "_y"),
+                         hot_rows: int | None = None) -> DataFrame:
     """Per group: base LEFT JOIN options when the group has any base row;
     the options unchanged (base columns null) when it has none.
 
@@ -54,7 +89,7 @@ def option_only_fallback(base: DataFrame, options: DataFrame, keys: Sequence[str
     base groups), so no per-group count reaches the driver.
     """
     groups, keys = list(groups), list(keys)
-    joined = left_join_records(base, options, groups + keys, null_safe, suffixes)
+    joined = left_join_records(base, options, groups + keys, null_safe, suffixes, hot_rows)
     b_cols = set(base.columns) - set(groups) - set(keys)
     base_groups = base.select(*groups).distinct()
     orphans = options.join(base_groups, groups, "left_anti")

@@ -25,7 +25,8 @@ def _suffix_keys(rec: Column, other: Column, suffix: str) -> Column:
 
 
 def merge_records(pages_df: DataFrame, null_safe: bool = False,
-                  group_extra: tuple[str, ...] | list[str] = ()) -> DataFrame:
+                  group_extra: tuple[str, ...] | list[str] = (),
+                  hot_rows: int | None = joins.DEFAULT_HOT_ROWS) -> DataFrame:
     """Base and option records of every complete (api, sector) group, joined
     base-left-option on the product code (company code for division F);
     groups without base records keep their options as they are. Output:
@@ -43,7 +44,7 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False,
            .withColumn("k", F.col("rec")[key])
            .withColumnsRenamed({"rec": "orec", "pageNo": "opage", "pos": "opos"}))
     merged = joins.option_only_fallback(base, opt, keys=["k"], groups=[*group, "prdt_div"],
-                                        null_safe=null_safe)
+                                        null_safe=null_safe, hot_rows=hot_rows)
     div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
     empty = F.create_map().cast(S.RECORD)
@@ -80,11 +81,12 @@ def collect_job(spark: SparkSession, root: str, out: str, snapshot_ts: str) -> D
 
 
 def collect_tables(base: DataFrame, options: DataFrame, key: str, division: str,
-                   region_code: str = "020000") -> DataFrame:
+                   region_code: str = "020000",
+                   hot_rows: int | None = joins.DEFAULT_HOT_ROWS) -> DataFrame:
     """The same job over already-tabular base and option records: J1 left
-    join, sector tag, per-division records and reported totals (distinct
-    base keys)."""
-    j = joins.left_join_records(base, options.withColumnRenamed(key, key), [key])
+    join (hot keys salted), sector tag, per-division records and reported
+    totals (distinct base keys)."""
+    j = joins.left_join_records(base, options, [key], hot_rows=hot_rows)
     j = clean.tag_constants(j, {"region_code": region_code})
     return (j.groupBy(F.col(division).alias("prdt_div"), "region_code")
             .agg(F.count(F.lit(1)).alias("records"),

@@ -102,3 +102,15 @@ def test_empty_inputs(spark):
     assert joins.containment_join(e, e, "k", "v", "k", "v").count() == 0
     g = joins.grounding(e.withColumn("t", F.lit("x")), e, "k", "k", "t", "v")
     assert g.count() == 0
+
+
+def test_salted_left_join_equals_plain(spark):
+    base = spark.createDataFrame([("hot", 1), ("cold", 2), ("none", 3), (None, 4), ("hot", 5)],
+                                 "k string, b int")
+    opt = spark.createDataFrame([("hot", i) for i in range(57)] + [("cold", 100), ("zzz", 7),
+                                                                   (None, 8)], "k string, o int")
+    plain = joins.left_join_records(base, opt, ["k"])
+    salted = joins.left_join_records(base, opt, ["k"], hot_rows=10)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()),
+                                                                  key=str)
+    assert salted.count() == 57 * 2 + 1 + 1 + 1

@@ -150,8 +150,9 @@ def test_recommend_end_to_end(spark):
     res = out["results"]
     assert {r.product_id for r in res.where("query_id = 10").collect()} == {2}  # saving only
     assert {r.product_id for r in res.where("query_id = 11").collect()} == {1}  # deposit hit
-    routes = {r.query_id: r.route for r in out["prompts"].collect()}
-    assert routes == {10: "recommendation", 11: "comparison"}
+    prompts = {r.query_id: r for r in out["prompts"].collect()}
+    assert {q: r.route for q, r in prompts.items()} == {10: "recommendation", 11: "comparison"}
+    assert prompts[10].prompt.startswith(S.CONTEXT_NOTE_PREFIX)  # conv 1 had a marked answer
     final = {r.query_id: r.recommendation for r in out["final"].collect()}
     assert final == {10: "적금1 을 추천합니다", 11: S.GENERATION_ERROR_MESSAGE}
     resp = {r.query_id: (r.status, r.conversation_turns) for r in out["responses"].collect()}

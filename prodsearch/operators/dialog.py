@@ -120,12 +120,21 @@ def append_turns(history: DataFrame, new_turns: DataFrame, question: str = "ques
     return history.select(conv, turn, role, text).unionByName(user).unionByName(bot)
 
 
+def with_context(questions: DataFrame, context: DataFrame, product: str = "product",
+                 conv: str = "conv_id", text: str = "text", out: str = "question",
+                 lead: str = "이전 추천 상품: ", ask: str = "질문: ") -> DataFrame:
+    """Prefix each question with its conversation's last recommended
+    product, when there is one (one context row per conversation)."""
+    q = questions.join(context.select(conv, F.col(product).alias("__p")), conv, "left")
+    made = F.concat(F.lit(lead), F.col("__p"), F.lit("\n"), F.lit(ask), F.col(text))
+    return q.withColumn(out, F.when(F.col("__p").isNull(), F.col(text)).otherwise(made)).drop("__p")
+
+
 def contextual_question(messages: DataFrame, context: DataFrame, product: str = "product",
                         conv: str = "conv_id", role: str = "role", text: str = "text",
                         out: str = "question",
                         lead: str = "이전 추천 상품: ", ask: str = "질문: ") -> DataFrame:
     """User questions, prefixed with the conversation's last recommended
     product when there is one."""
-    q = messages.where(F.col(role) == "user").join(context.select(conv, product), conv, "left")
-    made = F.concat(F.lit(lead), F.col(product), F.lit("\n"), F.lit(ask), F.col(text))
-    return q.withColumn(out, F.when(F.col(product).isNull(), F.col(text)).otherwise(made))
+    return with_context(messages.where(F.col(role) == "user"), context, product, conv, text,
+                        out, lead, ask)

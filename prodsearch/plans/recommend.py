@@ -189,12 +189,7 @@ def recommend(products: DataFrame, queries: DataFrame, messages: DataFrame | Non
         m = clean.normalize_roles(messages)
         notes = dialog.context_note(m, TX.marker_regex(S.PRODUCT_MARKER))
         # questions carry the conversation's last recommended product
-        last = dialog.last_recommended(m).select("conv_id", "product")
-        asked = (queries.join(last, "conv_id", "left")
-                 .withColumn("text", F.when(F.col("product").isNull(), F.col("text")).otherwise(
-                     F.concat(F.lit("이전 추천 상품: "), F.col("product"), F.lit("\n질문: "),
-                              F.col("text"))))
-                 .drop("product"))
+        asked = dialog.with_context(queries, dialog.last_recommended(m), out="text")
     out = {"results": results, "prompts": prompts(results, asked, notes)}
     if answers is not None:
         out["final"] = final_answers(results, answers)

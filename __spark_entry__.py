@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from prodsearch import schemas as S
 from prodsearch.functions import text as TX
-from prodsearch.functions import vector as V
 from prodsearch.operators import clean, dialog, joins, retrieve, stats
 from prodsearch.plans import collect, preprocess, recommend
 from prodsearch.sources import files, pages

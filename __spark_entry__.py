@@ -20,7 +20,7 @@ from prodsearch import schemas as S
 from prodsearch.functions import text as TX
 from prodsearch.operators import clean, dialog, joins, retrieve, stats
 from prodsearch.plans import collect, preprocess, recommend
-from prodsearch.sources import files, pages
+from prodsearch.sources import files, pages, tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -45,7 +45,7 @@ PREP_SPEC = [("name", "p_name", ""), ("company", "p_brand", ""),
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return tables.table(spark, d, name)
 
 
 def _part_nulled(spark, d):

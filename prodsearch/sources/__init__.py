@@ -1,3 +1,3 @@
 """Sources and sinks: landed JSON pages, CSV and Parquet files."""
 
-from . import files, pages  # noqa: F401
+from . import files, pages, tables  # noqa: F401

@@ -24,6 +24,8 @@ def norm(v: str | Column) -> Column:
 
 
 def l2_normalize(v: str | Column) -> Column:
-    """Unit-length copy of the vector; null for a zero (or null) vector."""
+    """Unit-length copy of the vector; null for a zero (or null) vector.
+    As one expression the norm is evaluated per element; on a DataFrame,
+    ``operators.retrieve.l2_normalize`` computes it once per row."""
     n = norm(v)
     return F.when(n > 0, F.transform(as_double(v), lambda x: x / n))

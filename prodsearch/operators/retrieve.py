@@ -240,7 +240,13 @@ def comparison_list(df: DataFrame, group: Sequence[str], order: Sequence, n: int
 # ---------------------------------------------------------------------------
 
 def l2_normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
-    return df.withColumn(out or vec, V.l2_normalize(vec))
+    """Unit-length vectors; null for zero or null vectors. The norm is a
+    column of its own, computed once per row (inside the element lambda it
+    would be recomputed for every element)."""
+    n = df.withColumn("__norm", V.norm(vec))
+    unit = F.when(F.col("__norm") > 0,
+                  F.transform(V.as_double(vec), lambda x: x / F.col("__norm")))
+    return n.withColumn(out or vec, unit).drop("__norm")
 
 
 def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):

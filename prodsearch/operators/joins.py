@@ -115,28 +115,98 @@ def label_lookup(df: DataFrame, code_col: str, dim: DataFrame, dim_code: str,
             .drop("__code", "__label"))
 
 
+# Distinct candidate names per key above which a key is scanned with an
+# automaton instead of the semi join.
+HEAVY_NAMES = 2_000
+
+
 def grounding(answers: DataFrame, candidates: DataFrame, key: str, answer_id: str,
-              text: str, name: str, out: str = "grounded") -> DataFrame:
+              text: str, name: str, out: str = "grounded",
+              heavy_names: int = HEAVY_NAMES) -> DataFrame:
     """Flag each answer: 1 if any candidate name of its key occurs in it,
     0 if the key has candidates but none occurs, null if it has none.
 
-    The theta join is a LEFT SEMI join on the key with ``contains`` as the
-    extra condition, so each answer is emitted at most once, never once per
-    matching name. Names are de-duplicated per key first; a hot key is split
-    by AQE's skew-join handling (the semi join's left side can be split).
+    Names are de-duplicated per key first. For ordinary keys the theta join
+    is a LEFT SEMI join on the key with ``contains`` as the extra condition,
+    so each answer is emitted at most once, never once per matching name.
+    A key with more than ``heavy_names`` distinct names would make that join
+    answers x names inside one key, so such keys go another way: their names
+    are shipped to every task as a byte-bounded automaton scoped by key, and
+    their answers are scanned in place, linear in the answer text.
     """
     ids = [key] if answer_id == key else [key, answer_id]
     names = candidates.select(F.col(key).alias("__k"), F.col(name).alias("__name")).distinct()
-    a = answers.alias("a")
-    hits = (a.join(names, (F.col(f"a.{key}") == F.col("__k"))
-                   & F.col(f"a.{text}").contains(F.col("__name")), "left_semi")
-            .select(*ids).distinct().withColumn("__hit", F.lit(1)))
-    has = names.select(F.col("__k").alias(key)).distinct().withColumn("__has", F.lit(0))
+    per_key = names.groupBy("__k").agg(F.count(F.lit(1)).alias("__nn"))
+    heavy = per_key.where(F.col("__nn") > heavy_names).select("__k")
+
+    def semi(names_df):
+        a = answers.alias("a")
+        return (a.join(names_df, (F.col(f"a.{key}") == F.col("__k"))
+                       & F.col(f"a.{text}").contains(F.col("__name")), "left_semi")
+                .select(*ids))
+
+    if heavy.limit(1).count() == 0:
+        hits = semi(names)
+    else:
+        light = semi(names.join(heavy, "__k", "left_anti"))
+        hot_answers = answers.join(heavy.withColumnRenamed("__k", key), key, "left_semi")
+        hot = _scoped_scan(hot_answers, names.join(heavy, "__k", "left_semi"), ids, key, text)
+        hits = light.unionByName(hot)
+    hits = hits.distinct().withColumn("__hit", F.lit(1))
+    has = per_key.select(F.col("__k").alias(key)).withColumn("__has", F.lit(0))
     return (answers.join(hits, ids, "left").join(has, key, "left")
             .withColumn(out, F.coalesce(F.col("__hit"), F.col("__has")))
             .drop("__hit", "__has"))
 
 
+def _scoped_scan(texts: DataFrame, names: DataFrame, ids: list[str], key: str, text: str,
+                 max_chunk_bytes: int | None = None) -> DataFrame:
+    """Ids of texts containing any name of their own key. names: (__k,
+    __name). Names are shipped in byte-bounded chunks; each chunk is one scan
+    of the texts, which stay where they are."""
+    spark = texts.sparkSession
+    max_chunk_bytes = max_chunk_bytes or PATTERN_CHUNK_BYTES
+    _, nbytes = guard.text_bytes(names, "__name")
+    n_chunks = max(1, -(-nbytes // max_chunk_bytes))
+    out_schema = T.StructType([texts.schema[c] for c in ids])
+    tx = guard.spread(texts.select(*dict.fromkeys([*ids, key, text])).where(
+        F.col(text).isNotNull()))
+    parts = []
+    for c in range(n_chunks):
+        chunk = names if n_chunks == 1 else names.where(
+            F.pmod(F.xxhash64("__name"), F.lit(n_chunks)) == c)
+        rows = [(r["__k"], r["__name"]) for r in chunk.toLocalIterator()]
+        if not rows:
+            continue
+        bc = spark.sparkContext.broadcast(rows)
+        token = uuid.uuid4().hex
+
+        def scan(it, bc=bc, token=token):
+            if token not in _MATCHERS:
+                _MATCHERS.clear()
+                scopes: dict[str, set] = {}
+                for k, n in bc.value:
+                    scopes.setdefault(n, set()).add(k)
+                everywhere = scopes.pop("", set())
+                _MATCHERS[token] = (everywhere, scopes,
+                                    _matcher([(i, n) for i, n in enumerate(scopes)]))
+            everywhere, scopes, match = _MATCHERS[token]
+            names_by_id = list(scopes)
+            for pdf in it:
+                keep = []
+                for k, t in zip(pdf[key].tolist(), pdf[text].tolist()):
+                    keep.append(k in everywhere or any(
+                        k in scopes[names_by_id[i]] for i in match(t)))
+                yield pdf.loc[keep, ids]
+        parts.append(tx.mapInPandas(scan, out_schema))
+    if not parts:
+        return spark.createDataFrame([], out_schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # Automata built in this Python worker, by broadcast id: workers are reused
 # across tasks, so each pattern chunk is compiled once per worker.
 _MATCHERS: dict[str, tuple] = {}

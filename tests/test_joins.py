@@ -114,3 +114,19 @@ def test_salted_left_join_equals_plain(spark):
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()),
                                                                   key=str)
     assert salted.count() == 57 * 2 + 1 + 1 + 1
+
+
+def test_grounding_heavy_keys_use_the_scan(spark):
+    rows = [(1, i, f"답변 상품{i % 40} 추천") for i in range(60)] + [(2, 0, "없음"), (3, 0, "x")]
+    answers = spark.createDataFrame(rows, "q long, a long, text string")
+    names = spark.createDataFrame([(1, f"상품{i}") for i in range(0, 80, 2)] + [(2, "없")]
+                                  + [(3, "")], "q long, name string")
+    plain = {(r.q, r.a): r.grounded for r in
+             joins.grounding(answers, names, "q", "a", "text", "name").collect()}
+    heavy = {(r.q, r.a): r.grounded for r in
+             joins.grounding(answers, names, "q", "a", "text", "name", heavy_names=0).collect()}
+    nm = {}
+    for q, n in [(1, f"상품{i}") for i in range(0, 80, 2)] + [(2, "없"), (3, "")]:
+        nm.setdefault(q, set()).add(n)
+    want = {(q, a): int(any(n in t for n in nm[q])) for q, a, t in rows}
+    assert plain == want and heavy == want

@@ -69,13 +69,15 @@ def test_keep_first_hot_key(spark):
     assert out.count() == 2501
 
 
-def test_grounding_hot_conversation(skewed):
+@pytest.mark.parametrize("heavy_names", [2_000, 5])
+def test_grounding_hot_conversation(skewed, heavy_names):
     df, rows = skewed
     answers = df.where("role = 'assistant'")
     names = df.where("role = 'user'").select("conv_id", F.split_part("text", F.lit(" "),
                                                                        F.lit(1)).alias("name"))
     got = {(r.conv_id, r.turn): r.grounded
-           for r in joins.grounding(answers, names, "conv_id", "turn", "text", "name").collect()}
+           for r in joins.grounding(answers, names, "conv_id", "turn", "text", "name",
+                                    heavy_names=heavy_names).collect()}
     cand = {}
     for c, t, role, x in rows:
         if role == "user":

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vector as V
+from ..session import cut_lineage
 from . import guard
 
 
@@ -269,9 +270,10 @@ def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):
 
 def fit_embed(texts: DataFrame, text_col: str, dim: int = 256, out: str = "embedding"):
     """Fit the default encoder on a corpus and embed that same corpus with
-    one tokenisation pass: term counts are computed once and persisted
-    (sparse, far smaller than the text), IDF is fitted on them and applied
-    to them. Returns (fitted model for other tables, embedded corpus)."""
+    one tokenisation pass: term counts are computed once and checkpointed
+    into the shared checkpoint folder (sparse, far smaller than the text;
+    survives executor loss, nothing left cached), IDF is fitted on them and
+    applied to them. Returns (fitted model for other tables, embedded corpus)."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
     from pyspark.ml.functions import vector_to_array
@@ -281,7 +283,8 @@ def fit_embed(texts: DataFrame, text_col: str, dim: int = 256, out: str = "embed
     tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim)
     counts = tf.transform(tok.transform(guard.spread(
         texts.withColumn("__enc_in", F.coalesce(F.col(text_col), F.lit("")))))).drop(
-        "__enc_in", "__tok").persist()
+        "__enc_in", "__tok")
+    counts = cut_lineage(counts)
     idf = IDF(inputCol="__tf", outputCol="__idf").fit(counts)
     norm = Normalizer(inputCol="__idf", outputCol="__vec", p=2.0)
     model = PipelineModel(stages=[tok, tf, idf, norm])

@@ -454,8 +454,10 @@ def q_build_prompts(spark, d):
 
 
 def q_contextual_question(spark, d):
+    """The product is the value after the marker in the newest marked
+    assistant message; user questions of that conversation carry it."""
     c = _t(spark, d, "conversations")
-    marked = c.withColumn("product", F.substring("text", 1, 20))
+    marked = c.withColumn("product", TX.marker_value("text", MARK_RE))
     ctx = dialog.newest_where(marked, (F.col("role") == "assistant") & F.col("text").contains(MARK),
                               "product")
     return dialog.contextual_question(c, ctx).select("conv_id", "turn", "question")
@@ -691,7 +693,8 @@ ORACLE: dict[str, str] = {
         WHEN p_size < 20 THEN concat('Q: ', p_name, chr(10), 'Explain: ', p_brand)
         WHEN p_size < 35 THEN concat('Q: ', p_name, chr(10), 'Compare: ', p_brand)
         ELSE concat('Q: ', p_name, chr(10), 'Recommend: ', p_brand) END AS prompt FROM part""",
-    "contextual_question": f"""WITH m AS (SELECT conv_id, arg_max(substr(text, 1, 20), turn)
+    "contextual_question": f"""WITH m AS (SELECT conv_id, arg_max(
+            trim(split_part(regexp_extract(text, '[^\\n]*{MARK}[^\\n]*'), '{MARK}', 2)), turn)
             AS product FROM conversations
             WHERE role = 'assistant' AND contains(text, '{MARK}') GROUP BY 1)
         SELECT c.conv_id, c.turn, CASE WHEN product IS NULL THEN c.text

@@ -252,3 +252,28 @@ def test_keep_first_follows_collection_order(spark, scratch):
                                         "deposit")
     r = out.first()
     assert out.count() == 1 and r.save_trm == "12" and r.intr_rate == 3.0
+
+
+def test_collect_job_writes_records_and_counts(spark, scratch):
+    land_root = os.path.join(scratch, "land")
+    landing_fixture(land_root)
+    out = os.path.join(scratch, "out")
+    counts = collect.collect_job(spark, land_root, out, "20250714_175227")
+    assert {(r.prdt_div, r.records, r.reported, r.snapshot_ts) for r in counts.collect()} == {
+        ("D", 3, 2, "20250714_175227"), ("S", 1, 1, "20250714_175227")}
+    recs = spark.read.parquet(os.path.join(out, "records"))
+    assert recs.count() == 4 and {"prdt_div", "snapshot_ts", "rec"} <= set(recs.columns)
+    # a second landing of the same division: the newest snapshot wins per division
+    collect.collect_job(spark, land_root, out, "20250801_000000")
+    recs = spark.read.parquet(os.path.join(out, "records"))
+    newest = files.latest_per_group(recs, ["prdt_div"], "snapshot_ts")
+    assert {r.snapshot_ts for r in newest.collect()} == {"20250801_000000"}
+    assert newest.count() == 4
+
+
+def test_cluster_conf_sizes_shuffles():
+    from prodsearch.session import cluster_conf
+    small = cluster_conf(10 * 2**30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192  # 3 per core floor
+    big = cluster_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000

@@ -104,8 +104,13 @@ def prompts(results: DataFrame, queries: DataFrame, notes: DataFrame | None = No
     information and recommendation use the best valid result, comparison
     the first three as ``- name (company)`` lines."""
     v = results.where("valid")
+    if "raw_data" in v.columns:  # maps are not orderable: carry them as JSON text
+        v = v.withColumn("raw_json", F.to_json("raw_data"))
+    else:
+        v = v.withColumn("raw_json", F.lit("{}"))
     best = retrieve.best_per_group(v, ["query_id"], F.lit(0) - F.col("rank"), "product_id",
-                                   ["product_name", "company", "product_type", "score"])
+                                   ["product_name", "company", "product_type", "score",
+                                    "raw_json"])
     comp = retrieve.comparison_list(
         v, ["query_id"], [F.col("rank").asc()], 3,
         F.concat(F.lit("- "), F.col("product_name"), F.lit(" ("), F.col("company"), F.lit(")")))
@@ -118,12 +123,13 @@ def prompts(results: DataFrame, queries: DataFrame, notes: DataFrame | None = No
     q = q.withColumn("route", TX.route_intent("intent", text))
     info = TX.template(["사용자 질문: ", ("col", text), "\n", ("col", "note"), "\n상품명: ",
                         ("col", "product_name"), "\n금융회사: ", ("col", "company"),
-                        "\n상품 유형: ", ("col", "product_type")])
+                        "\n상품 유형: ", ("col", "product_type"), "\n상세 정보: ",
+                        ("col", "raw_json")])
     cmp_ = TX.template(["사용자 질문: ", ("col", text), "\n", ("col", "note"),
                         "\n비교 대상 상품들:\n", ("col", "lines")])
     rec = TX.template([("col", "note"), "\n사용자 질문: ", ("col", text), "\n상품명: ",
                        ("col", "product_name"), "\n금융회사: ", ("col", "company"),
-                       "\n유사도: ", ("col", "score")])
+                       "\n유사도: ", ("col", "score"), "\n상세 정보: ", ("col", "raw_json")])
     prompt = (F.when(F.col("route") == "information", info)
               .when(F.col("route") == "comparison", cmp_).otherwise(rec))
     return q.select("query_id", "conv_id", "route", prompt.alias("prompt"))

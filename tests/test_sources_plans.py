@@ -277,3 +277,16 @@ def test_cluster_conf_sizes_shuffles():
     assert int(small["spark.sql.shuffle.partitions"]) == 192  # 3 per core floor
     big = cluster_conf(100 * 2**40, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+
+
+def test_prompts_carry_raw_data(spark):
+    products = spark.createDataFrame(
+        [(1, "deposit", "은행A", "예금1", [1.0, 0.0])],
+        "product_id long, product_type string, company string, product_name string, "
+        "embedding array<float>").withColumn("raw_data", F.create_map(F.lit("intr_rate"),
+                                                                      F.lit("3.5")))
+    queries = spark.createDataFrame([(10, 1, "예금 추천해줘", [1.0, 0.0])],
+                                    "query_id long, conv_id long, text string, "
+                                    "embedding array<double>")
+    p = recommend.recommend(products, queries, materialize=False)["prompts"].first()
+    assert '"intr_rate":"3.5"' in p.prompt and "예금1" in p.prompt

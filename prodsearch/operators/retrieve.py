@@ -115,11 +115,12 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
         out = out.select(query_id, product_id, "score", "rank", "raw_score", *payload)
         return out if keep_raw else out.drop("raw_score")
 
-    dim_row = q.select(F.size("v").alias("d")).first()
-    if dim_row is None:
+    # one pass over the query side for its size check
+    stat = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
+    n_q = int(stat["n"])
+    if n_q == 0:
         return finish(spark.createDataFrame([], out_schema))
-    dim = max(int(dim_row["d"]), 1)
-    n_q = q.count()
+    dim = max(int(stat["d"]), 1)
     per_query = 8 * dim + 8
     n_blocks = max(1, -(-(n_q * per_query) // max_block_bytes))
     if n_blocks > 1:

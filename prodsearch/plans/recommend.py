@@ -179,13 +179,17 @@ def recommend(products: DataFrame, queries: DataFrame, messages: DataFrame | Non
     """The whole job. queries need (query_id, conv_id, text, embedding) and
     either ``analysis`` or nothing (then keywords decide).
 
-    The ranked results feed every output (prompts, answers, responses), so
-    by default they are checkpointed once into the shared checkpoint folder:
-    the product scan runs once, and a lost executor re-reads the checkpoint
-    instead of recomputing the scan.
+    The questions and the ranked results feed every output (prompts,
+    answers, responses), so by default both are checkpointed once into the
+    shared checkpoint folder: the product scan runs once, and a lost
+    executor re-reads the checkpoint instead of recomputing the scan.
     """
     if "analysis" not in queries.columns:
         queries = analysis_from_keywords(queries, "text")
+    if materialize:
+        # the question table (with its embeddings) feeds search, prompts and
+        # responses; one checkpoint instead of re-running its upstream plan
+        queries = cut_lineage(queries)
     results = search(products, queries, k)
     if materialize:
         results = cut_lineage(results)

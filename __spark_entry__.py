@@ -301,6 +301,24 @@ def q_last_assistant_message(spark, d):
     return dialog.newest_where(c, dialog.is_assistant(), "text")
 
 
+def q_overflow_counts(spark, d):
+    c = _t(spark, d, "conversations")
+    return dialog.overflow_counts(c, OVERFLOW_MAX, S.OVERFLOW_KEEP_RATIO, "auto")
+
+
+def q_last_recommended(spark, d):
+    """Newest assistant message holding both markers, with the value after
+    each marker on its first marked line."""
+    c = clean.normalize_roles(_t(spark, d, "conversations"))
+    return dialog.last_recommended(c, MARK, "th").select("conv_id", "product", "company")
+
+
+def q_context_note_oldest(spark, d):
+    """The compat choice: the oldest marked message of the last six."""
+    c = clean.normalize_roles(_t(spark, d, "conversations"))
+    return dialog.context_note(c, MARK_RE, oldest=True)
+
+
 def q_append_and_cap(spark, d):
     """Each conversation gets one more turn (its last text asked again and
     a derived answer), then the history is capped."""
@@ -641,6 +659,28 @@ ORACLE: dict[str, str] = {
         FROM w WHERE role <> 'user' AND contains(text, '{MARK}') GROUP BY 1""",
     "last_assistant_message": """SELECT conv_id, arg_max(text, turn) AS text FROM conversations
         WHERE role <> 'user' GROUP BY 1""",
+    "overflow_counts": f"""SELECT conv_id,
+        CAST(CASE WHEN count(*) >= {OVERFLOW_MAX}
+             THEN least(count(*), {int(OVERFLOW_MAX * S.OVERFLOW_KEEP_RATIO)})
+             ELSE count(*) END AS BIGINT) AS kept,
+        CAST(count(*) - CASE WHEN count(*) >= {OVERFLOW_MAX}
+             THEN least(count(*), {int(OVERFLOW_MAX * S.OVERFLOW_KEEP_RATIO)})
+             ELSE count(*) END AS BIGINT) AS dropped
+        FROM conversations GROUP BY 1""",
+    "last_recommended": f"""WITH m AS (SELECT conv_id, arg_max(text, turn) AS text
+            FROM conversations WHERE role <> 'user' AND contains(text, '{MARK}')
+            AND contains(text, 'th') GROUP BY 1)
+        SELECT conv_id,
+            trim(split_part(regexp_extract(text, '[^\\n]*{MARK}[^\\n]*'), '{MARK}', 2))
+                AS product,
+            trim(split_part(regexp_extract(text, '[^\\n]*th[^\\n]*'), 'th', 2)) AS company
+        FROM m""",
+    "context_note_oldest": f"""WITH w AS (SELECT * FROM conversations
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC)
+                <= {S.CONTEXT_WINDOW})
+        SELECT conv_id, concat('{S.CONTEXT_NOTE_PREFIX}',
+            substr(arg_min(text, turn), 1, {S.CONTEXT_NOTE_CHARS}), '...') AS note
+        FROM w WHERE role <> 'user' AND contains(text, '{MARK}') GROUP BY 1""",
     "append_and_cap": f"""WITH m AS (SELECT conv_id, max(turn) AS t FROM conversations GROUP BY 1),
         u AS (SELECT conv_id, turn, role FROM conversations
               UNION ALL SELECT conv_id, t + 1, 'user' FROM m

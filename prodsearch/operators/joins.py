@@ -216,30 +216,46 @@ _MATCHERS: dict[str, tuple] = {}
 PATTERN_CHUNK_BYTES = 16 * 1024 * 1024
 
 
+# Below this many patterns a per-pattern substring test (C speed, stops at
+# the first occurrence) beats an automaton, which reports every occurrence.
+SMALL_PATTERN_SET = 64
+
+
 def _matcher(patterns: list[tuple[int, str]]):
-    """Substring matcher over many patterns: Aho-Corasick when available,
-    else a plain loop (same results, slower)."""
-    try:
-        import ahocorasick  # type: ignore
+    """Substring matcher over many patterns: ``set of pattern ids found``.
 
-        auto = ahocorasick.Automaton()
-        by_text: dict[str, list[int]] = {}
-        for pid, p in patterns:
-            by_text.setdefault(p, []).append(pid)
-        for p, ids in by_text.items():
-            auto.add_word(p, ids)
-        auto.make_automaton()
+    Few patterns: one ``in`` test each. Many patterns: an Aho-Corasick
+    automaton (one pass over the text, whatever the number of patterns).
+    """
+    by_text: dict[str, list[int]] = {}
+    for pid, p in patterns:
+        by_text.setdefault(p, []).append(pid)
+    if len(by_text) <= SMALL_PATTERN_SET:
+        items = list(by_text.items())
 
-        def match(t: str) -> set[int]:
+        def match_few(t: str) -> set[int]:
             found: set[int] = set()
-            for _, ids in auto.iter(t):
-                found.update(ids)
+            for p, ids in items:
+                if p in t:
+                    found.update(ids)
             return found
-        return match
+        return match_few
+    try:
+        import ahocorasick  # type: ignore
     except ImportError:  # pragma: no cover - the image ships pyahocorasick
-        def match(t: str) -> set[int]:
-            return {pid for pid, p in patterns if p in t}
-        return match
+        items = list(by_text.items())
+        return lambda t: {i for p, ids in items if p in t for i in ids}
+    auto = ahocorasick.Automaton()
+    for p, ids in by_text.items():
+        auto.add_word(p, ids)
+    auto.make_automaton()
+
+    def match(t: str) -> set[int]:
+        found: set[int] = set()
+        for _, ids in auto.iter(t):
+            found.update(ids)
+        return found
+    return match
 
 
 def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_col: str,
@@ -295,3 +311,28 @@ def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_c
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def classify_by_table(texts: DataFrame, text_id: str, text_col: str, taxonomy: DataFrame,
+                      label: str = "label", ord_col: str = "ord", kw: str = "kw",
+                      out: str = "label", default: str = "") -> DataFrame:
+    """Keyword classification with the taxonomy as a table (any size): the
+    label with the most distinct matching keywords wins, ties go to the
+    smaller ``ord``; texts without a match get ``default``. Matching is
+    case-insensitive. Keywords are found with one automaton scan per text
+    (``containment_join``), counted per (text, label) with a partial
+    aggregate, and the best label per text is a ``max(struct)`` aggregate."""
+    tax = taxonomy.select(F.col(label).alias("__label"), F.col(ord_col).alias("__ord"),
+                          F.lower(F.col(kw)).alias("__kw"))
+    kws = tax.select("__kw").distinct().withColumn("__kid", F.xxhash64("__kw"))
+    low = guard.spread(texts.select(text_id, text_col)).select(
+        text_id, F.lower(F.col(text_col)).alias("__t"))
+    found = containment_join(low, kws.select("__kid", "__kw"), text_id, "__t", "__kid", "__kw")
+    scored = (found.join(kws, "__kid").join(tax, "__kw")
+              .groupBy(text_id, "__label", "__ord").agg(F.count(F.lit(1)).alias("__n")))
+    best = (scored.groupBy(text_id)
+            .agg(F.max(F.struct(F.col("__n"), (-F.col("__ord")).alias("__o"),
+                                F.col("__label"))).alias("__b"))
+            .select(text_id, F.col("__b.__label").alias("__best")))
+    return (texts.join(best, text_id, "left")
+            .withColumn(out, F.coalesce(F.col("__best"), F.lit(default))).drop("__best"))

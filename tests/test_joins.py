@@ -130,3 +130,18 @@ def test_grounding_heavy_keys_use_the_scan(spark):
         nm.setdefault(q, set()).add(n)
     want = {(q, a): int(any(n in t for n in nm[q])) for q, a, t in rows}
     assert plain == want and heavy == want
+
+
+def test_classify_by_table_equals_expressions(spark):
+    from prodsearch.functions import text as TX
+    tax = [("deposit", ["tion", "ment"]), ("saving", ["und", "sch"]), ("credit", ["que", "les"])]
+    docs = spark.createDataFrame(
+        [(1, "Station of movement"), (2, "und Schule que"), (3, "nothing"), (4, "QUE les und"),
+         (5, None)], "doc_id long, text string")
+    tdf = spark.createDataFrame([(lab, i, k) for i, (lab, ks) in enumerate(tax, 1) for k in ks],
+                                "label string, ord int, kw string")
+    by_table = {r.doc_id: r.label for r in joins.classify_by_table(docs, "doc_id", "text", tdf)
+                .collect()}
+    by_expr = {r.doc_id: r.label for r in
+               docs.select("doc_id", TX.classify_by_keywords("text", tax).alias("label")).collect()}
+    assert by_table == by_expr == {1: "deposit", 2: "saving", 3: "", 4: "credit", 5: ""}

@@ -109,9 +109,10 @@ def pack_pages(base: DataFrame, options: DataFrame, key: str, *, division: str,
     def as_json(df):
         return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns]))
 
-    options = guard.spread(options)
+    # the per-key count reads only the key (partial counts combine map-side),
+    # so it is taken before the spread; only the record side is spread
     n = options.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    o = (options.join(n, key)
+    o = (guard.spread(options).join(n, key)
          .withColumn("__pages", F.greatest(F.lit(1), F.ceil(F.col("__n") / page_size)))
          .withColumn("pageNo", (F.pmod(F.xxhash64(*options.columns), F.col("__pages")) + 1))
          .withColumn("__rec", as_json(options.select(*options.columns))))

@@ -525,7 +525,8 @@ def q_response_rows(spark, d):
 def q_job_collect(spark, d):
     o = _t(spark, d, "orders")
     li = _t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    return collect.collect_tables(o, li, "o_orderkey", "o_orderstatus", REGION)
+    return collect.collect_tables(o, li, "o_orderkey", "o_orderstatus", REGION,
+                                  row_id=["l_linenumber"])
 
 
 def q_job_preprocess(spark, d):

@@ -29,7 +29,8 @@ def _rename_overlaps(base: DataFrame, options: DataFrame, keys: Sequence[str],
 def left_join_records(base: DataFrame, options: DataFrame, keys: Sequence[str],
                       null_safe: bool = False,
                       suffixes: tuple[str, str] = ("_x", "_y"),
-                      hot_rows: int | None = None) -> DataFrame:
+                      hot_rows: int | None = None,
+                      salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Every base row with each matching option row (or nulls).
 
     Non-key columns present on both sides get ``_x`` / ``_y`` suffixes and
@@ -39,12 +40,18 @@ def left_join_records(base: DataFrame, options: DataFrame, keys: Sequence[str],
 
     ``hot_rows``: keys with more option rows than this are salted (see
     ``_salted_left_join``). AQE can split a skewed *left* side of a left
-    join but not the right, so hot option keys need this.
+    join but not the right, so hot option keys need this. ``salt_cols``
+    (option columns that tell the rows of one key apart, e.g. page and
+    position) feed the salt hash; by default the whole option row does,
+    which makes every option column part of the scan.
     """
     keys = list(keys)
     b, o = _rename_overlaps(base, options, keys, suffixes)
     if hot_rows is not None and not null_safe:
-        return _salted_left_join(b, o, keys, hot_rows)
+        renamed = set(options.columns) & set(base.columns)
+        salt = None if salt_cols is None else [
+            c + suffixes[1] if c in renamed and c not in keys else c for c in salt_cols]
+        return _salted_left_join(b, o, keys, hot_rows, salt)
     ok = {k: f"__opt_{k}" for k in keys}
     o = o.withColumnsRenamed(ok)
     cond = None
@@ -55,20 +62,24 @@ def left_join_records(base: DataFrame, options: DataFrame, keys: Sequence[str],
     return out.drop(*ok.values())
 
 
-def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int,
+                      salt_cols: list[str] | None = None) -> DataFrame:
     """Left join that splits hot keys: a key with n > hot_rows option rows
     gets ceil(n / hot_rows) salts; its option rows are spread over the salts
     by a deterministic hash and its base rows are repeated once per salt, so
     each (key, salt) task sees about hot_rows option rows. Cold keys keep
     salt 0 and plain left-join semantics. A replica of a hot base row whose
     salt drew no option would add a null row; hot keys always have options,
-    so those rows are dropped and every result row appears exactly once."""
+    so those rows are dropped and every result row appears exactly once.
+    The salt is a hash of ``salt_cols`` (whole row if None): deterministic,
+    so a retried task sends each row to the same salt."""
+    row = guard.row_hash(o) if not salt_cols else F.xxhash64(*[F.col(c) for c in salt_cols])
     counts = (o.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
               .where(F.col("__n") > hot_rows)
               .select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")))
     os_ = (o.join(counts, keys, "left")
            .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
-               F.pmod(guard.row_hash(o), F.col("__salts"))))
+               F.pmod(row, F.col("__salts"))))
            .drop("__salts").withColumn("__hit", F.lit(True)))
     bs = (b.join(counts, keys, "left")
           .withColumn("__salt", F.explode(F.sequence(
@@ -81,7 +92,8 @@ def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int
 def option_only_fallback(base: DataFrame, options: DataFrame, keys: Sequence[str],
                          groups: Sequence[str], null_safe: bool = False,
                          suffixes: tuple[str, str] = ("_x", "_y"),
-                         hot_rows: int | None = None) -> DataFrame:
+                         hot_rows: int | None = None,
+                         salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Per group: base LEFT JOIN options when the group has any base row;
     the options unchanged (base columns null) when it has none.
 
@@ -89,7 +101,8 @@ def option_only_fallback(base: DataFrame, options: DataFrame, keys: Sequence[str
     base groups), so no per-group count reaches the driver.
     """
     groups, keys = list(groups), list(keys)
-    joined = left_join_records(base, options, groups + keys, null_safe, suffixes, hot_rows)
+    joined = left_join_records(base, options, groups + keys, null_safe, suffixes, hot_rows,
+                               salt_cols)
     b_cols = set(base.columns) - set(groups) - set(keys)
     base_groups = base.select(*groups).distinct()
     orphans = options.join(base_groups, groups, "left_anti")

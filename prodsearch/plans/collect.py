@@ -44,7 +44,8 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False,
            .withColumn("k", F.col("rec")[key])
            .withColumnsRenamed({"rec": "orec", "pageNo": "opage", "pos": "opos"}))
     merged = joins.option_only_fallback(base, opt, keys=["k"], groups=[*group, "prdt_div"],
-                                        null_safe=null_safe, hot_rows=hot_rows)
+                                        null_safe=null_safe, hot_rows=hot_rows,
+                                        salt_cols=["opage", "opos"])
     div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
     empty = F.create_map().cast(S.RECORD)
@@ -82,11 +83,13 @@ def collect_job(spark: SparkSession, root: str, out: str, snapshot_ts: str) -> D
 
 def collect_tables(base: DataFrame, options: DataFrame, key: str, division: str,
                    region_code: str = "020000",
-                   hot_rows: int | None = joins.DEFAULT_HOT_ROWS) -> DataFrame:
+                   hot_rows: int | None = joins.DEFAULT_HOT_ROWS,
+                   row_id: list[str] | None = None) -> DataFrame:
     """The same job over already-tabular base and option records: J1 left
     join (hot keys salted), sector tag, per-division records and reported
-    totals (distinct base keys)."""
-    j = joins.left_join_records(base, options, [key], hot_rows=hot_rows)
+    totals (distinct base keys). ``row_id``: option columns that tell the
+    rows of one key apart, hashed for the salt (whole row if None)."""
+    j = joins.left_join_records(base, options, [key], hot_rows=hot_rows, salt_cols=row_id)
     j = clean.tag_constants(j, {"region_code": region_code})
     return (j.groupBy(F.col(division).alias("prdt_div"), "region_code")
             .agg(F.count(F.lit(1)).alias("records"),

@@ -114,6 +114,35 @@ def test_salted_left_join_equals_plain(spark):
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()),
                                                                   key=str)
     assert salted.count() == 57 * 2 + 1 + 1 + 1
+    # salt from an option row id only; the id column also exists on the base
+    # side (renamed to o_y), and the hot key is still split over salts
+    base2 = base.withColumn("o", F.lit(0))
+    by_id = joins.left_join_records(base2, opt, ["k"], hot_rows=10, salt_cols=["o"])
+    plain2 = joins.left_join_records(base2, opt, ["k"])
+    assert sorted(map(tuple, plain2.collect()), key=str) == sorted(map(tuple, by_id.collect()),
+                                                                   key=str)
+
+
+def test_collect_tables_reads_only_needed_columns(spark, tmp_path):
+    from prodsearch.plans import collect
+    base = spark.createDataFrame([(k, "F" if k % 2 else "O", f"c{k}") for k in range(20)],
+                                 "k long, div string, note string")
+    opt = spark.createDataFrame([(k % 5, i, f"long text {i}", float(i)) for k, i in
+                                 zip(range(200), range(200))],
+                                "k long, line long, txt string, amount double")
+    src = str(tmp_path / "opt")
+    opt.write.parquet(src)
+    opt = spark.read.parquet(src)
+    out = collect.collect_tables(base, opt, "k", "div", hot_rows=10, row_id=["line"])
+    whole = collect.collect_tables(base, opt, "k", "div", hot_rows=10)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, whole.collect()))
+    import io
+    from contextlib import redirect_stdout
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        out.explain("formatted")
+    schemas = [ln for ln in buf.getvalue().splitlines() if ln.startswith("ReadSchema")]
+    assert schemas and all("txt" not in ln and "amount" not in ln for ln in schemas)
 
 
 def test_grounding_heavy_keys_use_the_scan(spark):

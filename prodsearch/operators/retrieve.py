@@ -87,7 +87,9 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     per query. Only partitions x queries x k candidates are shuffled, to a
     final ``row_number <= k`` per query. All pairs are scored but never
     materialised as rows. With several query blocks the product side is
-    persisted once (recomputed from its source if an executor is lost).
+    checkpointed once into the shared checkpoint folder and every block
+    scans that copy (no cached blocks that die with an executor, nothing
+    left pinned in executor memory after the job).
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -124,7 +126,7 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     per_query = 8 * dim + 8
     n_blocks = max(1, -(-(n_q * per_query) // max_block_bytes))
     if n_blocks > 1:
-        p = p.persist()
+        p = cut_lineage(p)
 
     parts = []
     for b in range(n_blocks):

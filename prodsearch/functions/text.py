@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 # Unicode-aware whitespace at either end (Spark's ``trim`` strips only ' ').
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Python's str.isspace() set: Unicode White_Space plus the four information
+# separators U+001C..U+001F, which Java's (?U)\s leaves out.
+_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 # A plain decimal number, optionally signed, with exponent and padding.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Tokens a CSV reader should treat as missing (pandas default list).

@@ -16,6 +16,14 @@ def test_strip_unicode(spark):
     assert got == ["가나은행", "a b", None]
 
 
+def test_strip_matches_python_whitespace(spark):
+    """Every character Python's str.strip() removes, including U+001C..U+001F,
+    which Java's Unicode \\s does not cover; inner spaces stay."""
+    vals = [c + "a" + c + "b" + c for c in map(chr, range(0x3001)) if c.isspace()]
+    got = [r[0] for r in one_col(spark, vals).select(TX.strip("v")).collect()]
+    assert got == [v.strip() for v in vals]
+
+
 def test_to_number_like_pandas(spark):
     vals = ["3.5", " 3.5 ", "3.5%", "1,000", "1.5d", "nan", "", None, "-2", "1e3", ".5"]
     got = [r[0] for r in one_col(spark, vals).select(TX.to_number("v")).collect()]

@@ -19,6 +19,8 @@ from .. import schemas as S
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 # A plain decimal number, optionally signed, with exponent and padding.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Infinity as pandas' parser spells it: any case, optional sign, no padding.
+_INFINITY = r"(?i)^[+-]?inf(inity)?$"
 # Tokens a CSV reader should treat as missing (pandas default list).
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
@@ -41,14 +43,21 @@ def null_if_token(c: str | Column, tokens: Sequence[str] = NULL_TOKENS) -> Colum
 
 
 def to_number(c: str | Column) -> Column:
-    """Text to double; anything that is not a plain number becomes null.
+    """Text to double like ``pandas.to_numeric(errors='coerce')``: a plain
+    decimal number (ASCII padding allowed) or an unpadded ``inf`` /
+    ``infinity`` literal; anything else, and a number too large for a
+    double, becomes null.
 
     ``try_cast`` alone is too lenient (``1.5d``, ``NaN``), so the text is
     first checked against a plain-number pattern.
     """
     c = col_of(c)
     as_text = c.cast("string")
-    return F.when(as_text.rlike(_NUMBER), strip(as_text).try_cast("double"))
+    num = strip(as_text).try_cast("double")
+    inf = F.lit(float("inf"))
+    return (F.when(as_text.rlike(_NUMBER), F.when(F.abs(num) != inf, num))
+            .when(as_text.rlike(_INFINITY),
+                  F.when(as_text.startswith("-"), -inf).otherwise(inf)))
 
 
 def blank_clean(c: str | Column) -> Column:

@@ -30,6 +30,23 @@ def test_to_number_like_pandas(spark):
     assert got == [3.5, 3.5, None, None, None, None, None, None, -2.0, 1000.0, 0.5]
 
 
+def test_to_number_against_pandas(spark):
+    """Same values as pandas.to_numeric(errors='coerce') (NaN read as null),
+    including infinity literals, overflow and underflow. Not covered: long
+    digit strings, where pandas' fast parser can be one ulp off."""
+    import math
+
+    import pandas as pd
+    vals = ["inf", "-inf", "+inf", "INF", "iNf", "infinity", "-Infinity", "infinit", "infs",
+            " inf", "inf ", "nan", "-nan", "1e308", "1.8e308", "-1e400", "1e-400", "+.5e1",
+            " +5 ", "5e", "00.", ".", "+", "-", "\x0b7\x0c", "1_000", "0x10", "１２", "3\xa0",
+            "1,000", "12abc", "", " ", "None"]
+    want = [None if isinstance(x, float) and math.isnan(x) else float(x)
+            for x in pd.to_numeric(pd.Series(vals, dtype=object), errors="coerce").tolist()]
+    got = [r[0] for r in one_col(spark, vals).select(TX.to_number("v")).collect()]
+    assert got == want
+
+
 def test_blank_flags(spark):
     df = one_col(spark, [None, "   ", " x "])
     got = df.select(TX.is_available("v"), TX.blank_clean("v")).collect()

@@ -50,3 +50,25 @@ def test_keep_first_idempotent(spark):
     df = spark.createDataFrame(rows, "pos long, co string, prd string")
     once = clean.keep_first(df, ["co", "prd"], ["pos"])
     assert same(once, clean.keep_first(once, ["co", "prd"], ["pos"]))
+
+
+MARK = "상품명:"
+
+
+def _py_marker_value(text, marker):
+    """The list-based original: first line holding the marker, the text
+    between it and the next marker on that line, stripped."""
+    lines = [ln for ln in text.split("\n") if marker in ln]
+    return lines[0].split(marker)[1].strip() if lines else None
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([MARK, "상품", "명", ":", "A", "b1", " ", "\n", "\r",
+                                          "\t", "　", "\x1e", "\xa0"]),
+                         max_size=12).map("".join), min_size=1, max_size=40))
+def test_marker_value_matches_line_split(spark, texts):
+    from prodsearch.functions import text as TX
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, v string")
+    got = dict(df.select("i", TX.marker_value("v", TX.marker_regex(MARK, allow_bold=False)))
+               .collect())
+    assert [got[i] for i in range(len(texts))] == [_py_marker_value(t, MARK) for t in texts]

@@ -6,6 +6,7 @@ so it stays inside whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -93,6 +94,9 @@ def py_number_text(c: str | Column) -> Column:
 
 def value_text(c: Column, dtype: str, fmt: str | None = None) -> Column:
     if fmt:
+        m = re.fullmatch(r"%\.([0-7])f", fmt)
+        if m:
+            return fixed(c, int(m.group(1)))
         return F.when(c.isNotNull(), F.format_string(fmt, c))
     if dtype in ("double", "float"):
         return py_number_text(c)
@@ -133,14 +137,65 @@ def search_text_other(name: str | Column, company: str | Column,
                     F.lit(f", {l2}: "), F.coalesce(col_of(company).cast("string"), F.lit(null_text)))
 
 
+def fixed(c: str | Column, digits: int = 2) -> Column:
+    """``'%.<digits>f' % x`` exactly as Python prints it, JVM-side.
+
+    Python rounds the exact binary value half-to-even; Spark's
+    ``format_string`` rounds the shortest decimal form half-up, so they part
+    on values such as 2.675 (stored just below 2.675: Python 2.67, Java
+    2.68) and 0.125 (an exact tie: Python 0.12, Java 0.13). Here
+    ``|x| * 10^digits`` is split into its rounded product ``p`` and the
+    exact error ``err`` (Dekker's product with a Veltkamp split, plain
+    double arithmetic); ``p`` decides the rounding unless it ends in exactly
+    .5, where the sign of ``err`` decides and a true tie goes to even.
+    Covers ``|x| < 2^52 / 10^digits`` and digits 0-7; larger magnitudes
+    fall back to ``format_string``. nan and inf print as Python does.
+    """
+    if not 0 <= digits <= 7:
+        raise ValueError("digits must be 0-7")
+    x = col_of(c).cast("double")
+    scale = float(10 ** digits)
+    a = F.abs(x)
+    split = a * F.lit(134217729.0)          # 2^27 + 1
+    a_hi = split - (split - a)
+    a_lo = a - a_hi
+    prod = a * F.lit(scale)
+    err = (a_hi * F.lit(scale) - prod) + a_lo * F.lit(scale)
+    whole = F.floor(prod)
+    frac = prod - whole
+    up = ((frac > 0.5) | ((frac == 0.5) & ((err > 0) | ((err == 0) & (F.pmod(whole, F.lit(2)) == 1)))))
+    k = whole + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    if digits:
+        body = F.concat((k / F.lit(10 ** digits)).cast("long").cast("string"), F.lit("."),
+                        F.lpad(F.pmod(k, F.lit(10 ** digits)).cast("string"), digits, "0"))
+    else:
+        body = k.cast("string")
+    inf = float("inf")
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(x == F.lit(inf), F.lit("inf"))
+            .when(x == F.lit(-inf), F.lit("-inf"))
+            .when(a < F.lit(2.0 ** 52 / scale), F.concat(sign, body))
+            .otherwise(F.format_string(f"%.{digits}f", x)))
+
+
+def py_round(c: str | Column, digits: int) -> Column:
+    """Python's ``round(x, digits)``: the double nearest to the correctly
+    rounded decimal, which is ``fixed``'s text read back as a double (this is
+    how Python computes it). ``F.round`` rounds half-up from the shortest
+    decimal form instead (``round(0.8125, 3)``: Python 0.812, Spark 0.813)."""
+    return fixed(c, digits).cast("double")
+
+
 def pct_range(lo: str | Column, hi: str | Column) -> Column:
     """``x.xx% ~ y.yy%``"""
-    return F.format_string("%.2f%% ~ %.2f%%", col_of(lo), col_of(hi))
+    return F.concat(fixed(lo, 2), F.lit("% ~ "), fixed(hi, 2), F.lit("%"))
 
 
 def pct(c: str | Column, digits: int = 2) -> Column:
     """``x.xx%``"""
-    return F.format_string(f"%.{digits}f%%", col_of(c))
+    return F.concat(fixed(c, digits), F.lit("%"))
 
 
 def cut(c: str | Column, n: int, suffix: str = "...") -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as TX
 from ..functions import vector as V
 from ..session import cut_lineage
 from . import guard
@@ -204,8 +205,9 @@ def rank_results(results: DataFrame, group: Sequence[str], score: str, tie: str,
     """Rank within each group by score (desc), explicit tie-break column.
 
     Groups here are a query's k results, so the window stays small.
+    ``digits`` rounds the score first, as Python's ``round`` does.
     """
-    s = F.round(F.col(score), digits) if digits is not None else F.col(score)
+    s = TX.py_round(F.col(score), digits) if digits is not None else F.col(score)
     r = results.withColumn(score, s) if digits is not None else results
     w = Window.partitionBy(*group).orderBy(F.col(score).desc(), F.col(tie).asc())
     return r.withColumn(out, F.row_number().over(w).cast("long"))

@@ -47,6 +47,27 @@ def test_to_number_against_pandas(spark):
     assert got == want
 
 
+def test_fixed_matches_python_format(spark):
+    """'%.Nf' as Python prints it: exact binary value, ties to even."""
+    import random
+    import struct
+    random.seed(3)
+    vals = [2.675, 0.125, 0.375, 1.005, 0.015, -2.675, -0.0, -0.001, 2.5, 99.995, 8.125,
+            float("nan"), float("inf"), float("-inf"), 5e-324, 4503599627370.495]
+    vals += [k / 8 for k in range(-40, 40)] + [k / 1000 for k in range(0, 3000, 5)]
+    vals += [struct.unpack("d", struct.pack("Q", random.getrandbits(64)))[0] for _ in range(300)]
+    vals = [v for v in vals if not abs(v) >= 2.0 ** 52 / 1e4 or v != v or abs(v) == float("inf")]
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i long, x double")
+    for d in (0, 1, 2, 4):
+        got = dict(df.select("i", TX.fixed("x", d)).collect())
+        assert [got[i] for i in range(len(vals))] == ["%.*f" % (d, v) for v in vals]
+    assert df.select(TX.pct("x")).first()[0] == "2.67%"
+    rounded = dict(df.select("i", TX.py_round("x", 3)).collect())
+    want = [round(v, 3) for v in vals]
+    assert all(rounded[i] == w or (w != w and rounded[i] != rounded[i])
+               for i, w in enumerate(want))
+
+
 def test_blank_flags(spark):
     df = one_col(spark, [None, "   ", " x "])
     got = df.select(TX.is_available("v"), TX.blank_clean("v")).collect()

@@ -10,6 +10,10 @@ def one_col(spark, values, name="v", dtype="string"):
     return spark.createDataFrame([(v,) for v in values], f"{name} {dtype}")
 
 
+def one_col_double(spark, vals):
+    return spark.createDataFrame([(float(v),) for v in vals], "v double").coalesce(1)
+
+
 def test_strip_unicode(spark):
     df = one_col(spark, ["　가나은행\t", "  a b  ", None])
     got = [r[0] for r in df.select(TX.strip("v")).collect()]
@@ -68,6 +72,19 @@ def test_fixed_matches_python_format(spark):
                for i, w in enumerate(want))
 
 
+def test_number_text_matches_python_str(spark):
+    """str(float) layout: fixed notation for exponents -4..15, else 1e+16."""
+    import random
+    random.seed(5)
+    vals = [0.00064, 1e-4, 1.5e-5, 0.1 + 0.2, 12345678.9, 1e7, 10000000.0, 1e15 + 0.3, 1e16,
+            1.5e16, 1e22, 0.0, -0.0, -1.5, 2.5e-300, 1.7976931348623157e308, 123.0, 100.5,
+            float("nan"), float("inf"), float("-inf")]
+    vals += [10 ** random.uniform(-6, 16) * random.choice([1, -1]) for _ in range(500)]
+    vals += [round(random.uniform(0, 100), random.randint(0, 5)) for _ in range(300)]
+    got = [r[0] for r in one_col_double(spark, vals).select(TX.py_number_text("v")).collect()]
+    assert got == [str(v) for v in vals]
+
+
 def test_blank_flags(spark):
     df = one_col(spark, [None, "   ", " x "])
     got = df.select(TX.is_available("v"), TX.blank_clean("v")).collect()

@@ -132,11 +132,22 @@ def py_number_text(c: str | Column) -> Column:
         return F.concat(F.when(q["neg"], F.lit("-")).otherwise(F.lit("")), laid)
 
     x = col_of(c).cast("double")
+    a = F.abs(x)
     inf = float("inf")
+    # Java and Python agree on zero and on 1e-3 <= |x| < 1e7; whole numbers
+    # below 1e16 are the integer plus ".0"; the rest of 1e-4 <= |x| < 1e16
+    # goes through a decimal. Only exponent notation (CASE WHEN is lazy)
+    # pays for the interpreted re-layout.
     return (F.when(x.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(x), F.lit("nan"))
             .when(x == F.lit(inf), F.lit("inf"))
             .when(x == F.lit(-inf), F.lit("-inf"))
+            .when((x == 0) | ((a >= 1e-3) & (a < 1e7)), x.cast("string"))
+            .when((x == F.floor(x)) & (a < 1e16), F.concat(x.cast("long").cast("string"), F.lit(".0")))
+            # the rest of Python's fixed range: a decimal cast keeps the same
+            # digits in plain notation; trailing zeros of the scale go
+            .when((a >= 1e-4) & (a < 1e16), F.regexp_replace(F.regexp_replace(
+                x.cast("decimal(38,22)").cast("string"), "0+$", ""), "[.]$", ".0"))
             .otherwise(_let(_let(_let(x.cast("string"), parts), significant), layout)))
 
 

@@ -56,3 +56,34 @@ def test_key_matches_oracle(spark, duck, key):
     assert spark_types(df) == otypes
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
+
+
+def test_embed_texts_key_against_brute_force(spark):
+    """The one key without an SQL oracle, over the whole documents table:
+    murmur3 (seed 42) hashed term counts x smoothed IDF, L2-normalised,
+    computed by hand."""
+    import re
+
+    import numpy as np
+
+    import __spark_entry__ as E
+    from test_retrieve import _murmur3_32
+
+    got = {r.doc_id: np.array(r.embedding, dtype=np.float64)
+           for r in E.queries()["embed_texts"](spark, SF).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    dim = len(next(iter(got.values())))
+    tf = {}
+    for i, t in texts.items():
+        v = np.zeros(dim)
+        for tok in re.split(r"\W+", (t or "").lower()):
+            if tok:
+                v[_murmur3_32(tok.encode("utf-8")) % dim] += 1
+        tf[i] = v
+    df = sum((v > 0).astype(float) for v in tf.values())
+    idf = np.log((len(texts) + 1) / (df + 1))
+    assert got.keys() == tf.keys()
+    for i, v in tf.items():
+        w = v * idf
+        n = np.linalg.norm(w)
+        assert np.allclose(got[i], w / n if n > 0 else w, atol=1e-5), i

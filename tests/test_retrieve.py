@@ -126,3 +126,59 @@ def test_fit_embed_equals_fit_then_embed(spark):
          retrieve.embed(retrieve.fit_hashing_encoder(docs, "text", 16), docs, "text").collect()}
     assert a.keys() == b.keys() == c.keys()
     assert all(np.allclose(a[i], b[i]) and np.allclose(a[i], c[i]) for i in a)
+
+
+def _murmur3_32(data: bytes, seed: int = 42) -> int:
+    """Standard MurmurHash3 x86 32-bit, as a signed int."""
+    def rotl(x, r):
+        return ((x << r) | (x >> (32 - r))) & 0xFFFFFFFF
+
+    def mix(k):
+        k = (k * 0xCC9E2D51) & 0xFFFFFFFF
+        return (rotl(k, 15) * 0x1B873593) & 0xFFFFFFFF
+    h = seed
+    n = len(data) // 4
+    for i in range(n):
+        h ^= mix(int.from_bytes(data[4 * i:4 * i + 4], "little"))
+        h = (rotl(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    tail = 0
+    for j, b in enumerate(data[4 * n:]):
+        tail |= b << (8 * j)
+    h ^= mix(tail)
+    h ^= len(data)
+    h ^= h >> 16
+    h = (h * 0x85EBCA6B) & 0xFFFFFFFF
+    h ^= h >> 13
+    h = (h * 0xC2B2AE35) & 0xFFFFFFFF
+    h ^= h >> 16
+    return h - (1 << 32) if h >= 1 << 31 else h
+
+
+def test_fit_embed_against_brute_force(spark):
+    """Hashed term counts (murmur3, seed 42) x smoothed IDF, L2-normalised,
+    computed by hand on a small corpus."""
+    import math
+    import re
+    texts = {1: "정기예금 추천 상품, 정기예금!", 2: "적금 상품 비교 -- 적금 적금", 3: "대출 금리 Rate_2 rate",
+             4: "", 5: None, 6: "ab abc abcd abcde abcdef"}
+    dim = 32
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    _, emb = retrieve.fit_embed(docs, "text", dim=dim)
+    got = {r.id: np.array(r.embedding, dtype=np.float64) for r in emb.collect()}
+
+    tf = {}
+    for i, t in texts.items():
+        v = np.zeros(dim)
+        for tok in re.split(r"\W+", (t or "").lower()):
+            if tok:
+                h = _murmur3_32(tok.encode("utf-8"))
+                v[h % dim] += 1
+        tf[i] = v
+    m = len(texts)
+    df = sum((v > 0).astype(float) for v in tf.values())
+    idf = np.log((m + 1) / (df + 1))
+    for i, v in tf.items():
+        w = v * idf
+        n = np.linalg.norm(w)
+        want = w / n if n > 0 else w
+        assert np.allclose(got[i], want, atol=1e-6), (i, got[i], want)

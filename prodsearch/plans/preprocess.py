@@ -16,9 +16,23 @@ POSITION = "_pos"
 
 
 def with_position(df: DataFrame, name: str = POSITION) -> DataFrame:
-    """Input order as a column (increasing in file order), so keep-first
-    dedup does not depend on physical row order later."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Input order as a column, so keep-first dedup does not depend on
+    physical row order later.
+
+    The row id follows partition order, and Spark packs file splits
+    largest first, so across several files (e.g. the part files of a
+    Spark-written folder) it does not follow file order. For file sources
+    the position is therefore (file path, row id): splits of one file keep
+    their offset order (the packing sort is stable and only a file's last
+    split is shorter), so the row id still follows rows within a file.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"),
+                                        F.monotonically_increasing_id().alias("row")))
 
 
 def preprocess(df: DataFrame, *, core: Sequence[str], essentials: Sequence[str],

@@ -290,3 +290,22 @@ def test_prompts_carry_raw_data(spark):
                                     "embedding array<double>")
     p = recommend.recommend(products, queries, materialize=False)["prompts"].first()
     assert '"intr_rate":"3.5"' in p.prompt and "예금1" in p.prompt
+
+
+def test_position_follows_file_order_across_files(spark, tmp_path):
+    """Spark packs the larger file first; keep-first must still follow file
+    order (a.csv before b.csv), then row order inside each file."""
+    from prodsearch.operators import clean
+    from prodsearch.plans import preprocess
+    from prodsearch.sources import files as FS
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.csv").write_text("k,v\nx,a1\ny,a2\nx,a3\n", encoding="utf-8")
+    (d / "b.csv").write_text("k,v\n" + "".join(f"z{i},b{i}\n" for i in range(500))
+                             + "x,b-late\ny,b-late\n", encoding="utf-8")
+    df = preprocess.with_position(FS.read_raw_csv(spark, str(d)))
+    got = {r.k: r.v for r in clean.keep_first(df, ["k"], [preprocess.POSITION]).collect()}
+    assert got["x"] == "a1" and got["y"] == "a2" and got["z3"] == "b3"
+    plain = spark.createDataFrame([("x", "p1"), ("x", "p2")], "k string, v string")
+    assert preprocess.with_position(plain).schema[preprocess.POSITION].dataType.simpleString() \
+        == "bigint"

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..operators import guard
 
 GROUP = ["api", "region_code"]
 
@@ -102,19 +101,22 @@ def pack_pages(base: DataFrame, options: DataFrame, key: str, *, division: str,
 
     Used to land test pages and to replay tables as API pages. Options are
     cut into pages of about ``page_size`` per key: the page count of a key
-    comes from its row count (a hash aggregate), and rows are spread by hash,
-    so no key's rows are ever collected into one list. Each record is
-    serialised where it lives (all cores busy); a page only joins strings.
+    comes from its row count (a hash aggregate), and rows are spread over
+    pages by hash, so no key's rows are ever collected into one list. Raw
+    rows cross one shuffle on (key, page), which the page aggregate reuses;
+    records are serialised after it, and a page only joins strings.
     """
     def as_json(df):
         return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns]))
 
-    # the per-key count reads only the key (partial counts combine map-side),
-    # so it is taken before the spread; only the record side is spread
+    # the per-key count reads only the key (partial counts combine map-side);
+    # raw rows then cross one shuffle on (key, page), which is also the
+    # grouping below, so records are serialised after it on every core
     n = options.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    o = (guard.spread(options).join(n, key)
+    o = (options.join(n, key)
          .withColumn("__pages", F.greatest(F.lit(1), F.ceil(F.col("__n") / page_size)))
          .withColumn("pageNo", (F.pmod(F.xxhash64(*options.columns), F.col("__pages")) + 1))
+         .repartition(key, "pageNo")
          .withColumn("__rec", as_json(options.select(*options.columns))))
     pages = o.groupBy(key, "pageNo").agg(
         F.concat_ws(",", F.collect_list("__rec")).alias("__opts"),

@@ -22,10 +22,25 @@ def rows_at_most(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``F.broadcast(df)`` when the row count is proven <= max_rows; otherwise
-    the frame unchanged (Spark then plans a shuffle join)."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) is not None else df
+def size_at_most(df: DataFrame, max_rows: int, max_bytes: int) -> tuple[int, int] | None:
+    """(rows, bytes) if the frame has <= max_rows rows taking <= max_bytes as
+    JSON text (a stand-in for its in-memory size), else None. One job over
+    at most max_rows + 1 rows."""
+    r = (df.limit(max_rows + 1)
+         .agg(F.count(F.lit(1)).alias("n"),
+              F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))),
+                         F.lit(0)).alias("b"))
+         .first())
+    n, b = int(r["n"]), int(r["b"])
+    return (n, b) if n <= max_rows and b <= max_bytes else None
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when it is proven to hold <= max_rows rows and
+    <= max_bytes; otherwise the frame unchanged (Spark then plans a shuffle
+    join, which AQE may still turn into a broadcast from measured sizes)."""
+    return F.broadcast(df) if size_at_most(df, max_rows, max_bytes) is not None else df
 
 
 def text_bytes(df: DataFrame, column: str) -> tuple[int, int]:

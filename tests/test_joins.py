@@ -174,3 +174,33 @@ def test_classify_by_table_equals_expressions(spark):
     by_expr = {r.doc_id: r.label for r in
                docs.select("doc_id", TX.classify_by_keywords("text", tax).alias("label")).collect()}
     assert by_table == by_expr == {1: "deposit", 2: "saving", 3: "", 4: "credit", 5: ""}
+
+
+def test_broadcast_guard_checks_rows_and_bytes(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    from prodsearch.operators import guard
+
+    dim = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "k long, v string")
+    assert guard.size_at_most(dim, 50, 1 << 20)[0] == 50
+    assert guard.size_at_most(dim, 49, 1 << 20) is None           # too many rows
+    assert guard.size_at_most(dim, 50, 1000) is None              # too many bytes
+    assert guard.size_at_most(dim.where("k < 0"), 10, 10) == (0, 0)
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+
+    def plan(df):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = facts.join(guard.broadcast_if_small(dim, 100), "k")
+        wide = facts.join(guard.broadcast_if_small(dim, 100, max_bytes=1000), "k")
+        assert "BroadcastHashJoin" in plan(small)
+        assert "BroadcastHashJoin" not in plan(wide)
+        assert small.count() == wide.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

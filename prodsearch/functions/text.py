@@ -385,13 +385,17 @@ def category_to_type(category: str | Column, rules: Sequence[tuple]) -> Column:
 
 
 def category_rules(compat: bool = False) -> list[tuple]:
-    """The phrase rules. By default the annuity rule is checked first, so
-    '연금저축' maps to annuity; ``compat`` keeps the original order, where the
-    '저축' rule catches it first and maps it to deposit."""
+    """The phrase rules. By default the annuity rule is checked just before
+    the '저축' rule, so '연금저축' maps to annuity and every other phrase keeps
+    its original result (e.g. '정기예금 연금' stays deposit); ``compat``
+    keeps the original order, where the '저축' rule catches '연금저축' first
+    and maps it to deposit."""
     rules = list(S.CATEGORY_RULES_LITERAL)
     if not compat:
         annuity = [r for r in rules if r[2] == "annuity"]
-        rules = annuity + [r for r in rules if r[2] != "annuity"]
+        rest = [r for r in rules if r[2] != "annuity"]
+        at = next(i for i, r in enumerate(rest) if r[0] == "contains_not")
+        rules = rest[:at] + annuity + rest[at:]
     return rules
 
 

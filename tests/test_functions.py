@@ -139,6 +139,12 @@ def test_category_rules_default_and_compat(spark):
     c = [r[0] for r in df.select(TX.category_to_type("v", TX.category_rules(True))).collect()]
     assert d == ["annuity", "deposit", "saving", "deposit", "mortgage", "rent", "credit", "", ""]
     assert c[0] == "deposit" and c[1:] == d[1:]
+    # only '연금저축' changes: phrases an earlier rule catches keep their type
+    mixed = one_col(spark, ["정기예금 연금", "적금 연금", "연금 예금", "노후 연금"])
+    for compat in (False, True):
+        m = [r[0] for r in mixed.select(TX.category_to_type("v", TX.category_rules(compat)))
+             .collect()]
+        assert m == ["deposit", "saving", "annuity", "annuity"]
 
 
 def test_route_intent(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import collect
+from ..session import ensure_checkpoint_dir
 from ..sources import files
 from ..sources import pages as P
 
@@ -47,10 +48,14 @@ def process_batch(batch: DataFrame, epoch_id: int, out: str) -> None:
     bad.write.mode("overwrite").parquet(f"{out}/quarantine/epoch={epoch_id}")
 
 
-def start(spark: SparkSession, root: str, out: str, checkpoint: str,
+def start(spark: SparkSession, root: str, out: str, checkpoint: str | None = None,
           available_now: bool = True):
     """Start the stream; ``available_now`` processes what has landed and
-    stops (scheduled runs), otherwise it keeps polling."""
+    stops (scheduled runs), otherwise it keeps polling. The stream's
+    checkpoint defaults to a fixed folder under the cluster's shared
+    ``spark.checkpoint.dir``, so a restarted run resumes where it stopped."""
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-stream"
     w = (read_stream(spark, root).writeStream
          .foreachBatch(lambda df, eid: process_batch(df, eid, out))
          .option("checkpointLocation", checkpoint))

@@ -199,6 +199,21 @@ def test_stream_replay_equals_batch(spark, scratch):
     assert landing.newest_records(spark, out).count() == 4
 
 
+def test_stream_checkpoint_defaults_to_shared_folder(spark, scratch):
+    from prodsearch.session import ensure_checkpoint_dir
+    root = os.path.join(scratch, "landing_default")
+    os.makedirs(root, exist_ok=True)
+    landing_fixture(os.path.join(root, "snapshot_ts=20250101_000000"))
+    out = os.path.join(scratch, "out_default")
+    q = landing.start(spark, root, out)
+    q.awaitTermination(120)
+    assert landing.newest_records(spark, out).count() == 4
+    ckpt = ensure_checkpoint_dir(spark).rstrip("/")
+    if ckpt.startswith("file:"):
+        ckpt = ckpt[len("file:"):]
+    assert os.path.isdir(os.path.join(ckpt, "landing-stream", "offsets"))
+
+
 def test_pages_pack_and_explode(spark):
     base = spark.createDataFrame([(1, "b1"), (2, "b2")], "k long, bv string")
     opt = spark.createDataFrame([(1, i, float(i)) for i in range(7)] + [(3, 0, 0.5)],

@@ -1,9 +1,10 @@
 """Size checks that gate every broadcast.
 
 Nothing is broadcast on faith: a side is broadcast only after a bounded
-count proves it small, otherwise the caller takes its other plan (a
-shuffle join, or a blocked loop over bounded pieces). Plain equi-joins are
-left to AQE, which broadcasts from measured runtime sizes.
+pass proves its row count and byte size small; otherwise the caller takes
+its other plan (a shuffle join, or a blocked loop over bounded pieces).
+Plain equi-joins are left to AQE, which broadcasts from measured runtime
+sizes.
 """
 
 from __future__ import annotations
@@ -15,13 +16,6 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def rows_at_most(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is <= max_rows, else None. Reads at most max_rows + 1
-    rows, so the check stays cheap on a huge input."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
 def size_at_most(df: DataFrame, max_rows: int, max_bytes: int) -> tuple[int, int] | None:
     """(rows, bytes) if the frame has <= max_rows rows taking <= max_bytes as
     JSON text (a stand-in for its in-memory size), else None. One job over

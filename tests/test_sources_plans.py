@@ -324,3 +324,27 @@ def test_position_follows_file_order_across_files(spark, tmp_path):
     plain = spark.createDataFrame([("x", "p1"), ("x", "p2")], "k string, v string")
     assert preprocess.with_position(plain).schema[preprocess.POSITION].dataType.simpleString() \
         == "bigint"
+
+
+def test_pack_pages_shuffles_records_once(spark):
+    """Records cross one exchange, on (key, page), which the page aggregate
+    reuses (no spread before it, no second exchange after it)."""
+    import io
+    from contextlib import redirect_stdout
+    base = spark.createDataFrame([(k, f"b{k}") for k in range(20)], "k long, bv string")
+    opt = spark.createDataFrame([(k % 20, i, float(i)) for k, i in zip(range(400), range(400))],
+                                "k long, n long, x double")
+    env = pages.pack_pages(base, opt, "k", division="D", page_size=7)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        env.explain()
+    record_shuffles = [ln for ln in buf.getvalue().splitlines()
+                       if "Exchange hashpartitioning" in ln and "pageNo" in ln]
+    assert len(record_shuffles) == 1, record_shuffles
+    spread = [ln for ln in buf.getvalue().splitlines()
+              if "Exchange hashpartitioning(xxhash64" in ln]
+    assert not spread, spread
+    # every key has 20 option rows -> ceil(20 / 7) = 3 pages each at most
+    pages_per_key = {r.k: r.n for r in env.groupBy("k").count().withColumnRenamed(
+        "count", "n").collect()}
+    assert set(pages_per_key) == set(range(20)) and max(pages_per_key.values()) <= 3

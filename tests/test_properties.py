@@ -72,3 +72,21 @@ def test_marker_value_matches_line_split(spark, texts):
     got = dict(df.select("i", TX.marker_value("v", TX.marker_regex(MARK, allow_bold=False)))
                .collect())
     assert [got[i] for i in range(len(texts))] == [_py_marker_value(t, MARK) for t in texts]
+
+
+_FLOATS = st.floats(allow_nan=True, allow_infinity=True).filter(
+    lambda x: x != x or abs(x) == float("inf") or x == 0 or 1e-300 <= abs(x) < 1e16)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(_FLOATS, min_size=20, max_size=100))
+def test_number_text_and_fixed_match_python(spark, vals):
+    """str(float) and '%.3f' over generated doubles in their stated domains."""
+    from prodsearch.functions import text as TX
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i long, x double")
+    got = {r.i: (r.t, r.f) for r in df.select(
+        "i", TX.py_number_text("x").alias("t"), TX.fixed("x", 3).alias("f")).collect()}
+    for i, v in enumerate(vals):
+        assert got[i][0] == str(v)
+        if v != v or abs(v) == float("inf") or abs(v) < 2.0 ** 52 / 1e3:
+            assert got[i][1] == "%.3f" % v

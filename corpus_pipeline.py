@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prodsearch.llm import mixing, quality
+from prodsearch.llm import mixing, ngram_join, packing, quality, secret_scan
 from prodsearch.session import ensure_checkpoint_dir
 
 
@@ -21,18 +22,37 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word n-grams, a
+    similarity of 0.8 or more."""
+    return ngram_join.without_near_copies(docs, n=5, threshold=80)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    return secret_scan.without_secrets(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_documents(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality_stage),
-    ("mixing sources", mixing_stage),
+    ("n-gram Jaccard join", near_copy_stage),
+    ("secret scans", secret_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("best-fit packing", packing_stage),
 ]
 
-# Secret scans and the token packing can't be said in SQL; the stages are
-# tested against brute force instead.
+# The test battery of the secret scans and the tokens of the packing can't be
+# said in SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,6 +85,41 @@ def word_hash_chunks(texts, max_words: int = 100_000) -> Iterator[tuple[int, np.
     yield from flush()
 
 
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(),
+          "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(),
+          "array<long>": pa.list_(pa.int64())}
+
+
+def arrow_columns(fields: dict[str, str], values: dict) -> list[pa.Array]:
+    return [pa.array(values[n], type=_ARROW[t]) for n, t in fields.items()]
+
+
+def map_texts(df: DataFrame, keep: list[str], text: str, make, fields: dict[str, str]) -> DataFrame:
+    """Columns ``keep`` plus ``fields`` (name -> type), computed from the text
+    batch by batch where it is read. ``make()`` is called once per task and
+    returns a function from a list of texts (None for null) to a dict of
+    lists, one value per text. Kept columns pass through as they are, so
+    nulls and large numbers stay exact. A dict that holds ``at`` gives rows
+    by position in the batch instead: none, one or several per text.
+    """
+    n = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = make()
+        for b in batches:
+            got = of(b.column(n).to_pylist())
+            held = b.columns[:n]
+            if "at" in got:
+                at = pa.array(got["at"], pa.int64())
+                held = [c.take(at) for c in held]
+            yield pa.RecordBatch.from_arrays(
+                held + arrow_columns(fields, got), [*keep, *fields])
+
+    kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
+    schema = ", ".join(kept + [f"`{c}` {t}" for c, t in fields.items()])
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of (a, b) links: one row (node, comp) per node
     that has a link, comp the smallest node reachable.

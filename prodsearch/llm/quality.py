@@ -12,6 +12,8 @@ module adds are named by ``prefix``, so clashing names can be avoided).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,41 +34,44 @@ SEPARATORS = "|»›•·"
 NAVIGATION = (r"(?i)(^|[^a-z])(home|menu|site ?map|log ?in|log ?out|sign ?in|sign ?up|next page|"
               r"previous page|back to top|skip to content|read more|share this)([^a-z]|\z)")
 NAVIGATION_WORDS = 6        # navigation words count in lines this short only
-BOILERPLATE = (r"(?i)(all rights reserved|terms of use|terms of service|privacy policy|"
-               r"cookie policy|uses cookies|accept cookies|enable javascript|"
-               r"subscribe to our newsletter|click here|lorem ipsum|powered by|licensed under)")
-
-
-def _count(line: Column, pattern: str) -> Column:
-    return F.regexp_count(line, F.lit(pattern))
+BOILERPLATE = (
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy",
+    "uses cookies", "accept cookies", "enable javascript", "subscribe to our newsletter",
+    "click here", "lorem ipsum", "powered by", "licensed under")
 
 
 def _words(line: Column) -> Column:
     return F.size(word_array(line))
 
 
-def punctuation_fails(line: Column) -> Column:
+def punctuation_fails(line: Column, words: Column) -> Column:
     """No sentence ends in the line, or symbol runs or repeated ! and ? stand
     after more than MAX_MARK_PCT of its words."""
-    marks = _count(line, SYMBOL_RUN) + _count(line, SHOUT)
-    return ~line.rlike(SENTENCE) | (100 * marks > MAX_MARK_PCT * _words(line))
+    marks = F.regexp_count(line, F.lit(SYMBOL_RUN)) + F.regexp_count(line, F.lit(SHOUT))
+    return ~line.rlike(SENTENCE) | (100 * marks > MAX_MARK_PCT * words)
 
 
-def navigation_fails(line: Column) -> Column:
+def navigation_fails(line: Column, words: Column) -> Column:
     """Menu separators for more than MAX_MARK_PCT of the words, or a short
     line with a navigation word."""
     seps = F.length(line) - F.length(F.translate(line, SEPARATORS, ""))
-    return (100 * seps > MAX_MARK_PCT * _words(line)) | (
-        line.rlike(NAVIGATION) & (_words(line) <= NAVIGATION_WORDS))
+    return (100 * seps > MAX_MARK_PCT * words) | (
+        (words <= NAVIGATION_WORDS) & line.rlike(NAVIGATION))
 
 
 def boilerplate_fails(line: Column) -> Column:
     """A known boilerplate phrase."""
-    return line.rlike(BOILERPLATE)
+    return let(F.lower(line), lambda low: reduce(
+        lambda a, b: a | b, [F.contains(low, F.lit(p)) for p in BOILERPLATE]))
+
 
+def line_fails(line: Column, words: Column) -> Column:
+    return punctuation_fails(line, words) | navigation_fails(line, words) | boilerplate_fails(line)
 
-def line_fails(line: Column) -> Column:
-    return punctuation_fails(line) | navigation_fails(line) | boilerplate_fails(line)
+
+def lost_in(line: Column) -> Column:
+    """The words lost with a line: all of them if it fails, else none."""
+    return let(_words(line), lambda n: F.when(line_fails(line, n), n).otherwise(0))
 
 
 def repeat_words(words: Column) -> Column:
@@ -78,16 +83,17 @@ def repeat_words(words: Column) -> Column:
     a repeated window, the usual case, stop after one distinct count.
     """
     def doubled(h: Column, step: int) -> Column:
-        return F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - step, F.lit(0))),
-                          F.slice(h, step + 1, F.greatest(F.size(h) - step, F.lit(0))),
-                          lambda a, b: F.xxhash64(a, b))
+        return let(h, lambda x: let(F.greatest(F.size(x) - step, F.lit(0)), lambda n: F.zip_with(
+            F.slice(x, 1, n), F.slice(x, step + 1, n), lambda a, b: F.xxhash64(a, b))))
 
     def covered(h: Column) -> Column:
-        placed = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+
         def repeated(s: Column) -> Column:
-            return F.array_sort(F.filter(F.transform(s, lambda x, j: F.when(
+            return F.sort_array(F.filter(F.transform(s, lambda x, j: F.when(
                 (x["h"] == F.get(s, j - 1)["h"]) | (x["h"] == F.get(s, j + 1)["h"]), x["i"])),
                 lambda i: i.isNotNull()))
+
         def total(at: Column) -> Column:
             return F.aggregate(
                 at, F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
@@ -115,9 +121,8 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
         F.size(w).cast("long").alias("n"), repeat_words(w).alias("r")))
     line_facts = let(lines, lambda ls: F.struct(
         (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("dup"),
-        F.aggregate(F.filter(ls, line_fails), F.lit(0).cast("long"),
-                    lambda a, x: a + _words(x)).alias("lost")))
-    kept_lines = F.filter(F.split(t, "\n"), lambda x: ~x.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(x))
+        F.aggregate(ls, F.lit(0).cast("long"), lambda a, x: a + lost_in(x)).alias("lost")))
+    kept_lines = F.filter(F.split(t, "\n"), lambda x: lost_in(x) == 0)
     df = docs.withColumns({
         name("_w"): out,
         name("_l"): line_facts,

@@ -4,10 +4,22 @@ the result's columns from the operator's output."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodsearch.llm import mixing, quality
+from prodsearch.llm import (
+    brown_lm,
+    embed_dedup,
+    html_text,
+    langid,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    token_count,
+)
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -28,6 +40,41 @@ def op2_quality(spark: SparkSession, d: str) -> DataFrame:
                     "n_repeat_words", "base_failed", "lost_words", "kept")
 
 
+def op3_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embed_dedup.near_duplicates(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
+def op4_secrets(spark: SparkSession, d: str) -> DataFrame:
+    s = secret_scan.scan(_docs(spark, d))
+    return s.select("doc_id", "n_assign", "n_access", "n_hex",
+                    F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.cluster(_docs(spark, d)).select("doc_id", "n_shingles", "component_id")
+
+
+def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    return brown_lm.train_and_score(_docs(spark, d))
+
+
+def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identify(_docs(spark, d))
+
+
+def op8_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_count.count_tokens(_docs(spark, d), public_tokenizers.path(BPE))
+
+
+def op9_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.main_text(spark.read.parquet(f"{d}/pages.parquet"))
+
+
+def op10_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(_docs(spark, d), public_tokenizers.path(BPE))
+
+
+BPE = "byte_bpe_50k.json"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -81,7 +128,7 @@ def _line_fails(line: str) -> str:
         OR 100 * ({marks}) > {quality.MAX_MARK_PCT} * {n}
         OR 100 * {seps} > {quality.MAX_MARK_PCT} * {n}
         OR (regexp_matches({line}, '{quality.NAVIGATION}') AND {n} <= {quality.NAVIGATION_WORDS})
-        OR regexp_matches({line}, '{quality.BOILERPLATE}'))"""
+        OR {" OR ".join(f"contains(lower({line}), '{p}')" for p in quality.BOILERPLATE)})"""
 
 
 def quality_ctes(docs: str = "documents") -> str:
@@ -118,6 +165,14 @@ OP2_SQL = f"""WITH {quality_ctes()}
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_secrets": op4_secrets,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_language_id": op7_language_id,
+    "op8_token_counts": op8_token_counts,
+    "op9_html_text": op9_html_text,
+    "op10_packing": op10_packing,
 }
 
 ORACLE = {

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,8 @@ except ImportError:
     llm_queries = corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+TYPES = ["deposit", "saving", "annuity", "mortgage", "rent", "credit"]
+QUESTIONS = ["정기예금 추천해줘", "적금 비교", "hello"]
 
 # Driver-table stand-ins for the operator parameters.
 MARK = "tion"                   # marker searched in assistant text
@@ -70,36 +72,43 @@ def _k(col="props"):
 def q_pages_explode(spark, d):
     """Orders + their lineitems packed as page JSON, parsed back and the
     option records exploded to typed columns."""
-    o = _t(spark, d, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
-    li = _t(spark, d, "lineitem")
+    types = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_linenumber": "int",
+             "l_quantity": "double"}
+    o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    li = _t(spark, d, "lineitem").select(*types)
     env = pages.pack_pages(o, li, "l_orderkey", division="D")
     parsed = pages.parse_pages(env, "page_json")
     recs = pages.explode_records(parsed, "optionList", group=["l_orderkey"], page="pageNo")
     recs = recs.drop("l_orderkey")
-    types = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_linenumber": "int",
-             "l_quantity": "double"}
     return pages.records_to_columns(recs, list(types), types).select(*types)
 
 
 def q_envelope_quarantine(spark, d):
-    """Events whose JSON is bad (error events get a truncated object) or
-    lacks the required entry."""
+    """Events as landed pages: error events are cut-off JSON, events without
+    the entry k lack the result object."""
     ev = _t(spark, d, "events")
-    raw = F.when(F.col("event_type") == "error", F.lit("{")).otherwise(F.col("props"))
-    p = recommend.parse_json_or_error(ev.withColumn("raw", raw), "raw",
-                                      T.StructType([T.StructField("k", T.IntegerType())]),
-                                      "env")
-    bad = F.col("env_bad") | F.col("env.k").isNull()
-    return p.where(bad).select("event_id", "event_type")
+    page = (F.when(F.col("event_type") == "error", F.lit('{"result": '))
+            .when(_k().isNull(), F.lit('{"other": 1}'))
+            .otherwise(F.concat(F.lit('{"result": {"total_count": '), _k(), F.lit("}}"))))
+    _, bad = pages.quarantine(pages.parse_pages(ev.withColumn("page_json", page), "page_json"))
+    return bad.select("event_id", "event_type")
 
 
 def q_group_completeness(spark, d):
-    """Conversations (non-system) whose turns 0..max all arrived."""
-    c = _t(spark, d, "conversations").where(F.col("role") != "system")
-    g = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"),
-                                 (F.max("turn") + 1).alias("expected"),
-                                 F.count_distinct("turn").alias("__seen"))
-    return g.where(F.col("__seen") == F.col("expected")).drop("__seen")
+    """Conversations as groups, messages as their pages (system messages
+    failed to load); some envelopes lack the page count or the division."""
+    c = _t(spark, d, "conversations")
+    last = c.groupBy("conv_id").agg((F.max("turn") + 1).cast("long").alias("n"))
+    result = F.struct(
+        F.lit(1).cast("long").alias("total_count"),
+        F.when(F.col("conv_id") % 3 != 0, F.col("n")).alias("max_page_no"),
+        F.when(F.col("conv_id") % 2 == 0, F.lit("D")).alias("prdt_div"))
+    landed = c.join(last, "conv_id").select(
+        F.col("conv_id").cast("string").alias("api"), F.lit(REGION).alias("region_code"),
+        (F.col("turn") + 1).cast("long").alias("pageNo"),
+        F.when(F.col("role") != "system", result).alias("result"),
+        F.lit(None).cast("string").alias("_corrupt_record"))
+    return pages.complete_groups(landed).drop("region_code")
 
 
 def q_union_typed_sources(spark, d):
@@ -374,9 +383,14 @@ def q_ranked_results(spark, d):
     return r.select("query_id", "vec_id", "score", "rank")
 
 
+def _checksum(v):
+    """All components of a vector in one number: each times its place."""
+    return F.aggregate(F.transform(v, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+
+
 def q_best_result(spark, d):
     e = _emb(spark, d)
-    score = F.round(F.col("embedding")[0].cast("double"), S.SCORE_DIGITS)
+    score = F.round(_checksum("embedding"), S.SCORE_DIGITS)
     return retrieve.best_per_group(e, ["label"], score, "vec_id", ["vec_id"])
 
 
@@ -390,13 +404,25 @@ def q_comparison_list(spark, d):
 def q_l2_normalize(spark, d):
     e = _emb(spark, d).withColumn("v3", F.transform("embedding", lambda x: x * 3))
     n = retrieve.l2_normalize(e, "v3", "unit")
-    return n.select("vec_id", F.round(F.col("unit")[0], 6).alias("first_component"))
+    return n.select("vec_id", F.round(_checksum("unit"), 6).alias("checksum"))
+
+
+def _components(df, keys):
+    """Non-zero components of the embeddings as rows."""
+    return (df.select(*keys, F.posexplode("embedding").alias("component", "w")).where("w <> 0")
+            .select(*keys, "component", F.round(F.col("w").cast("double"), 4).alias("weight")))
 
 
 def q_embed_texts(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", "text")
-    _, embedded = retrieve.fit_embed(docs, "text", dim=64)
-    return embedded.select("doc_id", "embedding")
+    _, embedded = retrieve.fit_embed(_t(spark, d, "documents").select("doc_id", "text"), "text", dim=64)
+    return _components(embedded, ["doc_id"])
+
+
+def q_embed_queries(spark, d):
+    """The encoder of the documents applied to the messages of users."""
+    model = retrieve.fit_hashing_encoder(_t(spark, d, "documents").select("text"), "text", dim=64)
+    asked = _t(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    return _components(retrieve.embed(model, asked, "text"), ["conv_id", "turn"])
 
 
 # ---------------------------------------------------------------------------
@@ -443,12 +469,13 @@ def q_marker_extract(spark, d):
 
 def q_parse_analysis_json(spark, d):
     ev = _t(spark, d, "events")
-    raw = F.when(F.col("event_type") == "error", F.lit("{")).otherwise(F.col("props"))
-    p = recommend.parse_json_or_error(ev.withColumn("raw", raw), "raw",
-                                      T.StructType([T.StructField("k", T.IntegerType())]),
-                                      "a")
-    return p.select("event_id", F.col("a.k").alias("k"),
-                    F.when(F.col("a_bad"), F.lit("json_parse_error")).alias("status"))
+    raw = F.when(F.col("event_type") == "error",
+                 F.concat(F.lit('{"user_intent": "'), F.repeat(F.col("event_type"), 20))).otherwise(
+        F.concat(F.lit('{"product_category": "'), F.col("event_type"), F.lit('", "user_intent": "'),
+                 F.coalesce(_k(), F.lit("none")), F.lit('"}')))
+    a = recommend.analysis_from_json(ev.withColumn("raw", raw), "raw")
+    return a.select("event_id", "analysis.product_category", "analysis.user_intent",
+                    "analysis_error.error", "analysis_error.raw_response", "analysis_error.status")
 
 
 def q_format_timestamp(spark, d):
@@ -464,26 +491,42 @@ def q_route_intent(spark, d):
                     TX.route_intent(intent, "text", [MARK], ["wh"]).alias("route"))
 
 
+def _order_results(spark, d):
+    """Lineitems as the ranked results of their orders."""
+    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey",
+                                                     "l_extendedprice")
+    li = (_t(spark, d, "lineitem").withColumn("rank", F.row_number().over(place))
+          .join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")))
+    return li.select(F.col("l_orderkey").alias("query_id"), F.col("l_partkey").alias("product_id"),
+                     F.col("rank").cast("long").alias("rank"), F.col("l_discount").alias("score"),
+                     F.col("p_name").alias("product_name"), F.col("p_brand").alias("company"),
+                     F.col("p_type").alias("product_type"), (F.col("l_returnflag") != "R").alias("valid"))
+
+
+def _order_questions(spark, d):
+    """Orders as questions; the status is the intent, or a failed analysis."""
+    status = F.col("o_orderstatus")
+    intent = F.when(status == "F", "information").when(status == "O", "comparison").otherwise("recommendation")
+    error = F.struct(F.lit("JSON").alias("error"), F.col("o_orderpriority").alias("raw_response"),
+                     F.lit("json_parse_error").alias("status"))
+    return _t(spark, d, "orders").select(
+        F.col("o_orderkey").alias("query_id"), F.col("o_custkey").alias("conv_id"),
+        F.col("o_orderpriority").alias("text"), F.struct(intent.alias("user_intent")).alias("analysis"),
+        F.when(status == "F", error).alias("analysis_error"))
+
+
 def q_build_prompts(spark, d):
-    p = _t(spark, d, "part")
-    route = (F.when(F.col("p_size") < 20, "information")
-             .when(F.col("p_size") < 35, "comparison").otherwise("recommendation"))
-    forms = {r: TX.template(["Q: ", ("col", "p_name"), "\n", lead, ("col", "p_brand")])
-             for r, lead in [("information", "Explain: "), ("comparison", "Compare: "),
-                             ("recommendation", "Recommend: ")]}
-    prompt = (F.when(route == "information", forms["information"])
-              .when(route == "comparison", forms["comparison"])
-              .otherwise(forms["recommendation"]))
-    return p.select("p_partkey", prompt.alias("prompt"))
+    notes = _t(spark, d, "customer").where("c_acctbal > 0").select(
+        F.col("c_custkey").alias("conv_id"), F.col("c_name").alias("note"))
+    p = recommend.prompts(_order_results(spark, d), _order_questions(spark, d), notes)
+    return p.select("query_id", "route", "prompt")
 
 
 def q_contextual_question(spark, d):
-    """The product is the value after the marker in the newest marked
-    assistant message; user questions of that conversation carry it."""
-    c = _t(spark, d, "conversations")
-    marked = c.withColumn("product", TX.marker_value("text", MARK_RE))
-    ctx = dialog.newest_where(marked, (F.col("role") == "assistant") & F.col("text").contains(MARK),
-                              "product")
+    """User questions carry the product and the company of the newest
+    message with both markers."""
+    c = clean.normalize_roles(_t(spark, d, "conversations"))
+    ctx = dialog.last_recommended(c, MARK, "th")
     return dialog.contextual_question(c, ctx).select("conv_id", "turn", "question")
 
 
@@ -517,18 +560,52 @@ def q_final_answer(spark, d):
 
 
 def q_response_rows(spark, d):
-    ev = _t(spark, d, "events")
-    err = F.col("event_type") == "error"
-    return ev.select("event_id", F.when(err, "error").otherwise("success").alias("status"),
-                     F.when(err, S.SYSTEM_ERROR_MESSAGE).otherwise(F.col("event_type"))
-                     .alias("recommendation"))
+    """Orders answered with their priority; pending ones failed."""
+    asked = _order_questions(spark, d)
+    final = _t(spark, d, "orders").select(F.col("o_orderkey").alias("query_id"), F.when(
+        F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("recommendation"))
+    turns = _t(spark, d, "customer").select(F.col("c_custkey").alias("conv_id"),
+                                            F.col("c_nationkey").cast("long").alias("turns"))
+    r = recommend.response_rows(final, _order_results(spark, d), asked, turns)
+    return r.select("query_id", "status", "recommendation", "error", "conversation_turns",
+                    F.col("analysis.user_intent").alias("intent"),
+                    F.size("search_results").cast("long").alias("n_results"),
+                    F.get("search_results", F.lit(0))["product_name"].alias("first_product"))
 
 
 # ---------------------------------------------------------------------------
 # End-to-end jobs
 # ---------------------------------------------------------------------------
 
+def _collected(spark, d):
+    """Orders and lineitems landed as pages, an order to a group; pending
+    orders are missing, so their lineitems are option-only."""
+    o = _t(spark, d, "orders").where("o_orderstatus <> 'P'").select(
+        F.col("o_orderkey").alias("fin_prdt_cd"), F.col("o_orderpriority").alias("kor_co_nm"),
+        F.to_date("o_orderdate").alias("dcls_month"))
+    li = _t(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("fin_prdt_cd"), F.col("l_linenumber").alias("save_trm"),
+        F.to_date("l_shipdate").alias("dcls_month"))
+    env = pages.pack_pages(o, li, "fin_prdt_cd", division="D")
+    landed = pages.parse_pages(env, "page_json").select(
+        F.col("fin_prdt_cd").cast("string").alias("api"), F.lit(REGION).alias("region_code"),
+        "pageNo", "result", "_corrupt_record")
+    return landed, collect.merge_records(landed)
+
+
 def q_job_collect(spark, d):
+    _, recs = _collected(spark, d)
+    types = {"fin_prdt_cd": "bigint", "save_trm": "int"}
+    names = ["fin_prdt_cd", "save_trm", "kor_co_nm", "dcls_month", "dcls_month_x", "dcls_month_y"]
+    return pages.records_to_columns(recs, names, types).select("prdt_div", *names)
+
+
+def q_job_collect_counts(spark, d):
+    landed, recs = _collected(spark, d)
+    return collect.record_counts(recs, landed)
+
+
+def q_collect_tables(spark, d):
     o = _t(spark, d, "orders")
     li = _t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     return collect.collect_tables(o, li, "o_orderkey", "o_orderstatus", REGION,
@@ -545,12 +622,28 @@ def q_job_preprocess(spark, d):
 
 
 def q_job_recommend(spark, d):
-    """Every embedding is a query (its label is the wanted type) and every
-    other embedding a product: top-3, fallback, first kept result, named
-    from part."""
-    r = recommend.first_after_fallback(_with_fallback(spark, d))
+    """The whole job: every embedding is a product, named from part where it
+    has one, and every embedding a question whose label gives its words; the
+    conversations are the history, and answers name a product or not."""
+    e = _emb(spark, d)
     part = _t(spark, d, "part").select(F.col("p_partkey").alias("vec_id"), "p_name", "p_brand")
-    return r.join(part, "vec_id").select("query_id", "vec_id", "score", "hit", "p_name", "p_brand")
+    named = e.join(part, "vec_id", "left")
+    name, label = F.coalesce("p_name", F.lit("")), F.col("label")
+    products = named.select(
+        F.col("vec_id").alias("product_id"), F.element_at(F.array(*map(F.lit, TYPES)), label % 6 + 1)
+        .alias("product_type"), F.coalesce("p_brand", F.lit("")).alias("company"),
+        name.alias("product_name"), "embedding")
+    asked = e.select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("conv_id"),
+                     F.element_at(F.array(*map(F.lit, QUESTIONS)), label % 3 + 1).alias("text"), "embedding")
+    answers = named.select(
+        F.col("vec_id").alias("query_id"),
+        F.when(label % 2 == 0, F.concat(F.lit("pick "), name)).otherwise("nothing").alias("generated"),
+        F.when(label % 4 == 1, F.lit("base")).otherwise("").alias("fallback"))
+    out = recommend.recommend(products, asked, _t(spark, d, "conversations"), answers, k=3)
+    return out["responses"].select(
+        "query_id", "status", "recommendation", "conversation_turns",
+        F.size("search_results").cast("long").alias("n_results"),
+        F.array_join(F.transform("search_results", lambda r: r["product_name"]), "|").alias("names"))
 
 
 ORACLE_ALIASES = {"keyword_classify_table": "keyword_classify"}
@@ -570,8 +663,30 @@ _TOPK = """SELECT q.vec_id AS query_id, e.vec_id, e.label, q.label AS target,
   round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score
   FROM embeddings e, embeddings q WHERE e.vec_id <> q.vec_id"""
 
+_RANKED = """SELECT *, row_number() OVER (PARTITION BY l_orderkey
+    ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rank FROM lineitem"""
+
+_CHECKSUM = "list_sum(list_transform({v}, lambda x, i: x::DOUBLE * i))"
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+
+
+def _embedded(rows: str, keys: str) -> str:
+    """Components of the hashed vectors of ``rows`` under the documents' weights."""
+    counts = """SELECT {keys}, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS component, count(*) AS tf
+        FROM (SELECT {keys}, unnest({words}) AS w FROM {rows}) GROUP BY ALL"""
+    return f"""WITH seen AS ({counts.format(keys="doc_id", words=_WORDS, rows="documents")}),
+        idf AS (SELECT b.component, ln(((SELECT count(*) FROM documents) + 1) / (count(doc_id) + 1)) AS idf
+            FROM (SELECT unnest(range(64)) AS component) b LEFT JOIN seen USING (component) GROUP BY 1),
+        own AS ({counts.format(keys=keys, words=_WORDS, rows=rows)}),
+        w AS (SELECT {keys}, component, tf * idf AS x FROM own JOIN idf USING (component)),
+        n AS (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY {keys})) AS norm FROM w)
+        SELECT {keys}, component::INTEGER AS component, round((x / norm)::FLOAT::DOUBLE, 4) AS weight
+        FROM n WHERE norm > 0 AND x <> 0"""
+
+
 _FALLBACK = f"""WITH t AS ({_TOPK}),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d DESC, vec_id) AS rank
       FROM t QUALIFY rank <= 3),
 h AS (SELECT *, max(CAST(label = target AS INT)) OVER (PARTITION BY query_id) AS hit FROM r)"""
 
@@ -584,9 +699,14 @@ ORACLE: dict[str, str] = {
     "pages_explode": "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem",
     "envelope_quarantine": """SELECT event_id, event_type FROM events
         WHERE event_type = 'error' OR json_extract_string(props, '$.k') IS NULL""",
-    "group_completeness": """SELECT conv_id, count(*) AS n, max(turn) + 1 AS expected
-        FROM conversations WHERE role <> 'system' GROUP BY 1
-        HAVING count(DISTINCT turn) = max(turn) + 1""",
+    "group_completeness": """WITH g AS (SELECT CAST(conv_id AS VARCHAR) AS api,
+            CASE WHEN conv_id % 3 = 0 THEN 1 ELSE max(turn) + 1 END::BIGINT AS max_page_no,
+            1::BIGINT AS total_count,
+            CASE WHEN conv_id % 2 = 0 THEN 'D' ELSE CAST(conv_id AS VARCHAR) END AS prdt_div,
+            count(DISTINCT turn) FILTER (role <> 'system') AS pages_ok,
+            count(DISTINCT turn) FILTER (role = 'system') AS pages_bad
+            FROM conversations GROUP BY conv_id)
+        SELECT * FROM g WHERE pages_ok = max_page_no""",
     "union_typed_sources": """SELECT 'customer' AS product_type, c_name AS name, c_acctbal AS bal,
         c_mktsegment AS segment FROM customer
         UNION ALL SELECT 'supplier', s_name, s_acctbal, NULL FROM supplier""",
@@ -634,8 +754,9 @@ ORACLE: dict[str, str] = {
             FROM events GROUP BY 1, 2)
         SELECT event_type, CAST(sum(n) AS BIGINT) AS records, CAST(sum(total) AS BIGINT) AS reported
         FROM g WHERE n > 0 GROUP BY 1""",
-    "collection_summary": """SELECT count(DISTINCT event_type) AS n_divisions,
-        count(*) AS n_records FROM events""",
+    "collection_summary": """SELECT event_type, NULL::BIGINT AS n_divisions, count(*) AS n_records
+            FROM events GROUP BY 1
+        UNION ALL SELECT NULL, count(DISTINCT event_type), count(*) FROM events""",
     "product_company_counts": """SELECT p_type, count(*) AS n_products,
         count(DISTINCT p_brand) AS n_companies FROM part GROUP BY 1""",
     "top_companies": """SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY 1, 2
@@ -706,25 +827,27 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, turn, role FROM u
         QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= {CAP}""",
     "vector_topk": f"""SELECT query_id, vec_id, score, row_number() OVER
-        (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM ({_TOPK})
+        (PARTITION BY query_id ORDER BY d DESC, vec_id) AS rank FROM ({_TOPK})
         QUALIFY rank <= 3""",
     "topk_category_fallback": f"""{_FALLBACK}
         SELECT query_id, vec_id, label, score, rank FROM h WHERE hit = 0 OR label = target""",
     "ranked_results": f"""WITH t AS (SELECT *, row_number() OVER
-            (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r0 FROM ({_TOPK})
+            (PARTITION BY query_id ORDER BY d DESC, vec_id) AS r0 FROM ({_TOPK})
             QUALIFY r0 <= 10)
         SELECT query_id, vec_id, round(d, 3) AS score, row_number() OVER
             (PARTITION BY query_id ORDER BY round(d, 3) DESC, vec_id) AS rank FROM t""",
-    "best_result": """SELECT label, vec_id FROM embeddings QUALIFY row_number() OVER
-        (PARTITION BY label ORDER BY round(embedding[1]::DOUBLE, 3) DESC, vec_id) = 1""",
+    "best_result": f"""SELECT label, vec_id FROM embeddings QUALIFY row_number() OVER
+        (PARTITION BY label ORDER BY round({_CHECKSUM.format(v="embedding")}, 3) DESC, vec_id) = 1""",
     "comparison_list": """WITH r AS (SELECT *, row_number() OVER
             (PARTITION BY p_type ORDER BY p_retailprice DESC, p_partkey) AS rank
             FROM part QUALIFY rank <= 3)
         SELECT p_type, string_agg(concat('- ', p_name, ' (', p_brand, ')'), chr(10) ORDER BY rank)
             AS lines FROM r GROUP BY 1""",
-    "l2_normalize": """SELECT vec_id, round(embedding[1]::DOUBLE
-        / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS first_component
+    "l2_normalize": f"""SELECT vec_id, round({_CHECKSUM.format(v="embedding")}
+        / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS checksum
         FROM embeddings""",
+    "embed_texts": _embedded("documents", "doc_id"),
+    "embed_queries": _embedded("(SELECT * FROM conversations WHERE role = 'user')", "conv_id, turn"),
     "strip_text": "SELECT p_partkey, p_name AS stripped FROM part",
     "coerce_numeric": """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL
         ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS k FROM events""",
@@ -738,8 +861,13 @@ ORACLE: dict[str, str] = {
     "marker_extract": f"""SELECT conv_id, turn,
         trim(split_part(regexp_extract(text, '[^\\n]*{MARK}[^\\n]*'), '{MARK}', 2)) AS value
         FROM conversations WHERE contains(text, '{MARK}')""",
-    "parse_analysis_json": """SELECT event_id, CASE WHEN event_type <> 'error'
-        THEN CAST(json_extract_string(props, '$.k') AS INT) END AS k,
+    "parse_analysis_json": f"""SELECT event_id,
+        CASE WHEN event_type <> 'error' THEN event_type END AS product_category,
+        CASE WHEN event_type <> 'error' THEN coalesce(json_extract_string(props, '$.k'), 'none') END
+            AS user_intent,
+        CASE WHEN event_type = 'error' THEN 'JSON 파싱 실패' END AS error,
+        CASE WHEN event_type = 'error' THEN concat(substr(concat('{{"user_intent": "',
+            repeat(event_type, 20)), 1, {S.RAW_RESPONSE_CHARS}), '...') END AS raw_response,
         CASE WHEN event_type = 'error' THEN 'json_parse_error' END AS status FROM events""",
     "format_timestamp": """SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp,
         strftime(ts, '%Y-%m-%d %H:%M:%S') AS shown FROM events""",
@@ -747,16 +875,34 @@ ORACLE: dict[str, str] = {
         WHEN role = 'system' OR contains(lower(text), '{MARK}') THEN 'information'
         WHEN contains(lower(text), 'wh') THEN 'comparison' ELSE 'recommendation' END AS route
         FROM conversations""",
-    "build_prompts": """SELECT p_partkey, CASE
-        WHEN p_size < 20 THEN concat('Q: ', p_name, chr(10), 'Explain: ', p_brand)
-        WHEN p_size < 35 THEN concat('Q: ', p_name, chr(10), 'Compare: ', p_brand)
-        ELSE concat('Q: ', p_name, chr(10), 'Recommend: ', p_brand) END AS prompt FROM part""",
-    "contextual_question": f"""WITH m AS (SELECT conv_id, arg_max(
-            trim(split_part(regexp_extract(text, '[^\\n]*{MARK}[^\\n]*'), '{MARK}', 2)), turn)
-            AS product FROM conversations
-            WHERE role = 'assistant' AND contains(text, '{MARK}') GROUP BY 1)
+    "build_prompts": f"""WITH v AS (SELECT l_orderkey, l_discount, p_name, p_brand, p_type,
+            row_number() OVER (PARTITION BY l_orderkey ORDER BY rank) AS rn
+            FROM ({_RANKED}) JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'R'),
+        comp AS (SELECT l_orderkey, string_agg(concat('- ', p_name, ' (', p_brand, ')'), chr(10)
+            ORDER BY rn) AS lines FROM v WHERE rn <= 3 GROUP BY 1),
+        q AS (SELECT o_orderkey AS query_id, o_orderpriority AS text, v.*, lines,
+            CASE o_orderstatus WHEN 'F' THEN 'information' WHEN 'O' THEN 'comparison'
+                ELSE 'recommendation' END AS route, coalesce(c_name, '') AS note
+            FROM orders JOIN v ON o_orderkey = v.l_orderkey AND rn = 1
+            JOIN comp ON o_orderkey = comp.l_orderkey
+            LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0)
+        SELECT query_id, route, CASE route
+            WHEN 'information' THEN concat('사용자 질문: ', text, chr(10), note, chr(10), '상품명: ', p_name,
+                chr(10), '금융회사: ', p_brand, chr(10), '상품 유형: ', p_type, chr(10), '상세 정보: {{}}')
+            WHEN 'comparison' THEN concat('사용자 질문: ', text, chr(10), note, chr(10),
+                '비교 대상 상품들:', chr(10), lines)
+            ELSE concat(note, chr(10), '사용자 질문: ', text, chr(10), '상품명: ', p_name, chr(10),
+                '금융회사: ', p_brand, chr(10), '유사도: ', l_discount, chr(10), '상세 정보: {{}}') END
+            AS prompt FROM q""",
+    "contextual_question": f"""WITH l AS (SELECT conv_id, arg_max(text, turn) AS text
+            FROM conversations WHERE role <> 'user' AND contains(text, '{MARK}')
+            AND contains(text, 'th') GROUP BY 1),
+        m AS (SELECT conv_id,
+            trim(split_part(regexp_extract(text, '[^\\n]*{MARK}[^\\n]*'), '{MARK}', 2)) AS product,
+            trim(split_part(regexp_extract(text, '[^\\n]*th[^\\n]*'), 'th', 2)) AS company FROM l)
         SELECT c.conv_id, c.turn, CASE WHEN product IS NULL THEN c.text
-            ELSE concat('이전 추천 상품: ', product, chr(10), '질문: ', c.text) END AS question
+            ELSE concat('이전 추천 상품: ', product, ' (', company, ')', chr(10), '질문: ', c.text) END
+            AS question
         FROM conversations c LEFT JOIN m ON c.conv_id = m.conv_id WHERE c.role = 'user'""",
     "keyword_classify": """WITH tax(label, ord, kw) AS (VALUES ('deposit', 1, 'tion'),
             ('deposit', 1, 'ment'), ('saving', 2, 'und'), ('saving', 2, 'sch'),
@@ -773,11 +919,28 @@ ORACLE: dict[str, str] = {
         WHEN grounded IS NULL THEN '{S.NO_RESULTS_MESSAGE}'
         WHEN grounded = 1 THEN text ELSE '{S.GENERATION_ERROR_MESSAGE}' END AS answer
         FROM ({_GROUND.format(join='LEFT JOIN')})""",
-    "response_rows": f"""SELECT event_id,
-        CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
-        CASE WHEN event_type = 'error' THEN '{S.SYSTEM_ERROR_MESSAGE}' ELSE event_type END
-            AS recommendation FROM events""",
-    "job_collect": f"""SELECT o_orderstatus AS prdt_div, '{REGION}' AS region_code,
+    "response_rows": f"""WITH r AS (SELECT l_orderkey, count(*) AS n,
+            arg_min(p_name, rank) AS p_name
+            FROM ({_RANKED}) JOIN part ON l_partkey = p_partkey GROUP BY 1)
+        SELECT o_orderkey AS query_id,
+            CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'success' END AS status,
+            CASE WHEN o_orderstatus = 'P' THEN '{S.SYSTEM_ERROR_MESSAGE}' ELSE o_orderpriority END
+                AS recommendation,
+            CASE WHEN o_orderstatus = 'F' THEN 'JSON' END AS error,
+            c_nationkey::BIGINT AS conversation_turns,
+            CASE o_orderstatus WHEN 'F' THEN 'information' WHEN 'O' THEN 'comparison'
+                ELSE 'recommendation' END AS intent,
+            n AS n_results, p_name AS first_product
+        FROM orders LEFT JOIN r ON o_orderkey = l_orderkey LEFT JOIN customer ON o_custkey = c_custkey""",
+    "job_collect": """SELECT 'D' AS prdt_div, l_orderkey AS fin_prdt_cd, l_linenumber AS save_trm,
+        o_orderpriority AS kor_co_nm,
+        CASE WHEN o_orderkey IS NULL THEN CAST(l_shipdate::DATE AS VARCHAR) END AS dcls_month,
+        CAST(o_orderdate::DATE AS VARCHAR) AS dcls_month_x,
+        CASE WHEN o_orderkey IS NOT NULL THEN CAST(l_shipdate::DATE AS VARCHAR) END AS dcls_month_y
+        FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'""",
+    "job_collect_counts": """SELECT 'D' AS prdt_div, count(*) AS records,
+        count(DISTINCT l_orderkey) AS reported FROM lineitem""",
+    "collect_tables": f"""SELECT o_orderstatus AS prdt_div, '{REGION}' AS region_code,
         count(*) AS records, count(DISTINCT o_orderkey) AS reported
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
     "job_preprocess": """SELECT p_partkey, p_brand, p_name, concat_ws(chr(10),
@@ -785,11 +948,29 @@ ORACLE: dict[str, str] = {
             concat('rate: ', printf('%.2f', p_retailprice), '%')) AS search_text
         FROM part WHERE p_type <> 'ECONOMY'
         QUALIFY row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey) = 1""",
-    "job_recommend": f"""{_FALLBACK},
-        k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS final_rank
-            FROM h WHERE hit = 0 OR label = target)
-        SELECT k.query_id, k.vec_id, k.score, k.hit, p.p_name, p.p_brand
-        FROM k JOIN part p ON p.p_partkey = k.vec_id WHERE final_rank = 1""",
+    "job_recommend": f"""WITH p AS (SELECT vec_id, embedding::DOUBLE[] AS v, label,
+            {TYPES}[label % 6 + 1] AS ptype, coalesce(p_name, '') AS name, coalesce(p_brand, '') AS brand
+            FROM embeddings LEFT JOIN part ON p_partkey = vec_id),
+        t AS (SELECT q.vec_id AS query_id, q.label AS ql, p.vec_id, p.ptype, p.name, p.brand,
+            list_dot_product(q.v, p.v) AS d, ['deposit', 'saving', ''][q.label % 3 + 1] AS target
+            FROM p, p q),
+        r AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d DESC, vec_id) <= 3),
+        h AS (SELECT *, max((ptype = target)::INT) OVER (PARTITION BY query_id) AS hit FROM r),
+        k AS (SELECT *, row_number() OVER (PARTITION BY query_id
+            ORDER BY round(round(d, 6), 3) DESC, vec_id) AS rank FROM h WHERE hit = 0 OR ptype = target),
+        a AS (SELECT vec_id AS query_id,
+            CASE WHEN label % 2 = 0 THEN concat('pick ', name) ELSE 'nothing' END AS generated,
+            CASE WHEN label % 4 = 1 THEN 'base' ELSE '' END AS fallback FROM p),
+        g AS (SELECT a.query_id, max(contains(generated, name)::INT)
+            FILTER (name <> '' AND brand <> '') AS grounded,
+            count(*) AS n_results, string_agg(name, '|' ORDER BY rank) AS names
+            FROM a JOIN k ON a.query_id = k.query_id GROUP BY 1),
+        c AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1)
+        SELECT a.query_id, 'success' AS status, CASE WHEN grounded IS NULL THEN '{S.NO_RESULTS_MESSAGE}'
+            WHEN grounded = 1 THEN generated WHEN fallback <> '' THEN fallback
+            ELSE '{S.GENERATION_ERROR_MESSAGE}' END AS recommendation,
+            floor(least(coalesce(n, 0) + 2, 20) / 2)::BIGINT AS conversation_turns, n_results, names
+        FROM a JOIN g ON a.query_id = g.query_id LEFT JOIN c ON c.conv_id = a.query_id""",
 }
 
 

@@ -305,29 +305,40 @@ def has_marker(text: str | Column, marker_re: str) -> Column:
     return col_of(text).rlike(marker_re)
 
 
-# Amounts: optional 억 part, optional 만 part, optional plain part, then 원.
-_AMOUNT = r"(?=\d)(?:(\d+)\s*억)?\s*(?:(\d+)\s*만)?\s*(\d+)?\s*원"
+# Amounts: an 억 part, a 만 part and a plain part, each optional and each made
+# of thousands (천), hundreds (백) and a number, which may have separators and
+# decimals; then 원.
+_NUM = r"(\d[\d,]*(?:\.\d+)?)"
+_PART = rf"(?:{_NUM}\s*천)?\s*(?:{_NUM}\s*백)?\s*{_NUM}?"
+_AMOUNT = rf"(?=\d)(?:{_PART}\s*억)?\s*(?:{_PART}\s*만)?\s*{_PART}\s*원"
 _PERIOD = r"(\d+)\s*(년|개월)"
 
 
 def amount_won(text: str | Column) -> Column:
-    """First money amount in won, with 억 = 1e8 and 만 = 1e4 scaling."""
+    """First money amount in won (억 = 1e8, 만 = 1e4, 천 = 1e3, 백 = 1e2;
+    ``1,000만``, ``1.5억``, ``3천만``), fractions of a won cut off; null when
+    there is none or it does not fit a long."""
     t = col_of(text)
-    parts = [F.regexp_extract(t, _AMOUNT, i) for i in (1, 2, 3)]
-    nums = [F.coalesce(F.nullif(p, F.lit("")).try_cast("long"), F.lit(0)) for p in parts]
-    total = (nums[0] * F.lit(S.AMOUNT_UNITS["억"]) + nums[1] * F.lit(S.AMOUNT_UNITS["만"])
-             + nums[2])
-    return F.when(t.rlike(_AMOUNT), total.cast("long"))
+    total = bad = None
+    for k, unit in enumerate((S.AMOUNT_UNITS["억"], S.AMOUNT_UNITS["만"], 1)):
+        for m, scale in enumerate((1000, 100, 1)):
+            raw = F.nullif(F.regexp_replace(F.regexp_extract(t, _AMOUNT, 3 * k + m + 1), ",", ""), F.lit(""))
+            n = raw.try_cast("decimal(22,6)")
+            # wide enough for any of the nine numbers and their sum
+            value = F.coalesce(n, F.lit(0)).cast("decimal(22,6)") * F.lit(unit * scale).cast("decimal(12,0)")
+            total = value if total is None else total + value
+            fault = raw.isNotNull() & n.isNull()
+            bad = fault if bad is None else bad | fault
+    return F.when(t.rlike(_AMOUNT) & ~bad, F.floor(total).try_cast("long"))
 
 
 def period_months(text: str | Column) -> Column:
-    """First period in months (년 = 12 months)."""
+    """First period in months (년 = 12 months); null when it does not fit."""
     t = col_of(text)
-    n = F.regexp_extract(t, _PERIOD, 1).try_cast("int")
+    n = F.regexp_extract(t, _PERIOD, 1).try_cast("decimal(18,0)")
     unit = F.regexp_extract(t, _PERIOD, 2)
-    return F.when(t.rlike(_PERIOD),
-                  (n * F.when(unit == "년", F.lit(S.PERIOD_UNITS["년"])).otherwise(F.lit(1)))
-                  .cast("int"))
+    months = n * F.when(unit == "년", F.lit(S.PERIOD_UNITS["년"])).otherwise(F.lit(1)).cast("decimal(4,0)")
+    return F.when(t.rlike(_PERIOD), months.try_cast("int"))
 
 
 def route_intent(intent: str | Column, text: str | Column,

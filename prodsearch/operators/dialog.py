@@ -69,9 +69,16 @@ def newest_where(messages: DataFrame, cond: Column, value: str = "text",
                  conv: str = "conv_id", turn: str = "turn", oldest: bool = False,
                  out: str | None = None) -> DataFrame:
     """Per conversation, the newest (or oldest) message value meeting cond.
-    ``max_by`` / ``min_by`` are aggregates with map-side partial combining."""
-    pick = F.min_by(value, turn) if oldest else F.max_by(value, turn)
-    return messages.where(cond).groupBy(conv).agg(pick.alias(out or value))
+
+    The turn is found by a hash aggregate of numbers and the message by a
+    join back on it, so texts are not sorted. Of messages that repeat a turn
+    the greatest value counts."""
+    hits = messages.where(cond)
+    last = hits.groupBy(conv).agg((F.min(turn) if oldest else F.max(turn)).alias(turn))
+    found = hits.select(conv, turn, value).join(last, [conv, turn], "left_semi")
+    first = Window.partitionBy(conv).orderBy(F.col(value).desc())
+    return (found.withColumn("__r", F.row_number().over(first)).where("__r = 1")
+            .select(conv, F.col(value).alias(out or value)))
 
 
 def is_assistant(role: str = "role") -> Column:
@@ -122,12 +129,17 @@ def append_turns(history: DataFrame, new_turns: DataFrame, question: str = "ques
 
 def with_context(questions: DataFrame, context: DataFrame, product: str = "product",
                  conv: str = "conv_id", text: str = "text", out: str = "question",
-                 lead: str = "이전 추천 상품: ", ask: str = "질문: ") -> DataFrame:
+                 lead: str = "이전 추천 상품: ", ask: str = "질문: ",
+                 company: str = "company") -> DataFrame:
     """Prefix each question with its conversation's last recommended
-    product, when there is one (one context row per conversation)."""
-    q = questions.join(context.select(conv, F.col(product).alias("__p")), conv, "left")
-    made = F.concat(F.lit(lead), F.col("__p"), F.lit("\n"), F.lit(ask), F.col(text))
-    return q.withColumn(out, F.when(F.col("__p").isNull(), F.col(text)).otherwise(made)).drop("__p")
+    product and its company, when there is one (one context row per
+    conversation)."""
+    known = F.col(company) if company in context.columns else F.lit(None).cast("string")
+    q = questions.join(context.select(conv, F.col(product).alias("__p"), known.alias("__c")), conv, "left")
+    firm = F.coalesce(F.concat(F.lit(" ("), F.col("__c"), F.lit(")")), F.lit(""))
+    made = F.concat(F.lit(lead), F.col("__p"), firm, F.lit("\n"), F.lit(ask), F.col(text))
+    return (q.withColumn(out, F.when(F.col("__p").isNull(), F.col(text)).otherwise(made))
+            .drop("__p", "__c"))
 
 
 def contextual_question(messages: DataFrame, context: DataFrame, product: str = "product",

@@ -3,13 +3,10 @@ grounding and passage containment (J1-J4)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import guard
 
@@ -47,23 +44,28 @@ def left_join_records(base: DataFrame, options: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     b, o = _rename_overlaps(base, options, keys, suffixes)
-    if hot_rows is not None and not null_safe:
+    if hot_rows is not None:
         renamed = set(options.columns) & set(base.columns)
         salt = None if salt_cols is None else [
             c + suffixes[1] if c in renamed and c not in keys else c for c in salt_cols]
-        return _salted_left_join(b, o, keys, hot_rows, salt)
-    ok = {k: f"__opt_{k}" for k in keys}
-    o = o.withColumnsRenamed(ok)
+        return _salted_left_join(b, o, keys, hot_rows, salt, null_safe)
+    return _on(b, o, keys, null_safe, "left")
+
+
+def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool, how: str) -> DataFrame:
+    """Left-side join on equal keys, the keys kept from the left; ``null_safe``
+    makes null keys equal."""
+    ok = {k: f"__r_{k}" for k in keys}
+    r = right.withColumnsRenamed(ok)
     cond = None
     for k in keys:
-        c = F.col(k).eqNullSafe(F.col(ok[k])) if null_safe else (F.col(k) == F.col(ok[k]))
+        c = F.col(k).eqNullSafe(F.col(ok[k])) if null_safe else F.col(k) == F.col(ok[k])
         cond = c if cond is None else cond & c
-    out = b.join(o, cond, "left")
-    return out.drop(*ok.values())
+    return left.join(r, cond, how).drop(*ok.values())
 
 
 def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int,
-                      salt_cols: list[str] | None = None) -> DataFrame:
+                      salt_cols: list[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Left join that splits hot keys: a key with n > hot_rows option rows
     gets ceil(n / hot_rows) salts; its option rows are spread over the salts
     by a deterministic hash and its base rows are repeated once per salt, so
@@ -77,14 +79,14 @@ def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int
     counts = (o.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
               .where(F.col("__n") > hot_rows)
               .select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")))
-    os_ = (o.join(counts, keys, "left")
+    os_ = (_on(o, counts, keys, null_safe, "left")
            .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
                F.pmod(row, F.col("__salts"))))
            .drop("__salts").withColumn("__hit", F.lit(True)))
-    bs = (b.join(counts, keys, "left")
+    bs = (_on(b, counts, keys, null_safe, "left")
           .withColumn("__salt", F.explode(F.sequence(
               F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))))
-    j = bs.join(os_, [*keys, "__salt"], "left")
+    j = _on(bs, os_, [*keys, "__salt"], null_safe, "left")
     return (j.where(F.col("__salts").isNull() | F.col("__hit").isNotNull())
             .drop("__salt", "__salts", "__hit"))
 
@@ -128,202 +130,84 @@ def label_lookup(df: DataFrame, code_col: str, dim: DataFrame, dim_code: str,
             .drop("__code", "__label"))
 
 
-# Distinct candidate names per key above which a key is scanned with an
-# automaton instead of the semi join.
-HEAVY_NAMES = 2_000
+# Pieces of texts and patterns are cut at these characters.
+PIECES = r"[\x20\x09-\x0D]+"
+
+
+def _pieces(text: Column) -> Column:
+    return F.filter(F.split(text, PIECES), lambda x: x != "")
+
+
+def _contained(texts: DataFrame, patterns: DataFrame, ids: Sequence[str], text: str,
+               scope: Sequence[str] = ()) -> DataFrame:
+    """(ids, pid) of the texts that contain a pattern of their scope. texts:
+    ids (the scope columns among them) and text; patterns: pid, p and scope,
+    each p with a piece that is not blank.
+
+    A text that contains a pattern has a word that contains the pattern's
+    longest piece. So each distinct word of all texts is cut into substrings of
+    the lengths such pieces have, these meet the pieces in an equi-join, and
+    the words found lead back to their texts. Patterns of more than one piece
+    are then verified with ``contains``; no text meets every pattern.
+    """
+    ids, scope = list(ids), list(scope)
+    by_length = F.array_sort(F.transform(_pieces(F.col("p")), lambda x: F.struct(
+        F.length(x).alias("n"), x.alias("x"))))
+    p = patterns.withColumn("__piece", F.element_at(by_length, -1)["x"]).withColumn(
+        "__whole", F.col("__piece") == F.col("p"))
+    words = texts.select(*ids, F.explode(F.array_distinct(_pieces(F.col(text)))).alias("__word"))
+    lengths = p.agg(F.collect_set(F.length("__piece")).alias("__lengths"))     # one row
+    parts = F.flatten(F.transform("__lengths", lambda n: F.when(
+        n <= F.length("__word"), F.transform(
+            F.sequence(F.lit(1), F.length("__word") - n + 1),
+            lambda k: F.substring(F.col("__word"), k, n))).otherwise(F.array().cast("array<string>"))))
+    vocabulary = (words.select("__word").distinct().crossJoin(lengths)
+                  .select("__word", F.explode(F.array_distinct(parts)).alias("__piece")))
+    found = vocabulary.join(p.select("__piece").distinct(), "__piece")
+    keys = p.select("pid", "p", "__piece", "__whole", *scope)
+    near = words.join(found, "__word").join(keys, ["__piece", *scope])
+    sure = near.where("__whole").select(*ids, "pid")
+    maybe = near.where(~F.col("__whole")).select(*ids, "pid", "p").distinct()
+    proven = (maybe.join(texts.select(*ids, F.col(text).alias("__text")), ids)
+              .where(F.col("__text").contains(F.col("p"))).select(*ids, "pid"))
+    return sure.union(proven).distinct()
 
 
 def grounding(answers: DataFrame, candidates: DataFrame, key: str, answer_id: str,
-              text: str, name: str, out: str = "grounded",
-              heavy_names: int = HEAVY_NAMES) -> DataFrame:
+              text: str, name: str, out: str = "grounded") -> DataFrame:
     """Flag each answer: 1 if any candidate name of its key occurs in it,
-    0 if the key has candidates but none occurs, null if it has none.
-
-    Names are de-duplicated per key first. For ordinary keys the theta join
-    is a LEFT SEMI join on the key with ``contains`` as the extra condition,
-    so each answer is emitted at most once, never once per matching name.
-    A key with more than ``heavy_names`` distinct names would make that join
-    answers x names inside one key, so such keys go another way: their names
-    are shipped to every task as a byte-bounded automaton scoped by key, and
-    their answers are scanned in place, linear in the answer text.
+    0 if the key has candidates but none occurs, null if it has none. A null
+    name is a candidate that occurs nowhere, an empty one occurs everywhere.
+
+    Names are de-duplicated per key and found by their pieces (see
+    ``_contained``), so the work of a key with many names and answers is not
+    their product. Names without a piece, blank ones, are tested as they are.
     """
     ids = [key] if answer_id == key else [key, answer_id]
-    names = candidates.select(F.col(key).alias("__k"), F.col(name).alias("__name")).distinct()
-    per_key = names.groupBy("__k").agg(F.count(F.lit(1)).alias("__nn"))
-    heavy = per_key.where(F.col("__nn") > heavy_names).select("__k")
-
-    def semi(names_df):
-        a = answers.alias("a")
-        return (a.join(names_df, (F.col(f"a.{key}") == F.col("__k"))
-                       & F.col(f"a.{text}").contains(F.col("__name")), "left_semi")
-                .select(*ids))
-
-    if heavy.limit(1).count() == 0:
-        hits = semi(names)
-    else:
-        light = semi(names.join(heavy, "__k", "left_anti"))
-        hot_answers = answers.join(heavy.withColumnRenamed("__k", key), key, "left_semi")
-        hot = _scoped_scan(hot_answers, names.join(heavy, "__k", "left_semi"), ids, key, text)
-        hits = light.unionByName(hot)
-    hits = hits.distinct().withColumn("__hit", F.lit(1))
-    has = per_key.select(F.col("__k").alias(key)).withColumn("__has", F.lit(0))
+    names = candidates.select(F.col(key), F.col(name).alias("p")).distinct()
+    has = names.select(key).distinct().withColumn("__has", F.lit(0))
+    asked = answers.select(*ids, F.col(text).alias("__t")).distinct()
+    pieces = F.coalesce(F.col("p").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = _contained(asked, names.where(pieces).withColumn("pid", F.lit(1)), ids, "__t", [key])
+    blank = names.where(~pieces & F.col("p").isNotNull())
+    a, b = asked.alias("a"), blank.alias("b")
+    everywhere = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & F.col("a.__t").contains(F.col("b.p")),
+                        "left_semi").select(*ids)
+    hits = found.select(*ids).union(everywhere).distinct().withColumn("__hit", F.lit(1))
     return (answers.join(hits, ids, "left").join(has, key, "left")
             .withColumn(out, F.coalesce(F.col("__hit"), F.col("__has")))
             .drop("__hit", "__has"))
 
 
-def _scoped_scan(texts: DataFrame, names: DataFrame, ids: list[str], key: str, text: str,
-                 max_chunk_bytes: int | None = None) -> DataFrame:
-    """Ids of texts containing any name of their own key. names: (__k,
-    __name). Names are shipped in byte-bounded chunks; each chunk is one scan
-    of the texts, which stay where they are."""
-    spark = texts.sparkSession
-    max_chunk_bytes = max_chunk_bytes or PATTERN_CHUNK_BYTES
-    _, nbytes = guard.text_bytes(names, "__name")
-    n_chunks = max(1, -(-nbytes // max_chunk_bytes))
-    out_schema = T.StructType([texts.schema[c] for c in ids])
-    tx = guard.spread(texts.select(*dict.fromkeys([*ids, key, text])).where(
-        F.col(text).isNotNull()))
-    parts = []
-    for c in range(n_chunks):
-        chunk = names if n_chunks == 1 else names.where(
-            F.pmod(F.xxhash64("__name"), F.lit(n_chunks)) == c)
-        rows = [(r["__k"], r["__name"]) for r in chunk.toLocalIterator()]
-        if not rows:
-            continue
-        bc = spark.sparkContext.broadcast(rows)
-        token = uuid.uuid4().hex
-
-        def scan(it, bc=bc, token=token):
-            if token not in _MATCHERS:
-                _MATCHERS.clear()
-                scopes: dict[str, set] = {}
-                for k, n in bc.value:
-                    scopes.setdefault(n, set()).add(k)
-                everywhere = scopes.pop("", set())
-                _MATCHERS[token] = (everywhere, scopes,
-                                    _matcher([(i, n) for i, n in enumerate(scopes)]))
-            everywhere, scopes, match = _MATCHERS[token]
-            names_by_id = list(scopes)
-            for pdf in it:
-                keep = []
-                for k, t in zip(pdf[key].tolist(), pdf[text].tolist()):
-                    keep.append(k in everywhere or any(
-                        k in scopes[names_by_id[i]] for i in match(t)))
-                yield pdf.loc[keep, ids]
-        parts.append(tx.mapInPandas(scan, out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-# Automata built in this Python worker, by broadcast id: workers are reused
-# across tasks, so each pattern chunk is compiled once per worker.
-_MATCHERS: dict[str, tuple] = {}
-
-# Pattern bytes per chunk. An automaton takes several times the bytes of its
-# patterns, so chunks stay well below the generic broadcast budget.
-PATTERN_CHUNK_BYTES = 16 * 1024 * 1024
-
-
-# Below this many patterns a per-pattern substring test (C speed, stops at
-# the first occurrence) beats an automaton, which reports every occurrence.
-SMALL_PATTERN_SET = 64
-
-
-def _matcher(patterns: list[tuple[int, str]]):
-    """Substring matcher over many patterns: ``set of pattern ids found``.
-
-    Few patterns: one ``in`` test each. Many patterns: an Aho-Corasick
-    automaton (one pass over the text, whatever the number of patterns).
-    """
-    by_text: dict[str, list[int]] = {}
-    for pid, p in patterns:
-        by_text.setdefault(p, []).append(pid)
-    if len(by_text) <= SMALL_PATTERN_SET:
-        items = list(by_text.items())
-
-        def match_few(t: str) -> set[int]:
-            found: set[int] = set()
-            for p, ids in items:
-                if p in t:
-                    found.update(ids)
-            return found
-        return match_few
-    try:
-        import ahocorasick  # type: ignore
-    except ImportError:  # pragma: no cover - the image ships pyahocorasick
-        items = list(by_text.items())
-        return lambda t: {i for p, ids in items if p in t for i in ids}
-    auto = ahocorasick.Automaton()
-    for p, ids in by_text.items():
-        auto.add_word(p, ids)
-    auto.make_automaton()
-
-    def match(t: str) -> set[int]:
-        found: set[int] = set()
-        for _, ids in auto.iter(t):
-            found.update(ids)
-        return found
-    return match
-
-
 def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_col: str,
-                     pattern_id: str, pattern_col: str,
-                     max_chunk_bytes: int = PATTERN_CHUNK_BYTES) -> DataFrame:
-    """All (text_id, pattern_id) where the pattern is a substring of the text.
-
-    The text side is never shuffled: each task scans its texts once with an
-    automaton of the patterns (linear in text length, not texts x patterns).
-    The pattern side is measured first; it is shipped in chunks of at most
-    ``max_chunk_bytes`` and each chunk is one more scan, so any pattern
-    volume works. An empty pattern matches every text, as ``contains`` does.
-    """
-    spark = texts.sparkSession
-    pats = (patterns.select(F.col(pattern_id).cast("long").alias("pid"),
-                            F.col(pattern_col).alias("p"))
-            .where(F.col("p").isNotNull()))
-    n, nbytes = guard.text_bytes(pats, "p")
-    out_schema = T.StructType([T.StructField(text_id, texts.schema[text_id].dataType),
-                               T.StructField(pattern_id, T.LongType())])
-    tx = guard.spread(texts.select(text_id, text_col).where(F.col(text_col).isNotNull()))
-    n_chunks = max(1, -(-nbytes // max_chunk_bytes))
-    parts = []
-    for c in range(n_chunks):
-        chunk = pats
-        if n_chunks > 1:
-            chunk = chunk.where(F.pmod(F.xxhash64("pid"), F.lit(n_chunks)) == c)
-        rows = [(int(r["pid"]), r["p"]) for r in chunk.toLocalIterator()]
-        if not rows:
-            continue
-        bc = spark.sparkContext.broadcast(rows)
-        token = uuid.uuid4().hex
-
-        def scan(it, bc=bc, token=token):
-            if token not in _MATCHERS:
-                _MATCHERS.clear()
-                _MATCHERS[token] = (
-                    [pid for pid, p in bc.value if p == ""],
-                    _matcher([(pid, p) for pid, p in bc.value if p != ""]))
-            everywhere, match = _MATCHERS[token]
-            for pdf in it:
-                ids, found = [], []
-                for i, t in zip(pdf[text_id].tolist(), pdf[text_col].tolist()):
-                    for pid in sorted(match(t).union(everywhere)):
-                        ids.append(i)
-                        found.append(pid)
-                yield pd.DataFrame({text_id: pd.Series(ids, dtype=pdf[text_id].dtype),
-                                    pattern_id: pd.Series(found, dtype="int64")})
-        parts.append(tx.mapInPandas(scan, out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                     pattern_id: str, pattern_col: str) -> DataFrame:
+    """All (text_id, pattern_id) where the pattern is a substring of the text,
+    found by the patterns' pieces (see ``_contained``). Null patterns and
+    patterns of white space only match nothing."""
+    pats = (patterns.select(F.col(pattern_id).cast("long").alias("pid"), F.col(pattern_col).alias("p"))
+            .where(F.col("p").rlike(r"[^\x20\x09-\x0D]")).distinct())
+    asked = texts.select(F.col(text_id), F.col(text_col).alias("__t")).where(F.col("__t").isNotNull())
+    return _contained(asked, pats, [text_id], "__t").withColumnRenamed("pid", pattern_id)
 
 
 def classify_by_table(texts: DataFrame, text_id: str, text_col: str, taxonomy: DataFrame,
@@ -332,14 +216,12 @@ def classify_by_table(texts: DataFrame, text_id: str, text_col: str, taxonomy: D
     """Keyword classification with the taxonomy as a table (any size): the
     label with the most distinct matching keywords wins, ties go to the
     smaller ``ord``; texts without a match get ``default``. Matching is
-    case-insensitive. Keywords are found with one automaton scan per text
-    (``containment_join``), counted per (text, label) with a partial
+    case-insensitive. Keywords are found by ``containment_join``, counted per (text, label) with a partial
     aggregate, and the best label per text is a ``max(struct)`` aggregate."""
     tax = taxonomy.select(F.col(label).alias("__label"), F.col(ord_col).alias("__ord"),
                           F.lower(F.col(kw)).alias("__kw"))
     kws = tax.select("__kw").distinct().withColumn("__kid", F.xxhash64("__kw"))
-    low = guard.spread(texts.select(text_id, text_col)).select(
-        text_id, F.lower(F.col(text_col)).alias("__t"))
+    low = texts.select(text_id, F.lower(F.col(text_col)).alias("__t"))
     found = containment_join(low, kws.select("__kid", "__kw"), text_id, "__t", "__kid", "__kw")
     scored = (found.join(kws, "__kid").join(tax, "__kw")
               .groupBy(text_id, "__label", "__ord").agg(F.count(F.lit(1)).alias("__n")))

@@ -14,13 +14,6 @@ from pyspark.sql import types as T
 
 from ..functions import text as TX
 from ..functions import vector as V
-from ..session import cut_lineage
-from . import guard
-
-
-def _round_half_away(x: np.ndarray, digits: int) -> np.ndarray:
-    s = 10.0 ** digits
-    return np.sign(x) * np.floor(np.abs(x) * s + 0.5) / s
 
 
 def _vectors(col: pa.Array, n: int) -> np.ndarray:
@@ -59,7 +52,7 @@ def _topk_cols(ids: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
 
 def _merge(best: list | None, cand: list, k: int) -> list:
     """Keep the k best of two candidate sets. Each set is a list of (k x q)
-    arrays: ids, rounded scores, raw scores, then payload columns."""
+    arrays: ids, scores, then payload columns."""
     if best is None:
         return cand
     joined = [np.concatenate([x, y], axis=0) for x, y in zip(best, cand)]
@@ -67,120 +60,104 @@ def _merge(best: list | None, cand: list, k: int) -> list:
     return [np.take_along_axis(x, order, axis=0) for x in joined]
 
 
+BLOCK_ROWS = 2_048          # queries, or products, packed in one row
+
+
+def _packed(df: DataFrame, vec: str, names: Sequence[str], prefix: str) -> DataFrame:
+    """Rows of up to BLOCK_ROWS vectors, where they are read: the named
+    columns as arrays and the vectors as one binary of doubles."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, BLOCK_ROWS):
+                part = b.slice(lo, BLOCK_ROWS)
+                arrays = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(n))
+                          for n in names]
+                mat = _vectors(part.column(vec), part.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*arrays, pa.array([np.ascontiguousarray(mat).tobytes()], pa.binary())],
+                    [*[prefix + n for n in names], prefix + "mat"])
+
+    fields = [f"`{prefix}{n}` array<{df.schema[n].dataType.simpleString()}>" for n in names]
+    return df.mapInArrow(pack, ", ".join([*fields, f"`{prefix}mat` binary"]))
+
+
 def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
                 product_id: str = "product_id", query_id: str = "query_id",
                 product_vec: str = "embedding", query_vec: str = "embedding",
                 payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
-                keep_raw: bool = False, max_block_bytes: int = guard.DEFAULT_BROADCAST_BYTES,
-                slice_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+                keep_raw: bool = False) -> DataFrame:
     """Exact top-k products per query by dot product (cosine on unit vectors).
 
-    Output ``(query_id, product_id, score, rank, *payload)`` with score
-    rounded to ``digits`` and rank 1..k ordered by (score desc, product id
-    asc); ``keep_raw`` adds the unrounded ``raw_score``. ``payload`` product
-    columns (type, name, ...) travel with the winners, so callers never join
-    the results back to the large product table.
-
-    Plan: the product side (the big one) is scanned in place, never
-    shuffled. The query side is sized first and cut into blocks of at most
-    ``max_block_bytes``; each block is broadcast and every product partition
-    scores it with one matrix product per slice, keeping only a running top-k
-    per query. Only partitions x queries x k candidates are shuffled, to a
-    final ``row_number <= k`` per query. All pairs are scored but never
-    materialised as rows. With several query blocks the product side is
-    checkpointed once into the shared checkpoint folder and every block
-    scans that copy (no cached blocks that die with an executor, nothing
-    left pinned in executor memory after the job).
+    Output ``(query_id, product_id, score, rank, *payload)``: rank 1..k by
+    (score desc, product id asc) with the score as computed in double
+    precision, then rounded to ``digits``; ``keep_raw`` adds the unrounded
+    ``raw_score``. ``payload`` product columns (type, name, ...) travel with
+    the winners, so callers never join the results back to the products.
+
+    Plan: both sides are packed, where they are read, into rows of up to
+    BLOCK_ROWS vectors. The stated query set meets the products block by
+    block in a grid of such rows; each cell is one matrix product, and a task
+    keeps only the k best per query over its cells. Nothing is collected and
+    no job runs before the caller's action; Spark broadcasts the packed
+    queries if they are small by its own estimate. A final ``row_number <= k``
+    per query merges the tasks' candidates.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    spark = products.sparkSession
     payload = list(payload)
     q = (queries.select(F.col(query_id).cast("long").alias("qid"),
                         F.col(query_vec).cast("array<double>").alias("v"))
          .where(F.col("v").isNotNull()))
-    p = guard.spread(products.select(F.col(product_id).cast("long").alias("pid"),
-                                     F.col(product_vec).cast("array<float>").alias("v"),
-                                     *payload)
-                     .where(F.col("v").isNotNull()))
+    p = (products.select(F.col(product_id).cast("long").alias("pid"),
+                         F.col(product_vec).cast("array<double>").alias("v"), *payload)
+         .where(F.col("v").isNotNull()))
     pay_fields = [products.schema[c] for c in payload]
     out_schema = T.StructType([T.StructField(query_id, T.LongType()),
                                T.StructField(product_id, T.LongType()),
-                               T.StructField("score", T.DoubleType()),
                                T.StructField("raw_score", T.DoubleType())]
                               + [T.StructField(f.name, f.dataType) for f in pay_fields])
-    pay_arrow = [to_arrow_type(f.dataType) for f in pay_fields]
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    def finish(cand: DataFrame) -> DataFrame:
-        w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(product_id).asc())
-        out = cand.withColumn("rank", F.row_number().over(w).cast("long")).where(
-            F.col("rank") <= k)
-        out = out.select(query_id, product_id, "score", "rank", "raw_score", *payload)
-        return out if keep_raw else out.drop("raw_score")
-
-    # one pass over the query side for its size check
-    stat = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
-    n_q = int(stat["n"])
-    if n_q == 0:
-        return finish(spark.createDataFrame([], out_schema))
-    dim = max(int(stat["d"]), 1)
-    per_query = 8 * dim + 8
-    n_blocks = max(1, -(-(n_q * per_query) // max_block_bytes))
-    if n_blocks > 1:
-        p = cut_lineage(p)
-
-    parts = []
-    for b in range(n_blocks):
-        block = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == b)
-        tbl = block.toArrow()
-        if tbl.num_rows == 0:
-            continue
-        qids = tbl.column("qid").to_numpy()
-        qmat = _vectors(tbl.column("v"), tbl.num_rows)
-        bc = spark.sparkContext.broadcast((qids, qmat))
-
-        def score(batches, bc=bc):
-            qids_, qmat_ = bc.value
-            qt = np.ascontiguousarray(qmat_.T)
-            rows_per_slice = max(1, slice_bytes // (8 * max(1, len(qids_))))
-            best = None
-            for batch in batches:
-                n = batch.num_rows
-                if n == 0:
-                    continue
-                ids = batch.column("pid").to_numpy(zero_copy_only=False)
-                mat = _vectors(batch.column("v"), n)
-                for lo in range(0, n, rows_per_slice):
-                    hi = min(n, lo + rows_per_slice)
-                    raw = mat[lo:hi] @ qt
-                    s = _round_half_away(raw, digits)
-                    if exclude_self:
-                        s[ids[lo:hi, None] == qids_[None, :]] = -np.inf
-                    pos = _topk_cols(ids[lo:hi], s, k)
-                    cand = [ids[lo:hi][pos], np.take_along_axis(s, pos, axis=0),
-                            np.take_along_axis(raw, pos, axis=0)]
-                    flat = pa.array((pos + lo).ravel())
-                    for c in payload:
-                        vals = batch.column(c).take(flat).to_pylist()
-                        arr = np.empty(len(vals), dtype=object)
-                        arr[:] = vals
-                        cand.append(arr.reshape(pos.shape))
-                    best = _merge(best, cand, k)
-            if best is None:
-                return
-            keep = np.isfinite(best[1])
-            qcol = np.broadcast_to(qids_[None, :], best[1].shape)
-            cols = [pa.array(qcol[keep], pa.int64()), pa.array(best[0][keep], pa.int64()),
-                    pa.array(best[1][keep], pa.float64()), pa.array(best[2][keep], pa.float64())]
-            cols += [pa.array(list(x[keep]), type=t) for x, t in zip(best[3:], pay_arrow)]
+    pay_arrow = [to_arrow_type(f.dataType) for f in pay_fields]
+    cells = _packed(p, "v", ["pid", *payload], "p_").crossJoin(_packed(q, "v", ["qid"], "q_"))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bytes, list] = {}
+        asked: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            for r in range(batch.num_rows):
+                qids, ids = (batch.column(c)[r].values.to_numpy(zero_copy_only=False)
+                             for c in ("q_qid", "p_pid"))
+                qmat, mat = (np.frombuffer(batch.column(c)[r].as_buffer(), np.float64).reshape(len(x), -1)
+                             for c, x in (("q_mat", qids), ("p_mat", ids)))
+                if qmat.shape[1] != mat.shape[1]:
+                    raise ValueError("vectors of different lengths")
+                raw = mat @ qmat.T
+                s = raw + 0.0       # no negative zero
+                if exclude_self:
+                    s[ids[:, None] == qids[None, :]] = -np.inf
+                pos = _topk_cols(ids, s, k)
+                cand = [ids[pos], np.take_along_axis(s, pos, axis=0)]
+                flat = pa.array(pos.ravel())
+                for c in payload:
+                    arr = np.empty(pos.size, dtype=object)
+                    arr[:] = batch.column(f"p_{c}")[r].values.take(flat).to_pylist()
+                    cand.append(arr.reshape(pos.shape))
+                block = qids.tobytes()
+                asked[block] = qids
+                best[block] = _merge(best.get(block), cand, k)
+        for block, found in best.items():
+            keep = np.isfinite(found[1])
+            qcol = np.broadcast_to(asked[block][None, :], found[1].shape)
+            cols = [pa.array(qcol[keep], pa.int64()), pa.array(found[0][keep], pa.int64()),
+                    pa.array(found[1][keep], pa.float64())]
+            cols += [pa.array(list(x[keep]), type=t) for x, t in zip(found[2:], pay_arrow)]
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in out_schema.fields])
-        parts.append(p.mapInArrow(score, out_schema))
-    if not parts:
-        return finish(spark.createDataFrame([], out_schema))
-    cand = parts[0]
-    for x in parts[1:]:
-        cand = cand.unionByName(x)
-    return finish(cand)
+
+    w = Window.partitionBy(query_id).orderBy(F.col("raw_score").desc(), F.col(product_id).asc())
+    out = (cells.mapInArrow(score, out_schema)
+           .withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+           .select(query_id, product_id, F.round("raw_score", digits).alias("score"), "rank",
+                   "raw_score", *payload))
+    return out if keep_raw else out.drop("raw_score")
 
 
 def category_fallback(results: DataFrame, query_id: str, type_col: str, target_col: str,
@@ -255,58 +232,54 @@ def l2_normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
     return n.withColumn(out or vec, unit).drop("__norm")
 
 
-def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256):
-    """Default encoder, no download: words -> hashed term counts -> IDF ->
-    L2 normalisation. Fitting is one distributed pass (document frequencies).
-    Returns a fitted PipelineModel."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+def _buckets(text_col: str, dim: int) -> Column:
+    """The bucket of each word (runs of letters and digits of any script,
+    lower case): the first 32 bits of its MD5 modulo dim."""
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"),
+                     lambda w: w != "")
+    return F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long")
+                                         % dim).cast("int"))
+
+
+class HashingEncoder:
+    """The default encoder, no download: words -> hashed counts -> inverse
+    document frequency -> unit length. The model is ``dim`` numbers."""
+
+    def __init__(self, idf: np.ndarray):
+        self.idf, self.dim = idf, len(idf)
+
+
+def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256) -> HashingEncoder:
+    """Fit on a corpus: ln((N + 1) / (df + 1)) per bucket. One distributed
+    pass; at most ``dim`` + 1 rows reach the driver."""
+    each = F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct(_buckets(text_col, dim))))
+    counts = dict(map(tuple, texts.select(each.alias("b")).groupBy("b").count().collect()))
+    df = np.array([counts.get(b, 0) for b in range(dim)], dtype=np.float64)
+    return HashingEncoder(np.log((counts.get(-1, 0) + 1) / (df + 1)))
+
+
+def embed(model: HashingEncoder, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
+    """Apply a fitted encoder (the same one for products and queries): each
+    row's ``out`` is a vector of floats, zero for a text without known words.
+    Words are hashed in the JVM; numpy counts and scales them."""
+    idf = model.idf
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def weigh(buckets: pd.Series) -> pd.Series:
+        rows = []
+        for b in buckets:
+            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=len(idf)) * idf
+            n = np.sqrt((v * v).sum())
+            rows.append((v / n if n > 0 else v).astype(np.float32))
+        return pd.Series(rows)
 
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="__enc_in", outputCol="__tok", pattern=r"(?U)\W+",
-                       toLowercase=True),
-        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim),
-        IDF(inputCol="__tf", outputCol="__idf"),
-        Normalizer(inputCol="__idf", outputCol="__vec", p=2.0),
-    ])
-    return pipe.fit(guard.spread(
-        texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("__enc_in"))))
+    return df.withColumn(out, weigh(_buckets(text_col, model.dim)))
 
 
 def fit_embed(texts: DataFrame, text_col: str, dim: int = 256, out: str = "embedding"):
-    """Fit the default encoder on a corpus and embed that same corpus with
-    one tokenisation pass: term counts are computed once and checkpointed
-    into the shared checkpoint folder (sparse, far smaller than the text;
-    survives executor loss, nothing left cached), IDF is fitted on them and
-    applied to them. Returns (fitted model for other tables, embedded corpus)."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
-
-    tok = RegexTokenizer(inputCol="__enc_in", outputCol="__tok", pattern=r"(?U)\W+",
-                         toLowercase=True)
-    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim)
-    counts = tf.transform(tok.transform(guard.spread(
-        texts.withColumn("__enc_in", F.coalesce(F.col(text_col), F.lit("")))))).drop(
-        "__enc_in", "__tok")
-    counts = cut_lineage(counts)
-    idf = IDF(inputCol="__tf", outputCol="__idf").fit(counts)
-    norm = Normalizer(inputCol="__idf", outputCol="__vec", p=2.0)
-    model = PipelineModel(stages=[tok, tf, idf, norm])
-    embedded = (norm.transform(idf.transform(counts))
-                .withColumn(out, vector_to_array("__vec", "float32"))
-                .drop("__tf", "__idf", "__vec"))
-    return model, embedded
-
-
-def embed(model, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
-    """Apply a fitted encoder (the same one for products and queries)."""
-    from pyspark.ml.functions import vector_to_array
-
-    t = model.transform(guard.spread(
-        df.withColumn("__enc_in", F.coalesce(F.col(text_col), F.lit("")))))
-    return (t.withColumn(out, vector_to_array("__vec", "float32"))
-            .drop("__enc_in", "__tok", "__tf", "__idf", "__vec"))
+    """(encoder fitted on a corpus, that corpus embedded)."""
+    model = fit_hashing_encoder(texts, text_col, dim)
+    return model, embed(model, texts, text_col, out)
 
 
 def embed_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Callable],

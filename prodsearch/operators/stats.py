@@ -11,24 +11,30 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 
 
-def division_counts(df: DataFrame, division: str, group: Sequence[str],
+def division_counts(df: DataFrame, division: str | Sequence[str], group: Sequence[str],
                     reported: Column, records: str = "records",
                     reported_out: str = "reported") -> DataFrame:
     """Per division: joined records and the sum of the totals each group
     reported. A group's reported total is taken once (max over its rows);
     only groups that produced rows count. Two hash aggregates with partial
     (map-side) combining, so hot divisions cost nothing extra."""
-    g = (df.groupBy(division, *group)
+    by = [division] if isinstance(division, str) else list(division)
+    g = (df.groupBy(*by, *[c for c in group if c not in by])
          .agg(F.count(F.lit(1)).alias("__n"), F.max(reported).alias("__total")))
-    return (g.where(F.col("__n") > 0).groupBy(division)
+    return (g.where(F.col("__n") > 0).groupBy(*by)
             .agg(F.sum("__n").cast("long").alias(records),
                  F.sum("__total").cast("long").alias(reported_out)))
 
 
 def collection_summary(df: DataFrame, division: str) -> DataFrame:
-    """Number of divisions and records."""
-    return df.agg(F.count_distinct(division).alias("n_divisions"),
-                  F.count(F.lit(1)).alias("n_records"))
+    """A row per division with its number of records, and one with a null
+    division for the whole: the number of divisions and of records."""
+    per = df.groupBy(division).agg(F.count(F.lit(1)).alias("n_records"))
+    whole = per.agg(F.lit(None).cast(df.schema[division].dataType).alias(division),
+                    F.count(division).alias("n_divisions"),
+                    F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_records"))
+    return per.where(F.col(division).isNotNull()).select(
+        division, F.lit(None).cast("long").alias("n_divisions"), "n_records").union(whole)
 
 
 def product_company_counts(df: DataFrame, group: Sequence[str], company: str,

@@ -3,11 +3,14 @@ per-division counts."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import clean, joins, stats
+from ..session import cut_lineage
 from ..sources import files, pages as P
 
 
@@ -17,11 +20,15 @@ def region_name(code: Column) -> Column:
     return m[code]
 
 
-def _suffix_keys(rec: Column, other: Column, suffix: str) -> Column:
-    """Rename map keys that also occur in ``other``."""
+def _suffix_keys(rec: Column, names: Column, suffix: str) -> Column:
+    """Rename the map keys listed in ``names``."""
     return F.transform_keys(rec, lambda k, _v: F.when(
-        F.coalesce(F.array_contains(F.map_keys(other), k), F.lit(False)),
-        F.concat(k, F.lit(suffix))).otherwise(k))
+        F.array_contains(names, k), F.concat(k, F.lit(suffix))).otherwise(k))
+
+
+def _column_names(records: DataFrame, group: list[str], rec: str) -> DataFrame:
+    """(group, name): the columns a merge of the group's records would have."""
+    return records.select(*group, F.explode(F.map_keys(rec)).alias("name")).distinct()
 
 
 def merge_records(pages_df: DataFrame, null_safe: bool = False,
@@ -29,54 +36,75 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False,
                   hot_rows: int | None = joins.DEFAULT_HOT_ROWS) -> DataFrame:
     """Base and option records of every complete (api, sector) group, joined
     base-left-option on the product code (company code for division F);
-    groups without base records keep their options as they are. Output:
-    ``(api, region_code, [group_extra], prdt_div, rec map<string,string>,
-    rec_order)``; ``rec_order`` sorts records in collection order."""
+    groups without base records keep their options as they are, the code
+    included. Columns that both sides of a group have get ``_x`` and ``_y``,
+    whether a row has a match or not. Output: ``(api, region_code,
+    [group_extra], prdt_div, rec map<string,string>, rec_order)``;
+    ``rec_order`` sorts records in collection order."""
     group = [*group_extra, *P.GROUP]
+    by = [*group, "prdt_div"]
     good = P.complete_groups(pages_df, group).select(*group)
-    ok_pages = pages_df.join(good, group, "left_semi")
-    key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
+    ok_pages = P.one_per_page(pages_df, group).join(good, group, "left_semi")
+    div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
     base = (P.explode_records(ok_pages, "baseList", group)
-            .withColumn("k", F.col("rec")[key])
+            .withColumn("k", F.col("rec")[div_key])
             .withColumnsRenamed({"rec": "brec", "pageNo": "bpage", "pos": "bpos"}))
     opt = (P.explode_records(ok_pages, "optionList", group)
-           .withColumn("k", F.col("rec")[key])
+           .withColumn("k", F.col("rec")[div_key])
            .withColumnsRenamed({"rec": "orec", "pageNo": "opage", "pos": "opos"}))
-    merged = joins.option_only_fallback(base, opt, keys=["k"], groups=[*group, "prdt_div"],
+    merged = joins.option_only_fallback(base, opt, keys=["k"], groups=by,
                                         null_safe=null_safe, hot_rows=hot_rows,
                                         salt_cols=["opage", "opos"])
-    div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
-        F.lit(S.PRODUCT_KEY))
+    # a group has as many rows here as the merge would have columns
+    both = (_column_names(base, by, "brec").join(_column_names(opt, by, "orec"), [*by, "name"], "left_semi")
+            .where(F.col("name") != div_key).groupBy(*by).agg(F.collect_set("name").alias("both")))
+    merged = merged.join(both, by, "left")
     empty = F.create_map().cast(S.RECORD)
+    names = F.coalesce("both", F.array().cast("array<string>"))
     b = F.coalesce(F.col("brec"), empty)
-    o = F.map_filter(F.coalesce(F.col("orec"), empty), lambda k, _v: k != div_key)
-    rec = F.map_concat(_suffix_keys(b, o, "_x"), _suffix_keys(o, b, "_y"))
+    o = F.when(F.col("brec").isNull(), F.col("orec")).otherwise(
+        F.map_filter(F.coalesce(F.col("orec"), empty), lambda k, _v: k != div_key))
+    rec = F.when(F.col("brec").isNull(), o).otherwise(
+        F.map_concat(_suffix_keys(b, names, "_x"), _suffix_keys(o, names, "_y")))
     # the order records were accumulated in: sectors in code order, base rows
     # in page order, each followed by its options in page order
     order = F.struct("region_code", "bpage", "bpos", "opage", "opos")
     return merged.select(*group, F.col("prdt_div"), rec.alias("rec"), order.alias("rec_order"))
 
 
+def record_counts(recs: DataFrame, pages_df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Records per division with the totals their groups reported."""
+    group = [*extra, *P.GROUP]
+    totals = P.complete_groups(pages_df, group).select(*group, "total_count")
+    return stats.division_counts(recs.join(totals, group), [*extra, "prdt_div"], group,
+                                 F.col("total_count"))
+
+
 def collect_landing(spark: SparkSession, root: str, snapshot_ts: str,
                     null_safe: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records, counts, quarantined pages) of one landing."""
-    pages_df = P.read_pages(spark, root)
+    """(records, counts, quarantined pages) of one landing. The pages are
+    parsed once, into the shared checkpoint folder."""
+    pages_df = cut_lineage(P.read_pages(spark, root))
     _, bad = P.quarantine(pages_df)
     recs = merge_records(pages_df, null_safe)
     recs = clean.tag_constants(recs, {"snapshot_ts": snapshot_ts}).withColumn(
         "region_name", region_name(F.col("region_code")))
-    totals = P.complete_groups(pages_df).select(*P.GROUP, "total_count")
-    counts = stats.division_counts(recs.join(totals, P.GROUP), "prdt_div", P.GROUP,
-                                   F.col("total_count"))
-    counts = clean.tag_constants(counts, {"snapshot_ts": snapshot_ts})
+    counts = clean.tag_constants(record_counts(recs, pages_df), {"snapshot_ts": snapshot_ts})
     return recs, counts, bad.select(*P.GROUP, "pageNo", "_corrupt_record")
 
 
 def collect_job(spark: SparkSession, root: str, out: str, snapshot_ts: str) -> DataFrame:
-    """Collect, then write records and counts; returns the counts."""
-    recs, counts, _ = collect_landing(spark, root, snapshot_ts)
-    files.write_raw(recs, f"{out}/records")
+    """Collect, then write records and, from the written records, the counts;
+    returns the counts."""
+    pages_df = cut_lineage(P.read_pages(spark, root))
+    recs = clean.tag_constants(merge_records(pages_df), {"snapshot_ts": snapshot_ts}).withColumn(
+        "region_name", region_name(F.col("region_code")))
+    (recs.write.mode("append").partitionBy("prdt_div", "snapshot_ts").parquet(f"{out}/records"))
+    saved = (spark.read.schema(recs.schema).parquet(f"{out}/records")
+             .where(F.col("snapshot_ts") == snapshot_ts))
+    counts = clean.tag_constants(record_counts(saved.select(*P.GROUP, "prdt_div"), pages_df),
+                                 {"snapshot_ts": snapshot_ts})
     files.write_counts(counts, f"{out}/counts")
     return spark.read.parquet(f"{out}/counts")
 

@@ -148,8 +148,9 @@ def final_answers(results: DataFrame, answers: DataFrame) -> DataFrame:
 
 def response_rows(final: DataFrame, results: DataFrame, queries: DataFrame,
                   history_turns: DataFrame | None = None) -> DataFrame:
-    """Success rows carry the answer, analysis, all results and the turn
-    count; error rows (unparsable analysis) carry the error value."""
+    """Success rows carry the answer, the analysis (its error value where
+    the analysis text was unparsable, which stops nothing), all results and
+    the turn count; a question whose answer failed gives an error row."""
     res = (results.groupBy("query_id")
            .agg(F.sort_array(F.collect_list(F.struct("rank", "product_name", "company",
                                                      "product_type", "score", "valid")))
@@ -164,13 +165,11 @@ def response_rows(final: DataFrame, results: DataFrame, queries: DataFrame,
         r = r.join(history_turns, "conv_id", "left")
     else:
         r = r.withColumn("turns", F.lit(None).cast("long"))
-    err = F.col("analysis_error")
-    status = F.when(err.isNotNull(), F.lit("error")).otherwise(F.lit("success"))
-    return r.select("query_id", status.alias("status"),
-                    F.when(err.isNull(), F.col("recommendation"))
-                    .otherwise(F.lit(S.SYSTEM_ERROR_MESSAGE)).alias("recommendation"),
-                    F.when(err.isNotNull(), err["error"]).alias("error"),
-                    "analysis", "search_results", F.col("turns").alias("conversation_turns"))
+    failed = F.col("recommendation").isNull()
+    return r.select("query_id", F.when(failed, "error").otherwise("success").alias("status"),
+                    F.coalesce("recommendation", F.lit(S.SYSTEM_ERROR_MESSAGE)).alias("recommendation"),
+                    F.col("analysis_error.error").alias("error"), "analysis", "analysis_error",
+                    "search_results", F.col("turns").alias("conversation_turns"))
 
 
 def recommend(products: DataFrame, queries: DataFrame, messages: DataFrame | None = None,

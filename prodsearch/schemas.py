@@ -131,8 +131,6 @@ SEARCH_TEXT_SPECS = {
         ("평균금리", "crdt_grad_avg", "%"), ("가입방법", "join_way", ""),
     ],
 }
-# Product types whose name and company are required by the template.
-SEARCH_TEXT_REQUIRED = {"mortgage", "rent", "credit"}
 # Types without a template: "상품명: <name>, 금융회사: <company>".
 SEARCH_TEXT_OTHER = [("상품명", "fin_prdt_nm"), ("금융회사", "kor_co_nm")]
 MISSING_TEXT = "N/A"
@@ -196,7 +194,6 @@ OVERFLOW_KEEP_RATIO = 0.7
 CONTEXT_WINDOW = 6
 CONTEXT_NOTE_CHARS = 200
 RAW_RESPONSE_CHARS = 50
-ENCODER_BATCH = 32
 SCORE_DIGITS = 3
 
 # Amount and period units.
@@ -231,13 +228,6 @@ ANALYSIS_SCHEMA = T.StructType([
     T.StructField("period_mentioned", T.StringType()),
 ])
 
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("conv_id", T.LongType()),
-    T.StructField("turn", T.LongType()),
-    T.StructField("role", T.StringType()),
-    T.StructField("content", T.StringType()),
-])
-
 
 def product_schema(product_type: str) -> T.StructType:
     """All-string schema of a raw product file (types are applied later)."""

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as S
 from ..operators import clean
 
 SNAPSHOT_RE = r"([A-Z])_(\d{8}_\d{6})\.csv$"
@@ -20,17 +19,24 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
     """Read raw product CSV: header, all strings, quoted multi-line cells,
     BOM tolerated; pandas' missing-value tokens become null.
 
-    Without a schema, the header decides the columns and every one is a
-    string (no inference: sector codes like ``020000`` must stay text).
+    The header decides the columns, and every one is read as a string (no
+    inference: sector codes like ``020000`` must stay text). All files of the
+    path must have the header of the first one: a file with another (say, of
+    another division, or in another order) ends the read with an error
+    instead of shifting its columns. ``schema`` picks its columns by name,
+    casts them, and gives null for those the files lack.
     """
     reader = (spark.read.option("header", True).option("multiLine", True)
               .option("escape", '"').option("quote", '"').option("encoding", "UTF-8")
               .option("inferSchema", False).option("mode", "PERMISSIVE"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path)
+    header = reader.csv(path).columns
+    strings = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = reader.schema(strings).option("enforceSchema", False).csv(path)
     # a BOM, when present, sticks to the first header name
-    df = df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns if c.startswith("﻿")})
+    df = df.withColumnsRenamed({c: c.lstrip("\ufeff") for c in df.columns if c.startswith("\ufeff")})
+    if schema is not None:
+        df = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string"))
+                         .try_cast(f.dataType).alias(f.name) for f in schema.fields])
     return clean.null_tokens(df) if apply_null_tokens else df
 
 
@@ -56,14 +62,12 @@ def latest_per_group(df: DataFrame, group: Sequence[str], order: str | F.Column)
     return t.join(mx, [*group, "__o"], "left_semi").drop("__o")
 
 
-def flatten_records(df: DataFrame, rec: str = "rec", max_keys: int = 10_000) -> DataFrame:
+def flatten_records(df: DataFrame, rec: str = "rec") -> DataFrame:
     """Map records to one string column per key (the union of keys, sorted),
     for formats without map columns. The key set is a distributed distinct;
-    only the keys (bounded by ``max_keys``) reach the driver."""
+    only the keys, which are the columns of the output, reach the driver."""
     keys_df = df.select(F.explode(F.map_keys(rec)).alias("k")).distinct()
-    keys = sorted(r["k"] for r in keys_df.limit(max_keys + 1).collect())
-    if len(keys) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct record keys")
+    keys = sorted(r["k"] for r in keys_df.collect())
     others = [c for c in df.columns if c != rec and c not in keys]
     return df.select(*others, *[F.col(rec)[k].alias(k) for k in keys])
 
@@ -129,7 +133,3 @@ def run_per_type(spark: SparkSession, types: Sequence[str],
         except Exception as e:  # noqa: BLE001 - reported, not raised
             rows.append((t, "failed", None, str(e)[:500]))
     return spark.createDataFrame(rows, "product_type string, status string, rows long, error string")
-
-
-def division_type(division: str) -> str | None:
-    return S.DIVISION_TYPES.get(division)

@@ -30,11 +30,12 @@ def landing_schema() -> T.StructType:
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:
-    """One row per landed page, malformed files kept in ``_corrupt_record``."""
+    """One row per landed page, malformed files kept in ``_corrupt_record``;
+    ``file`` is the page's path."""
     return (spark.read.schema(landing_schema())
             .option("multiLine", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .json(root))
+            .json(root).withColumn("file", F.col("_metadata.file_path")))
 
 
 def parse_pages(df: DataFrame, json_col: str) -> DataFrame:
@@ -60,26 +61,45 @@ def quarantine(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pages.where(~bad), pages.where(bad)
 
 
+def division(pages: DataFrame) -> Column:
+    """The envelope's division; a page without one belongs to its API's."""
+    own = F.col("result.prdt_div")
+    return F.coalesce(own, F.col("api")) if "api" in pages.columns else own
+
+
+def one_per_page(pages: DataFrame, group: Sequence[str] = GROUP, page: str = "pageNo") -> DataFrame:
+    """One good landed file per (group, page): a page that was landed twice
+    counts once, the file with the greatest path winning. Pages from elsewhere
+    (no ``file`` column) are taken as they are."""
+    good = pages.where(~envelope_error())
+    if "file" not in pages.columns:
+        return good
+    last = good.groupBy(*group, page).agg(F.max("file").alias("file"))
+    return good.join(last.select("file"), "file", "left_semi")
+
+
 def complete_groups(pages: DataFrame, group: Sequence[str] = GROUP,
                     page: str = "pageNo") -> DataFrame:
     """Groups whose every page 1..max_page_no arrived intact and whose
     total is non-zero. A group with a failed page is dropped whole, as the
-    collector discards an (api, sector) pair on any failure."""
+    collector discards an (api, sector) pair on any failure; a failed page
+    that was landed again intact is no failure. An envelope without
+    max_page_no has one page, one without prdt_div the API's division."""
+    ok = ~envelope_error()
     g = (pages.groupBy(*group)
-         .agg(F.max("result.max_page_no").alias("max_page_no"),
+         .agg(F.max(F.when(ok, F.coalesce("result.max_page_no", F.lit(1)))).alias("max_page_no"),
               F.max("result.total_count").alias("total_count"),
-              F.max("result.prdt_div").alias("prdt_div"),
-              F.count_distinct(F.when(~envelope_error(), F.col(page))).alias("pages_ok"),
-              F.count_if(envelope_error()).alias("pages_bad")))
-    return g.where((F.col("pages_bad") == 0) & (F.col("pages_ok") == F.col("max_page_no"))
-                   & (F.col("total_count") > 0))
+              F.max(F.when(ok, division(pages))).alias("prdt_div"),
+              F.count_distinct(F.when(ok, F.col(page))).alias("pages_ok"),
+              F.count_distinct(F.when(envelope_error(), F.col(page))).alias("pages_bad")))
+    return g.where((F.col("pages_ok") == F.col("max_page_no")) & (F.col("total_count") > 0))
 
 
 def explode_records(pages: DataFrame, side: str, group: Sequence[str] = GROUP,
                     page: str = "pageNo") -> DataFrame:
     """Records of one list (``baseList`` or ``optionList``) as rows
     ``(group..., prdt_div, pageNo, pos, rec)``; (pageNo, pos) keeps page order."""
-    return pages.select(*group, F.col("result.prdt_div").alias("prdt_div"), page,
+    return pages.select(*group, division(pages).alias("prdt_div"), page,
                         F.posexplode(F.col(f"result.{side}")).alias("pos", "rec"))
 
 

@@ -131,6 +131,19 @@ def test_amounts_and_periods(spark):
                                         (150000000, 18), (None, None), (None, None)]
 
 
+def test_amount_forms(spark):
+    """Separators, decimals, inner units, and numbers that do not fit."""
+    want = {"1,000만원": 10_000_000, "1.5억원": 150_000_000, "3천만원": 30_000_000, "5백만원": 5_000_000,
+            "1억 2천만 원": 120_000_000, "2천5백만원": 25_000_000, "10,000원": 10_000, "2천원": 2_000,
+            "1억 2,500만 3천원": 125_003_000, "0.5만원": 5_000, "50억원": 5_000_000_000,
+            "123456789012억원": None, "99999999999999999999999999원": None, "원": None, "천원": None}
+    got = dict(zip(want, (r[0] for r in one_col(spark, list(want)).select(TX.amount_won("v")).collect())))
+    assert got == want
+    months = [r[0] for r in one_col(spark, ["999999999년", "12개월", "3 년"]).select(
+        TX.period_months("v")).collect()]
+    assert months == [None, 12, 36]
+
+
 def test_category_rules_default_and_compat(spark):
     phrases = ["연금저축", "정기예금", "적금", "예금", "주택담보대출", "전세자금대출",
                "개인신용대출", "보험", ""]

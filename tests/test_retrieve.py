@@ -24,17 +24,17 @@ def frames(spark, P, Q):
     return p, q
 
 
-def test_topk_matches_brute_force_with_ties(spark):
+def test_topk_matches_brute_force_with_ties(spark, monkeypatch):
     rng = np.random.default_rng(7)
     P = rng.normal(size=(60, 8)).astype(np.float32)
     P[10] = P[3]  # exact duplicates: ties broken by the smaller id
     P[11] = P[3]
     Q = P[:25].astype(np.float64)
     p, q = frames(spark, P, Q)
-    for blocks in (10**9, 300):  # one block, then many query blocks
+    for blocks in (2_048, 7):  # one block of each side, then many
+        monkeypatch.setattr(retrieve, "BLOCK_ROWS", blocks)
         got = {(r.query_id, r.product_id, r.score, r.rank) for r in
-               retrieve.vector_topk(p.repartition(3), q, 4, exclude_self=True,
-                                    max_block_bytes=blocks).collect()}
+               retrieve.vector_topk(p.repartition(3), q.repartition(2), 4, exclude_self=True).collect()}
         want = brute(P.astype(np.float64), Q, 4, exclude_self=True)
         assert {(a, b, d) for a, b, _, d in got} == {(a, b, d) for a, b, _, d in want}
         assert all(abs(x[2] - y[2]) < 1e-9 for x, y in zip(sorted(got), sorted(want)))
@@ -103,19 +103,52 @@ def test_embed_with_plugged_encoder(spark):
     assert np.allclose(rows[1].embedding, np.array([4, 1]) / np.sqrt(17), atol=1e-6)
 
 
-def test_payload_travels_with_winners_across_blocks(spark):
+def test_topk_ranks_by_the_raw_score_and_starts_no_job(spark):
+    """Doubles stay doubles, near-equal scores keep their order, and the plan
+    is made without running anything."""
+    p = spark.createDataFrame([(1, [0.12345651]), (2, [0.12345652]), (3, [0.1])],
+                              "product_id long, embedding array<double>")
+    q = spark.createDataFrame([(7, [1.0])], "query_id long, embedding array<double>")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("topk-plan", "")
+    out = retrieve.vector_topk(p, q, 2, keep_raw=True)
+    assert len(tracker.getJobIdsForGroup("topk-plan")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = [(r.product_id, r.raw_score, r.score) for r in out.orderBy("rank").collect()]
+    assert got == [(2, 0.12345652, 0.123457), (1, 0.12345651, 0.123457)]
+
+
+def test_payload_travels_with_winners_across_blocks(spark, monkeypatch):
     rng = np.random.default_rng(3)
     P = rng.normal(size=(40, 6)).astype(np.float32)
     p, q = frames(spark, P, P[:12].astype(np.float64))
     p = p.withColumn("label", (F.col("product_id") % 4).cast("int")).withColumn(
         "name", F.concat(F.lit("n"), F.col("product_id").cast("string")))
-    for blocks in (10**9, 200):
-        rows = retrieve.vector_topk(p, q, 3, payload=["label", "name"],
-                                    max_block_bytes=blocks).collect()
+    for blocks in (2_048, 5):
+        monkeypatch.setattr(retrieve, "BLOCK_ROWS", blocks)
+        rows = retrieve.vector_topk(p, q, 3, payload=["label", "name"]).collect()
         assert len(rows) == 36
         assert all(r.label == r.product_id % 4 and r.name == f"n{r.product_id}" for r in rows)
 
 
+def test_hashing_encoder_equals_plain_loops(spark):
+    import hashlib
+    import math
+    import re
+    from collections import Counter
+
+    texts = ["정기예금 추천 추천 a1", "적금, 상품 비교 a1", None, "", "É é x_y", "a1 " * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    _, emb = retrieve.fit_embed(docs, "text", dim=8)
+    tf = [Counter(int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 8
+                  for w in re.findall(r"[^\W_]+", (t or "").lower())) for t in texts]
+    df = Counter(b for c in tf for b in c)
+    for r in emb.collect():
+        v = np.array([tf[r.id][b] * math.log((len(texts) + 1) / (df[b] + 1)) for b in range(8)])
+        n = np.linalg.norm(v)
+        assert np.allclose(r.embedding, v / n if n else v, atol=1e-6), r.id
+
+
 def test_fit_embed_equals_fit_then_embed(spark):
     docs = spark.createDataFrame([(1, "정기예금 추천 상품"), (2, "적금 상품 비교"), (3, "대출 금리")],
                                  "id long, text string")
@@ -126,59 +159,3 @@ def test_fit_embed_equals_fit_then_embed(spark):
          retrieve.embed(retrieve.fit_hashing_encoder(docs, "text", 16), docs, "text").collect()}
     assert a.keys() == b.keys() == c.keys()
     assert all(np.allclose(a[i], b[i]) and np.allclose(a[i], c[i]) for i in a)
-
-
-def _murmur3_32(data: bytes, seed: int = 42) -> int:
-    """Standard MurmurHash3 x86 32-bit, as a signed int."""
-    def rotl(x, r):
-        return ((x << r) | (x >> (32 - r))) & 0xFFFFFFFF
-
-    def mix(k):
-        k = (k * 0xCC9E2D51) & 0xFFFFFFFF
-        return (rotl(k, 15) * 0x1B873593) & 0xFFFFFFFF
-    h = seed
-    n = len(data) // 4
-    for i in range(n):
-        h ^= mix(int.from_bytes(data[4 * i:4 * i + 4], "little"))
-        h = (rotl(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
-    tail = 0
-    for j, b in enumerate(data[4 * n:]):
-        tail |= b << (8 * j)
-    h ^= mix(tail)
-    h ^= len(data)
-    h ^= h >> 16
-    h = (h * 0x85EBCA6B) & 0xFFFFFFFF
-    h ^= h >> 13
-    h = (h * 0xC2B2AE35) & 0xFFFFFFFF
-    h ^= h >> 16
-    return h - (1 << 32) if h >= 1 << 31 else h
-
-
-def test_fit_embed_against_brute_force(spark):
-    """Hashed term counts (murmur3, seed 42) x smoothed IDF, L2-normalised,
-    computed by hand on a small corpus."""
-    import math
-    import re
-    texts = {1: "정기예금 추천 상품, 정기예금!", 2: "적금 상품 비교 -- 적금 적금", 3: "대출 금리 Rate_2 rate",
-             4: "", 5: None, 6: "ab abc abcd abcde abcdef"}
-    dim = 32
-    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
-    _, emb = retrieve.fit_embed(docs, "text", dim=dim)
-    got = {r.id: np.array(r.embedding, dtype=np.float64) for r in emb.collect()}
-
-    tf = {}
-    for i, t in texts.items():
-        v = np.zeros(dim)
-        for tok in re.split(r"\W+", (t or "").lower()):
-            if tok:
-                h = _murmur3_32(tok.encode("utf-8"))
-                v[h % dim] += 1
-        tf[i] = v
-    m = len(texts)
-    df = sum((v > 0).astype(float) for v in tf.values())
-    idf = np.log((m + 1) / (df + 1))
-    for i, v in tf.items():
-        w = v * idf
-        n = np.linalg.norm(w)
-        want = w / n if n > 0 else w
-        assert np.allclose(got[i], want, atol=1e-6), (i, got[i], want)

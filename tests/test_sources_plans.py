@@ -62,6 +62,59 @@ def test_collect_landing(spark, scratch):
     assert bad.count() == 1
 
 
+def test_option_only_record_keeps_its_code(spark, scratch):
+    landing_fixture(scratch)
+    recs, _, _ = collect.collect_landing(spark, scratch, "20250714_175227")
+    assert [r.rec for r in recs.where("prdt_div = 'S'").collect()] == [{"fin_prdt_cd": "Z", "save_trm": "24"}]
+
+
+def test_suffixes_are_the_groups(spark, scratch):
+    """A base row without options has the same column names as its group."""
+    landing_fixture(scratch)
+    recs, _, _ = collect.collect_landing(spark, scratch, "20250714_175227")
+    rows = [r.rec for r in recs.where("prdt_div = 'D'").collect()]
+    assert all("dcls_month_x" in m and "dcls_month" not in m and "fin_co_no_x" in m for m in rows)
+    assert {m["fin_prdt_cd"] for m in rows if "save_trm" not in m} == {"A2"}
+
+
+def test_envelope_defaults_and_pages_landed_twice(spark, scratch):
+    land(scratch, api="deposit", result={"total_count": 1, "baseList": [{"fin_prdt_cd": "A"}],
+                                         "optionList": [{"fin_prdt_cd": "A", "save_trm": "6"}]})
+    again = os.path.join(scratch, "api=deposit", "region_code=020000", "pageNo=1")
+    shutil.copy(os.path.join(again, "page.json"), os.path.join(again, "retry.json"))
+    with open(os.path.join(again, "early.json"), "w") as f:
+        f.write('{"result": ')
+    recs, counts, bad = collect.collect_landing(spark, scratch, "20250714_175227")
+    assert [(r.prdt_div, r.rec) for r in recs.collect()] == [("deposit", {"fin_prdt_cd": "A", "save_trm": "6"})]
+    assert [(r.records, r.reported) for r in counts.collect()] == [(1, 1)] and bad.count() == 1
+
+
+def test_collect_parses_pages_once(spark, scratch):
+    landing_fixture(os.path.join(scratch, "land"))
+    recs, counts, _ = collect.collect_landing(spark, os.path.join(scratch, "land"), "20250714_175227")
+    for df in (recs, counts):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 0
+    out = os.path.join(scratch, "out")
+    got = {r.prdt_div: (r.records, r.reported) for r in collect.collect_job(
+        spark, os.path.join(scratch, "land"), out, "20250714_175227").collect()}
+    assert got == {"D": (3, 2), "S": (1, 1)}
+
+
+def test_csv_columns_go_by_header(spark, scratch):
+    from pyspark.sql import types as T
+    import pytest
+    d = os.path.join(scratch, "one")
+    os.makedirs(d)
+    with open(os.path.join(d, "D_20250714_175227.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("dcls_month,kor_co_nm,x\n202501,은행A,1.5\n")
+    want = T.StructType.fromDDL("kor_co_nm string, dcls_month string, x double, absent string")
+    assert [tuple(r) for r in files.read_raw_csv(spark, d, want).collect()] == [("은행A", "202501", 1.5, None)]
+    with open(os.path.join(d, "S_20250714_175227.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("kor_co_nm,dcls_month,x\n은행B,202502,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_raw_csv(spark, d, want).collect()
+
+
 def test_csv_roundtrip_quirks(spark, scratch):
     path = os.path.join(scratch, "D_20250714_175227.csv")
     with open(path, "w", encoding="utf-8-sig") as f:
@@ -199,6 +252,31 @@ def test_stream_replay_equals_batch(spark, scratch):
     assert landing.newest_records(spark, out).count() == 4
 
 
+def test_stream_in_single_file_batches_equals_batch(spark, scratch):
+    """Every page in a micro-batch of its own: nothing is lost, counts are
+    written, and a replayed batch changes nothing."""
+    root, out = os.path.join(scratch, "landing"), os.path.join(scratch, "out")
+    landing_fixture(os.path.join(root, "snapshot_ts=20250101_000000"))
+    landing.start(spark, root, out, os.path.join(scratch, "ckpt"), max_files=1).awaitTermination(300)
+    batch, counts, bad = collect.collect_landing(
+        spark, os.path.join(root, "snapshot_ts=20250101_000000"), "20250101_000000")
+
+    def rows(df):
+        return sorted((r.prdt_div, r.api, r.region_code, tuple(sorted(r.rec.items()))) for r in df.collect())
+
+    assert rows(landing.newest_records(spark, out)) == rows(batch)
+    written = spark.read.parquet(f"{out}/counts")
+    assert sorted((r.prdt_div, r.records, r.reported) for r in written.collect()) == sorted(
+        (r.prdt_div, r.records, r.reported) for r in counts.collect())
+    assert spark.read.parquet(f"{out}/quarantine").count() == bad.count() == 1
+    pages = spark.read.schema(landing.stream_schema().add("file", "string")).parquet(f"{out}/pages/epoch=0")
+    pages = spark.createDataFrame(pages.collect(), pages.schema)
+    landing.process_batch(pages, 0, out)
+    replayed = rows(landing.newest_records(spark, out))
+    landing.process_batch(pages, 0, out)
+    assert rows(landing.newest_records(spark, out)) == replayed
+
+
 def test_stream_checkpoint_defaults_to_shared_folder(spark, scratch):
     from prodsearch.session import ensure_checkpoint_dir
     root = os.path.join(scratch, "landing_default")

@@ -37,29 +37,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int,
     return F.broadcast(df) if size_at_most(df, max_rows, max_bytes) is not None else df
 
 
-def text_bytes(df: DataFrame, column: str) -> tuple[int, int]:
-    """(rows, total UTF-8 bytes) of a string column, one aggregate job."""
-    r = df.agg(F.count(F.lit(1)).alias("n"),
-               F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("b")).first()
-    return int(r["n"]), int(r["b"])
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition, but only when the frame has fewer partitions than
-    the cluster has cores (e.g. one small file with one row group).
-
-    Used before CPU-heavy per-row work. A large input already arrives in
-    many splits and is returned untouched, so this never adds a shuffle at
-    scale; it only stops a tiny input from running on one core. The hash of
-    all columns is deterministic, so a retried task rebuilds the same
-    partitions (round-robin would need a local sort for that).
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, row_hash(df))
-
-
 def row_hash(df: DataFrame):
     """Deterministic 64-bit hash of a whole row. Spark refuses to hash maps,
     so map-bearing columns are hashed through their JSON text."""

@@ -26,6 +26,8 @@ BASE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # post-shuffle partitions are coalesced towards this size
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    # checkpoint files go when the driver has dropped the frames that use them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,8 +35,8 @@ def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle sizing for a cluster run: enough initial partitions that the
     largest shuffle gets ~128 MB per partition (AQE coalesces the rest), and
     never fewer than 3 per core. For 100 TB on 1000 executors x 8 cores this
-    gives ~800k initial partitions capped at 200k; AQE merges them down."""
-    initial = max(3 * cores, min(200_000, input_bytes // (128 * 1024 * 1024)))
+    gives ~800k initial partitions; AQE merges them down."""
+    initial = max(3 * cores, input_bytes // (128 * 1024 * 1024))
     return {"spark.sql.shuffle.partitions": str(initial),
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial)}
 
@@ -65,8 +67,9 @@ def build_session(master: str | None = None, app: str = "prodsearch",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests)
-    do we create a private scratch folder for it.
+    The cluster's setting always wins. Only when it is unset on a local
+    master (tests) do we create a private scratch folder for it; on a cluster
+    a folder of one machine would not do, so that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -78,6 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     local = tempfile.mkdtemp(prefix="prodsearch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

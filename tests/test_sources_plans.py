@@ -369,7 +369,7 @@ def test_cluster_conf_sizes_shuffles():
     small = cluster_conf(10 * 2**30, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 192  # 3 per core floor
     big = cluster_conf(100 * 2**40, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 819_200
 
 
 def test_prompts_carry_raw_data(spark):
@@ -426,3 +426,27 @@ def test_pack_pages_shuffles_records_once(spark):
     pages_per_key = {r.k: r.n for r in env.groupBy("k").count().withColumnRenamed(
         "count", "n").collect()}
     assert set(pages_per_key) == set(range(20)) and max(pages_per_key.values()) <= 3
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from prodsearch import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -162,6 +162,38 @@ OP2_SQL = f"""WITH {quality_ctes()}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         lost_words, kept FROM judged"""
 
+_REACH = """reach(a, b) AS (SELECT a, b FROM links UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        least_of AS (SELECT a, min(b) AS low FROM reach GROUP BY a)"""
+
+OP3_SQL = f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+        links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y ON x.vec_id <> y.vec_id
+            AND x.norm > 0 AND y.norm > 0
+            AND list_dot_product(x.e, y.e) / (x.norm * y.norm) >= {embed_dedup.COSINE}),
+        {_REACH},
+        degree AS (SELECT a, count(*) AS d FROM links GROUP BY a)
+    SELECT vec_id, coalesce(d, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+        vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+    FROM v LEFT JOIN least_of ON vec_id = least_of.a LEFT JOIN degree ON vec_id = degree.a"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_N = ngram_join.GRAM_WORDS
+
+OP5_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, {_words(_LOWER)} AS w FROM documents),
+        grams AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {_N}
+            THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {_N - 2}),
+            lambda i: array_to_string(w[i:i + {_N - 1}], ' ')) END) AS g FROM w),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+        same AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS s FROM grams x
+            JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM same JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+            WHERE 100 * s >= {ngram_join.THRESHOLD} * (p.n + q.n - s)),
+        {_REACH}
+    SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+        least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
+    FROM w LEFT JOIN sizes ON w.doc_id = sizes.doc_id LEFT JOIN least_of ON w.doc_id = a"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -178,4 +210,6 @@ QUERIES = {
 ORACLE = {
     "op1_mixing": OP1_SQL,
     "op2_quality": OP2_SQL,
+    "op3_embedding_dedup": OP3_SQL,
+    "op5_ngram_join": OP5_SQL,
 }

@@ -62,12 +62,13 @@ def test_clean_keeps_columns(docs_of):
     assert quality.clean(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("key", ["op1_mixing", "op2_quality"])
+@pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_key_matches_sql(spark, sf, key):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     res = con.execute(queries.ORACLE[key])
     cols = [c[0] for c in res.description]
     df = queries.QUERIES[key](spark, sf)

@@ -167,8 +167,11 @@ def q_fill_defaults(spark, d):
 
 def q_pack_raw(spark, d):
     p = clean.pack_raw(_t(spark, d, "part"))
-    return p.select("p_partkey", F.col("raw_data")["p_name"].alias("raw_name"),
-                    F.col("raw_data")["p_size"].alias("raw_size"))
+    raw = F.col("raw_data")
+    return p.select("p_partkey", raw["p_partkey"].alias("raw_key"), raw["p_name"].alias("raw_name"),
+                    raw["p_brand"].alias("raw_brand"), raw["p_type"].alias("raw_type"),
+                    raw["p_size"].alias("raw_size"), raw["p_retailprice"].cast("double").alias("raw_price"),
+                    F.size(raw).cast("long").alias("n_entries"))
 
 
 def q_normalize_roles(spark, d):
@@ -183,14 +186,16 @@ def q_base_option_left_join(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     li = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
                                          "l_linenumber", "l_quantity")
-    return joins.left_join_records(o, li, ["o_orderkey"])
+    return joins.left_join_records(o, li, ["o_orderkey"], hot_rows=joins.DEFAULT_HOT_ROWS,
+                                   salt_cols=["l_linenumber"])
 
 
 def q_company_option_left_join(spark, d):
     n = _t(spark, d, "nation").select("n_nationkey", "n_name")
     s = _t(spark, d, "supplier").select(F.col("s_nationkey").alias("n_nationkey"),
                                         "s_suppkey", "s_name")
-    return joins.left_join_records(n, s, ["n_nationkey"])
+    return joins.left_join_records(n, s, ["n_nationkey"], hot_rows=joins.DEFAULT_HOT_ROWS,
+                                   salt_cols=["s_suppkey"])
 
 
 def q_option_only_fallback(spark, d):
@@ -202,7 +207,8 @@ def q_option_only_fallback(spark, d):
     opt = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"),
                                           F.to_date("l_shipdate").alias("g"),
                                           "l_orderkey", "l_linenumber")
-    return joins.option_only_fallback(base, opt, ["k"], ["g"]).select(
+    return joins.option_only_fallback(base, opt, ["k"], ["g"], hot_rows=joins.DEFAULT_HOT_ROWS,
+                                      salt_cols=["l_linenumber"]).select(
         "o_orderkey", "k", "g", "l_orderkey", "l_linenumber")
 
 
@@ -730,8 +736,9 @@ ORACLE: dict[str, str] = {
         WHERE p_type <> 'ECONOMY' AND trim(p_name) <> '' AND trim(p_brand) <> ''""",
     "fill_defaults": f"""SELECT p_partkey, coalesce(nullif(p_type, 'ECONOMY'), '{S.OTHER_TYPE}')
         AS p_type FROM part""",
-    "pack_raw": """SELECT p_partkey, p_name AS raw_name, CAST(p_size AS VARCHAR) AS raw_size
-        FROM part""",
+    "pack_raw": """SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS raw_key, p_name AS raw_name,
+        p_brand AS raw_brand, p_type AS raw_type, CAST(p_size AS VARCHAR) AS raw_size,
+        p_retailprice AS raw_price, 6::BIGINT AS n_entries FROM part""",
     "normalize_roles": """SELECT conv_id, turn,
         CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role FROM conversations""",
     "base_option_left_join": """SELECT o_orderkey, o_orderstatus, l_linenumber, l_quantity

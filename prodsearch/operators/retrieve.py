@@ -192,16 +192,11 @@ def rank_results(results: DataFrame, group: Sequence[str], score: str, tie: str,
 
 def best_per_group(df: DataFrame, group: Sequence[str], score: Column | str, tie: str,
                    keep: Sequence[str]) -> DataFrame:
-    """The top row per group by (score desc, tie asc), as an aggregate.
-
-    ``max(struct(score, -tie, ...))`` is a plain aggregate, so each map task
-    pre-aggregates its rows and a hot group costs one row per task.
-    """
+    """The top row per group by (score desc, tie asc). ``row_number = 1`` gets
+    a partial WindowGroupLimit, so a hot group ships one row per task."""
     s = F.col(score) if isinstance(score, str) else score
-    packed = F.struct(s.alias("__s"), (-F.col(tie)).alias("__t"),
-                      *[F.col(c).alias(c) for c in keep])
-    agg = df.groupBy(*group).agg(F.max(packed).alias("__best"))
-    return agg.select(*group, *[F.col("__best")[c].alias(c) for c in keep])
+    w = Window.partitionBy(*group).orderBy(s.desc(), F.col(tie).asc())
+    return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").select(*group, *keep)
 
 
 def comparison_list(df: DataFrame, group: Sequence[str], order: Sequence, n: int,

@@ -81,10 +81,11 @@ def range_stats(df: DataFrame, group: Sequence[str], columns: Sequence[str],
 
 def range_text(df: DataFrame, group: Sequence[str], column: str,
                range_out: str = "range", mean_out: str = "mean") -> DataFrame:
-    """``x.xx% ~ y.yy%`` range and ``x.xx%`` mean of a column per group."""
+    """``x.xx% ~ y.yy%`` range and ``x.xx%`` mean of a column per group; a
+    group without values gives no row."""
     g = df.groupBy(*group).agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"),
                                F.avg(column).alias("__m"))
-    return g.select(*group, TX.pct_range("__lo", "__hi").alias(range_out),
+    return g.where(F.col("__lo").isNotNull()).select(*group, TX.pct_range("__lo", "__hi").alias(range_out),
                     TX.pct("__m").alias(mean_out))
 
 

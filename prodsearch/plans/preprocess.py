@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import text as TX
 from ..operators import clean, stats
+from ..sources import files
 
 POSITION = "_pos"
 
@@ -119,3 +120,40 @@ def product_statistics(products: DataFrame, product_type: str, run_time: str) ->
     if dist and dist in t.columns:
         out["distribution"] = stats.value_distribution(t, ["product_type"], dist)
     return out
+
+
+def newest_raw_file(spark: SparkSession, root: str, product_type: str) -> str | None:
+    """The type's raw CSV with the latest snapshot time in its name."""
+    letter = {v: k for k, v in S.DIVISION_TYPES.items()}[product_type]
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", f"{letter}_*.csv").load(root)
+              .select("path", F.regexp_extract("path", files.SNAPSHOT_RE, 2).alias("ts")).where("ts <> ''"))
+    return listed.agg(F.max_by("path", "ts")).first()[0]
+
+
+def preprocess_all(spark: SparkSession, raw_root: str, out: str, run_time: str,
+                   compat: bool = False) -> DataFrame:
+    """The whole job over the six types: each type's newest raw file is read,
+    cleaned and written with its statistics and its step audit. A type without
+    a file is skipped, one that fails stops no other. Returns the status
+    table ``(product_type, status, rows, error)``."""
+    def job(product_type: str) -> DataFrame | None:
+        path = newest_raw_file(spark, raw_root, product_type)
+        if path is None:
+            return None
+        raw = with_position(files.read_raw_csv(spark, path))
+        done = preprocess_product(raw, product_type, compat).drop(POSITION)
+        files.write_processed(done.withColumn("product_type", F.lit(product_type)), f"{out}/processed")
+        saved = spark.read.parquet(f"{out}/processed/product_type={product_type}")
+        tables = dict(product_statistics(saved, product_type, run_time))
+        stripped = clean.strip_columns(raw, S.ESSENTIAL_COLUMNS)
+        whole = F.lit(True)
+        for c in S.ESSENTIAL_COLUMNS:
+            whole = whole & F.col(c).isNotNull()
+        tables["audit"] = stats.step_audit(stripped, whole, S.ESSENTIAL_COLUMNS)
+        for name, df in tables.items():
+            (df.withColumn("product_type", F.lit(product_type)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("product_type")
+             .parquet(f"{out}/{name}"))
+        return saved
+
+    return files.run_per_type(spark, list(S.CORE_COLUMNS), job)

@@ -4,6 +4,7 @@ rows. Many questions and conversations are processed in one job."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,7 @@ from .. import schemas as S
 from ..functions import text as TX
 from ..operators import clean, dialog, joins, retrieve
 from ..session import cut_lineage
+from ..sources import files
 
 
 def parse_json_or_error(df: DataFrame, raw: str, schema: T.StructType, out: str,
@@ -217,6 +219,28 @@ def recommend(products: DataFrame, queries: DataFrame, messages: DataFrame | Non
     return out
 
 
+def index_products(spark, processed_root: str, dim: int = 256):
+    """(encoder, products): the processed types found under
+    ``<root>/product_type=<type>`` as documents with embeddings of their
+    search texts; the encoder is fitted on them."""
+    frames = {}
+    for t in S.CORE_COLUMNS:
+        try:
+            frames[t] = spark.read.parquet(f"{processed_root}/product_type={t}")
+        except AnalysisException:       # a type without a file
+            continue
+    documents = product_documents(files.union_typed(frames))
+    model = retrieve.fit_hashing_encoder(documents, "search_text", dim)
+    return model, retrieve.embed(model, documents, "search_text")
+
+
+def answer(model, products: DataFrame, questions: DataFrame, messages: DataFrame | None = None,
+           answers: DataFrame | None = None, k: int = S.RETRIEVE_K) -> dict[str, DataFrame]:
+    """Questions (query_id, conv_id, text) embedded with the products' encoder
+    and put through ``recommend``."""
+    return recommend(products, retrieve.embed(model, questions, "text"), messages, answers, k)
+
+
 def first_after_fallback(results: DataFrame) -> DataFrame:
     """The first kept result per query (its k rows at most)."""
     w = Window.partitionBy("query_id").orderBy(F.col("rank").asc())
@@ -224,4 +248,5 @@ def first_after_fallback(results: DataFrame) -> DataFrame:
 
 
 __all__ = ["analysis_from_json", "analysis_from_keywords", "search", "prompts",
-           "final_answers", "response_rows", "recommend", "first_after_fallback", "Column"]
+           "final_answers", "response_rows", "recommend", "index_products", "answer",
+           "first_after_fallback", "Column"]

@@ -9,15 +9,14 @@ at the same places into fragments.
    D n-grams. Cut into more than D non-empty fragments, two such sets agree
    on one of them entirely. So nodes that share a whole fragment are the
    only candidates, and common passages, which fill no fragment alone, make
-   hardly any. Nothing is capped.
-3. Verification. A pair's overlap is counted fragment by fragment and
-   summed; the sum decides.
-
-Pairs inside a group of near copies are not all formed. Fragments first link
-their members to a few hubs (the members with the smallest hash); fragments
-whose members fall into one component are settled, since a further link
-inside a component changes nothing; the others get more hubs, and in the end
-all pairs between different components are verified. Components are exact.
+   hardly any. Nothing is capped. Nodes connected by shared fragments form a
+   candidate group.
+3. Verification. A group's sets meet in one task, or, beyond BLOCK_NODES
+   members or BLOCK_GRAMS n-grams, block by block in several. The overlaps of
+   all pairs are counted fragment by fragment of the global order, as matrix
+   products, and summed per pair; the sums decide. A task returns links that
+   connect what it found linked, at most one per node, never the pairs.
+   Components are exact.
 
 64-bit hashes stand for n-grams; a collision inside a compared pair needs
 about 2^32 n-grams.
@@ -35,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodsearch.llm.common import components, gram_hashes, map_texts, mix64, word_hash_chunks
@@ -44,8 +43,9 @@ from prodsearch.session import cut_lineage
 
 GRAM_WORDS = 4
 THRESHOLD = 85              # 100 * intersection >= THRESHOLD * union
-HUBS = (4, 32)              # hubs per fragment, round by round; then all that is left
-FRAGMENTS = 8               # pieces in which the overlaps are counted
+BLOCK_NODES = 2_048         # nodes of a candidate group compared in one task
+BLOCK_GRAMS = 4_000_000     # and their n-grams
+FRAGMENT_GRAMS = 4_096      # distinct n-grams of the fragments overlaps are counted in
 BUCKET_ENTRIES = 500_000    # expected fragment signatures sorted together by one task
 MAX_BROADCAST_NODES = 1_000_000
 
@@ -141,8 +141,9 @@ def node_table(rows: DataFrame, n: int) -> DataFrame:
     return map_texts(rows, ["doc_id", "thash"], "text", make, {"n_shingles": "long", "node": "long"})
 
 
-def shared_fragments(rows: DataFrame, n: int, threshold: int, grams: int) -> DataFrame:
-    """(sig, node): the fragments that at least two nodes share.
+def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int) -> DataFrame:
+    """(a, b): the nodes that share a fragment with another, each linked with
+    the smallest node of that fragment.
 
     Signatures travel in blocks by bucket of their hash, each node's once per
     task, and are sorted bucket by bucket; bucket sizes follow ``grams``.
@@ -194,104 +195,140 @@ def shared_fragments(rows: DataFrame, n: int, threshold: int, grams: int) -> Dat
         sig, node = sig[order], node[order]
         first = np.r_[True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
         sig, node = sig[first], node[first]
-        edge = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1], True])
-        shared = np.repeat(np.diff(edge) > 1, np.diff(edge)) if len(sig) else np.empty(0, bool)
-        return pa.table({"sig": sig[shared].view(np.int64), "node": node[shared]})
+        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.empty(0, np.int64)
+        least = np.repeat(node[starts], np.diff(np.r_[starts, len(sig)]))
+        pairs = np.unique(np.stack([least, node], axis=1)[least != node], axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     blocks = rows.select("text").mapInArrow(cut, "bucket int, sigs binary, nodes binary")
-    return blocks.groupBy("bucket").applyInArrow(meet, "sig long, node long")
-
-
-def fragment_table(held: DataFrame, n: int, pieces: int = FRAGMENTS) -> DataFrame:
-    """(node, size, frag, grams): the set of each (node, size, text) cut into
-    ``pieces`` fragments of the global order, one row per node and fragment."""
+    return blocks.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """The overlap of every pair of sets (of two lists): partial overlaps of
+    one fragment of the global order after the other, summed."""
+    sets = left if right is None else left + right
+    grams = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], owner[order]
+    starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+    counts = np.diff(np.r_[starts, len(grams)])
+    shared = np.repeat(counts > 1, counts)
+    # numbers of the n-grams that more than one set holds, in global order
+    place = (np.cumsum(counts > 1) - 1).repeat(counts)[shared]
+    owner = owner[shared]
+    kind = np.float32 if max(map(len, sets)) < 1 << 24 else np.float64
+    out = np.zeros((len(left), len(sets) - len(left) if right is not None else len(left)), kind)
+    for lo in range(0, int(place[-1]) + 1 if len(place) else 0, FRAGMENT_GRAMS):
+        a, z = np.searchsorted(place, [lo, lo + FRAGMENT_GRAMS])
+        held = np.zeros((int(place[z - 1]) - lo + 1, len(sets)), kind)
+        held[place[a:z] - lo, owner[a:z]] = 1
+        out += held[:, :len(left)].T @ (held if right is None else held[:, len(left):])
+    return out
+
+
+def spanning_links(links: np.ndarray) -> list[tuple[int, int]]:
+    """(row, column) positions that connect what a link matrix connects: each
+    row and column once at most, by breadth-first search."""
+    out = []
+    rows_left, cols_left = np.ones(links.shape[0], bool), np.ones(links.shape[1], bool)
+    for first in range(links.shape[0]):
+        if not rows_left[first]:
+            continue
+        rows_left[first] = False
+        todo = [first]
+        while todo:
+            r = todo.pop()
+            for c in np.flatnonzero(links[r] & cols_left):
+                cols_left[c] = False
+                out.append((r, int(c)))
+                for x in np.flatnonzero(links[:, c] & rows_left):
+                    rows_left[x] = False
+                    out.append((int(x), int(c)))
+                    todo.append(int(x))
+    return out
+
+
+def reached(same: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: int) -> np.ndarray:
+    same = same.astype(np.int64)
+    return 100 * same >= threshold * (left[:, None] + right[None, :] - same)
+
+
+def compare_blocks(sized: DataFrame, n: int, threshold: int) -> DataFrame:
+    """(a, b) links connecting what links within each task's groups. sized:
+    (grp, comp, node, blk, text); a group in blocks has at most two of them in
+    a task and compares across, or one and compares within."""
     def make():
         def of(texts: list) -> dict:
-            out = {c: [] for c in ("at", "frag", "grams")}
+            out = [b""] * len(texts)
             for i, h in word_hash_chunks(texts):
-                g = gram_set(h, n)
-                edge = np.searchsorted(g >> np.uint64(32), [(k << 32) // pieces for k in range(pieces + 1)])
-                g = g.view(np.int64)
-                for k, (a, z) in enumerate(zip(edge, edge[1:])):
-                    if z > a:
-                        out["at"].append(i)
-                        out["frag"].append(k)
-                        out["grams"].append(g[a:z])
-            return out
+                out[i] = gram_set(h, n).tobytes()
+            return {"grams": out}
         return of
 
-    cut = map_texts(held, ["node", "size"], "text", make, {"frag": "int", "grams": "array<long>"})
-    return cut.dropDuplicates(["node", "frag"])
+    sets = map_texts(sized, ["grp", "comp", "node", "blk"], "text", make, {"grams": "binary"})
 
-
-def linked(pairs: DataFrame, fragments: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The (a, b) of ``pairs`` that reach the threshold: partial overlaps per
-    fragment, summed per pair."""
-    left = fragments.select(F.col("node").alias("a"), F.col("size").alias("size_a"), "frag",
-                            F.col("grams").alias("grams_a"))
-    right = fragments.select(F.col("node").alias("b"), F.col("size").alias("size_b"), "frag",
-                             F.col("grams").alias("grams_b"))
-    part = pairs.join(left, "a").join(right, ["b", "frag"]).select(
-        "a", "b", "size_a", "size_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("part"))
-    both = part.groupBy("a", "b", "size_a", "size_b").agg(F.sum("part").alias("same"))
-    return both.where(100 * F.col("same") >= threshold * (F.col("size_a") + F.col("size_b") - F.col("same"))
-                      ).select("a", "b")
-
-
-def node_components(rows: DataFrame, nodes: DataFrame, n: int, threshold: int) -> DataFrame:
+    def meet(group: pa.Table) -> pa.Table:
+        node, comp, blk = (group[c].to_numpy() for c in ("node", "comp", "blk"))
+        order = np.lexsort((node, blk, comp))
+        held = group["grams"]
+        a, b = [], []
+        for rows in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
+            # a node read from several equal rows counts once
+            rows = rows[np.r_[True, node[rows][1:] != node[rows][:-1]]]
+            parts = [[int(r) for r in rows[blk[rows] == k]] for k in np.unique(blk[rows])]
+            grams = [[np.frombuffer(held[r].as_buffer(), np.uint64) for r in p] for p in parts]
+            size = [np.array([len(g) for g in p]) for p in grams]
+            z = len(parts) - 1
+            same = overlaps(grams[0], grams[1] if z else None)
+            links = reached(same, size[0], size[z], threshold)
+            for r, c in spanning_links(links):
+                if parts[0][r] != parts[z][c]:
+                    a.append(int(node[parts[0][r]]))
+                    b.append(int(node[parts[z][c]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return sets.groupBy("grp").applyInArrow(meet, "a long, b long")
+
+
+def node_components(rows: DataFrame, nodes: DataFrame, n: int, threshold: int,
+                    block_nodes: int = BLOCK_NODES, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """(node, comp) of the nodes that link with another; ``nodes`` is the
     checkpointed node table of ``rows``."""
     grams = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    met = cut_lineage(shared_fragments(rows, n, threshold, int(grams)))
-    # one row of each node that shares a fragment gives its set
-    holders = (nodes.where("node IS NOT NULL").groupBy("node", F.col("n_shingles").alias("size"))
-               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "thash")).alias("r"))
-               .join(met.select("node").distinct(), "node", "left_semi")
-               .select("node", "size", F.col("r.doc_id").alias("id"), F.col("r.thash").alias("th")))
+    near = cut_lineage(components(candidate_edges(rows, n, threshold, int(grams))))
+    # one row of each node gives its set
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "thash")
+    single = (nodes.where("node IS NOT NULL").groupBy("node", F.col("n_shingles").alias("size"))
+              .agg(F.min(name).alias("r")).join(near, "node"))
+    sizes = single.groupBy("comp").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("size") / block_grams)).alias("blks"))
+    holders = cut_lineage(single.join(sizes, "comp").select(
+        "node", "comp", "size", F.col("blks").cast("long").alias("blks"),
+        F.col("r.doc_id").alias("id"), F.col("r.thash").alias("th")))
+    total = holders.where("blks = 1").agg(F.sum("size")).first()[0] or 0
+    buckets = int(total) // block_grams * 2 + 1
     held = rows.join(broadcast_if_small(holders, MAX_BROADCAST_NODES),
                      (F.col("thash") == F.col("th")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    fragments = cut_lineage(fragment_table(held.select("node", "size", "text"), n))
-    sizes = fragments.select("node", "size").distinct()
-    met = cut_lineage(met.join(sizes, "node").withColumn("comp", F.col("node")))
-
-    links = tested = comps = None
-    for hubs in (*HUBS, None):
-        comp_range = met.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        mixed = met.join(comp_range.where("lo < hi").select("sig"), "sig", "left_semi")
-        if comps is not None:
-            mixed = cut_lineage(mixed)
-            if mixed.isEmpty():
-                break
-        hub = mixed.select("sig", F.col("node").alias("h"), F.col("size").alias("size_h"),
-                           F.col("comp").alias("comp_h"))
-        if hubs is not None:
-            first = Window.partitionBy("sig").orderBy("h")
-            hub = hub.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= hubs).drop("rn")
-        low, high = F.least("size", "size_h"), F.greatest("size", "size_h")
-        pairs = (mixed.join(hub, "sig").where((F.col("comp") != F.col("comp_h"))
-                                              & (100 * low >= threshold * high))
-                 .select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        found = cut_lineage(linked(pairs, fragments, threshold))
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        comps = cut_lineage(components(links))
-        if hubs is not None:
-            met = cut_lineage(met.drop("comp").join(comps, "node", "left")
-                              .withColumn("comp", F.coalesce("comp", "node")))
-    return comps
+    blk = F.pmod(F.xxhash64("node"), F.col("blks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blks") - 1))
+    small = F.concat(F.lit("s"), F.pmod(F.xxhash64("comp"), F.lit(buckets)).cast("string"))
+    large = F.concat_ws(":", F.lit("l"), "comp", F.least("blk", "other"), F.greatest("blk", "other"))
+    sized = (held.withColumn("blk", blk).withColumn("other", other)
+             .withColumn("grp", F.when(F.col("blks") == 1, small).otherwise(large))
+             .select("grp", "comp", "node", "blk", "text"))
+    return components(compare_blocks(sized, n, threshold))
 
 
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = GRAM_WORDS,
-            threshold: int = THRESHOLD) -> DataFrame:
+            threshold: int = THRESHOLD, **blocks) -> DataFrame:
     """Per row of ``docs``: doc_id, thash (of its text), n_shingles, comp (a
     number of its component, null for an empty set) and component_id, the
     smallest id reachable by links (its own included)."""
     rows = slim(docs, doc_id, text)
     nodes = cut_lineage(node_table(rows, n))
-    comps = node_components(rows, nodes, n, threshold)
+    comps = node_components(rows, nodes, n, threshold, **blocks)
     placed = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return (placed.join(least, "comp", "left")

@@ -69,18 +69,33 @@ def test_components_equal_brute_force(docs_of, seed):
     assert got == dict(enumerate(want))
 
 
-def test_chains_and_hubs(docs_of, monkeypatch):
-    """A group whose members link only through others, with one hub a round."""
-    monkeypatch.setattr(ngram_join, "HUBS", (1,))
+def test_chains_and_blocks(docs_of):
+    """Groups whose members link only through others, compared in many blocks."""
     rng = random.Random(6)
     words = [f"v{i}" for i in range(120)]
     chain = []
     for _ in range(40):
         chain.append(" ".join(words))
         words = edited(rng, words, 1)
+    chain += [" ".join(edited(rng, words, rng.randint(0, 4))) for _ in range(40)]
     rng.shuffle(chain)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.cluster(docs_of(chain)).collect()}
-    assert got == dict(enumerate(brute(list(enumerate(chain)))))
+    want = dict(enumerate(brute(list(enumerate(chain)))))
+    for blocks in ({}, {"block_nodes": 7}, {"block_grams": 1000}):
+        got = {r.doc_id: (r.n_shingles, r.component_id)
+               for r in ngram_join.cluster(docs_of(chain), **blocks).collect()}
+        assert got == want
+
+
+def test_overlaps_sum_over_fragments(monkeypatch):
+    monkeypatch.setattr(ngram_join, "FRAGMENT_GRAMS", 5)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(12)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    got = ngram_join.overlaps(sets)
+    for i in range(12):
+        for j in range(12):
+            assert i == j or got[i, j] == want[i][j]
+    assert (ngram_join.overlaps(sets[:5], sets[5:]) == np.array(want)[:5, 5:]).all()
 
 
 def test_a_shared_fragment_for_every_pair_that_links():

@@ -133,13 +133,13 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     ensure_checkpoint_dir(edges.sparkSession)
     e = (edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    nodes = e.select(F.col("u").alias("node")).union(e.select(F.col("v").alias("node")))
     e = cut_lineage(e)
     before = None
     for _ in range(max_rounds):
         # large star: every larger neighbour of n links to the smallest of n and its neighbours
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # a table of its own, so that AQE may split a hub's edges in the join
+        low = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = (both.join(low, "u").where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star: n and its smaller neighbours link to the smallest of them

@@ -2,46 +2,54 @@
 
 A byte-pair tokenizer of the byte-level kind never merges across its
 pre-tokens, and a single space between two non-space characters always
-starts a pre-token. So a text cut before such spaces gives the same ids
-chunk by chunk, and most chunks (words) repeat. A chunk that is not in the
-worker's cache goes to the tokenizers library, which also handles special
-strings inside it; these hold no space. The cache is bounded and only a
-matter of speed.
+starts a pre-token, while a line break between two is one. So a text cut at
+such places gives the same ids chunk by chunk, and most chunks (words)
+repeat. A chunk that is not in the worker's cache goes to the tokenizers
+library, which also handles special strings inside it; these hold no white
+space. The cache is bounded and only a matter of speed.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
-
-MAX_CACHED = 300_000        # chunks kept per worker
+MAX_CACHED = 500_000        # chunks kept per worker
 
 # Two neighbouring white-space characters, or one at an end (Python's class
 # holds every character that the library treats as white space, and more).
 _UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters with an optional mark run behind: two pre-tokens at most.
-_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 
 
-def chunks(text: str) -> list[str]:
-    """The text without the single spaces between its chunks; each chunk but
-    the first is preceded by one space."""
-    return (_SINGLE_SPACE.split(text) if _UNEVEN.search(text) else text.split(" ")) if text else []
+def lines_of_chunks(text: str) -> list[list[str]]:
+    """The text without the line breaks between the lists and without the
+    single spaces between the chunks of a list."""
+    if _UNEVEN.search(text):
+        return [_SINGLE_SPACE.split(text)]
+    return [line.split(" ") for line in text.split("\n")] if text else []
 
 
 class _Cache(dict):
-    def __init__(self, compute, seed=None):
+    """What chunks (after ``lead``) give: bytes of ids, or a number of ids."""
+
+    def __init__(self, lead: str, encode, marks: "_Cache | None", seed=None):
         super().__init__(seed or {})
-        self.compute, self.seed = compute, seed or {}
+        self.lead, self.encode, self.seed = lead, encode, seed or {}
+        self.marks = self if marks is None else marks
 
-    def __missing__(self, key):
+    def __missing__(self, chunk):
+        m = _WORD.fullmatch(chunk)
+        if m and m[2]:
+            return self[m[1]] + self.marks[m[2]]        # kept by its parts
         if len(self) >= MAX_CACHED + len(self.seed):
             self.clear()
             self.update(self.seed)
-        out = self[key] = self.compute(key)
+        out = self[chunk] = self.encode(self.lead, chunk, m is not None)
         return out
 
 
@@ -54,30 +62,37 @@ class TextEncoder:
 
         self.lib = Tokenizer.from_file(path)
         self.byte_chars = _byte_chars()
-        self.inner = _Cache(lambda c: self.bytes_of(c, ""))
-        self.spaced = _Cache(lambda c: self.bytes_of(c, " "))
-        self.spaced_len = _Cache(lambda c: len(self.bytes_of(c, " ")) // 4, counts_seed)
-
-    def bytes_of(self, chunk: str, lead: str) -> bytes:
-        m = _WORD.fullmatch(lead + chunk)
-        if m is None:
-            ids = self.lib.encode(lead + chunk, add_special_tokens=False).ids
-        else:
-            ids = [t.id for part in m.groups() if part for t in self.lib.model.tokenize(
-                part.encode().decode("latin-1").translate(self.byte_chars))]
-        return np.array(ids, "<u4").tobytes()
+        self.space = chr(self.byte_chars[0x20])
+        self.first = _Cache("", self._bytes, None)
+        self.spaced = _Cache(" ", self._bytes, self.first)
+        self.first_len = _Cache("", self._number, None)
+        self.spaced_len = _Cache(" ", self._number, self.first_len, counts_seed)
+
+    def _ids(self, lead: str, chunk: str, word: bool) -> list[int]:
+        if not word:
+            return self.lib.encode(lead + chunk, add_special_tokens=False).ids
+        mapped = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.byte_chars)
+        return [t.id for t in self.lib.model.tokenize(self.space + mapped if lead else mapped)]
+
+    def _bytes(self, lead: str, chunk: str, word: bool) -> bytes:
+        ids = array("I", self._ids(lead, chunk, word))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _number(self, lead: str, chunk: str, word: bool) -> int:
+        return len(self._ids(lead, chunk, word))
 
     def ids(self, text: str | None) -> bytes:
-        parts = chunks(text or "")
-        if not parts:
-            return b""
-        return self.inner[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))
+        return self.first["\n"].join([
+            self.first[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))
+            for parts in lines_of_chunks(text or "")])
 
     def count(self, text: str | None) -> int:
-        parts = chunks(text or "")
-        if not parts:
-            return 0
-        return len(self.inner[parts[0]]) // 4 + sum(map(self.spaced_len.__getitem__, parts[1:]))
+        lines = lines_of_chunks(text or "")
+        breaks = max(0, len(lines) - 1) * self.first_len["\n"]
+        return breaks + sum(self.first_len[parts[0]] + sum(map(self.spaced_len.__getitem__, parts[1:]))
+                            for parts in lines)
 
 
 def _byte_chars() -> dict[int, int]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodsearch.llm.common import map_texts
-from prodsearch.llm.pretokens import chunks, encoder
+from prodsearch.llm.pretokens import encoder, lines_of_chunks
 
 SAMPLE_DOCS = 3_000         # about so many documents fit the table, whatever the input's size
 TABLE_CHUNKS = 50_000       # entries of the broadcast table: about 1 MB
@@ -42,7 +42,8 @@ def frequent_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         c: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                c.update(x for x in chunks(t or "")[1:] if len(x) <= MAX_TABLE_CHARS and x.split() == [x])
+                c.update(x for line in lines_of_chunks(t or "") for x in line[1:]
+                         if len(x) <= MAX_TABLE_CHARS and x.split() == [x])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["chunk", "n"])
 
@@ -58,13 +59,12 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     enc = encoder(path)
     table = frequent_chunks(docs, text, doc_id)
-    lengths = bytes(min(255, len(enc.bytes_of(c, " ")) // 4) for c in table)
+    lengths = bytes(enc.spaced_len[c] for c in table)      # at most 4 ids a character
     shared = spark.sparkContext.broadcast((" ".join(table), lengths))
     key = f"table-{hash((shared.value[0], lengths))}"
 
     def seed() -> dict[str, int]:
         joined, lens = shared.value
-        # a length of 255 may stand for more; chunks of 24 characters stay far below
         return dict(zip(joined.split(" "), lens)) if lens else {}
 
     def make():

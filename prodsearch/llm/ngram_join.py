@@ -8,9 +8,10 @@ at the same places into fragments.
 2. Candidates. Sets of similar size that reach the threshold differ in at most
    D n-grams. Cut into more than D non-empty fragments, two such sets agree
    on one of them entirely. So nodes that share a whole fragment are the
-   only candidates, and common passages, which fill no fragment alone, make
-   hardly any. Nothing is capped. Nodes connected by shared fragments form a
-   candidate group.
+   only candidates; n-grams found to be common are left out of fragments, so
+   that passages many documents quote make hardly any, and pairs whose
+   sketches (a byte of each of 128 fragments) rule them out are dropped.
+   Nothing is capped. Nodes connected by candidates form a candidate group.
 3. Verification. A group's sets meet in one task, or, beyond BLOCK_NODES
    members or BLOCK_GRAMS n-grams, block by block in several. The overlaps of
    all pairs are counted fragment by fragment of the global order, as matrix
@@ -29,6 +30,7 @@ table gives an empty table; only the id and the text are read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -45,6 +47,10 @@ GRAM_WORDS = 4
 THRESHOLD = 85              # 100 * intersection >= THRESHOLD * union
 BLOCK_NODES = 2_048         # nodes of a candidate group compared in one task
 BLOCK_GRAMS = 4_000_000     # and their n-grams
+SKETCH = 128
+PAIR_NODES = 32             # fragments with so many nodes or fewer give pairs, others a star
+COMMON_SAMPLE = 4_000       # documents (expected) that common n-grams are found in
+COMMON_IN = 4               # an n-gram in so many of them is common
 FRAGMENT_GRAMS = 4_096      # distinct n-grams of the fragments overlaps are counted in
 BUCKET_ENTRIES = 500_000    # expected fragment signatures sorted together by one task
 MAX_BROADCAST_NODES = 1_000_000
@@ -64,6 +70,29 @@ def node_of(grams: np.ndarray) -> int:
                    .view(np.int64)[0])
 
 
+def sketch_of(grams: np.ndarray) -> bytes:
+    """A byte for each of SKETCH fragments of the global order: a hash of the
+    smallest n-gram there, 0 where there is none."""
+    place = (grams >> np.uint64(32)) * np.uint64(SKETCH) >> np.uint64(32)
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    out = np.zeros(SKETCH, np.uint8)
+    out[place[starts].astype(np.int64)] = 1 + mix64(grams[starts]) % np.uint64(255)
+    return out.tobytes()
+
+
+def far_apart(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
+              threshold: int) -> np.ndarray:
+    """Whether pairs with these sketches stay below the threshold. Sets that
+    reach it differ in D n-grams at most, and each changes one fragment: more
+    differing fragments rule a pair out. Of 110 and more filled fragments at
+    most a share of 1 - threshold differs on average; over 55 % have a chance
+    below 1e-14 at 0.8 (1e-9 at 0.75; lower thresholds use the bound alone)."""
+    differ = (a != b).sum(axis=1)
+    filled = ((a > 0) | (b > 0)).sum(axis=1)
+    far = differ > (100 - threshold) * (size_a + size_b) // (100 + threshold)
+    return far | ((filled >= 110) & (differ > 0.55 * filled)) if threshold >= 75 else far
+
+
 class SizeClasses:
     """Size classes and the number of fragments each is cut into.
 
@@ -89,8 +118,19 @@ class SizeClasses:
             s = (top - 1) + (top - 1) * 100 // t
             d = (100 - t) * s // (100 + t)
             self.differences.append(d)
-            # some spare fragments, as a few are empty
-            self.fragments.append(d + 2 + d // 50 if d else 0)
+            self.fragments.append(self._enough(low, d) if d else 0)
+
+    @staticmethod
+    def _enough(low: int, d: int) -> int:
+        """Fragments so that a set of the smallest size fills more than d of
+        them but for bad luck (three standard deviations)."""
+        k = d + 2
+        while k < 2 * (d + 2):
+            empty = k * math.exp(-low / k)
+            if k - empty - 3 * math.sqrt(empty) >= d + 1:
+                break
+            k += 1 + d // 200
+        return k
 
     def of(self, size: int) -> list[tuple[int, int, int]]:
         """(class, fragments, largest difference) of the classes to cut for.
@@ -101,22 +141,70 @@ class SizeClasses:
                 if k >= 0 and self.fragments[k]]
 
 
-def signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
-    """One hash for each fragment of a set, in each class it is cut for."""
-    out = []
-    scrambled = None
+def fragment_hashes(grams: np.ndarray, k: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the filled ones of k fragments; ``base`` names the cut."""
+    if not len(grams):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    place = ((grams >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    content = np.add.reduceat(mix64(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
+    return place[starts], mix64(content ^ mix64(np.uint64(base) + place[starts]))
+
+
+def signatures(grams: np.ndarray, classes: SizeClasses, common: np.ndarray) -> np.ndarray:
+    """One hash for each filled fragment of a set, in each class it is cut for.
+
+    Common n-grams are left out first: what two sets differ in can only
+    shrink by that, so a shared fragment stays sure, and a passage that many
+    documents quote fills none. A set with too few filled fragments then (D or
+    less) adds the fragments of all its n-grams, and if these are too few as
+    well, the empty ones. Of two sets that reach the threshold either one has
+    more than D filled fragments, and the other agrees on one of them, or
+    both add all fragments.
+    """
+    rare = grams
+    if len(common):
+        at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+        rare = grams[common[at] != grams]
+    out = [np.empty(0, np.uint64)]
     for c, k, d in classes.of(len(grams)):
-        if scrambled is None:
-            scrambled = mix64(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-        place = ((grams >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        name = (np.uint64(c) << np.uint64(40)) + place[starts]
-        out.append(mix64(np.add.reduceat(scrambled, starts) ^ mix64(name)))
-        if len(starts) <= d:
-            # too few filled fragments to be sure of a shared one: the empty ones count too
-            empty = np.setdiff1d(np.arange(k, dtype=np.uint64), place[starts])
-            out.append(mix64(mix64((np.uint64(c) << np.uint64(40)) + empty)))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        _, own = fragment_hashes(rare, k, c << 40)
+        out.append(own)
+        if len(own) <= d:
+            base = (c << 40) + (1 << 39)
+            place, own = fragment_hashes(grams, k, base)
+            out.append(own)
+            if len(own) <= d:
+                empty = np.setdiff1d(np.arange(k, dtype=np.uint64), place)
+                out.append(mix64(mix64(np.uint64(base) + empty)))
+    return np.concatenate(out)
+
+
+def common_grams(rows: DataFrame, nodes: DataFrame, n: int, sample: int = COMMON_SAMPLE,
+                 share: int = COMMON_IN) -> np.ndarray:
+    """Sorted n-grams that at least ``share`` of about ``sample`` documents
+    with different sets hold. A bounded sample, as it decides only which
+    candidates are met, never which links are found."""
+    total = nodes.count()
+    per_million = max(1, min(1_000_000, sample * 1_000_000 // max(1, total)))
+    picked = rows.where(F.pmod(F.xxhash64("thash"), F.lit(1_000_000)) < per_million)
+
+    def make():
+        def of(texts: list) -> dict:
+            out = {"at": [], "node": [], "gram": []}
+            for i, h in word_hash_chunks(texts):
+                g = gram_set(h, n)
+                if len(g):
+                    out["at"].extend([i] * len(g))
+                    out["node"].extend([node_of(g)] * len(g))
+                    out["gram"].extend(g.view(np.int64).tolist())
+            return out
+        return of
+
+    grams = map_texts(picked, [], "text", make, {"node": "long", "gram": "long"}).distinct()
+    # at most the sample's n-grams divided by ``share`` reach the driver
+    got = grams.groupBy("gram").count().where(F.col("count") >= share).select("gram").toArrow()
+    return np.sort(got["gram"].to_numpy().view(np.uint64))
 
 
 def slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -126,32 +214,35 @@ def slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def node_table(rows: DataFrame, n: int) -> DataFrame:
-    """Per row of ``slim``: doc_id, thash, n_shingles and node (null for an
-    empty set)."""
+    """Per row of ``slim``: doc_id, thash, n_shingles, node and sketch (null for
+    an empty set)."""
     def make():
         def of(texts: list) -> dict:
-            size, node = [0] * len(texts), [None] * len(texts)
+            size, node, sketch = [0] * len(texts), [None] * len(texts), [None] * len(texts)
             for i, h in word_hash_chunks(texts):
                 g = gram_set(h, n)
                 if len(g):
-                    size[i], node[i] = len(g), node_of(g)
-            return {"n_shingles": size, "node": node}
+                    size[i], node[i], sketch[i] = len(g), node_of(g), sketch_of(g)
+            return {"n_shingles": size, "node": node, "sketch": sketch}
         return of
 
-    return map_texts(rows, ["doc_id", "thash"], "text", make, {"n_shingles": "long", "node": "long"})
+    return map_texts(rows, ["doc_id", "thash"], "text", make,
+                     {"n_shingles": "long", "node": "long", "sketch": "binary"})
 
 
-def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int) -> DataFrame:
-    """(a, b): the nodes that share a fragment with another, each linked with
-    the smallest node of that fragment.
+def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int, common: np.ndarray) -> DataFrame:
+    """(a, b, star): the nodes that share a fragment with another. A fragment
+    of few nodes gives all their pairs; a fragment of many links each with
+    the smallest (``star``), which stands for the pairs it does not list.
 
     Signatures travel in blocks by bucket of their hash, each node's once per
     task, and are sorted bucket by bucket; bucket sizes follow ``grams``.
     """
     buckets = max(1, grams // (3 * BUCKET_ENTRIES) + 1)
+    shared = rows.sparkSession.sparkContext.broadcast(common)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, seen = SizeClasses(threshold), set()
+        classes, seen, known = SizeClasses(threshold), set(), shared.value
         held: list[tuple[np.ndarray, int]] = []
         size = 0
 
@@ -178,7 +269,7 @@ def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int) -> Data
                 if node in seen:
                     continue
                 seen.add(node)
-                s = signatures(g, classes)
+                s = signatures(g, classes, known)
                 if len(s):
                     held.append((s, node))
                     size += len(s)
@@ -196,12 +287,44 @@ def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int) -> Data
         first = np.r_[True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
         sig, node = sig[first], node[first]
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.empty(0, np.int64)
-        least = np.repeat(node[starts], np.diff(np.r_[starts, len(sig)]))
-        pairs = np.unique(np.stack([least, node], axis=1)[least != node], axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+        counts = np.diff(np.r_[starts, len(sig)])
+        many = counts > PAIR_NODES
+        held = np.repeat(many, counts)
+        stars = np.stack([np.repeat(node[starts], counts)[held], node[held]], axis=1)
+        pairs = [np.empty((0, 2), np.int64)]
+        for k in np.unique(counts[(counts > 1) & ~many]):
+            i, j = np.triu_indices(int(k), 1)
+            at = starts[counts == k][:, None]
+            pairs.append(np.stack([node[at + i].ravel(), node[at + j].ravel()], axis=1))
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        stars = np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0)
+        both = np.concatenate([pairs, stars])
+        return pa.table({"a": both[:, 0], "b": both[:, 1],
+                         "star": np.repeat([False, True], [len(pairs), len(stars)])})
 
     blocks = rows.select("text").mapInArrow(cut, "bucket int, sigs binary, nodes binary")
-    return blocks.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+    return blocks.groupBy("bucket").applyInArrow(meet, "a long, b long, star boolean").distinct()
+
+
+def plausible(edges: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): ``edges`` without the pairs whose sketches rule them out. Links
+    of a star stay, as they stand for others."""
+    one = nodes.where("node IS NOT NULL").select("node", "n_shingles", "sketch").dropDuplicates(["node"])
+    sides = [one.select(F.col("node").alias(c), F.col("n_shingles").alias(f"size_{c}"),
+                        F.col("sketch").alias(f"sketch_{c}")) for c in ("a", "b")]
+    joined = edges.where("NOT star").join(sides[0], "a").join(sides[1], "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            if not x.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(x.column(f"sketch_{c}").to_pylist()), np.uint8)
+                    .reshape(x.num_rows, SKETCH) for c in ("a", "b"))
+            size_a, size_b = (x.column(f"size_{c}").to_numpy() for c in ("a", "b"))
+            near = pa.array(~far_apart(a, b, size_a, size_b, threshold))
+            yield pa.RecordBatch.from_arrays([x.column("a").filter(near), x.column("b").filter(near)], ["a", "b"])
+
+    return joined.mapInArrow(run, "a long, b long").union(edges.where("star").select("a", "b"))
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
@@ -297,7 +420,9 @@ def node_components(rows: DataFrame, nodes: DataFrame, n: int, threshold: int,
     """(node, comp) of the nodes that link with another; ``nodes`` is the
     checkpointed node table of ``rows``."""
     grams = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    near = cut_lineage(components(candidate_edges(rows, n, threshold, int(grams))))
+    common = common_grams(rows, nodes, n)
+    edges = cut_lineage(candidate_edges(rows, n, threshold, int(grams), common))
+    near = cut_lineage(components(plausible(edges, nodes, threshold)))
     # one row of each node gives its set
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "thash")
     single = (nodes.where("node IS NOT NULL").groupBy("node", F.col("n_shingles").alias("size"))

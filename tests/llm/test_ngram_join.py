@@ -110,7 +110,13 @@ def test_a_shared_fragment_for_every_pair_that_links():
                             rng.integers(0, 2 ** 64, int(rng.integers(0, max(1, n // 6) + 1)), dtype=np.uint64)])
         same = len(np.intersect1d(a, b))
         if len(b) and 100 * same >= 85 * (len(a) + len(b) - same) and not np.array_equal(a, b):
-            assert len(np.intersect1d(ngram_join.signatures(a, classes), ngram_join.signatures(b, classes)))
+            sketches = [np.frombuffer(ngram_join.sketch_of(x), np.uint8)[None] for x in (a, b)]
+            assert not ngram_join.far_apart(*sketches, np.array([len(a)]), np.array([len(b)]), 85)[0]
+            every = np.union1d(a, b)
+            for share in (0, 0.1, 0.6, 1):
+                common = every[rng.random(len(every)) < share]
+                assert len(np.intersect1d(ngram_join.signatures(a, classes, common),
+                                          ngram_join.signatures(b, classes, common)))
 
 
 def test_query_against_brute_force(spark, sf):

@@ -18,9 +18,6 @@ from array import array
 
 MAX_CACHED = 500_000        # chunks kept per worker
 
-# Two neighbouring white-space characters, or one at an end (Python's class
-# holds every character that the library treats as white space, and more).
-_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters with an optional mark run behind: two pre-tokens at most.
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
@@ -28,10 +25,16 @@ _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 
 def lines_of_chunks(text: str) -> list[list[str]]:
     """The text without the line breaks between the lists and without the
-    single spaces between the chunks of a list."""
-    if _UNEVEN.search(text):
-        return [_SINGLE_SPACE.split(text)]
-    return [line.split(" ") for line in text.split("\n")] if text else []
+    single spaces between the chunks of a list. Lines are told apart only
+    where all white space (Python's class holds every character that the
+    library treats as such, and more) is one space or line break between words."""
+    if not text:
+        return []
+    words = text.split()
+    breaks = len(words) - 1
+    even = (len(text) - len("".join(words)) == breaks
+            and text.count(" ") + text.count("\n") == breaks)
+    return [line.split(" ") for line in text.split("\n")] if even else [_SINGLE_SPACE.split(text)]
 
 
 class _Cache(dict):
@@ -61,8 +64,10 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.byte_chars = _byte_chars()
-        self.space = chr(self.byte_chars[0x20])
+        byte_chars = _byte_chars()
+        self.space = chr(byte_chars[0x20])
+        #: a word's letters as the byte-level alphabet writes their UTF-8 bytes
+        self.letters = {c: chr(c).encode().decode("latin-1").translate(byte_chars) for c in range(0x250)}
         self.first = _Cache("", self._bytes, None)
         self.spaced = _Cache(" ", self._bytes, self.first)
         self.first_len = _Cache("", self._number, None)
@@ -71,7 +76,7 @@ class TextEncoder:
     def _ids(self, lead: str, chunk: str, word: bool) -> list[int]:
         if not word:
             return self.lib.encode(lead + chunk, add_special_tokens=False).ids
-        mapped = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.byte_chars)
+        mapped = chunk if chunk.isascii() else chunk.translate(self.letters)
         return [t.id for t in self.lib.model.tokenize(self.space + mapped if lead else mapped)]
 
     def _bytes(self, lead: str, chunk: str, word: bool) -> bytes:

@@ -1,13 +1,15 @@
 """Secret scans: known patterns plus a randomness test battery.
 
 The patterns find assigned values, access keys and long hex strings. Beside
-them every long token that mixes character classes is a candidate: its
-encoding is inferred from its characters, and three tests ask whether it
+them every long token that is no mere number is a candidate, also right after
+a ``=`` and inside a URL, where the parts of a path are tried one by one if the
+whole is not random: its encoding is inferred from its characters, and three tests ask whether it
 looks drawn at random from that alphabet: chi-squared uniformity, runs about
 the alphabet's middle, and lag-1 serial correlation. "Random" is the claim to
 be controlled, so each candidate gets the p-value that ordinary text would
 look this random, from how often ordinary words of its length do, and the
 claims of a length band pass a false-discovery threshold over all documents.
+A random token stays a span of its own unless one pattern's span holds it whole.
 
 Defined cases: null and empty texts have no spans; whole texts are scanned,
 however long; repeated rows are scanned alike; an empty table gives an empty
@@ -36,14 +38,19 @@ ASSIGN = re.compile(
     re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (MIN_ACCESS - 4))
 HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_RANDOM)
+# Up to two = at the end are padding; one with a value behind it is an assignment.
+CANDIDATE = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % MIN_RANDOM)
+#: What may part a random token from the words before or behind it; marks at the very end are its own.
+PARTS = (re.compile(r"[^/]+(?:/+=*\Z)?"), re.compile(r"[^/_-]+(?:[/_-]+=*\Z)?"))
 
 _HEX = "0123456789abcdef"
 _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings from the narrowest alphabet to the widest.
 ALPHABETS = (
-    ("hex", _HEX), ("HEX", _HEX.upper()), ("base32", _UPPER + "234567"),
-    ("lower36", _DIGIT + _LOWER), ("upper36", _DIGIT + _UPPER), ("base62", _DIGIT + _UPPER + _LOWER),
+    ("hex", _HEX), ("HEX", _HEX.upper()), ("lower26", _LOWER), ("upper26", _UPPER),
+    ("base32", _UPPER + "234567"), ("lower36", _DIGIT + _LOWER), ("upper36", _DIGIT + _UPPER),
+    ("letters52", _UPPER + _LOWER), ("base62", _DIGIT + _UPPER + _LOWER),
     ("base64", _UPPER + _LOWER + _DIGIT + "+/"), ("base64url", _UPPER + _LOWER + _DIGIT + "-_"),
 )
 
@@ -60,10 +67,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def encoding(token: str) -> tuple[str, str] | None:
     """(name, alphabet) of the narrowest encoding that holds the token; none
-    for tokens of letters or digits only, which words and numbers are too."""
-    body = token.rstrip("=")
-    chars = set(body)
-    if not (chars & set(_DIGIT)) or not (chars - set(_DIGIT)):
+    for tokens of digits only, which numbers are too."""
+    chars = set(token.rstrip("="))
+    if not chars - set(_DIGIT):
         return None
     return next(((n, a) for n, a in ALPHABETS if chars <= set(a)), None)
 
@@ -126,17 +132,38 @@ def class_changes_p(token: str) -> float:
     separator don't count."""
     kind = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "" for c in token]
     changes = sum(a != b and a != "" != b for a, b in zip(kind, kind[1:]))
-    n, p = len(kind) - 1, 1 / 8
+    return _binomial_tail(changes, len(kind) - 1, 1 / 8)
+
+
+def _binomial_tail(seen: int, n: int, p: float) -> float:
     if n > 400:
-        return 0.5 * math.erfc((changes - n * p) / math.sqrt(2 * n * p * (1 - p)))
+        return 0.5 * math.erfc((seen - n * p) / math.sqrt(2 * n * p * (1 - p)))
     tail, term = 0.0, (1 - p) ** n
     for k in range(n + 1):
-        if k >= changes:
+        if k >= seen:
             tail += term
         term *= (n - k) / (k + 1) * p / (1 - p)
     return min(1.0, tail)
 
 
+def rare_letters_p(token: str) -> float:
+    """How likely ordinary words hold as many of the letters jkqvwxyz: about
+    one letter in twelve of theirs at most is one, of random ones three in ten."""
+    letters = [c for c in token.lower() if c in _LOWER]
+    return _binomial_tail(sum(c in "jkqvwxyz" for c in letters), len(letters), 1 / 10)
+
+
+def ordinary_p(body: str) -> float:
+    """The p-value of the changes of character class; for tokens without a
+    digit, whose words may be joined by capitals, combined with that of the
+    letters themselves (Fisher)."""
+    p = class_changes_p(body)
+    if set(body) & set(_DIGIT):
+        return p
+    both = p * rare_letters_p(body)
+    return both * (1 - math.log(both)) if both > 0 else 0.0
+
+
 def battery(token: str) -> float | None:
     """The p-value that ordinary text looks as random as the token; none if
     it is no candidate or a test (Bonferroni over three) finds it not random."""
@@ -146,7 +173,7 @@ def battery(token: str) -> float | None:
     body, place = token.rstrip("="), {c: i for i, c in enumerate(enc[1])}
     at = [place[c] for c in body]
     tests = (uniformity_p(at, len(place)), runs_p(at, len(place)), serial_p(at))
-    return None if 3 * min(tests) < TEST_LEVEL else class_changes_p(body)
+    return None if 3 * min(tests) < TEST_LEVEL else ordinary_p(body)
 
 
 def band(length: int) -> int:
@@ -177,15 +204,28 @@ def false_discovery_cells(counts: list[tuple[int, int, int]], fdr: float = FDR)
 
 def claims(text: str | None) -> list[tuple[int, int, int, int]]:
     """(start, end, band, cell) of the tokens that pass the test battery and
-    overlap no pattern's span."""
+    lie in no pattern's span."""
     out = []
     for m in CANDIDATE.finditer(text or ""):
-        p = battery(m[0])
-        if p is not None:
-            out.append((m.start(), m.end(), band(len(m[0])), _cell(p)))
+        out += _random_in(m[0], m.start(), PARTS)
     if out:
         base = base_spans(text)
-        out = [c for c in out if not any(s < c[1] and c[0] < e for s, e, _ in base)]
+        out = [c for c in out if not any(s <= c[0] and c[1] <= e for s, e, _ in base)]
+    return out
+
+
+def _random_in(token: str, at: int, parts: tuple) -> list[tuple[int, int, int, int]]:
+    """The token, or if the battery finds it not random, the parts that pass."""
+    p = battery(token)
+    if p is not None:
+        return [(at, at + len(token), band(len(token)), _cell(p))]
+    out = []
+    for k, part in enumerate(parts):
+        found = [m for m in part.finditer(token) if len(m[0]) >= MIN_RANDOM]
+        if [m[0] for m in found] != [token]:
+            for m in found:
+                out += _random_in(m[0], at + m.start(), parts[k + 1:])
+            break
     return out
 
 

@@ -89,3 +89,49 @@ def test_redaction(docs_of):
     assert out[1].text == 'first [secret]" then [secret] end' and out[1].n_chars == len(out[1].text)
     assert out[2].text is None and out[3].text == "clean"
     assert secret_scan.without_secrets(df.limit(0)).count() == 0
+
+
+def spans_of(docs_of, texts):
+    rows = {r.doc_id: r for r in secret_scan.scan(docs_of(texts)).collect()}
+    return [[(int(s), int(e)) for k, s, e in (x.split(":") for x in rows[i].spans.split(",") if x) if k == "random"]
+            for i in range(len(texts))]
+
+
+def test_random_tokens_after_equals_signs_and_in_urls(docs_of):
+    rng = random.Random(11)
+    frames = ["AWS_SECRET_ACCESS_KEY=%s", "see https://h.example/a?sig=%s&x=1 there", "?sig=%s", "x=%s;",
+              "export SESSION_SIGNING_SALT=%s\n", "get https://h.example/files/of/all/users/%s/download now"]
+    made = [(f, base64.urlsafe_b64encode(rng.randbytes(30)).decode()) for f in frames for _ in range(30)]
+    texts = [f % s for f, s in made]
+    for f in frames:
+        got = [any(t[a:b].find(s) >= 0 for a, b in sp)
+               for (g, s), t, sp in zip(made, texts, spans_of(docs_of, texts)) if g == f]
+        assert sum(got) >= 0.8 * len(got), f
+    # a name is no secret, and padding is not the sign before a value
+    assert spans_of(docs_of, ["AWS_SECRET_ACCESS_KEY_OF_ALL=x", "a_long_name_of_a_setting=" + "word " * 5]) == [[], []]
+
+
+def test_random_letters_and_ordinary_words(docs_of):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = ["".join(rng.choices(letters + letters.upper(), k=40)) for _ in range(40)]
+    made += ["".join(rng.choices(letters, k=64)) for _ in range(40)]
+    words = ["internationalization", "Donaudampfschifffahrtsgesellschaft", "abstractSingletonProxyFactoryBean",
+             "RequestHandlerFactoryImplementation", "ALL_RIGHTS_RESERVED_BY_OWNER", "this-is-a-long-slug-of-a-page",
+             "anticonstitutionnellement", "Rechtsschutzversicherungsgesellschaften"]
+    found = spans_of(docs_of, ["a " + x + " z" for x in made + words])
+    assert sum(map(bool, found[:40])) >= 32 and sum(map(bool, found[40:80])) >= 28
+    assert not any(found[80:])
+
+
+def test_random_token_around_a_pattern(docs_of):
+    """The rest of a random token that holds a shorter pattern's span."""
+    rng = random.Random(13)
+    texts = []
+    for _ in range(20):
+        a, b = (base64.b64encode(rng.randbytes(24)).decode() for _ in range(2))
+        texts.append(f"key {a}{'%016x' % rng.getrandbits(64)}X{b} end")
+    found = spans_of(docs_of, texts)
+    assert sum(map(bool, found)) >= 16
+    out = [r.text for r in secret_scan.without_secrets(docs_of(texts)).collect()]
+    assert sum(t == "key [secret] end" for t in out) >= 16

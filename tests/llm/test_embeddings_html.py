@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from prodsearch.llm import embed_dedup, html_text, queries
 
@@ -68,6 +69,31 @@ def test_embedding_edges(spark):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_a_mass_of_near_equal_vectors_in_blocks(spark, monkeypatch):
+    """Blocks of a large leaf: right counts, and far fewer rows than pairs."""
+    monkeypatch.setattr(embed_dedup, "GROUP", 200)
+    monkeypatch.setattr(embed_dedup, "LEAF", 50)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1800, 32))
+    x[:700] = x[0] + rng.normal(size=(700, 32)) * 0.05
+    x[700:720] = x[1]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = brute_links(list(range(len(x))), x)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df).collect()}
+    assert want[0][0] == 719 and got == want
+    points = embed_dedup.usable(df, "vec_id", "embedding").dropDuplicates(["key"]).select("key", "v", F.lit(1).cast("long").alias("copies"))
+    assert embed_dedup.point_links(points, 32).count() < 30_000 < 700 * 699 / 2
+
+
+def test_depth_follows_the_number_of_vectors():
+    rng = np.random.default_rng(4)
+    p = rng.normal(size=(1 << 15, 12))
+    at = embed_dedup.fit_tree(p)
+    rows, leaf = embed_dedup.route(p, at, 0.0)
+    assert len(rows) == len(p) and len(np.unique(leaf)) == 1 << 12
+    assert np.bincount(leaf).max() <= 16
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style><script>var a="<p>no</p>";</script>
 </head><body><header>Site</header><nav><ul><li><a href="/x">Menu</a></li></ul></nav><!-- <p>gone</p> -->
 <div class="cookie-notice">Cookies!</div><div class="ad">Buy.</div><aside>Side</aside>

@@ -2,7 +2,9 @@
 
 A page is read into blocks (lines of text), those in menus, headers,
 footers, sidebars, notices, adverts, forms and comments left out by their
-markup. What markup does not tell shows by difference: pages are put in the
+markup, but for an element that holds the longest article or most of the
+page's text; if more prose stands outside the articles than in them, all that
+is left counts as main text. What markup does not tell shows by difference: pages are put in the
 order of host and URL path, each is aligned with its neighbours on the same
 host by longest common subsequence of lines, and the shared lines are
 deleted. Inside an article's own markup a shared line goes only if it is a
@@ -55,6 +57,8 @@ _ASIDE = re.compile(
     r"widget|toolbar|pagination|pager|copyright|disclaimer|complementary|contentinfo)(?=$|[\s_-])", re.I)
 _DROPPED = frozenset("nav header footer aside form menu dialog button head".split())
 _MAIN = frozenset(("article", "main"))
+_MENUS = frozenset("nav menu dialog button".split())     # kept for an article inside, not for their own words
+MOST_CHARS = 100            # an element this long may hold most of a page
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr picture source".split())
@@ -64,21 +68,24 @@ _ENDS = re.compile(r"[.!?…:;。]['\")\]»”]*\Z")
 
 def blocks(page: str | None) -> list[tuple[str, bool]]:
     """(text, inside an article) of the page's blocks in order."""
-    out: list[tuple[str, bool]] = []
+    out: list[tuple[str, tuple, int]] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []     # open elements: name, dropped, main
+    # open elements: name, the left-out elements and the outermost article around their text
+    stack: list[tuple[str, tuple, int]] = []
+    soft: list[bool] = []       # of each left-out element, whether its own words may keep it
+    hidden: set[int] = set()
+    mains = 0
 
     def close():
         line = " ".join(entities.unescape("".join(text)).split())
         text.clear()
         if line:
-            out.append((line, stack[-1][2] if stack else False))
+            out.append((line, *(stack[-1][1:] if stack else ((), 0))))
 
     at = 0
     page = page or ""
     for m in _TOKEN.finditer(page):
-        dropped = bool(stack) and stack[-1][1]
-        if not dropped and m.start() > at:
+        if m.start() > at:
             text.append(page[at:m.start()])
         at = m.end()
         name = m[3] and m[3].lower()
@@ -99,38 +106,85 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
             # an open paragraph or list item ends where another block begins
             if stack and stack[-1][0] == "p" or stack and name == "li" and stack[-1][0] == "li":
                 stack.pop()
-                dropped = bool(stack) and stack[-1][1]
         elif name == "br":
             text.append(" ")
-        main = bool(stack) and stack[-1][2]
+        around, main = stack[-1][1:] if stack else ((), 0)
         # an article's own header holds its title
-        drop = dropped or (name in _DROPPED and not (name == "header" and main)) or (
-            name not in ("body", "html") and name not in _MAIN and _named_aside(m[4])) or (
-            name in _MAIN and main and _named_aside(m[4]))
+        unseen = bool(_HIDDEN.search(m[4])) and name not in ("body", "html")
+        named = name not in ("body", "html") and (name not in _MAIN or main) and _named_aside(m[4], bool(main))
+        drop = named or (name in _DROPPED and not (name == "header" and main))
         if name in _VOID or m[4].endswith("/"):
             continue
-        if inline and not (drop and not dropped):
+        if inline and not drop:
             continue                # inline elements are followed only where one is left out
-        stack.append((name, drop, main or name in _MAIN))
-    if at < len(page) and not (stack and stack[-1][1]):
+        if inline:
+            close()
+        if drop:
+            if unseen:
+                hidden.add(len(soft))
+            around += (len(soft),)
+            soft.append(name not in _MENUS)
+        if name in _MAIN and not main:
+            mains += 1
+            main = mains
+        stack.append((name, around, main))
+    if at < len(page):
         text.append(page[at:].split("<", 1)[0] if re.match(r"[^<]*<[a-zA-Z/!]", page[at:]) else page[at:])
     close()
-    return out
-
-
-def _named_aside(attributes: str) -> bool:
+    return _kept([b for b in out if not hidden.intersection(b[1])], soft)
+
+
+def _kept(out: list[tuple[str, tuple, int]], soft: list[bool]) -> list[tuple[str, bool]]:
+    """The blocks outside the left-out elements. The elements around the
+    longest article are not left out; without an article, those that hold
+    most of the page's text."""
+    held, inside, first = defaultdict(int), defaultdict(int), {}
+    for line, around, main in out:
+        for e in around:
+            held[e] += len(line)
+        if main:
+            # the elements around the article itself come first in its blocks' lists
+            first[main] = around if main not in first else _common(first[main], around)
+    for line, around, main in out:
+        if main and around == first[main]:
+            inside[main] += len(line)
+    back: set[int] = set()
+    if inside:
+        back.update(first[max(inside, key=lambda k: (inside[k], -k))])
+    else:
+        total = sum(len(x[0]) for x in out)
+        back.update(e for e, n in held.items() if soft[e] and n >= MOST_CHARS and 2 * n > total)
+    return [(line, bool(main)) for line, around, main in out if back.issuperset(around)]
+
+
+def _common(a: tuple, b: tuple) -> tuple:
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return a[:n]
+
+
+def _named_aside(attributes: str, in_article: bool) -> bool:
     if not attributes:
         return False
     if _HIDDEN.search(attributes):
         return True
-    return any(_ASIDE.search(next(filter(None, m.groups()), "")) for m in _NAMES.finditer(attributes))
+    # an article's own header holds its title
+    return any(not in_article or w[1].lower() != "header" for m in _NAMES.finditer(attributes)
+               for w in _ASIDE.finditer(next(filter(None, m.groups()), "")))
+
+
+def _prose(line: str) -> int:
+    return len(line) if len(line.split()) > LABEL_WORDS or _ENDS.search(line) else 0
 
 
 def candidates(page: str | None) -> list[tuple[str, bool]]:
-    """The blocks that may be main text: those of the article, if the page
-    marks one, or else all."""
+    """The blocks that may be main text: those of the articles, if the page
+    marks them and has no more prose outside, or else all."""
     b = blocks(page)
-    return [x for x in b if x[1]] if any(x[1] for x in b) else b
+    inside = [x for x in b if x[1]]
+    prose = sum(_prose(t) for t, _ in inside)
+    return inside if inside and sum(_prose(t) for t, _ in b) <= 2 * prose else b
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:

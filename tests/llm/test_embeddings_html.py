@@ -160,3 +160,26 @@ def test_neighbours_cross_task_borders(spark):
     lines = html_text.page_lines(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5),
                                  "page_id", "url", "html")
     assert html_text.neighbours(lines).count() == 49
+
+
+STORY = "<p>A story that takes a good many words to tell, since it happened long ago.</p>" * 3
+LINE = "A story that takes a good many words to tell, since it happened long ago."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='content has-sidebar'><nav>Menu</nav><article>{STORY}</article></div>", [LINE] * 3),
+    (f"<div class='content no-sidebar'><div class=sidebar>Links</div>{STORY}</div>", [LINE] * 3),
+    (f"<article><header class='entry-header'><h1>Its title</h1></header>{STORY}</article>", ["Its title"] + [LINE] * 3),
+    (f"<article><div class='entry-header'><h1>Its title</h1></div>{STORY}<div class=share>Share</div></article>",
+     ["Its title"] + [LINE] * 3),
+    (f"<form id=f><header>Site</header><input name=q><main>{STORY}</main><footer>me</footer></form>", [LINE] * 3),
+    (f"<form id=f><nav>Menu</nav>{STORY}</form>", [LINE] * 3),
+    (f"<div>{STORY}</div><article><p>Teaser of another story.</p></article>", [LINE] * 3 + ["Teaser of another story."]),
+    (f"<article>{STORY}</article><div class=related><article><p>Teaser.</p></article></div><ul><li>Home<li>News</ul>", [LINE] * 3),
+    (f"<article><p>Short.</p></article><section class=comments>{STORY}</section>", ["Short."]),
+    (f"<div style='display:none'><article>{STORY}</article></div><p>Seen.</p>", ["Seen."]),
+    (f"<nav>{STORY}</nav><p>Seen.</p>", ["Seen."]),
+])
+def test_markup_does_not_lose_the_article(page, want):
+    got = [t for t, _ in html_text.candidates(f"<html><body class='has-sidebar'>{page}</body></html>")]
+    assert got == want

@@ -8,8 +8,11 @@ is left counts as main text. What markup does not tell shows by difference: page
 order of host and URL path, each is aligned with its neighbours on the same
 host by longest common subsequence of lines, and the shared lines are
 deleted. Inside an article's own markup a shared line goes only if it is a
-short label, since articles may quote the same passage; a page that shares
-most of its words with its neighbour is a copy of it, and loses nothing.
+short label, since articles may quote the same passage. Pages with equal lines
+are one page. A page that shares most of the words of the larger one with its
+neighbour is a copy of it, and loses only the host's template: lines that three
+or more pages and most pages of the host have. The template's words don't make
+a copy, unless they are nearly all of a page.
 
 The order is a range partition of hashes of lines, not of pages: a mass of
 pages of one host is spread over tasks, and neighbours across the border of
@@ -40,6 +43,8 @@ from prodsearch.session import cut_lineage
 
 LABEL_WORDS = 6             # a shared line of an article goes if it is this short and no sentence
 COPY_SHARE = 0.5            # more shared words than this: a copy of the neighbour
+TEMPLATE_PAGES = 3          # a line of the host's template is on as many pages and on most of them
+OWN_SHARE = 0.2             # fewer words besides the template: its lines may be the text of copies
 MAX_BROADCAST_MASKS = 500_000
 
 _TOKEN = re.compile(
@@ -253,6 +258,24 @@ def _line_hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
+def distinct_pages(lines: DataFrame) -> DataFrame:
+    """One row per host and list of lines, named by ``same``, which becomes the
+    key, at its first path; ``may`` is 2 or 3 for lines of the host's template."""
+    one = cut_lineage(lines.groupBy("host", F.col("same").alias("key")).agg(
+        F.min("path").alias("path"), F.first("lines").alias("lines"), F.first("words").alias("words"),
+        F.first("may").alias("may")))
+    pages = one.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= TEMPLATE_PAGES)
+    on = (one.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+          .groupBy("host", "line").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= TEMPLATE_PAGES))
+    # at most twice as many lines as a page of the host has on average
+    template = (on.join(pages, "host").where(2 * F.col("c") > F.col("n"))
+                .groupBy("host").agg(F.collect_list("line").alias("template")))
+    known = one.join(broadcast_if_small(cut_lineage(template), MAX_BROADCAST_MASKS), "host", "left")
+    return known.withColumn("may", F.when(F.col("template").isNull(), F.col("may")).otherwise(F.zip_with(
+        "lines", "may", lambda x, m: m + F.when(F.array_contains("template", x), 2).otherwise(0)))
+    ).select("key", "host", "path", "lines", "words", "may")
+
+
 def neighbours(lines: DataFrame) -> DataFrame:
     """Pairs of rows next to each other in the order of host and path, on one
     host: (key, lines, words, may, key_b, lines_b, words_b, may_b)."""
@@ -299,11 +322,19 @@ def shared_lines(pairs: DataFrame) -> DataFrame:
             keys, gone = [], []
             for r in b.to_pylist():
                 both = common_lines(r["lines"], r["lines_b"])
-                shared = sum(r["words"][i] for i, _ in both)
-                if shared > COPY_SHARE * min(sum(r["words"]), sum(r["words_b"])):
-                    both = []
-                for key, at in ((r["key"], [i for i, _ in both if r["may"][i]]),
-                                (r["key_b"], [j for _, j in both if r["may_b"][j]])):
+                sides = ((r["words"], r["may"]), (r["words_b"], r["may_b"]))
+                own = [sum(w for w, m in zip(*s) if m < 2) for s in sides]
+                template = all(o >= OWN_SHARE * sum(s[0]) for o, s in zip(own, sides))
+                rest = both
+                if template:
+                    rest = [(i, j) for i, j in both if r["may"][i] < 2]
+                else:
+                    own = [sum(s[0]) for s in sides]
+                if sum(r["words"][i] for i, _ in rest) > COPY_SHARE * max(own):
+                    alike = set(rest)
+                    both = [x for x in both if x not in alike]
+                for key, at in ((r["key"], [i for i, _ in both if r["may"][i] & 1]),
+                                (r["key_b"], [j for _, j in both if r["may_b"][j] & 1])):
                     if at:
                         keys.append(key)
                         gone.append(at)
@@ -317,7 +348,10 @@ def shared_lines(pairs: DataFrame) -> DataFrame:
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text (blocks joined by an empty line) and n_chars."""
-    masks = cut_lineage(shared_lines(neighbours(page_lines(pages, page_id, url, html))))
+    lines = cut_lineage(page_lines(pages, page_id, url, html).withColumn("same", F.xxhash64("host", "lines", "may")))
+    gone = cut_lineage(shared_lines(neighbours(distinct_pages(lines))))
+    masks = cut_lineage(lines.select("key", F.col("same")).distinct().join(
+        broadcast_if_small(gone.withColumnRenamed("key", "same"), MAX_BROADCAST_MASKS), "same").select("key", "gone"))
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"),
                         F.col(f"`{html}`").alias("html"),
                         F.xxhash64(f"`{page_id}`", f"`{url}`", f"`{html}`").alias("key"))

@@ -183,3 +183,30 @@ LINE = "A story that takes a good many words to tell, since it happened long ago
 def test_markup_does_not_lose_the_article(page, want):
     got = [t for t, _ in html_text.candidates(f"<html><body class='has-sidebar'>{page}</body></html>")]
     assert got == want
+
+
+def test_templates_copies_and_stubs(spark):
+    """A template heavier than the articles goes; copies keep their text but
+    not the template; a stub does not protect its neighbour."""
+    def words(n, tag):
+        return " ".join(f"{tag}{i}" for i in range(n)) + "."
+
+    def page(*lines):
+        return "<html><body>" + "".join(f"<p>{x}</p>" for x in lines) + "</body></html>"
+    top, end = words(30, "top"), words(30, "end")
+    rows = [(k, f"http://heavy.example/{k}", page(top, words(40, f"k{k}x"), end)) for k in range(6)]
+    story = [words(20, f"s{i}") for i in range(6)]
+    near = {k: [*story[:5], words(20, f"n{k}x")] for k in range(3)}
+    rows += [(10 + k, f"http://copies.example/b{k}", page(top, *near[k], end)) for k in range(3)]
+    rows += [(20 + k, f"http://copies.example/b1?again={k}", page(top, *near[1], end)) for k in range(3)]
+    rows += [(30 + k, f"http://copies.example/{c}", page(top, words(90, f"o{k}x"), end)) for k, c in enumerate("acdefg")]
+    rows += [(40, "http://stub.example/a", page(top)), (41, "http://stub.example/b", page(top, words(90, "long")))]
+    rows += [(50 + k, f"http://only.example/{k}", page(*near[k])) for k in range(3)]
+    got = {r.page_id: r.text.split("\n\n") for r in html_text.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(6):
+        assert got[k] == [words(40, f"k{k}x")]
+        assert got[30 + k] == [words(90, f"o{k}x")]
+    for k in range(3):
+        assert got[10 + k] == near[k] and got[20 + k] == near[1] and got[50 + k] == near[k]
+    assert got[41] == [words(90, "long")]

@@ -16,6 +16,7 @@ from prodsearch.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     token_count,
@@ -74,6 +75,28 @@ def op10_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_docs(spark, d), public_tokenizers.path(BPE))
 
 
+def runs_digest(runs: DataFrame) -> DataFrame:
+    """The digest columns of ``periodic_runs``' rows."""
+    r = F.col("runs")
+    # greatest length, then smallest start, then smallest period
+    best = F.array_max(F.transform(r, lambda x: F.struct(
+        x["length"].alias("n"), (-x["start"]).alias("s"), (-x["period"]).alias("q"))))
+    lines = F.array_join(F.transform(r, lambda x: F.concat_ws(
+        ",", x["start"], x["length"], x["period"])), "\n")
+    listed = F.when(F.size(r) > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return runs.select("doc_id", "runs", "collapsed", best.alias("b")).select(
+        "doc_id", F.size(r).cast("long").alias("n_runs"), (-F.col("b.s")).alias("start"),
+        F.col("b.n").alias("length"), (-F.col("b.q")).alias("period"),
+        F.floor(F.expr("1000 * b.n div -b.q")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(_docs(spark, d).select("doc_id", "text"))
+    return runs_digest(periodic_runs.periodic_runs(docs))
+
+
 BPE = "byte_bpe_50k.json"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -205,6 +228,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE = {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from prodsearch.llm import (
     brown_lm,
+    cutting_stock,
     embed_dedup,
     html_text,
     langid,
@@ -17,6 +18,7 @@ from prodsearch.llm import (
     ngram_join,
     packing,
     periodic_runs,
+    prefix_trie,
     quality,
     secret_scan,
     token_count,
@@ -75,6 +77,10 @@ def op10_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_docs(spark, d), public_tokenizers.path(BPE))
 
 
+def op11_cutting_stock(spark: SparkSession, d: str) -> DataFrame:
+    return cutting_stock.pack(_docs(spark, d), public_tokenizers.path(BPE))
+
+
 def runs_digest(runs: DataFrame) -> DataFrame:
     """The digest columns of ``periodic_runs``' rows."""
     r = F.col("runs")
@@ -97,6 +103,11 @@ def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     return runs_digest(periodic_runs.periodic_runs(docs))
 
 
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    turns = prefix_trie.conversation_turns(spark.read.parquet(f"{d}/conversations.parquet"))
+    return prefix_trie.trie_nodes(prefix_trie.with_borrowed_heads(turns))
+
+
 BPE = "byte_bpe_50k.json"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -217,6 +228,36 @@ OP5_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, {_words(_LOWER)} AS w FROM doc
         least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
     FROM w LEFT JOIN sizes ON w.doc_id = sizes.doc_id LEFT JOIN least_of ON w.doc_id = a"""
 
+# crc32 of a string of digits, bit by bit
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+            string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [ord(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))"""
+
+OP13_SQL = f"""WITH own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+            ORDER BY turn NULLS FIRST, role, text) AS w FROM conversations
+            WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        hashed AS (SELECT *, {_CRC} % 9 AS h FROM own),
+        rebuilt AS (SELECT a.conv_id, list_concat(coalesce(b.w[1:a.h], []), a.w[a.h + 1:]) AS w
+            FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+        members AS (SELECT conv_id, len(w) AS n, unnest(range(0, len(w) + 1)) AS d, w FROM rebuilt),
+        keyed AS (SELECT conv_id, d, n, md5(w[1:d]::JSON::VARCHAR) AS k, strlen(w[d].t) AS b FROM members),
+        nodes AS (SELECT k, d, min(conv_id) AS low, count(*)::BIGINT AS n_convs, any_value(b) AS b,
+            string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ended
+            FROM keyed GROUP BY k, d),
+        up AS (SELECT DISTINCT c.k, p.k AS pk FROM keyed c JOIN keyed p
+            ON c.conv_id = p.conv_id AND p.d = c.d - 1),
+        kids AS (SELECT pk AS k, count(*)::BIGINT AS n_children FROM up GROUP BY pk),
+        under AS (SELECT DISTINCT p.k AS top, c.k AS k FROM keyed p JOIN keyed c
+            ON c.conv_id = p.conv_id AND c.d >= p.d),
+        sums AS (SELECT top, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+            sum(CASE WHEN d > 0 THEN (n_convs - 1) * b ELSE 0 END)::BIGINT AS saved_tokens
+            FROM under JOIN nodes USING (k) LEFT JOIN kids USING (k) GROUP BY top)
+    SELECT n.low AS conv_id, n.d AS depth, p.low AS parent_conv_id, n.n_convs,
+        coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens,
+        sha256(coalesce(n.ended, '')) AS ends_sha256
+    FROM nodes n LEFT JOIN up ON n.k = up.k LEFT JOIN nodes p ON up.pk = p.k
+        LEFT JOIN kids ON n.k = kids.k JOIN sums ON n.k = sums.top"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -228,7 +269,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "op11_cutting_stock": op11_cutting_stock,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {
@@ -236,4 +279,5 @@ ORACLE = {
     "op2_quality": OP2_SQL,
     "op3_embedding_dedup": OP3_SQL,
     "op5_ngram_join": OP5_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

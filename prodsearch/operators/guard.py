@@ -43,3 +43,15 @@ def row_hash(df: DataFrame):
     cols = [F.to_json(F.col(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
             for f in df.schema.fields]
     return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan dealt over all cores where the scan has fewer
+    partitions than the session has cores (small files, whose row groups can't
+    be split): what follows may be heavy on the CPU. A scan of many splits, or
+    a plan that shuffles already, stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

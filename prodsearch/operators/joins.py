@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import guard
 
 
@@ -66,29 +67,33 @@ def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool,
 
 def _salted_left_join(b: DataFrame, o: DataFrame, keys: list[str], hot_rows: int,
                       salt_cols: list[str] | None = None, null_safe: bool = False) -> DataFrame:
-    """Left join that splits hot keys: a key with n > hot_rows option rows
-    gets ceil(n / hot_rows) salts; its option rows are spread over the salts
-    by a deterministic hash and its base rows are repeated once per salt, so
-    each (key, salt) task sees about hot_rows option rows. Cold keys keep
-    salt 0 and plain left-join semantics. A replica of a hot base row whose
-    salt drew no option would add a null row; hot keys always have options,
-    so those rows are dropped and every result row appears exactly once.
-    The salt is a hash of ``salt_cols`` (whole row if None): deterministic,
-    so a retried task sends each row to the same salt."""
+    """Left join that splits hot keys, and only these. One job counts option
+    rows by key (it reads the keys only); without a key of more than
+    ``hot_rows`` option rows the join is the plain one. Else the two sides are
+    parted: cold keys are joined plainly, and a hot key with n option rows gets
+    ceil(n / hot_rows) salts. Its option rows are spread over the salts by a
+    deterministic hash and its base rows are repeated once per salt, so each
+    (key, salt) task sees about hot_rows option rows. A replica of a base row
+    whose salt drew no option would add a null row; hot keys always have
+    options, so the salted part is an inner join and every result row appears
+    exactly once. The salt is a hash of ``salt_cols`` (whole row if None), so a
+    retried task sends each row to the same salt. At most one key in
+    ``hot_rows`` rows is hot, so the list of hot keys is small beside the data."""
+    hot = (o.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > hot_rows)
+           .select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")))
+    if hot.isEmpty():
+        return _on(b, o, keys, null_safe, "left")
+    hot = guard.broadcast_if_small(cut_lineage(hot), 1_000_000)
+    names = hot.select(*keys)
     row = guard.row_hash(o) if not salt_cols else F.xxhash64(*[F.col(c) for c in salt_cols])
-    counts = (o.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-              .where(F.col("__n") > hot_rows)
-              .select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")))
-    os_ = (_on(o, counts, keys, null_safe, "left")
-           .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
-               F.pmod(row, F.col("__salts"))))
-           .drop("__salts").withColumn("__hit", F.lit(True)))
-    bs = (_on(b, counts, keys, null_safe, "left")
-          .withColumn("__salt", F.explode(F.sequence(
-              F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))))
-    j = _on(bs, os_, [*keys, "__salt"], null_safe, "left")
-    return (j.where(F.col("__salts").isNull() | F.col("__hit").isNotNull())
-            .drop("__salt", "__salts", "__hit"))
+    cold = _on(_on(b, names, keys, null_safe, "left_anti"), _on(o, names, keys, null_safe, "left_anti"),
+               keys, null_safe, "left")
+    options = (_on(o, hot, keys, null_safe, "inner").withColumn("__salt", F.pmod(row, F.col("__salts")))
+               .drop("__salts"))
+    bases = (_on(b, hot, keys, null_safe, "inner")
+             .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts"))
+    return cold.unionByName(_on(bases, options, [*keys, "__salt"], null_safe, "inner").drop("__salt"))
 
 
 def option_only_fallback(base: DataFrame, options: DataFrame, keys: Sequence[str],
@@ -130,47 +135,80 @@ def label_lookup(df: DataFrame, code_col: str, dim: DataFrame, dim_code: str,
             .drop("__code", "__label"))
 
 
-# Pieces of texts and patterns are cut at these characters.
-PIECES = r"[\x20\x09-\x0D]+"
+# Window lengths of the index: a pattern uses the longest that fits it.
+GRAM_SIZES = (8, 4, 3, 2, 1)
+GRAMS_PER_PATTERN = 16      # evenly spaced windows of a pattern that may be its anchor
+DIRECT_NAMES = 200          # names of a key up to which each answer is tested against all
+MAX_BROADCAST_ROWS = 1_000_000
 
 
-def _pieces(text: Column) -> Column:
-    return F.filter(F.split(text, PIECES), lambda x: x != "")
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where the
+    body uses it for every element of an array."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _gram(chars: Column, at: Column, n: int) -> Column:
+    """Hash of the n characters from position ``at`` (0-based) on."""
+    return F.xxhash64(F.lit(n), *[F.get(chars, at + k) for k in range(n)])
+
+
+def _text_grams(text: Column, sizes: Sequence[int]) -> Column:
+    """Hashes of all windows of these lengths. The text becomes an array of
+    characters once, so the cost is linear in its length."""
+    def windows(chars):
+        def of(n):
+            starts = F.slice(chars, F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(0)))
+            return F.transform(starts, lambda _c, i: _gram(chars, i, n))
+        return F.concat(*map(of, sizes)) if len(sizes) > 1 else of(sizes[0])
+    return _bound(F.split(text, ""), windows)
+
+
+def _pattern_grams(pattern: Column, n: int) -> Column:
+    """Hashes of up to GRAMS_PER_PATTERN evenly spaced windows of length n."""
+    def windows(chars):
+        last = F.size(chars) - n
+        steps = F.least(last, F.lit(GRAMS_PER_PATTERN - 1))
+        at = F.transform(F.sequence(F.lit(0), steps), lambda j: F.when(
+            steps > 0, F.floor(j * last / steps)).otherwise(0).cast("int"))
+        return F.array_distinct(F.transform(at, lambda i: _gram(chars, i, n)))
+    return _bound(F.split(pattern, ""), windows)
 
 
 def _contained(texts: DataFrame, patterns: DataFrame, ids: Sequence[str], text: str,
                scope: Sequence[str] = ()) -> DataFrame:
     """(ids, pid) of the texts that contain a pattern of their scope. texts:
-    ids (the scope columns among them) and text; patterns: pid, p and scope,
-    each p with a piece that is not blank.
-
-    A text that contains a pattern has a word that contains the pattern's
-    longest piece. So each distinct word of all texts is cut into substrings of
-    the lengths such pieces have, these meet the pieces in an equi-join, and
-    the words found lead back to their texts. Patterns of more than one piece
-    are then verified with ``contains``; no text meets every pattern.
+    ids (the scope columns among them) and text; patterns: pid, p (not empty)
+    and scope.
+
+    A q-gram index with rarest anchors. Some windows of each pattern are
+    looked up among all windows of the texts (fixed lengths, so a text gives as
+    many windows as it has characters, whatever it is made of; only windows of
+    patterns go on). The one that the fewest texts hold becomes the pattern's
+    anchor, the texts that hold it are its only candidates, and ``contains``
+    decides. A pattern with a window that no text holds has no candidate.
     """
     ids, scope = list(ids), list(scope)
-    by_length = F.array_sort(F.transform(_pieces(F.col("p")), lambda x: F.struct(
-        F.length(x).alias("n"), x.alias("x"))))
-    p = patterns.withColumn("__piece", F.element_at(by_length, -1)["x"]).withColumn(
-        "__whole", F.col("__piece") == F.col("p"))
-    words = texts.select(*ids, F.explode(F.array_distinct(_pieces(F.col(text)))).alias("__word"))
-    lengths = p.agg(F.collect_set(F.length("__piece")).alias("__lengths"))     # one row
-    parts = F.flatten(F.transform("__lengths", lambda n: F.when(
-        n <= F.length("__word"), F.transform(
-            F.sequence(F.lit(1), F.length("__word") - n + 1),
-            lambda k: F.substring(F.col("__word"), k, n))).otherwise(F.array().cast("array<string>"))))
-    vocabulary = (words.select("__word").distinct().crossJoin(lengths)
-                  .select("__word", F.explode(F.array_distinct(parts)).alias("__piece")))
-    found = vocabulary.join(p.select("__piece").distinct(), "__piece")
-    keys = p.select("pid", "p", "__piece", "__whole", *scope)
-    near = words.join(found, "__word").join(keys, ["__piece", *scope])
-    sure = near.where("__whole").select(*ids, "pid")
-    maybe = near.where(~F.col("__whole")).select(*ids, "pid", "p").distinct()
-    proven = (maybe.join(texts.select(*ids, F.col(text).alias("__text")), ids)
-              .where(F.col("__text").contains(F.col("p"))).select(*ids, "pid"))
-    return sure.union(proven).distinct()
+    length = F.length("p")
+    pats = patterns.withColumn("__n", F.coalesce(*[F.when(length >= n, F.lit(n)) for n in GRAM_SIZES]))
+    pats = pats.where("__n IS NOT NULL")
+    sizes = sorted(r[0] for r in pats.select("__n").distinct().collect())
+    if not sizes:
+        return texts.select(*ids, F.lit(None).cast(patterns.schema["pid"].dataType).alias("pid")).limit(0)
+    grams = F.coalesce(*[F.when(F.col("__n") == n, _pattern_grams(F.col("p"), n)) for n in sizes])
+    pats = pats.withColumn("__grams", grams)
+    asked = pats.select("pid", "p", *scope, F.size("__grams").alias("__k"), F.explode("__grams").alias("__g"))
+    wanted = guard.broadcast_if_small(asked.select(*scope, "__g").distinct(), MAX_BROADCAST_ROWS)
+    seen = texts.select(*ids, F.explode(_text_grams(F.col(text), sizes)).alias("__g"))
+    met = cut_lineage(seen.join(wanted, [*scope, "__g"]).select(*ids, "__g").distinct())
+    held_by = met.groupBy(*scope, "__g").agg(F.count(F.lit(1)).alias("__texts"))
+    anchors = (asked.join(held_by, [*scope, "__g"]).groupBy("pid", "p", *scope, "__k")
+               .agg(F.min(F.struct("__texts", "__g")).alias("__a"), F.count(F.lit(1)).alias("__met"))
+               .where("__met = __k").select("pid", "p", *scope, F.col("__a.__g").alias("__g")))
+    near = cut_lineage(met.join(anchors, [*scope, "__g"]).select(*ids, "pid", "p").distinct())
+    found = texts.select(*ids, F.col(text).alias("__text")).join(
+        guard.broadcast_if_small(near, MAX_BROADCAST_ROWS), ids)
+    return found.where(F.col("__text").contains(F.col("p"))).select(*ids, "pid").distinct()
 
 
 def grounding(answers: DataFrame, candidates: DataFrame, key: str, answer_id: str,
@@ -179,21 +217,27 @@ def grounding(answers: DataFrame, candidates: DataFrame, key: str, answer_id: st
     0 if the key has candidates but none occurs, null if it has none. A null
     name is a candidate that occurs nowhere, an empty one occurs everywhere.
 
-    Names are de-duplicated per key and found by their pieces (see
-    ``_contained``), so the work of a key with many names and answers is not
-    their product. Names without a piece, blank ones, are tested as they are.
+    Names are de-duplicated per key. A key with up to DIRECT_NAMES names has
+    each answer tested against them, in a join on the key; the names of larger
+    keys are found by their anchors (see ``_contained``), so the work of a key
+    is never the product of many names and its answers.
     """
     ids = [key] if answer_id == key else [key, answer_id]
     names = candidates.select(F.col(key), F.col(name).alias("p")).distinct()
     has = names.select(key).distinct().withColumn("__has", F.lit(0))
     asked = answers.select(*ids, F.col(text).alias("__t")).distinct()
-    pieces = F.coalesce(F.col("p").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    found = _contained(asked, names.where(pieces).withColumn("pid", F.lit(1)), ids, "__t", [key])
-    blank = names.where(~pieces & F.col("p").isNotNull())
-    a, b = asked.alias("a"), blank.alias("b")
-    everywhere = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & F.col("a.__t").contains(F.col("b.p")),
-                        "left_semi").select(*ids)
-    hits = found.select(*ids).union(everywhere).distinct().withColumn("__hit", F.lit(1))
+    large = names.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(
+        F.col("__n") > DIRECT_NAMES).select(key)
+    every = large.isEmpty()
+    direct = names if every else names.join(large, key, "left_anti").unionByName(
+        names.where("p = ''"))
+    a, b = asked.alias("a"), direct.alias("b")
+    hits = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & F.col("a.__t").contains(F.col("b.p")),
+                  "left_semi").select(*ids)
+    if not every:
+        many = names.where("p <> ''").join(large, key, "left_semi").withColumn("pid", F.lit(1))
+        hits = hits.union(_contained(asked, many, ids, "__t", [key]).select(*ids))
+    hits = hits.distinct().withColumn("__hit", F.lit(1))
     return (answers.join(hits, ids, "left").join(has, key, "left")
             .withColumn(out, F.coalesce(F.col("__hit"), F.col("__has")))
             .drop("__hit", "__has"))
@@ -202,24 +246,50 @@ def grounding(answers: DataFrame, candidates: DataFrame, key: str, answer_id: st
 def containment_join(texts: DataFrame, patterns: DataFrame, text_id: str, text_col: str,
                      pattern_id: str, pattern_col: str) -> DataFrame:
     """All (text_id, pattern_id) where the pattern is a substring of the text,
-    found by the patterns' pieces (see ``_contained``). Null patterns and
+    found by the patterns' rarest windows (see ``_contained``). Null patterns and
     patterns of white space only match nothing."""
     pats = (patterns.select(F.col(pattern_id).cast("long").alias("pid"), F.col(pattern_col).alias("p"))
             .where(F.col("p").rlike(r"[^\x20\x09-\x0D]")).distinct())
-    asked = texts.select(F.col(text_id), F.col(text_col).alias("__t")).where(F.col("__t").isNotNull())
+    asked = guard.spread(texts.select(F.col(text_id), F.col(text_col).alias("__t"))).where(
+        F.col("__t").isNotNull())
     return _contained(asked, pats, [text_id], "__t").withColumnRenamed("pid", pattern_id)
 
 
+SMALL_TAXONOMY = 512
+SMALL_TAXONOMY_BYTES = 64 * 1024
+
+
+def _classify_small(texts: DataFrame, text_col: str, tax: DataFrame, out: str, default: str) -> DataFrame:
+    """``classify_by_table`` for a taxonomy that fits one row."""
+    sets = (tax.where(F.col("__kw").rlike(r"[^\x20\x09-\x0D]")).groupBy("__label", "__ord")
+            .agg(F.collect_set("__kw").alias("kws")))
+    one = sets.agg(F.collect_list(F.struct("__label", "__ord", "kws")).alias("__tax"))
+
+    def best(t):
+        scored = F.transform("__tax", lambda x: F.struct(
+            F.size(F.filter(x["kws"], lambda k: F.contains(t, k))).alias("n"), (-x["__ord"]).alias("o"),
+            x["__label"].alias("l")))
+        return F.array_max(F.filter(scored, lambda s: s["n"] > 0))["l"]
+
+    found = _bound(F.lower(F.col(text_col)), best)
+    return (guard.spread(texts).crossJoin(F.broadcast(one))
+            .withColumn(out, F.coalesce(found, F.lit(default))).drop("__tax"))
+
+
 def classify_by_table(texts: DataFrame, text_id: str, text_col: str, taxonomy: DataFrame,
                       label: str = "label", ord_col: str = "ord", kw: str = "kw",
                       out: str = "label", default: str = "") -> DataFrame:
     """Keyword classification with the taxonomy as a table (any size): the
     label with the most distinct matching keywords wins, ties go to the
     smaller ``ord``; texts without a match get ``default``. Matching is
-    case-insensitive. Keywords are found by ``containment_join``, counted per (text, label) with a partial
+    case-insensitive. A taxonomy proven small (SMALL_TAXONOMY keywords) travels
+    as one row and is matched in an expression, without a shuffle. Beyond that keywords are
+    found by ``containment_join``, counted per (text, label) with a partial
     aggregate, and the best label per text is a ``max(struct)`` aggregate."""
     tax = taxonomy.select(F.col(label).alias("__label"), F.col(ord_col).alias("__ord"),
                           F.lower(F.col(kw)).alias("__kw"))
+    if guard.size_at_most(tax, SMALL_TAXONOMY, SMALL_TAXONOMY_BYTES) is not None:
+        return _classify_small(texts, text_col, tax, out, default)
     kws = tax.select("__kw").distinct().withColumn("__kid", F.xxhash64("__kw"))
     low = texts.select(text_id, F.lower(F.col(text_col)).alias("__t"))
     found = containment_join(low, kws.select("__kid", "__kw"), text_id, "__t", "__kid", "__kw")

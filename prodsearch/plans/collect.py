@@ -94,18 +94,29 @@ def collect_landing(spark: SparkSession, root: str, snapshot_ts: str,
     return recs, counts, bad.select(*P.GROUP, "pageNo", "_corrupt_record")
 
 
+def reported_totals(pages_df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """(prdt_div, reported): the totals that the groups with records reported,
+    from the pages alone (a group has records if one of its lists has any)."""
+    group = [*extra, *P.GROUP]
+    totals = P.complete_groups(pages_df, group).select(*group, "total_count")
+    filled = F.coalesce(F.size("result.baseList"), F.lit(0)) + F.coalesce(F.size("result.optionList"), F.lit(0)) > 0
+    held = (P.one_per_page(pages_df, group).where(filled)
+            .select(*group, P.division(pages_df).alias("prdt_div")).distinct())
+    return held.join(totals, group).groupBy(*extra, "prdt_div").agg(
+        F.sum("total_count").cast("long").alias("reported"))
+
+
 def collect_job(spark: SparkSession, root: str, out: str, snapshot_ts: str) -> DataFrame:
-    """Collect, then write records and, from the written records, the counts;
-    returns the counts."""
+    """Collect, then write records and counts; returns the counts. The record
+    counts are observed while the records are written, so these are computed
+    once. A repeated run of a snapshot replaces it."""
     pages_df = cut_lineage(P.read_pages(spark, root))
     recs = clean.tag_constants(merge_records(pages_df), {"snapshot_ts": snapshot_ts}).withColumn(
         "region_name", region_name(F.col("region_code")))
-    (recs.write.mode("append").partitionBy("prdt_div", "snapshot_ts").parquet(f"{out}/records"))
-    saved = (spark.read.schema(recs.schema).parquet(f"{out}/records")
-             .where(F.col("snapshot_ts") == snapshot_ts))
-    counts = clean.tag_constants(record_counts(saved.select(*P.GROUP, "prdt_div"), pages_df),
-                                 {"snapshot_ts": snapshot_ts})
-    files.write_counts(counts, f"{out}/counts")
+    written = files.write_raw(recs, f"{out}/records") or {}
+    records = spark.createDataFrame(list(written.items()), "prdt_div string, records long")
+    counts = records.join(reported_totals(pages_df), "prdt_div").select("prdt_div", "records", "reported")
+    files.write_counts(clean.tag_constants(counts, {"snapshot_ts": snapshot_ts}), f"{out}/counts")
     return spark.read.parquet(f"{out}/counts")
 
 

@@ -123,19 +123,23 @@ def product_statistics(products: DataFrame, product_type: str, run_time: str) ->
 
 
 def newest_raw_file(spark: SparkSession, root: str, product_type: str) -> str | None:
-    """The type's raw CSV with the latest snapshot time in its name."""
+    """The type's raw CSV (a file, or a folder of part files) with the latest
+    snapshot time in its name. Only names are listed, no content is read."""
     letter = {v: k for k, v in S.DIVISION_TYPES.items()}[product_type]
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", f"{letter}_*.csv").load(root)
-              .select("path", F.regexp_extract("path", files.SNAPSHOT_RE, 2).alias("ts")).where("ts <> ''"))
+    name = rf"^(.*/{letter}_(\d{{8}}_\d{{6}})\.csv)(?:/[^/]+)?$"
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "*.csv").load(root)
+              .select(F.regexp_extract("path", name, 1).alias("path"), F.regexp_extract("path", name, 2).alias("ts"))
+              .where("ts <> ''"))
     return listed.agg(F.max_by("path", "ts")).first()[0]
 
 
 def preprocess_all(spark: SparkSession, raw_root: str, out: str, run_time: str,
                    compat: bool = False) -> DataFrame:
-    """The whole job over the six types: each type's newest raw file is read,
-    cleaned and written with its statistics and its step audit. A type without
-    a file is skipped, one that fails stops no other. Returns the status
-    table ``(product_type, status, rows, error)``."""
+    """The whole job over the six types, side by side: each type's newest raw
+    file is read, cleaned and written with its statistics and its step audit. A
+    type without a file is skipped, one that fails stops no other. Returns the
+    status table ``(product_type, status, rows, error)``."""
     def job(product_type: str) -> DataFrame | None:
         path = newest_raw_file(spark, raw_root, product_type)
         if path is None:

@@ -4,14 +4,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas as S
 from ..operators import clean
 
-SNAPSHOT_RE = r"([A-Z])_(\d{8}_\d{6})\.csv$"
+# a raw file, or a folder of part files, of one division and snapshot
+SNAPSHOT_RE = r"([A-Z])_(\d{8}_\d{6})\.csv(?:/[^/]+)?$"
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -40,10 +44,20 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
     return clean.null_tokens(df) if apply_null_tokens else df
 
 
+def land_csv(df: DataFrame, path: str) -> None:
+    """Write a table as raw CSV the way the collector's files are: all cells
+    quoted where needed, line breaks inside cells, a header, and a byte order
+    mark before it. ``path`` becomes a folder of part files, each with the header."""
+    first = df.columns[0]
+    cells = [F.col(f"`{c}`").cast("string").alias("\ufeff" + c if c == first else c) for c in df.columns]
+    (df.select(*cells).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def with_snapshot(df: DataFrame) -> DataFrame:
-    """Division letter and snapshot time from the source file name
-    (``D_20250714_175227.csv``)."""
-    name = F.col("_metadata.file_name")
+    """Division letter and snapshot time from the name of the source file, or
+    of its folder of part files (``D_20250714_175227.csv``)."""
+    name = F.col("_metadata.file_path")
     return df.withColumns({
         "prdt_div": F.regexp_extract(name, SNAPSHOT_RE, 1),
         "snapshot_ts": F.regexp_extract(name, SNAPSHOT_RE, 2),
@@ -72,29 +86,94 @@ def flatten_records(df: DataFrame, rec: str = "rec") -> DataFrame:
     return df.select(*others, *[F.col(rec)[k].alias(k) for k in keys])
 
 
-def write_raw(df: DataFrame, out: str, fmt: str = "parquet", mode: str = "append") -> bool:
-    """Write collected records partitioned by division and snapshot.
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
 
-    Parquet keeps the record map; CSV gets one column per record key.
-    An empty frame writes nothing (checked with a one-row probe, not a count).
+def write_raw(df: DataFrame, out: str, fmt: str = "parquet",
+              divisions: Sequence[str] = tuple(S.DIVISION_TYPES) + (S.COMPANY_DIVISION,)) -> dict[str, int] | bool:
+    """Write collected records partitioned by division and snapshot; the
+    records written per division, or False for none.
+
+    Idempotent: a run stages its files and, when the job is done, replaces the
+    (division, snapshot) folders that it wrote, so a repeated run of a snapshot
+    leaves what one run leaves, and a failed one nothing. The counts are
+    observed on the running write (no second scan, no probe for an empty
+    frame); only if a division is none of ``divisions`` they are read back from
+    the files' footers. Parquet keeps the record map; CSV gets one column per
+    record key. An empty frame leaves no folder behind.
     """
-    if df.limit(1).count() == 0:
-        return False
+    spark = df.sparkSession
+    fs, folder = _folder(spark, out)
+    existed = fs.exists(folder)
+    div = F.col("prdt_div").cast("string")
+    seen = Observation()
+    w = df
     if fmt == "csv":
-        flat = flatten_records(df) if "rec" in df.columns else df
+        w = flatten_records(df) if "rec" in df.columns else df
         # CSV has no nested types: structs and arrays go out as JSON text
-        flat = flat.withColumns({f.name: F.to_json(f.name) for f in flat.schema.fields
-                                 if f.dataType.typeName() in ("struct", "array", "map")})
-        (flat.write.mode(mode).partitionBy("prdt_div", "snapshot_ts")
-         .option("header", True).option("escape", '"').csv(out))
+        w = w.withColumns({f.name: F.to_json(f.name) for f in w.schema.fields
+                           if f.dataType.typeName() in ("struct", "array", "map")})
+    w = w.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("snapshot_ts").alias("snapshots"),
+                  *[F.count_if(div == d).alias(d) for d in divisions])
+    writer = (w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("prdt_div", "snapshot_ts"))
+    if fmt == "csv":
+        writer.option("header", True).option("escape", '"').csv(out)
     else:
-        df.write.mode(mode).partitionBy("prdt_div", "snapshot_ts").parquet(out)
-    return True
+        writer.parquet(out)
+    got = seen.get
+    if not got["rows"]:
+        if not existed:
+            fs.delete(folder, True)
+        return False
+    found = {d: got[d] for d in divisions if got[d]}
+    if sum(found.values()) < got["rows"]:
+        saved = spark.read.parquet(out) if fmt != "csv" else spark.read.option("header", True).csv(out)
+        found = {str(r.prdt_div): r["count"] for r in saved.where(F.col("snapshot_ts").isin(list(got["snapshots"])))
+                 .groupBy("prdt_div").count().collect()}
+    return found
+
+
+def write_counts(counts: DataFrame, out: str) -> None:
+    """Reported totals next to the data (one small table). It is written after
+    the records and replaces the snapshot's earlier counts, which makes it the
+    list of what is committed: see ``committed`` and ``latest_snapshots``."""
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snapshot_ts").parquet(out))
 
 
-def write_counts(counts: DataFrame, out: str, mode: str = "append") -> None:
-    """Reported totals next to the data (one small table)."""
-    counts.write.mode(mode).partitionBy("snapshot_ts").parquet(out)
+def _partitions(spark: SparkSession, records: str, wanted: DataFrame) -> DataFrame:
+    """The records of the wanted (prdt_div, snapshot_ts). Both are partition
+    columns, so the list prunes the scan at run time: other folders are not read."""
+    schema = spark.read.parquet(records).schema
+    kinds = {c: "string" if c in ("prdt_div", "snapshot_ts") else schema[c].dataType for c in schema.names}
+    data = spark.read.schema(T.StructType([T.StructField(c, T.StringType() if k == "string" else k)
+                                           for c, k in kinds.items()])).parquet(records)
+    return data.join(F.broadcast(wanted), ["prdt_div", "snapshot_ts"], "left_semi")
+
+
+def committed(spark: SparkSession, records: str, counts: str) -> DataFrame:
+    """The records of every division and snapshot whose counts were written.
+    A folder that a run left without finishing, or that a rerun no longer
+    filled, is not read. The list has a row for each division and snapshot."""
+    wanted = _counted(spark, counts).where("records > 0").select("prdt_div", "snapshot_ts")
+    return _partitions(spark, records, wanted)
+
+
+def latest_snapshots(spark: SparkSession, records: str, counts: str) -> DataFrame:
+    """The records of each division's newest committed snapshot. The newest
+    ones come from the counts alone; the scan of the records is pruned to their folders."""
+    newest = (_counted(spark, counts).where("records > 0").groupBy("prdt_div")
+              .agg(F.max("snapshot_ts").alias("snapshot_ts")).where(F.col("snapshot_ts") > ""))
+    return _partitions(spark, records, newest)
+
+
+def _counted(spark: SparkSession, counts: str) -> DataFrame:
+    return spark.read.schema("prdt_div string, records long, reported long, snapshot_ts string").parquet(counts)
 
 
 def write_processed(df: DataFrame, out: str, mode: str = "overwrite") -> None:
@@ -119,17 +198,27 @@ def union_typed(frames: Mapping[str, DataFrame], renames: Mapping[str, str] | No
 
 
 def run_per_type(spark: SparkSession, types: Sequence[str],
-                 job: Callable[[str], DataFrame | None]) -> DataFrame:
-    """Run ``job`` for every type; a missing input or a failure of one type
-    does not stop the others. Returns ``(product_type, status, rows, error)``."""
-    rows = []
-    for t in types:
+                 job: Callable[[str], DataFrame | None], at_once: int | None = None) -> DataFrame:
+    """Run ``job`` for every type, ``at_once`` (all) of them side by side; a
+    missing input or a failure of one type does not stop the others. Returns
+    ``(product_type, status, rows, error)`` in the order of ``types``.
+
+    Each type's jobs are submitted by a thread of their own, in a scheduler pool
+    named after the type, so that with ``spark.scheduler.mode=FAIR`` a large
+    type doesn't hold up the others; the driver's threads only wait.
+    """
+    sc = spark.sparkContext
+
+    def run(t: str):
+        sc.setLocalProperty("spark.scheduler.pool", t)
         try:
             df = job(t)
-            if df is None:
-                rows.append((t, "missing", None, None))
-            else:
-                rows.append((t, "ok", int(df.count()), None))
+            return (t, "missing", None, None) if df is None else (t, "ok", int(df.count()), None)
         except Exception as e:  # noqa: BLE001 - reported, not raised
-            rows.append((t, "failed", None, str(e)[:500]))
+            return (t, "failed", None, str(e)[:500])
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once or len(types))) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), types))
     return spark.createDataFrame(rows, "product_type string, status string, rows long, error string")

@@ -311,34 +311,67 @@ def has_marker(text: str | Column, marker_re: str) -> Column:
 _NUM = r"(\d[\d,]*(?:\.\d+)?)"
 _PART = rf"(?:{_NUM}\s*천)?\s*(?:{_NUM}\s*백)?\s*{_NUM}?"
 _AMOUNT = rf"(?=\d)(?:{_PART}\s*억)?\s*(?:{_PART}\s*만)?\s*{_PART}\s*원"
-_PERIOD = r"(\d+)\s*(년|개월)"
+# Periods: years (with decimals) that may be followed by a half or by months,
+# months alone, or half a year. Four digits before 년 are a calendar year.
+_PERIOD = (r"(?<![\d.])(?:(\d{1,3}(?:\.\d+)?)\s*년(?:간)?(?:\s*(?:(반)(?=$|[^가-힣]|간|이|을|은|의|으로|정도|동안|짜리|만|부터|까지)"
+           r"|(\d+)\s*(?:개월|달)))?|(\d+)\s*(?:개월|달)|(반)년)")
 
 
-def amount_won(text: str | Column) -> Column:
-    """First money amount in won (억 = 1e8, 만 = 1e4, 천 = 1e3, 백 = 1e2;
-    ``1,000만``, ``1.5억``, ``3천만``), fractions of a won cut off; null when
-    there is none or it does not fit a long."""
-    t = col_of(text)
+def _won(mention: Column) -> Column:
+    """An amount's text in won; null when it does not fit a long."""
     total = bad = None
     for k, unit in enumerate((S.AMOUNT_UNITS["억"], S.AMOUNT_UNITS["만"], 1)):
         for m, scale in enumerate((1000, 100, 1)):
-            raw = F.nullif(F.regexp_replace(F.regexp_extract(t, _AMOUNT, 3 * k + m + 1), ",", ""), F.lit(""))
+            raw = F.nullif(F.regexp_replace(F.regexp_extract(mention, _AMOUNT, 3 * k + m + 1), ",", ""), F.lit(""))
             n = raw.try_cast("decimal(22,6)")
             # wide enough for any of the nine numbers and their sum
             value = F.coalesce(n, F.lit(0)).cast("decimal(22,6)") * F.lit(unit * scale).cast("decimal(12,0)")
             total = value if total is None else total + value
             fault = raw.isNotNull() & n.isNull()
             bad = fault if bad is None else bad | fault
-    return F.when(t.rlike(_AMOUNT) & ~bad, F.floor(total).try_cast("long"))
+    return F.when(~bad, F.floor(total).try_cast("long"))
+
+
+def amounts_won(text: str | Column) -> Column:
+    """Every money amount of a text in won, in order (억 = 1e8, 만 = 1e4,
+    천 = 1e3, 백 = 1e2; ``1,000만``, ``1.5억``, ``3천만``), fractions of a won cut
+    off; null for one that does not fit a long, an empty array for a text without."""
+    return F.transform(F.regexp_extract_all(col_of(text), F.lit(_AMOUNT), F.lit(0)), _won)
+
+
+def amount_won(text: str | Column) -> Column:
+    """First money amount in won (see ``amounts_won``); null when there is
+    none or it does not fit."""
+    t = col_of(text)
+    return F.when(t.rlike(_AMOUNT), _won(t))
+
+
+def _months(mention: Column) -> Column:
+    """A period's text in months: years, half a year and months summed, a
+    part of a month cut off; null when it does not fit an int."""
+    def group(k):
+        return F.nullif(F.regexp_extract(mention, _PERIOD, k), F.lit(""))
+
+    year = F.lit(S.PERIOD_UNITS["년"]).cast("decimal(4,0)")
+    months = F.coalesce(group(3), group(4))
+    total = (F.coalesce(group(1).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")) * year
+             + F.when(group(2).isNotNull() | group(5).isNotNull(), year / 2).otherwise(0).cast("decimal(4,0)")
+             + F.coalesce(months.try_cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)")))
+    bad = months.isNotNull() & months.try_cast("decimal(18,0)").isNull()
+    return F.when(~bad, F.floor(total).try_cast("int"))
+
+
+def periods_months(text: str | Column) -> Column:
+    """Every period of a text in months, in order: ``2년 6개월`` is 30,
+    ``1년 반`` 18, ``1.5년`` 18, ``반년`` 6, ``6달`` 6; a calendar year
+    (``2024년``) is none. Null for one that does not fit an int."""
+    return F.transform(F.regexp_extract_all(col_of(text), F.lit(_PERIOD), F.lit(0)), _months)
 
 
 def period_months(text: str | Column) -> Column:
-    """First period in months (년 = 12 months); null when it does not fit."""
+    """First period in months (see ``periods_months``)."""
     t = col_of(text)
-    n = F.regexp_extract(t, _PERIOD, 1).try_cast("decimal(18,0)")
-    unit = F.regexp_extract(t, _PERIOD, 2)
-    months = n * F.when(unit == "년", F.lit(S.PERIOD_UNITS["년"])).otherwise(F.lit(1)).cast("decimal(4,0)")
-    return F.when(t.rlike(_PERIOD), months.try_cast("int"))
+    return F.when(t.rlike(_PERIOD), _months(F.regexp_extract(t, _PERIOD, 0)))
 
 
 def route_intent(intent: str | Column, text: str | Column,

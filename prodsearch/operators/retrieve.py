@@ -3,6 +3,7 @@ comparison lists and text embeddings (T1-T4, P6, E1-E3)."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 
 from ..functions import text as TX
 from ..functions import vector as V
+from ..session import cut_lineage
+from . import guard
 
 
 def _vectors(col: pa.Array, n: int) -> np.ndarray:
@@ -227,13 +230,40 @@ def l2_normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
     return n.withColumn(out or vec, unit).drop("__norm")
 
 
-def _buckets(text_col: str, dim: int) -> Column:
-    """The bucket of each word (runs of letters and digits of any script,
-    lower case): the first 32 bits of its MD5 modulo dim."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"),
-                     lambda w: w != "")
-    return F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long")
-                                         % dim).cast("int"))
+MAX_WORDS = 200_000         # words whose bucket a task remembers at a time
+
+
+def _words(text_col: str) -> Column:
+    """Runs of letters and digits of any script, lower case."""
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"),
+                    lambda w: w != "")
+
+
+class _Buckets(dict):
+    """Word -> bucket: the first 32 bits of its MD5 modulo dim. A task
+    hashes a word once, as long as it is among the last MAX_WORDS new ones."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MAX_WORDS:
+            self.clear()
+        digest = hashlib.md5(word.encode("utf-8", "surrogatepass")).digest()
+        b = self[word] = int.from_bytes(digest[:4], "big") % self.dim
+        return b
+
+
+def hash_words(df: DataFrame, text_col: str, dim: int, out: str = "__buckets") -> DataFrame:
+    """``df`` with the bucket of each word of the text, in order."""
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def bucket(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = _Buckets(dim)
+        for words in it:
+            yield pd.Series([np.array([of[w] for w in row], np.int32) for row in words])
+
+    return df.withColumn(out, bucket(_words(text_col)))
 
 
 class HashingEncoder:
@@ -244,19 +274,20 @@ class HashingEncoder:
         self.idf, self.dim = idf, len(idf)
 
 
+def _fit(hashed: DataFrame, dim: int) -> HashingEncoder:
+    each = F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct("__buckets")))
+    counts = dict(map(tuple, hashed.select(each.alias("b")).groupBy("b").count().collect()))
+    df = np.array([counts.get(b, 0) for b in range(dim)], dtype=np.float64)
+    return HashingEncoder(np.log((counts.get(-1, 0) + 1) / (df + 1)))
+
+
 def fit_hashing_encoder(texts: DataFrame, text_col: str, dim: int = 256) -> HashingEncoder:
     """Fit on a corpus: ln((N + 1) / (df + 1)) per bucket. One distributed
     pass; at most ``dim`` + 1 rows reach the driver."""
-    each = F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct(_buckets(text_col, dim))))
-    counts = dict(map(tuple, texts.select(each.alias("b")).groupBy("b").count().collect()))
-    df = np.array([counts.get(b, 0) for b in range(dim)], dtype=np.float64)
-    return HashingEncoder(np.log((counts.get(-1, 0) + 1) / (df + 1)))
+    return _fit(hash_words(guard.spread(texts.select(text_col)), text_col, dim), dim)
 
 
-def embed(model: HashingEncoder, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
-    """Apply a fitted encoder (the same one for products and queries): each
-    row's ``out`` is a vector of floats, zero for a text without known words.
-    Words are hashed in the JVM; numpy counts and scales them."""
+def _weigh(model: HashingEncoder, hashed: DataFrame, out: str) -> DataFrame:
     idf = model.idf
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
@@ -268,30 +299,61 @@ def embed(model: HashingEncoder, df: DataFrame, text_col: str, out: str = "embed
             rows.append((v / n if n > 0 else v).astype(np.float32))
         return pd.Series(rows)
 
-    return df.withColumn(out, weigh(_buckets(text_col, model.dim)))
+    return hashed.withColumn(out, weigh("__buckets")).drop("__buckets")
+
+
+def embed(model: HashingEncoder, df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
+    """Apply a fitted encoder (the same one for products and queries): each
+    row's ``out`` is a vector of floats, zero for a text without known words."""
+    return _weigh(model, hash_words(guard.spread(df), text_col, model.dim), out)
 
 
 def fit_embed(texts: DataFrame, text_col: str, dim: int = 256, out: str = "embedding"):
-    """(encoder fitted on a corpus, that corpus embedded)."""
-    model = fit_hashing_encoder(texts, text_col, dim)
-    return model, embed(model, texts, text_col, out)
+    """(encoder fitted on a corpus, that corpus embedded). The words are
+    hashed once: their buckets are kept in the shared checkpoint folder for
+    the fit and the embedding."""
+    hashed = cut_lineage(hash_words(guard.spread(texts), text_col, dim))
+    model = _fit(hashed, dim)
+    return model, _weigh(model, hashed, out)
 
 
 def embed_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Callable],
                dim: int, out: str = "embedding", batch_size: int = 32) -> DataFrame:
-    """Plug in any encoder: ``encoder_factory()`` runs once per Python worker
-    and returns ``f(list[str]) -> ndarray (n, dim)``; texts arrive as Arrow
-    batches and are encoded ``batch_size`` at a time, then L2-normalised."""
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _enc(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Plug in any encoder: ``encoder_factory()`` runs once per task and
+    returns ``f(list[str]) -> ndarray (n, dim)``. Rows arrive as an iterator of
+    Arrow batches; the encoder is called with exactly ``batch_size`` texts at a
+    time, across the batches' borders (the last call of a task may get fewer).
+    Null texts are empty; the vectors are L2-normalised, zero ones kept."""
+    names = df.columns
+    kept = [c for c in names if c != out]
+    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(out, T.ArrayType(T.FloatType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = encoder_factory()
-        for s in it:
-            texts = s.fillna("").tolist()
-            chunks = [np.asarray(f(texts[i:i + batch_size]), dtype=np.float32).reshape(-1, dim)
-                      for i in range(0, len(texts), batch_size)]
-            m = np.concatenate(chunks, axis=0) if chunks else np.zeros((0, dim), np.float32)
-            nrm = np.linalg.norm(m, axis=1, keepdims=True)
-            m = np.where(nrm > 0, m / np.where(nrm > 0, nrm, 1), m)
-            yield pd.Series(list(m))
-    return df.withColumn(out, _enc(F.col(text_col)))
+        held: pa.Table | None = None
+
+        def encode(rows: pa.Table) -> pa.RecordBatch:
+            texts = [t or "" for t in rows.column(text_col).to_pylist()]
+            m = np.concatenate([np.asarray(f(texts[lo:lo + batch_size]), dtype=np.float32).reshape(-1, dim)
+                                for lo in range(0, len(texts), batch_size)])
+            n = np.linalg.norm(m.astype(np.float64), axis=1, keepdims=True)
+            m = (m / np.where(n > 0, n, 1)).astype(np.float32)
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * dim, pa.int32()), pa.array(m.ravel()))
+            return pa.RecordBatch.from_arrays([*[_one_chunk(rows.column(c)) for c in kept], vec], [*kept, out])
+
+        for b in batches:
+            rows = pa.Table.from_batches([b])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            whole = held.num_rows // batch_size * batch_size
+            if whole:
+                yield encode(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield encode(held)
+
+    return df.mapInArrow(run, schema).select(*dict.fromkeys([*names, out]))
+
 
+def _one_chunk(col: pa.ChunkedArray) -> pa.Array:
+    whole = col.combine_chunks()
+    return whole if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks)

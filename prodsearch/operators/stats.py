@@ -45,6 +45,25 @@ def product_company_counts(df: DataFrame, group: Sequence[str], company: str,
                                   distinct.alias("n_companies"))
 
 
+SKETCH_LG = 14              # 2^14 slots: a standard error of about 0.6 %
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], column: str, out: str = "sketch",
+                      lg_size: int = SKETCH_LG) -> DataFrame:
+    """Per group a mergeable sketch of a column's distinct values (nulls not
+    counted) with the number of rows: small rows to store per snapshot, so that
+    counts over any set of snapshots need no second look at the data. A hot
+    group is combined map-side."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(column, lg_size).alias(out), F.count(F.lit(1)).alias("n_rows"))
+
+
+def merged_distinct(sketches: DataFrame, group: Sequence[str], sketch: str = "sketch",
+                    out: str = "n_distinct") -> DataFrame:
+    """Distinct values and rows per group from stored sketches."""
+    return sketches.groupBy(*group).agg(
+        F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(out), F.sum("n_rows").alias("n_rows"))
+
+
 def top_values(df: DataFrame, group: Sequence[str], value: str, n: int = 5,
                out: str = "n") -> DataFrame:
     """The n most frequent values per group (count desc, value asc)."""

@@ -10,6 +10,7 @@ the table itself, as listed per key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,8 +19,9 @@ from pyspark.sql import types as T
 
 from prodsearch import schemas as S
 from prodsearch.functions import text as TX
-from prodsearch.operators import clean, dialog, joins, retrieve, stats
+from prodsearch.operators import cells, clean, dialog, joins, retrieve, stats
 from prodsearch.plans import collect, preprocess, recommend
+from prodsearch.session import cut_lineage, ensure_checkpoint_dir
 from prodsearch.sources import files, pages, tables
 
 try:  # the training-data operators are an optional part
@@ -61,6 +63,11 @@ def _part_nulled(spark, d):
     return _t(spark, d, "part").withColumn("p_type", F.nullif(F.col("p_type"), F.lit("ECONOMY")))
 
 
+def _scratch(spark, name):
+    """A folder of its own in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _k(col="props"):
     return F.get_json_object(F.col(col), "$.k")
 
@@ -126,6 +133,72 @@ def q_latest_snapshot(spark, d):
         "event_id", "event_type")
 
 
+def q_raw_csv_source(spark, d):
+    """part landed as raw CSV (quotes, line breaks and empty cells in it, a
+    byte order mark before the header) and read back by header."""
+    p = _part_nulled(spark, d).select(
+        "p_partkey", "p_type", F.lpad("p_size", 6, "0").alias("code"),
+        F.concat("p_brand", F.lit('\n"'), "p_name", F.lit('", x')).alias("note"), "p_retailprice")
+    path = f"{_scratch(spark, 'raw')}/D_20250714_175227.csv"
+    files.land_csv(p, path)
+    want = T.StructType.fromDDL("p_partkey long, p_type string, code string, note string, "
+                                "p_retailprice double, absent string")
+    raw = files.with_snapshot(files.read_raw_csv(spark, path, want))
+    return raw.select(*want.names, "prdt_div", "snapshot_ts")
+
+
+def _part_records(spark, d, snapshot_ts):
+    """part as collected records; the size gives the division."""
+    p = _t(spark, d, "part")
+    letter = F.element_at(F.array(*map(F.lit, S.DIVISION_TYPES)), (F.col("p_size") % 6 + 1).cast("int"))
+    return p.select(letter.alias("prdt_div"), F.lit(snapshot_ts).alias("snapshot_ts"),
+                    F.create_map(F.lit("key"), F.col("p_partkey").cast("string"),
+                                 F.lit("name"), F.col("p_name")).alias("rec"), "p_partkey", "p_size")
+
+
+def _written_snapshots(spark, d):
+    """Folders of records and counts: a snapshot of large parts written twice,
+    the first time with all parts, then a newer one of cheap brands only."""
+    out = _scratch(spark, "snapshots")
+    runs = [("20250101_000000", F.lit(True)), ("20250101_000000", F.col("p_size") > 5),
+            ("20250201_000000", F.col("prdt_div").isin("D", "S") & (F.col("p_size") > 20))]
+    for ts, keep in runs:
+        written = files.write_raw(_part_records(spark, d, ts).where(keep), f"{out}/records") or {}
+        counts = spark.createDataFrame([(k, n, n, ts) for k, n in written.items()],
+                                       "prdt_div string, records long, reported long, snapshot_ts string")
+        files.write_counts(counts, f"{out}/counts")
+    return f"{out}/records", f"{out}/counts"
+
+
+def q_committed_snapshots(spark, d):
+    records, counts = _written_snapshots(spark, d)
+    return files.committed(spark, records, counts).select(
+        "prdt_div", "snapshot_ts", F.col("rec")["key"].cast("long").alias("p_partkey"))
+
+
+def q_written_counts(spark, d):
+    """Records per division as observed by the writes."""
+    _, counts = _written_snapshots(spark, d)
+    return spark.read.parquet(counts).select("prdt_div", F.col("snapshot_ts").cast("string"), "records")
+
+
+def q_latest_snapshot_pruned(spark, d):
+    records, counts = _written_snapshots(spark, d)
+    return files.latest_snapshots(spark, records, counts).select(
+        "prdt_div", "snapshot_ts", F.col("rec")["key"].cast("long").alias("p_partkey"))
+
+
+def q_processed_rewrite(spark, d):
+    """Processed products of all types, then one type written again."""
+    out = _scratch(spark, "processed")
+    p = _t(spark, d, "part").select(
+        "p_partkey", F.element_at(F.array(*map(F.lit, TYPES)), (F.col("p_size") % 6 + 1).cast("int"))
+        .alias("product_type"))
+    files.write_processed(p, out)
+    files.write_processed(p.where("product_type = 'rent' AND p_partkey % 2 = 0"), out)
+    return spark.read.parquet(out).select("p_partkey", F.col("product_type").cast("string"))
+
+
 # ---------------------------------------------------------------------------
 # Projection, filters, predicates
 # ---------------------------------------------------------------------------
@@ -213,10 +286,11 @@ def q_option_only_fallback(spark, d):
 
 
 def _answers_and_names(spark, d):
+    """Assistant messages as answers, the long words of users as names."""
     c = _t(spark, d, "conversations")
     answers = c.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
-    names = c.where(F.col("role") == "user").select(
-        "conv_id", F.split_part(F.col("text"), F.lit(" "), F.lit(1)).alias("name"))
+    long_words = F.filter(F.split("text", " "), lambda w: F.length(w) >= 10)
+    names = c.where(F.col("role") == "user").select("conv_id", F.explode(long_words).alias("name"))
     return answers, names
 
 
@@ -248,6 +322,25 @@ def q_product_company_counts(spark, d):
     return stats.product_company_counts(_t(spark, d, "part"), ["p_type"], "p_brand")
 
 
+def q_distinct_sketches(spark, d):
+    """Parts shipped per return flag, from sketches stored per ship year and
+    merged; beside them the exact counts. Merging must give what one sketch
+    of all rows gives, up to the sketches' error."""
+    li = _t(spark, d, "lineitem").withColumn("snapshot_ts", F.year("l_shipdate"))
+    out = _scratch(spark, "sketches")
+    (stats.distinct_sketches(li, ["l_returnflag", "snapshot_ts"], "l_partkey")
+     .write.partitionBy("snapshot_ts").parquet(out))
+    merged = stats.merged_distinct(spark.read.parquet(out), ["l_returnflag"])
+    anew = stats.merged_distinct(stats.distinct_sketches(li, ["l_returnflag"], "l_partkey"), ["l_returnflag"])
+    exact = stats.product_company_counts(li, ["l_returnflag"], "l_partkey")
+    j = merged.join(anew.select("l_returnflag", F.col("n_distinct").alias("anew")), "l_returnflag").join(
+        exact, "l_returnflag")
+    return j.select("l_returnflag", "n_rows", F.col("n_companies").alias("n_exact"),
+                    (F.abs(F.col("n_distinct") - F.col("n_companies")) <= 0.02 * F.col("n_companies"))
+                    .alias("within_2_pct"),
+                    (F.abs(F.col("n_distinct") - F.col("anew")) <= 0.02 * F.col("anew")).alias("merges"))
+
+
 def q_top_companies(spark, d):
     return stats.top_values(_t(spark, d, "part"), ["p_type"], "p_brand", 5)
 
@@ -367,6 +460,29 @@ def q_vector_topk(spark, d):
     return _topk(spark, d)
 
 
+def _cells(spark, d):
+    e = _emb(spark, d)
+    index = cells.build(e, cells.scratch_path(spark), key="vec_id", payload=["label"])
+    return index, e.select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def q_vector_topk_cells(spark, d):
+    """The exact top-3 by the cell index: the nearest cells first, then those
+    that can still hold a better vector."""
+    index, asked = _cells(spark, d)
+    return cells.topk(index, asked, 3, exact=True, product_id="vec_id", exclude_self=True).drop("label")
+
+
+def q_vector_topk_recall(spark, d):
+    """Recall of the probed cells alone against the exact top-3, with as many
+    probes as a sample of the queries asks for."""
+    index, asked = _cells(spark, d)
+    probes = cells.calibrate(index, asked, 3, exclude_self=True)
+    found = cells.topk(index, asked, 3, probes=probes, product_id="vec_id", exclude_self=True)
+    r = cells.recall(found, _topk(spark, d), product_id="vec_id")
+    return r.select("n_queries", "expected", (F.col("recall") >= 0.95).alias("recall_at_least_95"))
+
+
 def _with_fallback(spark, d):
     """Top-3 with the product label carried through the scan (no join back
     to the product side); the wanted type is the query's own label."""
@@ -431,6 +547,22 @@ def q_embed_queries(spark, d):
     return _components(retrieve.embed(model, asked, "text"), ["conv_id", "turn"])
 
 
+def _letter_counts():
+    """A deterministic encoder: how often each letter a to z occurs."""
+    import numpy as np
+
+    def encode(texts):
+        raw = [np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256)[97:123] for t in texts]
+        return np.array(raw, dtype=np.float32)
+    return encode
+
+
+def q_embed_plugged(spark, d):
+    """A plugged-in encoder over all documents, 32 at a time."""
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return _components(retrieve.embed_with(docs, "text", _letter_counts, dim=26), ["doc_id"])
+
+
 # ---------------------------------------------------------------------------
 # Scalar and text functions
 # ---------------------------------------------------------------------------
@@ -542,8 +674,7 @@ def q_keyword_classify(spark, d):
 
 
 def q_keyword_classify_table(spark, d):
-    """The same classification with the taxonomy as a table (the path for
-    large taxonomies: one automaton scan per document)."""
+    """The same classification with the taxonomy as a table."""
     docs = _t(spark, d, "documents").select("doc_id", "text")
     tax = spark.createDataFrame([(lab, i, k) for i, (lab, ks) in enumerate(DOC_TAXONOMY, 1)
                                  for k in ks], "label string, ord int, kw string")
@@ -558,6 +689,27 @@ def q_extract_amounts(spark, d):
                     TX.period_months(txt).alias("period_months"))
 
 
+def q_amount_mentions(spark, d):
+    """Every amount and period of texts of each form, made from part."""
+    p = _t(spark, d, "part")
+    a, y, m = F.col("p_size"), F.col("p_size") % 9 + 1, F.col("p_partkey") % 11 + 1
+    a, y, m = (x.cast("string") for x in (a, y, m))
+
+    def text(*parts):
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    forms = [text(a, "만원씩 ", y, "년 ", m, "개월, 만기 ", a, "억 ", m, "천만원"),
+             text(a, ",000원을 ", y, "년 반 동안"), text(a, ".5억원, ", m, "개월 또는 ", y, "년간"),
+             text("2024년에 ", a, "백만 원, 반년"), text(y, ".5년 ", m, "달 ", a, "년"), F.lit("없음")]
+    t = F.element_at(F.array(*forms), (F.col("p_partkey") % 6 + 1).cast("int"))
+
+    def listed(v):
+        return F.array_join(F.transform(v, lambda x: x.cast("string")), ",")
+    return p.select("p_partkey", listed(TX.amounts_won(t)).alias("amounts"),
+                    listed(TX.periods_months(t)).alias("periods"),
+                    TX.amount_won(t).alias("first_amount"), TX.period_months(t).alias("first_period"))
+
+
 def q_final_answer(spark, d):
     answers, names = _answers_and_names(spark, d)
     g = joins.grounding(answers, names, "conv_id", "turn", "text", "name")
@@ -596,6 +748,7 @@ def _collected(spark, d):
     landed = pages.parse_pages(env, "page_json").select(
         F.col("fin_prdt_cd").cast("string").alias("api"), F.lit(REGION).alias("region_code"),
         "pageNo", "result", "_corrupt_record")
+    landed = cut_lineage(landed)        # the parsed pages, as the job itself keeps them
     return landed, collect.merge_records(landed)
 
 
@@ -618,6 +771,28 @@ def q_collect_tables(spark, d):
                                   row_id=["l_linenumber"])
 
 
+def q_preprocess_all(spark, d):
+    """The whole job over six types: part landed as six raw CSV files (and
+    older ones that must not be read), preprocessed side by side and written;
+    the processed products with their type's status."""
+    root = _scratch(spark, "preprocess")
+    p = _t(spark, d, "part").repartitionByRange("p_partkey").sortWithinPartitions("p_partkey")
+    letters = list(S.DIVISION_TYPES)
+    for i, letter in enumerate(letters):
+        mine = p.where(F.col("p_partkey") % 6 == i)
+        values = {S.COMPANY_COL: F.concat(F.lit(" "), "p_brand"), S.PRODUCT_COL: F.col("p_name"),
+                  "join_way": F.col("p_partkey").cast("string")}
+        rows = mine.select(*[values.get(c, F.lit(None).cast("string")).alias(c)
+                             for c in S.CORE_COLUMNS[S.DIVISION_TYPES[letter]]])
+        files.land_csv(rows, f"{root}/raw/{letter}_20250714_175227.csv")
+        files.land_csv(rows.limit(1), f"{root}/raw/{letter}_20250101_000000.csv")
+    status = preprocess.preprocess_all(spark, f"{root}/raw", f"{root}/out", "2025-07-14 17:52:27")
+    done = spark.read.option("mergeSchema", True).parquet(f"{root}/out/processed")
+    return (done.select(F.col("product_type").cast("string"), S.COMPANY_COL, S.PRODUCT_COL,
+                        F.col("join_way").cast("long").alias("first_key"))
+            .join(status.select("product_type", "status", "rows"), "product_type"))
+
+
 def q_job_preprocess(spark, d):
     p = _part_nulled(spark, d)
     out = preprocess.preprocess(
@@ -652,7 +827,13 @@ def q_job_recommend(spark, d):
         F.array_join(F.transform("search_results", lambda r: r["product_name"]), "|").alias("names"))
 
 
-ORACLE_ALIASES = {"keyword_classify_table": "keyword_classify"}
+ORACLE_ALIASES = {"keyword_classify_table": "keyword_classify", "vector_topk_cells": "vector_topk"}
+
+_LETTER = f"{list(S.DIVISION_TYPES)}[p_size % 6 + 1]"
+_SNAPSHOTS = f"""SELECT {_LETTER} AS prdt_div, '20250101_000000' AS snapshot_ts, p_partkey
+        FROM part WHERE p_size > 5
+        UNION ALL SELECT {_LETTER}, '20250201_000000', p_partkey FROM part
+        WHERE p_size > 20 AND {_LETTER} IN ('D', 'S')"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in list(globals().items())
@@ -697,7 +878,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d DESC, vec_id
 h AS (SELECT *, max(CAST(label = target AS INT)) OVER (PARTITION BY query_id) AS hit FROM r)"""
 
 _GROUND = """SELECT a.conv_id, a.turn, a.text, max(CAST(contains(a.text, c.name) AS INT)) AS grounded
-  FROM conversations a {join} (SELECT conv_id, split_part(text, ' ', 1) AS name
+  FROM conversations a {join} (SELECT conv_id, unnest(list_filter(string_split(text, ' '),
+  lambda w: length(w) >= 10)) AS name
   FROM conversations WHERE role = 'user') c ON a.conv_id = c.conv_id
   WHERE a.role = 'assistant' GROUP BY 1, 2, 3"""
 
@@ -716,6 +898,15 @@ ORACLE: dict[str, str] = {
     "union_typed_sources": """SELECT 'customer' AS product_type, c_name AS name, c_acctbal AS bal,
         c_mktsegment AS segment FROM customer
         UNION ALL SELECT 'supplier', s_name, s_acctbal, NULL FROM supplier""",
+    "raw_csv_source": """SELECT p_partkey, nullif(p_type, 'ECONOMY') AS p_type,
+        lpad(CAST(p_size AS VARCHAR), 6, '0') AS code, p_brand || chr(10) || '"' || p_name || '", x' AS note,
+        p_retailprice, NULL::VARCHAR AS absent, 'D' AS prdt_div, '20250714_175227' AS snapshot_ts FROM part""",
+    "committed_snapshots": _SNAPSHOTS,
+    "written_counts": f"""SELECT prdt_div, snapshot_ts, count(*) AS records FROM ({_SNAPSHOTS}) GROUP BY ALL""",
+    "latest_snapshot_pruned": f"""SELECT * FROM ({_SNAPSHOTS})
+        QUALIFY rank() OVER (PARTITION BY prdt_div ORDER BY snapshot_ts DESC) = 1""",
+    "processed_rewrite": f"""SELECT * FROM (SELECT p_partkey, {TYPES}[p_size % 6 + 1] AS product_type FROM part)
+        WHERE product_type <> 'rent' OR p_partkey % 2 = 0""",
     "latest_snapshot": """SELECT event_id, event_type FROM events
         QUALIFY rank() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE) DESC) = 1""",
     "core_projection": "SELECT p_brand, p_name, p_size FROM part",
@@ -766,6 +957,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT NULL, count(DISTINCT event_type), count(*) FROM events""",
     "product_company_counts": """SELECT p_type, count(*) AS n_products,
         count(DISTINCT p_brand) AS n_companies FROM part GROUP BY 1""",
+    "distinct_sketches": """SELECT l_returnflag, count(*)::BIGINT AS n_rows,
+        count(DISTINCT l_partkey) AS n_exact, true AS within_2_pct, true AS merges FROM lineitem GROUP BY 1""",
     "top_companies": """SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY 1, 2
         QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY count(*) DESC, p_brand) <= 5""",
     "rate_stats": """SELECT l_returnflag, 'l_discount' AS metric, min(l_discount) AS lo,
@@ -853,6 +1046,13 @@ ORACLE: dict[str, str] = {
     "l2_normalize": f"""SELECT vec_id, round({_CHECKSUM.format(v="embedding")}
         / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS checksum
         FROM embeddings""",
+    "vector_topk_recall": """SELECT count(*) AS n_queries, 3 * count(*) AS expected, true AS recall_at_least_95
+        FROM embeddings""",
+    "embed_plugged": """WITH n AS (SELECT doc_id, c.i AS component, (length(text)
+            - length(replace(text, chr(97 + c.i), '')))::DOUBLE AS x
+            FROM documents, (SELECT unnest(range(26))::INTEGER AS i) c)
+        SELECT doc_id, component, round((x / norm)::FLOAT::DOUBLE, 4) AS weight
+        FROM (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS norm FROM n) WHERE x > 0""",
     "embed_texts": _embedded("documents", "doc_id"),
     "embed_queries": _embedded("(SELECT * FROM conversations WHERE role = 'user')", "conv_id, turn"),
     "strip_text": "SELECT p_partkey, p_name AS stripped FROM part",
@@ -920,6 +1120,16 @@ ORACLE: dict[str, str] = {
             QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, ord) = 1)
         SELECT d.doc_id, coalesce(label, '') AS label FROM documents d
             LEFT JOIN b ON d.doc_id = b.doc_id""",
+    "amount_mentions": """WITH v AS (SELECT p_partkey, p_partkey % 6 AS form, p_size::BIGINT AS a,
+            p_size % 9 + 1 AS y, p_partkey % 11 + 1 AS m FROM part),
+        l AS (SELECT p_partkey, CASE form WHEN 0 THEN [a * 10000, a * 100000000 + m * 10000000]
+            WHEN 1 THEN [a * 1000] WHEN 2 THEN [a * 100000000 + 50000000] WHEN 3 THEN [a * 1000000]
+            ELSE [] END::BIGINT[] AS won, CASE form WHEN 0 THEN [12 * y + m] WHEN 1 THEN [12 * y + 6]
+            WHEN 2 THEN [m, 12 * y] WHEN 3 THEN [6] WHEN 4 THEN [12 * y + 6 + m, 12 * a]
+            ELSE [] END::INTEGER[] AS months FROM v)
+        SELECT p_partkey, coalesce(array_to_string(won, ','), '') AS amounts,
+            coalesce(array_to_string(months, ','), '') AS periods,
+            won[1] AS first_amount, months[1] AS first_period FROM l""",
     "extract_amounts": """SELECT p_partkey, CAST(p_size AS BIGINT) * 10000 AS amount_won,
         CAST((p_size % 7 + 1) * 12 AS INTEGER) AS period_months FROM part""",
     "final_answer": f"""SELECT conv_id, turn, CASE
@@ -950,6 +1160,10 @@ ORACLE: dict[str, str] = {
     "collect_tables": f"""SELECT o_orderstatus AS prdt_div, '{REGION}' AS region_code,
         count(*) AS records, count(DISTINCT o_orderkey) AS reported
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
+    "preprocess_all": """SELECT product_type, p_brand AS kor_co_nm, p_name AS fin_prdt_nm, first_key,
+            'ok' AS status, count(*) OVER (PARTITION BY product_type) AS rows
+        FROM (SELECT ['deposit', 'saving', 'annuity', 'mortgage', 'rent', 'credit'][p_partkey % 6 + 1]
+            AS product_type, p_brand, p_name, min(p_partkey) AS first_key FROM part GROUP BY ALL)""",
     "job_preprocess": """SELECT p_partkey, p_brand, p_name, concat_ws(chr(10),
             concat('name: ', p_name), concat('company: ', p_brand),
             concat('rate: ', printf('%.2f', p_retailprice), '%')) AS search_text

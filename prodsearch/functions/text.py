@@ -317,19 +317,22 @@ _PERIOD = (r"(?<![\d.])(?:(\d{1,3}(?:\.\d+)?)\s*년(?:간)?(?:\s*(?:(반)(?=$|[^
            r"|(\d+)\s*(?:개월|달)))?|(\d+)\s*(?:개월|달)|(반)년)")
 
 
+def _groups(mention: Column, pattern: str, n: int) -> Column:
+    """The n groups of a text that the pattern matches whole, '' for those
+    without a part in it."""
+    return F.split(F.regexp_replace(mention, pattern, "|".join(f"${k + 1}" for k in range(n))), r"\|")
+
+
 def _won(mention: Column) -> Column:
     """An amount's text in won; null when it does not fit a long."""
-    total = bad = None
-    for k, unit in enumerate((S.AMOUNT_UNITS["억"], S.AMOUNT_UNITS["만"], 1)):
-        for m, scale in enumerate((1000, 100, 1)):
-            raw = F.nullif(F.regexp_replace(F.regexp_extract(mention, _AMOUNT, 3 * k + m + 1), ",", ""), F.lit(""))
-            n = raw.try_cast("decimal(22,6)")
-            # wide enough for any of the nine numbers and their sum
-            value = F.coalesce(n, F.lit(0)).cast("decimal(22,6)") * F.lit(unit * scale).cast("decimal(12,0)")
-            total = value if total is None else total + value
-            fault = raw.isNotNull() & n.isNull()
-            bad = fault if bad is None else bad | fault
-    return F.when(~bad, F.floor(total).try_cast("long"))
+    scales = [F.lit(unit * scale).cast("decimal(12,0)")
+              for unit in (S.AMOUNT_UNITS["억"], S.AMOUNT_UNITS["만"], 1) for scale in (1000, 100, 1)]
+    # wide enough for any of the nine numbers and their sum; null for a number that does not fit
+    parts = F.zip_with(_groups(mention, _AMOUNT, 9), F.array(*scales), lambda x, s: F.when(
+        x == "", F.lit(0).cast("decimal(35,6)")).otherwise(
+        F.replace(x, F.lit(","), F.lit("")).try_cast("decimal(22,6)") * s))
+    total = F.aggregate(parts, F.lit(0).cast("decimal(38,6)"), lambda a, x: (a + x).cast("decimal(38,6)"))
+    return F.floor(total).try_cast("long")
 
 
 def amounts_won(text: str | Column) -> Column:
@@ -342,23 +345,23 @@ def amounts_won(text: str | Column) -> Column:
 def amount_won(text: str | Column) -> Column:
     """First money amount in won (see ``amounts_won``); null when there is
     none or it does not fit."""
-    t = col_of(text)
-    return F.when(t.rlike(_AMOUNT), _won(t))
+    return _won(F.nullif(F.regexp_extract(col_of(text), _AMOUNT, 0), F.lit("")))
 
 
 def _months(mention: Column) -> Column:
     """A period's text in months: years, half a year and months summed, a
     part of a month cut off; null when it does not fit an int."""
-    def group(k):
-        return F.nullif(F.regexp_extract(mention, _PERIOD, k), F.lit(""))
+    year = S.PERIOD_UNITS["년"]
 
-    year = F.lit(S.PERIOD_UNITS["년"]).cast("decimal(4,0)")
-    months = F.coalesce(group(3), group(4))
-    total = (F.coalesce(group(1).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")) * year
-             + F.when(group(2).isNotNull() | group(5).isNotNull(), year / 2).otherwise(0).cast("decimal(4,0)")
-             + F.coalesce(months.try_cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)")))
-    bad = months.isNotNull() & months.try_cast("decimal(18,0)").isNull()
-    return F.when(~bad, F.floor(total).try_cast("int"))
+    def part(x, i):
+        scale = F.element_at(F.array(*[F.lit(v).cast("decimal(4,0)") for v in (year, 0, 1, 1, 0)]), i + 1)
+        number = F.when(x == "반", F.lit(year // 2).cast("decimal(26,6)")).otherwise(
+            x.try_cast("decimal(22,6)") * scale)
+        return F.when(x == "", F.lit(0).cast("decimal(26,6)")).otherwise(number)
+
+    total = F.aggregate(F.transform(_groups(mention, _PERIOD, 5), part), F.lit(0).cast("decimal(38,6)"),
+                        lambda a, x: (a + x).cast("decimal(38,6)"))
+    return F.floor(total).try_cast("int")
 
 
 def periods_months(text: str | Column) -> Column:
@@ -370,8 +373,7 @@ def periods_months(text: str | Column) -> Column:
 
 def period_months(text: str | Column) -> Column:
     """First period in months (see ``periods_months``)."""
-    t = col_of(text)
-    return F.when(t.rlike(_PERIOD), _months(F.regexp_extract(t, _PERIOD, 0)))
+    return _months(F.nullif(F.regexp_extract(col_of(text), _PERIOD, 0), F.lit("")))
 
 
 def route_intent(intent: str | Column, text: str | Column,

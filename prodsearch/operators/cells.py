@@ -50,26 +50,41 @@ class CellIndex(NamedTuple):
 def fit_centres(vectors: DataFrame, vec: str, key: str, cells: int, sample: int = SAMPLE,
                 rounds: int = ROUNDS) -> np.ndarray:
     """k-means centres of a sample of at most ``sample`` vectors (those whose
-    ids hash lowest), from evenly spaced starts in that order."""
-    rows = (vectors.where(F.col(vec).isNotNull()).select(F.col(vec).cast("array<double>").alias("v"),
-                                                        F.xxhash64(key).alias("h"))
-            .orderBy("h").limit(sample).toArrow())
-    m = _vectors(rows["v"], rows.num_rows)
-    if not len(m):
+    ids hash lowest), from evenly spaced starts in that order. Each round is a
+    job whose tasks return one sum per cell; the driver only divides them."""
+    spark = vectors.sparkSession
+    chosen = cut_lineage(vectors.where(F.col(vec).isNotNull()).select(
+        F.xxhash64(key).alias("h"), F.col(vec).cast("array<double>").alias("v")).orderBy("h", "v").limit(sample))
+    n = chosen.count()
+    if not n:
         return np.zeros((0, 0))
-    centres = m[np.linspace(0, len(m) - 1, min(cells, len(m))).astype(int)].copy()
+    at = sorted(set(np.linspace(0, n - 1, min(cells, n)).astype(int).tolist()))
+    place = F.row_number().over(Window.orderBy("h", "v")) - 1       # over the sample only
+    starts = chosen.withColumn("i", place).where(F.col("i").isin(at)).select("v").toArrow()
+    centres = _vectors(starts["v"], starts.num_rows)
+    rows = cut_lineage(chosen.select("v").repartition(spark.sparkContext.defaultParallelism))
     for _ in range(rounds):
-        own = _nearest(m, centres, 1)[:, 0]
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, m)
-        n = np.bincount(own, minlength=len(centres))
-        centres[n > 0] = sums[n > 0] / n[n > 0, None]
+        def sums(batches: Iterator[pa.RecordBatch], c=centres) -> Iterator[pa.RecordBatch]:
+            total, count = np.zeros_like(c), np.zeros(len(c))
+            for b in batches:
+                if b.num_rows:
+                    m = _vectors(b.column(0), b.num_rows)
+                    own = _nearest(m, c, 1)[:, 0]
+                    np.add.at(total, own, m)
+                    count += np.bincount(own, minlength=len(c))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([count.tobytes()])], ["s", "n"])
+
+        parts = rows.mapInArrow(sums, "s binary, n binary").toArrow()       # a row for each task
+        total = sum(np.frombuffer(x, np.float64) for x in parts["s"].to_pylist()).reshape(centres.shape)
+        count = sum(np.frombuffer(x, np.float64) for x in parts["n"].to_pylist())
+        centres = centres.copy()
+        centres[count > 0] = total[count > 0] / count[count > 0, None]
     return centres
 
 
-def _nearest(m: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+def _nearest(m: np.ndarray, centres: np.ndarray, n: int, product=np.matmul) -> np.ndarray:
     """The n nearest centres of each row (Euclidean), nearest first."""
-    far = (centres * centres).sum(axis=1)[None, :] - 2 * (m @ centres.T)
+    far = (centres * centres).sum(axis=1)[None, :] - 2 * product(m, centres.T)
     n = min(n, len(centres))
     part = np.argpartition(far, n - 1, axis=1)[:, :n] if n < len(centres) else np.tile(
         np.arange(len(centres)), (len(m), 1))
@@ -77,6 +92,12 @@ def _nearest(m: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return np.take_along_axis(part, order, axis=1)
 
 
+def _one_core(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A matrix product without numpy's threads, for the driver: they may lock
+    up in a process that has forked."""
+    return np.einsum("ij,jk->ik", a, b)
+
+
 def default_cells(n: int) -> int:
     """About the square root of the number of vectors, up to MAX_CELLS."""
     return max(1, min(MAX_CELLS, int(round(n ** 0.5))))
@@ -218,7 +239,7 @@ def calibrate(index: CellIndex, queries: DataFrame, k: int = 3, *, target: float
     rows = asked.toArrow()                                          # at most ``sample`` rows
     if not rows.num_rows:
         return 1
-    order = _nearest(_vectors(rows["v"], rows.num_rows), index.centres, len(index.centres))
+    order = _nearest(_vectors(rows["v"], rows.num_rows), index.centres, len(index.centres), _one_core)
     place = {q: np.argsort(o) for q, o in zip(rows["qid"].to_pylist(), order)}
     every = F.explode(F.sequence(F.lit(0), F.lit(len(index.centres) - 1))).alias("cell")
     met = _met(index, spark.createDataFrame(rows).repartition("qid").select(every, "qid", "v"), k, exclude_self, [])

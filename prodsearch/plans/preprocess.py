@@ -122,16 +122,17 @@ def product_statistics(products: DataFrame, product_type: str, run_time: str) ->
     return out
 
 
-def newest_raw_file(spark: SparkSession, root: str, product_type: str) -> str | None:
-    """The type's raw CSV (a file, or a folder of part files) with the latest
-    snapshot time in its name. Only names are listed, no content is read."""
-    letter = {v: k for k, v in S.DIVISION_TYPES.items()}[product_type]
-    name = rf"^(.*/{letter}_(\d{{8}}_\d{{6}})\.csv)(?:/[^/]+)?$"
+def newest_raw_files(spark: SparkSession, root: str) -> dict[str, str]:
+    """Per product type the raw CSV (a file, or a folder of part files) with
+    the latest snapshot time in its name. One listing, no content is read; a
+    row for each type comes to the driver."""
+    name = r"^(.*/([A-Z])_(\d{8}_\d{6})\.csv)(?:/[^/]+)?$"
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
               .option("pathGlobFilter", "*.csv").load(root)
-              .select(F.regexp_extract("path", name, 1).alias("path"), F.regexp_extract("path", name, 2).alias("ts"))
-              .where("ts <> ''"))
-    return listed.agg(F.max_by("path", "ts")).first()[0]
+              .select(*[F.regexp_extract("path", name, k).alias(c) for k, c in ((1, "path"), (2, "div"), (3, "ts"))])
+              .where(F.col("div").isin(list(S.DIVISION_TYPES))))
+    newest = listed.groupBy("div").agg(F.max_by("path", "ts").alias("path"))
+    return {S.DIVISION_TYPES[r.div]: r.path for r in newest.collect()}
 
 
 def preprocess_all(spark: SparkSession, raw_root: str, out: str, run_time: str,
@@ -140,8 +141,10 @@ def preprocess_all(spark: SparkSession, raw_root: str, out: str, run_time: str,
     file is read, cleaned and written with its statistics and its step audit. A
     type without a file is skipped, one that fails stops no other. Returns the
     status table ``(product_type, status, rows, error)``."""
+    newest = newest_raw_files(spark, raw_root)
+
     def job(product_type: str) -> DataFrame | None:
-        path = newest_raw_file(spark, raw_root, product_type)
+        path = newest.get(product_type)
         if path is None:
             return None
         raw = with_position(files.read_raw_csv(spark, path))

@@ -110,14 +110,16 @@ def prompts(results: DataFrame, queries: DataFrame, notes: DataFrame | None = No
         v = v.withColumn("raw_json", F.to_json("raw_data"))
     else:
         v = v.withColumn("raw_json", F.lit("{}"))
-    best = retrieve.best_per_group(v, ["query_id"], F.lit(0) - F.col("rank"), "product_id",
-                                   ["product_name", "company", "product_type", "score",
-                                    "raw_json"])
-    comp = retrieve.comparison_list(
-        v, ["query_id"], [F.col("rank").asc()], 3,
-        F.concat(F.lit("- "), F.col("product_name"), F.lit(" ("), F.col("company"), F.lit(")")))
+    # the first three of a query, once: the best one's columns and all three as lines
+    place = Window.partitionBy("query_id").orderBy(F.col("rank").asc(), F.col("product_id").asc())
+    top = v.withColumn("__r", F.row_number().over(place)).where("__r <= 3")
+    line = F.concat(F.lit("- "), F.col("product_name"), F.lit(" ("), F.col("company"), F.lit(")"))
+    lines = F.sort_array(F.collect_list(F.struct("__r", line.alias("l"))))["l"]
+    best = top.groupBy("query_id").agg(
+        F.min(F.struct("__r", "product_name", "company", "product_type", "score", "raw_json")).alias("b"),
+        F.array_join(lines, "\n").alias("lines")).select("query_id", "b.*", "lines").drop("__r")
     q = queries.select("query_id", "conv_id", text, F.col("analysis.user_intent").alias("intent"))
-    q = q.join(best, "query_id").join(comp, "query_id", "left")
+    q = q.join(best, "query_id")
     if notes is not None:
         q = q.join(notes.select("conv_id", "note"), "conv_id", "left")
     else:
@@ -230,8 +232,7 @@ def index_products(spark, processed_root: str, dim: int = 256):
         except AnalysisException:       # a type without a file
             continue
     documents = product_documents(files.union_typed(frames))
-    model = retrieve.fit_hashing_encoder(documents, "search_text", dim)
-    return model, retrieve.embed(model, documents, "search_text")
+    return retrieve.fit_embed(documents, "search_text", dim)
 
 
 def answer(model, products: DataFrame, questions: DataFrame, messages: DataFrame | None = None,

@@ -144,6 +144,21 @@ def test_amount_forms(spark):
     assert months == [None, 12, 36]
 
 
+def test_every_amount_and_period(spark):
+    want = {"월 30만원씩 2년 6개월, 만기 1억 2천만원": ([300_000, 120_000_000], [30]),
+            "1년 반 동안 500원": ([500], [18]), "1.5년 또는 6달": ([], [18, 6]), "반년만": ([], [6]),
+            "2024년 3월에 1,000만원": ([10_000_000], []), "3년간 10원 20원": ([10, 20], [36]),
+            "1년 반복, 12개월 혹은 24 개월": ([], [12, 12, 24]), "2년반짜리": ([], [30]), "": ([], []),
+            "123456789012억원 5원": ([None, 5], []), "99999999999999999999개월 1년": ([], [None, 12])}
+    rows = one_col(spark, list(want)).select(TX.amounts_won("v"), TX.periods_months("v"), TX.amount_won("v"),
+                                             TX.period_months("v")).collect()
+    for text, r in zip(want, rows):
+        won, months = want[text]
+        assert (r[0], r[1]) == (won, months), text
+        assert (r[2], r[3]) == (won[0] if won else None, months[0] if months else None), text
+    assert one_col(spark, [None]).select(TX.amounts_won("v"), TX.period_months("v")).first()[:] == (None, None)
+
+
 def test_category_rules_default_and_compat(spark):
     phrases = ["연금저축", "정기예금", "적금", "예금", "주택담보대출", "전세자금대출",
                "개인신용대출", "보험", ""]

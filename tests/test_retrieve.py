@@ -103,6 +103,39 @@ def test_embed_with_plugged_encoder(spark):
     assert np.allclose(rows[1].embedding, np.array([4, 1]) / np.sqrt(17), atol=1e-6)
 
 
+def test_plugged_encoder_gets_full_batches_across_row_groups(spark):
+    """Row groups of 10 rows, batches of 32: only a task's last call is smaller."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        docs = spark.range(0, 150, numPartitions=2).selectExpr("id", "CASE WHEN id % 7 > 0 THEN repeat('a', id) END AS text")
+
+        def factory():
+            calls = []
+
+            def encode(texts):
+                calls.append(len(texts))
+                return np.array([[len(t), len(texts), len(calls)] for t in texts])
+            return encode
+        rows = retrieve.embed_with(docs, "text", factory, dim=3).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert [r.id for r in rows] == list(range(150))
+    for r in rows:
+        n, batch, call = (x / r.embedding[2] for x in r.embedding)
+        place = r.id % 75
+        raw = np.array([0 if r.id % 7 == 0 else r.id, 32 if place < 64 else 11, place // 32 + 1], float)
+        assert np.allclose(r.embedding, raw / np.linalg.norm(raw), atol=1e-5)
+
+
+def test_words_are_hashed_once_for_fit_and_embedding(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"wort{i % 9} Wort{i % 4} x") for i in range(40)], "id long, text string")
+    monkeypatch.setattr(retrieve, "MAX_WORDS", 3)       # the memory of words may be small
+    _, both = retrieve.fit_embed(docs, "text", dim=16)
+    apart = retrieve.embed(retrieve.fit_hashing_encoder(docs, "text", dim=16), docs, "text")
+    assert {r.id: r.embedding for r in both.collect()} == {r.id: r.embedding for r in apart.collect()}
+
+
 def test_topk_ranks_by_the_raw_score_and_starts_no_job(spark):
     """Doubles stay doubles, near-equal scores keep their order, and the plan
     is made without running anything."""

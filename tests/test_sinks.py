@@ -1,0 +1,164 @@
+"""Reruns, snapshots, counts from the write, raw CSV and types side by side."""
+
+import os
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from prodsearch import schemas as S
+from prodsearch.operators import stats
+from prodsearch.plans import collect
+from prodsearch.sources import files
+from test_sources_plans import deposit_result, land, landing_fixture
+
+SCHEMA = "prdt_div string, snapshot_ts string, v long"
+
+
+def records(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_rerun_of_a_snapshot_replaces_it(spark, scratch):
+    out = os.path.join(scratch, "out")
+    land_root = os.path.join(scratch, "land")
+    landing_fixture(land_root)
+
+    def state():
+        recs = spark.read.parquet(f"{out}/records")
+        return (sorted(str(r) for r in recs.collect()),
+                sorted(str(r) for r in spark.read.parquet(f"{out}/counts").collect()))
+
+    collect.collect_job(spark, land_root, out, "20250714_175227")
+    once = state()
+    collect.collect_job(spark, land_root, out, "20250714_175227")
+    assert state() == once and len(once[0]) == 4
+    collect.collect_job(spark, land_root, out, "20250801_000000")
+    assert len(state()[0]) == 8
+
+
+def test_a_division_that_a_rerun_lost_is_not_read(spark, scratch):
+    """The first run saw two divisions, the second only one."""
+    first, second, out = (os.path.join(scratch, x) for x in ("first", "second", "out"))
+    landing_fixture(first)
+    b = {"fin_co_no": "c1", "fin_prdt_cd": "A1", "kor_co_nm": "은행", "fin_prdt_nm": "예금"}
+    land(second, page=1, result=deposit_result(1, 1, [b], []))
+    collect.collect_job(spark, first, out, "20250101_000000")
+    counts = collect.collect_job(spark, second, out, "20250101_000000")
+    assert [(r.prdt_div, r.records, r.reported) for r in counts.collect()] == [("D", 1, 2)]
+    got = files.committed(spark, f"{out}/records", f"{out}/counts")
+    assert [(r.prdt_div, r.snapshot_ts) for r in got.collect()] == [("D", "20250101_000000")]
+
+
+def test_counts_equal_those_of_the_records(spark, scratch):
+    land_root = os.path.join(scratch, "land")
+    landing_fixture(land_root)
+    recs, counts, _ = collect.collect_landing(spark, land_root, "20250101_000000")
+    written = collect.collect_job(spark, land_root, os.path.join(scratch, "out"), "20250101_000000")
+    assert sorted((r.prdt_div, r.records, r.reported) for r in written.collect()) == sorted(
+        (r.prdt_div, r.records, r.reported) for r in counts.collect())
+
+
+def test_counts_come_from_the_running_write(spark, scratch):
+    """One pass over the records: a counter on each row proves it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [("D" if i % 3 else "S", "20250101_000000", i) for i in range(90)]
+    df = records(spark, rows).mapInArrow(count, SCHEMA)
+    assert files.write_raw(df, os.path.join(scratch, "out")) == {"D": 60, "S": 30}
+    assert seen.value == 90
+
+
+def test_unknown_divisions_are_counted_too(spark, scratch):
+    df = records(spark, [("X", "20250101_000000", 1), ("D", "20250101_000000", 2), ("X", "20250101_000000", 3)])
+    for fmt in ("parquet", "csv"):
+        assert files.write_raw(df, os.path.join(scratch, fmt), fmt=fmt) == {"X": 2, "D": 1}
+
+
+def test_empty_run_leaves_earlier_snapshots(spark, scratch):
+    out = os.path.join(scratch, "out")
+    files.write_raw(records(spark, [("D", "20250101_000000", 1)]), out)
+    assert files.write_raw(records(spark, []), out) is False
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_newest_snapshots_prune_the_scan(spark, scratch):
+    rec, cnt = os.path.join(scratch, "records"), os.path.join(scratch, "counts")
+    for ts, divs in (("20250101_000000", "DSP"), ("20250201_000000", "DS"), ("20250301_000000", "D")):
+        written = files.write_raw(records(spark, [(d, ts, i) for d in divs for i in range(5)]), rec)
+        files.write_counts(spark.createDataFrame([(d, n, n, ts) for d, n in written.items()],
+                                                 "prdt_div string, records long, reported long, snapshot_ts string"), cnt)
+    # records of a run that did not get to its counts
+    files.write_raw(records(spark, [("P", "20250401_000000", 9)]), rec)
+    newest = files.latest_snapshots(spark, rec, cnt)
+    assert sorted({(r.prdt_div, r.snapshot_ts) for r in newest.collect()}) == [
+        ("D", "20250301_000000"), ("P", "20250101_000000"), ("S", "20250201_000000")]
+    assert newest.count() == 15 and files.committed(spark, rec, cnt).count() == 30
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+def test_raw_csv_round_trip(spark, scratch):
+    rows = [(1, 'a "b"\nc', "020000", None), (2, "", " x ", "N/A"), (3, "콤마, 줄\n\n끝", "000", "é")]
+    df = spark.createDataFrame(rows, "id long, note string, code string, w string").repartition(3)
+    path = os.path.join(scratch, "S_20250714_175227.csv")
+    files.land_csv(df, path)
+    part = next(f for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    with open(os.path.join(path, part), "rb") as f:
+        assert f.read(3) == b"\xef\xbb\xbf"
+    back = files.with_snapshot(files.read_raw_csv(spark, path, apply_null_tokens=False))
+    got = sorted((int(r.id), r.note, r.code, r.w, r.prdt_div, r.snapshot_ts) for r in back.collect())
+    assert got == [(*r, "S", "20250714_175227") for r in rows]
+
+
+def test_types_run_side_by_side(spark):
+    """All jobs must be under way together to get past the barrier; each runs
+    in its own pool and one failure stays its own."""
+    barrier, pools = threading.Barrier(3), {}
+
+    def job(t):
+        barrier.wait(timeout=60)
+        pools[t] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        if t == "saving":
+            raise ValueError("broken")
+        return spark.range(5) if t == "deposit" else None
+
+    got = files.run_per_type(spark, ["deposit", "saving", "rent"], job).collect()
+    assert [(r.product_type, r.status, r.rows) for r in got] == [
+        ("deposit", "ok", 5), ("saving", "failed", None), ("rent", "missing", None)]
+    assert pools == {"deposit": "deposit", "saving": "saving", "rent": "rent"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_sketches_merge(spark, scratch):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("snapshot_ts"),
+                                    F.when(F.col("id") % 11 > 0, F.col("id") % 9_000).alias("v"))
+    stats.distinct_sketches(df, ["g", "snapshot_ts"], "v").write.partitionBy("snapshot_ts").parquet(scratch + "/sk")
+    merged = stats.merged_distinct(spark.read.parquet(scratch + "/sk"), ["g"])
+    exact = {r.g: (r.n, r.rows) for r in df.groupBy("g").agg(
+        F.count_distinct("v").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
+    for r in merged.collect():
+        n, rows = exact[r.g]
+        assert abs(r.n_distinct - n) <= 0.02 * n and r.n_rows == rows
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_company_division_and_salting(spark, hot):
+    from prodsearch.operators import joins
+    base = spark.createDataFrame([(k, f"b{k}") for k in range(20)] + [(None, "n")], "k long, b string")
+    opt = spark.createDataFrame([(3 if i % 2 and hot else i % 25, i) for i in range(300)], "k long, o long")
+    plain = joins.left_join_records(base, opt, ["k"])
+    salted = joins.left_join_records(base, opt, ["k"], hot_rows=40, salt_cols=["o"])
+    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
+    explodes = "explode" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert explodes is hot                      # no salts without a hot key
+
+
+def test_divisions_cover_all_types():
+    assert set(S.DIVISION_TYPES.values()) == set(S.CORE_COLUMNS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,20 +95,41 @@ def arrow_columns(fields: dict[str, str], values: dict) -> list[pa.Array]:
     return [pa.array(values[n], type=_ARROW[t]) for n, t in fields.items()]
 
 
-def map_texts(df: DataFrame, keep: list[str], text: str, make, fields: dict[str, str]) -> DataFrame:
+#: what a Python worker keeps between tasks; a task that does not use it drops it
+KEPT: dict = {}
+
+
+def give_back() -> None:
+    """Drop what earlier tasks kept and return freed memory to the system.
+    Python workers live on between tasks and stages, and neither Arrow nor the
+    C library gives back by itself what a task freed."""
+    KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # not the GNU C library
+        pass
+
+
+def map_texts(df: DataFrame, keep: list[str], text: str, make, fields: dict[str, str],
+              keeps_state: bool = False, arrow: bool = False) -> DataFrame:
     """Columns ``keep`` plus ``fields`` (name -> type), computed from the text
     batch by batch where it is read. ``make()`` is called once per task and
     returns a function from a list of texts (None for null) to a dict of
     lists, one value per text. Kept columns pass through as they are, so
     nulls and large numbers stay exact. A dict that holds ``at`` gives rows
-    by position in the batch instead: none, one or several per text.
+    by position in the batch instead: none, one or several per text. With
+    ``arrow`` the function gets the texts as an Arrow array; ``keeps_state``
+    leaves what is in KEPT for the worker's next task.
     """
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps_state:
+            give_back()
         of = make()
         for b in batches:
-            got = of(b.column(n).to_pylist())
+            got = of(b.column(n) if arrow else b.column(n).to_pylist())
             held = b.columns[:n]
             if "at" in got:
                 at = pa.array(got["at"], pa.int64())

@@ -52,10 +52,11 @@ CAPACITY = 1024
 END_ID = 0
 MAX_PAD = 4                 # tokens a sequence may be padded by rather than cut
 RUN_COPIES = 16
-MAX_PIVOTS = 2_000          # of the simplex; any basis is a whole plan
+MAX_PIVOTS = 600            # of the simplex; any basis is a whole plan
 COLUMNS_A_ROUND = 40
 PAD_SHARE = 1e-4            # padding of all rests' tokens that is good enough
 EPS = 1e-7
+REFRESH = 200               # pivots after which the duals are computed anew
 
 
 def padding(totals: np.ndarray, capacity: int) -> np.ndarray:
@@ -79,16 +80,17 @@ def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.
     return best, item
 
 
-def greedy_basis(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[dict[int, int]]:
-    """One pattern per length, each using up a length that later ones lack:
-    the longest rest is filled up exactly by one or two others where possible,
-    else by the longest that fit."""
+def greedy_basis(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """(number of a length, pattern) for each length, in an order in which no
+    later pattern holds a length named before: each uses one length up. The
+    longest rest is filled up exactly by one or two others where possible, else
+    by the longest that fit."""
     left = np.zeros(capacity + 1)
     left[lengths] = counts
     number = {int(x): k for k, x in enumerate(lengths)}
     open_ = np.zeros(capacity + 1, bool)
     open_[lengths] = True
-    basis: list[dict[int, int]] = []
+    basis: list[tuple[int, dict[int, int]]] = []
     while open_.any():
         big = int(np.flatnonzero(open_)[-1])
         items, room = [big], capacity - big
@@ -115,7 +117,7 @@ def greedy_basis(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list
             left[x] = max(0.0, left[x] - use * a)
         left[spent] = 0
         open_[spent] = False
-        basis.append({number[x]: a for x, a in pattern.items()})
+        basis.append((number[spent], {number[x]: a for x, a in pattern.items()}))
     return basis
 
 
@@ -123,21 +125,25 @@ def generate_columns(lengths: np.ndarray, counts: np.ndarray, capacity: int = CA
                      max_pivots: int = MAX_PIVOTS) -> tuple[list[dict[int, int]], np.ndarray]:
     """(patterns, uses): a basic solution of the linear program. A pattern maps
     the number of a length to how often it holds it; uses are fractional."""
-    patterns = greedy_basis(lengths, counts, capacity)
     m = len(lengths)
     totals = np.arange(capacity + 1)
     price = 1.0 + padding(totals, capacity)          # a sequence, and its padding
     price[0] = np.inf
-    base = np.zeros((m, m))
-    for j, p in enumerate(patterns):
-        base[list(p), j] = list(p.values())
-    inverse = np.linalg.inv(base)
+    # numpy's own loops throughout: its linear algebra starts threads, which may
+    # lock up in a driver that has forked
+    patterns: list[dict[int, int]] = [{} for _ in range(m)]
+    inverse = np.eye(m)
+    for k, p in greedy_basis(lengths, counts, capacity):
+        patterns[k] = p
+        step = np.zeros(m)
+        step[list(p)] = list(p.values())
+        _pivot(inverse, step, k)
     cost = np.array([price[sum(int(lengths[i]) * a for i, a in p.items())] for p in patterns])
-    uses = np.maximum(inverse @ counts, 0.0)
-    enough = PAD_SHARE * float(lengths @ counts)
+    uses = np.maximum((inverse * counts).sum(axis=1), 0.0)
+    enough = PAD_SHARE * float((lengths * counts).sum())
     pivots = 0
-    while pivots < max_pivots and (cost - 1) @ uses > enough:
-        duals = cost @ inverse
+    duals = _product(cost, inverse)
+    while pivots < max_pivots and ((cost - 1) * uses).sum() > enough:
         best, item = knapsack(lengths, duals, capacity)
         # the best pattern of each total, and the best full one with each length
         with_each = duals + best[capacity - lengths]
@@ -158,29 +164,47 @@ def generate_columns(lengths: np.ndarray, counts: np.ndarray, capacity: int = CA
                 pattern[k] = pattern.get(k, 0) + 1
                 room -= int(lengths[k])
             rows, held = list(pattern), np.array(list(pattern.values()), np.float64)
-            if price[total] - duals[rows] @ held > -EPS:
+            gain = price[total] - (duals[rows] * held).sum()
+            if gain > -EPS:
                 continue                             # an earlier column of this round did its work
-            step = inverse[:, rows] @ held
+            step = (inverse[:, rows] * held).sum(axis=1)
             up = np.flatnonzero(step > 1e-9)
             ratio = uses[up] / step[up]
             # of equal ratios the largest step, for a stable inverse
             near = up[ratio <= ratio.min() + 1e-12]
             out = int(near[step[near].argmax()])
             theta = uses[out] / step[out]
-            row = inverse[out] / step[out]
-            duals = duals + (price[total] - duals[rows] @ held) * row
+            _pivot(inverse, step, out)
+            duals = duals + gain * inverse[out]
             step[out] = 0.0
-            inverse -= np.outer(step, row)
-            inverse[out] = row
             uses = np.maximum(uses - theta * step, 0.0)
             uses[out] = theta
             patterns[out], cost[out] = pattern, price[total]
             pivots += 1
+            if pivots % REFRESH == 0:
+                duals = _product(cost, inverse)
         if pivots == before:
             break
     return patterns, uses
 
 
+def _product(v: np.ndarray, m: np.ndarray) -> np.ndarray:
+    rows = np.flatnonzero(v)
+    return (v[rows, None] * m[rows]).sum(axis=0)
+
+
+def _pivot(inverse: np.ndarray, step: np.ndarray, out: int) -> None:
+    """The inverse of a basis whose column ``out`` becomes another, which is
+    ``step`` in terms of the old basis; most of both is zero."""
+    row = inverse[out] / step[out]
+    i, j = np.flatnonzero(np.abs(step) > 1e-13), np.flatnonzero(np.abs(row) > 1e-13)
+    if 3 * len(j) < len(row):
+        inverse[np.ix_(i, j)] -= step[i, None] * row[j]
+    else:
+        inverse[i] -= step[i, None] * row
+    inverse[out] = row
+
+
 def round_uses(patterns: list[dict[int, int]], uses: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(whole uses, rests left over of each length)."""
     whole = np.floor(uses + 1e-6).astype(np.int64)
@@ -328,10 +352,10 @@ def rests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         e, task = encoder(path), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
 
-        def cut(texts: list) -> dict:
+        def cut(texts: pa.Array) -> dict:
             out = {c: [] for c in ("at", "start", "length", "ids_crc32", "doc_tokens", "task", "rank")}
-            for i, t in enumerate(texts):
-                ids = e.ids(t) + end
+            for i, ids in enumerate(e.column_ids(texts)):
+                ids += end
                 total = len(ids) // 4
                 for s in range(0, total, capacity):
                     n = min(capacity, total - s)
@@ -345,7 +369,7 @@ def rests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(t).alias("thash"), t.alias("text"))
     return map_texts(rows, ["doc_id", "thash"], "text", make,
                      {"start": "long", "length": "long", "ids_crc32": "long", "doc_tokens": "long",
-                      "task": "int", "rank": "long"})
+                      "task": "int", "rank": "long"}, keeps_state=True, arrow=True)
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,

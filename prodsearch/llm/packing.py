@@ -98,10 +98,10 @@ def token_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     def make():
         e = encoder(path)
 
-        def cut(texts: list) -> dict:
+        def cut(texts: pa.Array) -> dict:
             out = {c: [] for c in ("at", "piece", "start", "length", "ids_crc32")}
-            for i, t in enumerate(texts):
-                ids = e.ids(t) + end
+            for i, ids in enumerate(e.column_ids(texts)):
+                ids += end
                 total = len(ids) // 4
                 edges = [0, *range(total % capacity or capacity, total + 1, capacity)]
                 for k, (s, z) in enumerate(zip(edges, edges[1:])):
@@ -113,7 +113,8 @@ def token_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        F.col(text).alias("text"))
     return map_texts(rows, ["doc_id", "row"], "text", make,
-                     {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long"})
+                     {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long"},
+                     keeps_state=True, arrow=True)
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",

@@ -77,4 +77,4 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         return count
 
     return map_texts(docs, [doc_id], text, make,
-                     {"n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"})
+                     {"n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"}, keeps_state=True)

@@ -38,6 +38,22 @@ def test_ids_equal_the_library(lib):
         assert e.count(t) == len(want)
 
 
+def test_column_ids_equal_the_library(lib, monkeypatch):
+    """Whole columns, with slices and caches small enough to turn over."""
+    import pyarrow as pa
+
+    texts = [None, *odd_texts(), "été, Ça; va? x.y, \u00d7, 3.5, don't! a<|endoftext|>, b", "\n", "a,\nb.\nc"]
+    texts += [f"w{i} Wort{i}, é{i}. <|endoftext|>\nab{i % 7}; ß!" for i in range(300)] + ["long " * 30_000]
+    for size, kept in ((6 << 20, 48 << 20), (500, 2_000)):
+        monkeypatch.setattr(pretokens, "SLICE_BYTES", size)
+        monkeypatch.setattr(pretokens, "KEPT_BYTES", kept)
+        e = pretokens.TextEncoder(PATH)
+        for _ in range(2):
+            for t, got in zip(texts, e.column_ids(pa.array(texts, pa.string())), strict=True):
+                assert np.frombuffer(got, "<u4").tolist() == lib.encode(t or "", add_special_tokens=False).ids, repr(t)
+    assert list(e.column_ids(pa.array([], pa.string()))) == []
+
+
 def test_single_characters(lib):
     """Every Latin character in each place of a chunk, as the letter class of
     the fast path must agree with the library's."""
@@ -45,6 +61,11 @@ def test_single_characters(lib):
     for c in map(chr, range(0x250)):
         for t in (c, f"a{c}b", f"a {c}", f"{c}. x", f"a{c} {c}b"):
             assert np.frombuffer(e.ids(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    import pyarrow as pa
+
+    texts = [x for c in map(chr, range(0x250)) for x in (f"{c}. x", f"a{c}, {c}b\n{c}!", f"x {c}")]
+    for t, got in zip(texts, e.column_ids(pa.array(texts))):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_counts(docs_of, lib):

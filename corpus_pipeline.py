@@ -3,7 +3,14 @@ mix sources, pack.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``. ``run`` writes each stage's rows as
-Parquet into the shared checkpoint folder and reads them back for the next.
+Parquet into the shared checkpoint folder and reads them back for the next; a
+stage's rows are deleted once the next one's are written, but for the last
+ones, which the result reads.
+
+Defined cases: null, empty and blank texts have too few words and go in the
+first stage, so only texts with words reach the others; null ids and sources
+are kept as they are; repeated rows are near copies, one of them stays; extra
+columns pass through; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -15,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prodsearch.llm import mixing, ngram_join, packing, quality, secret_scan
 from prodsearch.session import ensure_checkpoint_dir
+from prodsearch.sources import files
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,4 +70,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{out}/{k}")
         docs = spark.read.parquet(f"{out}/{k}")
+        if k:
+            files.delete(spark, f"{out}/{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..operators import clean
+from ..operators import clean, guard
 
 # a raw file, or a folder of part files, of one division and snapshot
 SNAPSHOT_RE = r"([A-Z])_(\d{8}_\d{6})\.csv(?:/[^/]+)?$"
@@ -93,6 +93,12 @@ def _folder(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it."""
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def write_raw(df: DataFrame, out: str, fmt: str = "parquet",
               divisions: Sequence[str] = tuple(S.DIVISION_TYPES) + (S.COMPANY_DIVISION,)) -> dict[str, int] | bool:
     """Write collected records partitioned by division and snapshot; the
@@ -146,6 +152,9 @@ def write_counts(counts: DataFrame, out: str) -> None:
      .partitionBy("snapshot_ts").parquet(out))
 
 
+MAX_SNAPSHOTS = 100_000     # (division, snapshot) folders whose list may be broadcast
+
+
 def _partitions(spark: SparkSession, records: str, wanted: DataFrame) -> DataFrame:
     """The records of the wanted (prdt_div, snapshot_ts). Both are partition
     columns, so the list prunes the scan at run time: other folders are not read."""
@@ -153,7 +162,7 @@ def _partitions(spark: SparkSession, records: str, wanted: DataFrame) -> DataFra
     kinds = {c: "string" if c in ("prdt_div", "snapshot_ts") else schema[c].dataType for c in schema.names}
     data = spark.read.schema(T.StructType([T.StructField(c, T.StringType() if k == "string" else k)
                                            for c, k in kinds.items()])).parquet(records)
-    return data.join(F.broadcast(wanted), ["prdt_div", "snapshot_ts"], "left_semi")
+    return data.join(guard.broadcast_if_small(wanted, MAX_SNAPSHOTS), ["prdt_div", "snapshot_ts"], "left_semi")
 
 
 def committed(spark: SparkSession, records: str, counts: str) -> DataFrame:

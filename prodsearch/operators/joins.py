@@ -287,7 +287,7 @@ def classify_by_table(texts: DataFrame, text_id: str, text_col: str, taxonomy: D
     found by ``containment_join``, counted per (text, label) with a partial
     aggregate, and the best label per text is a ``max(struct)`` aggregate."""
     tax = taxonomy.select(F.col(label).alias("__label"), F.col(ord_col).alias("__ord"),
-                          F.lower(F.col(kw)).alias("__kw"))
+                          F.lower(F.col(kw)).alias("__kw")).distinct()
     if guard.size_at_most(tax, SMALL_TAXONOMY, SMALL_TAXONOMY_BYTES) is not None:
         return _classify_small(texts, text_col, tax, out, default)
     kws = tax.select("__kw").distinct().withColumn("__kid", F.xxhash64("__kw"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,7 +48,8 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
 def land_csv(df: DataFrame, path: str) -> None:
     """Write a table as raw CSV the way the collector's files are: all cells
     quoted where needed, line breaks inside cells, a header, and a byte order
-    mark before it. ``path`` becomes a folder of part files, each with the header."""
+    mark before it; nulls and empty texts are empty cells, which are read back
+    as null. ``path`` becomes a folder of part files, each with the header."""
     first = df.columns[0]
     cells = [F.col(f"`{c}`").cast("string").alias("\ufeff" + c if c == first else c) for c in df.columns]
     (df.select(*cells).write.mode("overwrite").option("header", True).option("escape", '"')
@@ -228,6 +230,8 @@ def run_per_type(spark: SparkSession, types: Sequence[str],
         finally:
             sc.setLocalProperty("spark.scheduler.pool", None)
 
+    # wrapped one by one: each thread gets local properties of its own
+    jobs = [inheritable_thread_target(spark)(partial(run, t)) for t in types]
     with ThreadPoolExecutor(max_workers=max(1, at_once or len(types))) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(run), types))
+        rows = list(pool.map(lambda job: job(), jobs))
     return spark.createDataFrame(rows, "product_type string, status string, rows long, error string")

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,22 @@ def give_back() -> None:
         pass
 
 
+PART_BYTES = 4 << 20        # of texts handed over together
+
+
+def parts_of(b: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most PART_BYTES of text, or one row: Spark's
+    batches count rows, and a copy of a batch of long texts as Python strings
+    takes a multiple of it."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < b.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + PART_BYTES, side="right")))
+        yield b.slice(at, to - at)
+        at = to
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, make, fields: dict[str, str],
               keeps_state: bool = False, arrow: bool = False) -> DataFrame:
     """Columns ``keep`` plus ``fields`` (name -> type), computed from the text
@@ -128,7 +145,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str, make, fields: dict[str,
         if not keeps_state:
             give_back()
         of = make()
-        for b in batches:
+        for b in (p for whole in batches for p in parts_of(whole, n)):
             got = of(b.column(n) if arrow else b.column(n).to_pylist())
             held = b.columns[:n]
             if "at" in got:

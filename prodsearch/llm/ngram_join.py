@@ -39,20 +39,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prodsearch.llm.common import components, gram_hashes, map_texts, mix64, word_hash_chunks
+from prodsearch.llm.common import components, give_back, gram_hashes, map_texts, mix64, parts_of, word_hash_chunks
 from prodsearch.operators.guard import broadcast_if_small
 from prodsearch.session import cut_lineage
 
 GRAM_WORDS = 4
 THRESHOLD = 85              # 100 * intersection >= THRESHOLD * union
 BLOCK_NODES = 2_048         # nodes of a candidate group compared in one task
-BLOCK_GRAMS = 4_000_000     # and their n-grams
+BLOCK_GRAMS = 2_000_000     # and their n-grams
 SKETCH = 128
 PAIR_NODES = 32             # fragments with so many nodes or fewer give pairs, others a star
 COMMON_SAMPLE = 4_000       # documents (expected) that common n-grams are found in
 COMMON_IN = 4               # an n-gram in so many of them is common
 FRAGMENT_GRAMS = 4_096      # distinct n-grams of the fragments overlaps are counted in
-BUCKET_ENTRIES = 500_000    # expected fragment signatures sorted together by one task
+BUCKET_ENTRIES = 200_000    # expected fragment signatures sorted together by one task
 MAX_BROADCAST_NODES = 1_000_000
 
 
@@ -242,6 +242,7 @@ def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int, common:
     shared = rows.sparkSession.sparkContext.broadcast(common)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         classes, seen, known = SizeClasses(threshold), set(), shared.value
         held: list[tuple[np.ndarray, int]] = []
         size = 0
@@ -260,7 +261,7 @@ def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int, common:
                  pa.array([node[a:z].tobytes() for a, z in part], pa.binary())],
                 ["bucket", "sigs", "nodes"])
 
-        for b in batches:
+        for b in (p for whole in batches for p in parts_of(whole, 0)):
             for _, h in word_hash_chunks(b.column(0).to_pylist()):
                 g = gram_set(h, n)
                 if not len(g):
@@ -278,6 +279,9 @@ def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int, common:
                     held, size = [], 0
         if held:
             yield blocks()
+        held.clear()
+        seen.clear()
+        give_back()
 
     def meet(group: pa.Table) -> pa.Table:
         sig = np.concatenate([np.frombuffer(x, np.uint64) for x in group["sigs"].to_pylist()])
@@ -299,8 +303,11 @@ def candidate_edges(rows: DataFrame, n: int, threshold: int, grams: int, common:
         pairs = np.unique(np.concatenate(pairs), axis=0)
         stars = np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0)
         both = np.concatenate([pairs, stars])
-        return pa.table({"a": both[:, 0], "b": both[:, 1],
-                         "star": np.repeat([False, True], [len(pairs), len(stars)])})
+        out = pa.table({"a": both[:, 0], "b": both[:, 1],
+                        "star": np.repeat([False, True], [len(pairs), len(stars)])})
+        del sig, node, order, first, held
+        give_back()
+        return out
 
     blocks = rows.select("text").mapInArrow(cut, "bucket int, sigs binary, nodes binary")
     return blocks.groupBy("bucket").applyInArrow(meet, "a long, b long, star boolean").distinct()
@@ -410,6 +417,8 @@ def compare_blocks(sized: DataFrame, n: int, threshold: int) -> DataFrame:
                 if parts[0][r] != parts[z][c]:
                     a.append(int(node[parts[0][r]]))
                     b.append(int(node[parts[z][c]]))
+            del grams, same, links
+            give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return sets.groupBy("grp").applyInArrow(meet, "a long, b long")

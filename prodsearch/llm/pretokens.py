@@ -24,8 +24,8 @@ import pyarrow.compute as pc
 from prodsearch.llm.common import KEPT
 
 MAX_CACHED = 500_000        # chunks kept per worker
-SLICE_BYTES = 6 << 20       # of texts whose chunks are told apart together
-KEPT_BYTES = 48 << 20       # of chunks and their ids in each of two generations
+SLICE_BYTES = 1 << 20       # of texts whose chunks are told apart together
+KEPT_BYTES = 24 << 20       # of chunks and their ids in each of two generations
 ENTRY_BYTES = 130           # of one of them beside its characters and ids
 # white space in Python's sense but for the space and the line break
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -4,7 +4,9 @@ softmax, trained by stochastic gradient descent in numpy.
 Subwords are character n-grams inside words, word ends marked; the hashes of
 one to four characters pick rows of an embedding table, and a text is the
 mean of its rows. The classifier is fitted on a bounded sample of labelled
-documents (TRAIN_DOCS, shared evenly by the languages); a part of it that is
+documents (TRAIN_DOCS, shared evenly by the languages; of more than
+MAX_LANGUAGES label values, as mistyped ones may be, the most frequent are
+learned, and documents of others are predicted among them); a part of it that is
 held back calibrates the probabilities by a temperature and sets the level
 below which a prediction counts as rejected. Every whole text is predicted,
 batch by batch where it is read.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from prodsearch.llm.common import map_texts, mix64
 
 TRAIN_DOCS = 2_400          # bound of the sample the classifier is fitted on
-MAX_LANGUAGES = 400         # more label values than this are refused
+MAX_LANGUAGES = 400         # label values learned, the most frequent ones
 BUCKETS = 1 << 12
 DIM = 16
 ORDERS = (1, 2, 3, 4)
@@ -152,11 +154,11 @@ def training_sample(docs: DataFrame, doc_id: str, text: str, lang: str,
     t, i = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
     usable = docs.where(F.col(f"`{lang}`").isNotNull() & ~held_out(i) & t.rlike(r"\p{L}"))
     by_lang = usable.select(F.col(f"`{lang}`").alias("lang"), i.alias("id"), F.xxhash64(t).alias("th"))
-    known = [r[0] for r in by_lang.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    often = by_lang.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES)
+    known = sorted(r[0] for r in often.collect())
     if not known:
         return [], np.empty((0, BUCKETS), np.float32), np.empty(0, int)
+    by_lang = by_lang.where(F.col("lang").isin(known))
     each = max(1, train_docs // len(known))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "th")
     chosen = (by_lang.withColumn("rn", F.row_number().over(by_hash)).where(F.col("rn") <= each)

@@ -93,6 +93,17 @@ def test_language_held_out_accuracy(spark, sf):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_more_labels_than_are_learned(docs_of, monkeypatch):
+    """Noisy labels beyond the bound: the frequent ones are learned."""
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    words = {"aa": "bla blub", "bb": "kix kox", "cc": "zum zam"}
+    rows = [(i, f"{words[v]} {words[v]}", v, None, None) for i, v in enumerate(list(words) * 20)]
+    rows += [(100 + i, "bla blub", f"typo{i}", None, None) for i in range(12)]
+    got = langid.identify(docs_of(rows)).collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got} == set(words)
+    assert all(r.lang_pred == "aa" for r in got if r.doc_id >= 100)
+
+
 def test_language_edges(docs_of):
     texts = ["the quick brown fox", "der schnelle braune Fuchs", None, "", "123 !?", "汉字", "the dog"] * 3
     rows = [(i, t, None if i == 6 else "de" if t and "der" in t else "en", None, None) for i, t in enumerate(texts)]

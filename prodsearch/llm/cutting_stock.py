@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prodsearch.llm.common import map_texts
+from prodsearch.llm.common import give_back, map_texts, parts_of
 from prodsearch.llm.packing import best_fit_decreasing
 from prodsearch.llm.pretokens import encoder
 from prodsearch.operators.guard import broadcast_if_small
@@ -392,6 +392,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in columns[1:])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()                 # the tokenizer of the tasks before
         for b in batches:
             if not b.num_rows:
                 continue
@@ -425,8 +426,8 @@ def _with_ids(cut: DataFrame, docs: DataFrame, path: str, doc_id: str, text: str
     joined = cut.join(texts, same).select("__text", *cut.columns)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
-        for b in batches:
+        for b in (p for whole in batches for p in parts_of(whole, 0)):
+            e = encoder(path)
             got, last, ids = [], object(), b""
             for s, start, n in zip(b.column(0).to_pylist(), b.column("start").to_pylist(),
                                    b.column("length").to_pylist()):

@@ -67,7 +67,7 @@ def test_key_matches_sql(spark, sf, key):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     res = con.execute(queries.ORACLE[key])
     cols = [c[0] for c in res.description]

@@ -53,22 +53,96 @@ def _topk_cols(ids: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
     return part
 
 
-def _merge(best: list | None, cand: list, k: int) -> list:
-    """Keep the k best of two candidate sets. Each set is a list of (k x q)
-    arrays: ids, scores, then payload columns."""
-    if best is None:
-        return cand
-    joined = [np.concatenate([x, y], axis=0) for x, y in zip(best, cand)]
-    order = np.lexsort((joined[0], -joined[1]), axis=0)[:k]
-    return [np.take_along_axis(x, order, axis=0) for x in joined]
+SCORE_ROWS = 512            # products whose scores a task holds at a time,
+SCORE_COLS = 2_048          # for as many queries
+
+
+class Best:
+    """The k best products of each query of a block: (k x q) arrays of ids,
+    scores and payload values, by (score desc, id asc). Products come in any
+    order and number. Scores are computed SCORE_ROWS x SCORE_COLS at a time and
+    only those that reach a query's k-th best so far are looked at, so memory is
+    a few MB and the cost per score is that of the product and a comparison."""
+
+    def __init__(self, qids: np.ndarray, qmat: np.ndarray, k: int, payload: int = 0):
+        self.qids, self.qmat, self.k = qids, qmat, k
+        self.ids = np.full((k, len(qids)), np.iinfo(np.int64).max)
+        self.scores = np.full((k, len(qids)), -np.inf)
+        self.pay = [np.full((k, len(qids)), None, dtype=object) for _ in range(payload)]
+
+    def meet(self, ids: np.ndarray, mat: np.ndarray, payload: Callable[[np.ndarray], list] | None = None,
+             cols: np.ndarray | None = None, exclude_self: bool = False) -> None:
+        """Score products (ids, mat) against the queries at ``cols`` (all if
+        None); ``payload(rows)`` gives the payload columns of some of them."""
+        if mat.shape[1] != self.qmat.shape[1]:
+            raise ValueError("vectors of different lengths")
+        cols = np.arange(len(self.qids)) if cols is None else cols
+        for c in (cols[lo:lo + SCORE_COLS] for lo in range(0, len(cols), SCORE_COLS)):
+            q = np.ascontiguousarray(self.qmat[c], dtype=np.float64).T
+            for lo in range(0, len(ids), SCORE_ROWS):
+                part = ids[lo:lo + SCORE_ROWS]
+                s = mat[lo:lo + SCORE_ROWS].astype(np.float64, copy=False) @ q
+                row, col = self._reach(part, s, c, exclude_self)
+                if len(row):
+                    score = s[row, col] + 0.0       # no negative zero
+                    self._merge(c[col], part[row], score, payload(row + lo) if payload else [])
+
+    def _reach(self, ids, s, c, exclude_self) -> tuple[np.ndarray, np.ndarray]:
+        """Places in s of the scores that may be among the k best."""
+        least, last = self.scores[-1, c], self.ids[-1, c]
+        hit = s >= least
+        new = np.flatnonzero(np.isneginf(least))        # fewer than k so far: the k best of these rows
+        if len(new):
+            hit[:, new] = False
+        row, col = np.nonzero(hit)
+        tied = (s[row, col] == least[col]) & (ids[row] >= last[col])
+        keep = ~tied & (ids[row] != self.qids[c[col]]) if exclude_self else ~tied
+        row, col = row[keep], col[keep]
+        if len(new):
+            t = np.where(np.isnan(sub := s[:, new]), -np.inf, sub)
+            if exclude_self:
+                t[ids[:, None] == self.qids[c[new]][None, :]] = -np.inf
+            pos = _topk_cols(ids, t, self.k)
+            some = np.take_along_axis(t, pos, axis=0) > -np.inf
+            row = np.concatenate([row, pos[some]])
+            col = np.concatenate([col, np.broadcast_to(new[None, :], pos.shape)[some]])
+        return row, col
+
+    def _merge(self, col, ids, scores, pay) -> None:
+        u, at = np.unique(col, return_inverse=True)
+        at = np.concatenate([np.tile(np.arange(len(u)), self.k), at])
+        ids = np.concatenate([self.ids[:, u].ravel(), ids])
+        scores = np.concatenate([self.scores[:, u].ravel(), scores])
+        order = np.lexsort((ids, -scores, at))
+        rank = np.arange(len(order)) - np.searchsorted(at[order], np.arange(len(u)))[at[order]]
+        order, rank = order[rank < self.k], rank[rank < self.k]
+        to = rank, u[at[order]]
+        for held, new in zip(self.pay, pay):
+            values = np.empty(len(new), dtype=object)
+            values[:] = new
+            held[to] = np.concatenate([held[:, u].ravel(), values])[order]
+        self.ids[to], self.scores[to] = ids[order], scores[order]
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Columns (query id, product id, score, payload) of the finite scores."""
+        keep = np.isfinite(self.scores)
+        return (np.broadcast_to(self.qids[None, :], keep.shape)[keep], self.ids[keep], self.scores[keep],
+                [p[keep] for p in self.pay])
 
 
 BLOCK_ROWS = 2_048          # queries, or products, packed in one row
 
 
+def own_dtype(df: DataFrame, vec: str) -> np.dtype:
+    """Floats are kept as floats, all else as doubles."""
+    return np.dtype(np.float32 if df.schema[vec].dataType.elementType == T.FloatType() else np.float64)
+
+
 def _packed(df: DataFrame, vec: str, names: Sequence[str], prefix: str) -> DataFrame:
     """Rows of up to BLOCK_ROWS vectors, where they are read: the named
-    columns as arrays and the vectors as one binary of doubles."""
+    columns as arrays and the vectors as one binary of their own type."""
+    own = own_dtype(df, vec)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, BLOCK_ROWS):
@@ -77,13 +151,20 @@ def _packed(df: DataFrame, vec: str, names: Sequence[str], prefix: str) -> DataF
                           for n in names]
                 mat = _vectors(part.column(vec), part.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array([np.ascontiguousarray(mat).tobytes()], pa.binary())],
+                    [*arrays, pa.array([mat.astype(own).tobytes()], pa.binary())],
                     [*[prefix + n for n in names], prefix + "mat"])
 
     fields = [f"`{prefix}{n}` array<{df.schema[n].dataType.simpleString()}>" for n in names]
     return df.mapInArrow(pack, ", ".join([*fields, f"`{prefix}mat` binary"]))
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """Rows with a vector ``v``, of floats or (anything else) doubles."""
+    if df.schema["v"].dataType.elementType != T.FloatType():
+        df = df.withColumn("v", F.col("v").cast("array<double>"))
+    return df.where(F.col("v").isNotNull())
+
+
 def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
                 product_id: str = "product_id", query_id: str = "query_id",
                 product_vec: str = "embedding", query_vec: str = "embedding",
@@ -99,19 +180,15 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
 
     Plan: both sides are packed, where they are read, into rows of up to
     BLOCK_ROWS vectors. The stated query set meets the products block by
-    block in a grid of such rows; each cell is one matrix product, and a task
-    keeps only the k best per query over its cells. Nothing is collected and
+    block in a grid of such rows; a cell's matrix product is made in pieces (see
+    ``Best``), and a task keeps only the k best per query over its cells. Nothing is collected and
     no job runs before the caller's action; Spark broadcasts the packed
     queries if they are small by its own estimate. A final ``row_number <= k``
     per query merges the tasks' candidates.
     """
     payload = list(payload)
-    q = (queries.select(F.col(query_id).cast("long").alias("qid"),
-                        F.col(query_vec).cast("array<double>").alias("v"))
-         .where(F.col("v").isNotNull()))
-    p = (products.select(F.col(product_id).cast("long").alias("pid"),
-                         F.col(product_vec).cast("array<double>").alias("v"), *payload)
-         .where(F.col("v").isNotNull()))
+    q = _typed(queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("v")))
+    p = _typed(products.select(F.col(product_id).cast("long").alias("pid"), F.col(product_vec).alias("v"), *payload))
     pay_fields = [products.schema[c] for c in payload]
     out_schema = T.StructType([T.StructField(query_id, T.LongType()),
                                T.StructField(product_id, T.LongType()),
@@ -120,40 +197,31 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     from pyspark.sql.pandas.types import to_arrow_type
 
     pay_arrow = [to_arrow_type(f.dataType) for f in pay_fields]
+    p_own, q_own = own_dtype(p, "v"), own_dtype(q, "v")
     cells = _packed(p, "v", ["pid", *payload], "p_").crossJoin(_packed(q, "v", ["qid"], "q_"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[bytes, list] = {}
-        asked: dict[bytes, np.ndarray] = {}
+        best: dict[bytes, Best] = {}
         for batch in batches:
             for r in range(batch.num_rows):
                 qids, ids = (batch.column(c)[r].values.to_numpy(zero_copy_only=False)
                              for c in ("q_qid", "p_pid"))
-                qmat, mat = (np.frombuffer(batch.column(c)[r].as_buffer(), np.float64).reshape(len(x), -1)
-                             for c, x in (("q_mat", qids), ("p_mat", ids)))
-                if qmat.shape[1] != mat.shape[1]:
-                    raise ValueError("vectors of different lengths")
-                raw = mat @ qmat.T
-                s = raw + 0.0       # no negative zero
-                if exclude_self:
-                    s[ids[:, None] == qids[None, :]] = -np.inf
-                pos = _topk_cols(ids, s, k)
-                cand = [ids[pos], np.take_along_axis(s, pos, axis=0)]
-                flat = pa.array(pos.ravel())
-                for c in payload:
-                    arr = np.empty(pos.size, dtype=object)
-                    arr[:] = batch.column(f"p_{c}")[r].values.take(flat).to_pylist()
-                    cand.append(arr.reshape(pos.shape))
-                block = qids.tobytes()
-                asked[block] = qids
-                best[block] = _merge(best.get(block), cand, k)
-        for block, found in best.items():
-            keep = np.isfinite(found[1])
-            qcol = np.broadcast_to(asked[block][None, :], found[1].shape)
-            cols = [pa.array(qcol[keep], pa.int64()), pa.array(found[0][keep], pa.int64()),
-                    pa.array(found[1][keep], pa.float64())]
-            cols += [pa.array(list(x[keep]), type=t) for x, t in zip(found[2:], pay_arrow)]
-            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in out_schema.fields])
+                qmat, mat = (np.frombuffer(batch.column(c)[r].as_buffer(), t).reshape(len(x), -1)
+                             for c, x, t in (("q_mat", qids, q_own), ("p_mat", ids, p_own)))
+                if (block := qids.tobytes()) not in best:       # a copy, so that the batch can go
+                    best[block] = Best(qids.copy(), qmat, k, len(payload))
+                held = best[block]
+                held.qmat = qmat
+                values = [batch.column(f"p_{c}")[r].values for c in payload]
+                held.meet(ids, mat, lambda rows, v=values: [x.take(pa.array(rows)).to_pylist() for x in v],
+                          exclude_self=exclude_self)
+                held.qmat = None
+        for held in best.values():
+            qcol, pcol, scores, pay = held.found()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(qcol, pa.int64()), pa.array(pcol, pa.int64()), pa.array(scores, pa.float64()),
+                 *[pa.array(list(x), type=t) for x, t in zip(pay, pay_arrow)]],
+                names=[f.name for f in out_schema.fields])
 
     w = Window.partitionBy(query_id).orderBy(F.col("raw_score").desc(), F.col(product_id).asc())
     out = (cells.mapInArrow(score, out_schema)

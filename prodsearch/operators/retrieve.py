@@ -183,7 +183,8 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     block in a grid of such rows; a cell's matrix product is made in pieces (see
     ``Best``), and a task keeps only the k best per query over its cells. Nothing is collected and
     no job runs before the caller's action; Spark broadcasts the packed
-    queries if they are small by its own estimate. A final ``row_number <= k``
+    queries if they are small by its own estimate; products in fewer partitions
+    than there are cores are dealt over all of them. A final ``row_number <= k``
     per query merges the tasks' candidates.
     """
     payload = list(payload)
@@ -198,7 +199,7 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
 
     pay_arrow = [to_arrow_type(f.dataType) for f in pay_fields]
     p_own, q_own = own_dtype(p, "v"), own_dtype(q, "v")
-    cells = _packed(p, "v", ["pid", *payload], "p_").crossJoin(_packed(q, "v", ["qid"], "q_"))
+    cells = _packed(guard.spread(p), "v", ["pid", *payload], "p_").crossJoin(_packed(q, "v", ["qid"], "q_"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[bytes, Best] = {}

@@ -27,22 +27,24 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage, ensure_checkpoint_dir
 from . import guard
-from .retrieve import _topk_cols, _vectors
+from .retrieve import Best, _typed, _vectors, own_dtype
 
 SAMPLE = 16_384             # vectors the centres are fitted on, at most
 MAX_CELLS = 1_024           # so that there are some sample vectors for each
 ROUNDS = 8                  # of k-means
-BLOCK_ROWS = 2_048          # vectors, or queries of a cell, packed in one row
-DTYPES = {"float": np.float32, "double": np.float64}
+BLOCK_ROWS = 2_048          # vectors packed in one row; queries looked at together
+GROUP_ROWS = 32_768         # vectors, and queries, that meet in one task at a time
 
 
 class CellIndex(NamedTuple):
-    """Folder of the packed vectors (partitioned by cell), the cells' centres
-    and their radii; ``payload`` are the columns stored with the vectors."""
+    """Folder of the packed vectors (partitioned by cell), the cells' centres,
+    their radii and numbers of vectors; ``payload`` are the columns stored with
+    the vectors."""
 
     path: str
     centres: np.ndarray
     radii: np.ndarray
+    sizes: np.ndarray
     payload: T.StructType
     dtype: str
 
@@ -67,8 +69,8 @@ def fit_centres(vectors: DataFrame, vec: str, key: str, cells: int, sample: int
         def sums(batches: Iterator[pa.RecordBatch], c=centres) -> Iterator[pa.RecordBatch]:
             total, count = np.zeros_like(c), np.zeros(len(c))
             for b in batches:
-                if b.num_rows:
-                    m = _vectors(b.column(0), b.num_rows)
+                for part in _slices(b):
+                    m = _vectors(part.column(0), part.num_rows)
                     own = _nearest(m, c, 1)[:, 0]
                     np.add.at(total, own, m)
                     count += np.bincount(own, minlength=len(c))
@@ -82,6 +84,11 @@ def fit_centres(vectors: DataFrame, vec: str, key: str, cells: int, sample: int
     return centres
 
 
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of BLOCK_ROWS rows: a row meets every centre."""
+    return (b.slice(lo, BLOCK_ROWS) for lo in range(0, b.num_rows, BLOCK_ROWS))
+
+
 def _nearest(m: np.ndarray, centres: np.ndarray, n: int, product=np.matmul) -> np.ndarray:
     """The n nearest centres of each row (Euclidean), nearest first."""
     far = (centres * centres).sum(axis=1)[None, :] - 2 * product(m, centres.T)
@@ -112,50 +119,48 @@ def build(vectors: DataFrame, path: str, *, vec: str = "embedding", key: str = "
     centres = fit_centres(v, vec, key, cells or default_cells(v.count()), sample)
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(centres)
-    kind = vectors.schema[vec].dataType.elementType.simpleString()
-    dtype = DTYPES.get(kind, np.float64)
+    read = guard.spread(_typed(v.select(F.col(vec).alias("v"), F.col(key).cast("long").alias("__id"), *payload)))
+    dtype = own_dtype(read, "v")
     names = ["__id", *payload]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
-        for b in batches:
-            if b.num_rows:
-                m = _vectors(b.column("__v"), b.num_rows)
-                own = _nearest(m, c, 1)[:, 0]
-                gap = np.sqrt(((m - c[own]) ** 2).sum(axis=1))
-                rows = pa.array([r.tobytes() for r in m.astype(dtype)], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), pa.array(gap), rows, *[b.column(n) for n in names]],
-                    ["cell", "gap", "vec", *names])
+        for b in (part for whole in batches for part in _slices(whole)):
+            m = _vectors(b.column("v"), b.num_rows)
+            own = _nearest(m, c, 1)[:, 0]
+            gap = np.sqrt(((m - c[own]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.int32()), pa.array(gap), _binary(m.astype(dtype)), *[b.column(n) for n in names]],
+                ["cell", "gap", "vec", *names])
 
     kinds = {"__id": "long", **{c: vectors.schema[c].dataType.simpleString() for c in payload}}
     fields = ", ".join(f"`{n}` {k}" for n, k in kinds.items())
-    read = guard.spread(v.select(F.col(vec).cast("array<double>").alias("__v"),
-                                 F.col(key).cast("long").alias("__id"), *payload))
     placed = cut_lineage(read.mapInArrow(assign, f"cell int, gap double, vec binary, {fields}"))
     size = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("r"))
     stats = {r.cell: (r.n, r.r) for r in size.collect()}             # a row for each cell
-    radii = np.array([stats.get(c, (0, 0.0))[1] for c in range(len(centres))])
+    sizes, radii = (np.array([stats.get(c, (0, 0.0))[i] for c in range(len(centres))]) for i in (0, 1))
     blocks = F.broadcast(spark.createDataFrame(
         [(c, -(-n // BLOCK_ROWS)) for c, (n, _) in stats.items()], "cell int, blocks long"))
 
     def pack(group: pa.Table) -> pa.Table:
         group = group.sort_by("__id")
-        one = [pa.array([group["cell"][0].as_py()], pa.int32())]
+        one = [pa.array([group[n][0].as_py()], t) for n, t in (("cell", pa.int32()), ("blk", pa.int64()))]
         one += [pa.ListArray.from_arrays([0, group.num_rows], group[n].combine_chunks()) for n in names]
         one.append(pa.array([b"".join(group["vec"].to_pylist())], pa.binary()))
-        return pa.table(one, ["cell", *names, "mat"])
+        return pa.table(one, ["cell", "blk", *names, "mat"])
 
     lists = ", ".join(f"`{n}` array<{k}>" for n, k in kinds.items())
     packed = (placed.drop("gap").join(blocks, "cell")
               .withColumn("blk", F.pmod(F.xxhash64("__id"), F.col("blocks"))).drop("blocks")
-              .groupBy("cell", "blk").applyInArrow(_without_blk(pack), f"cell int, {lists}, mat binary"))
+              .groupBy("cell", "blk").applyInArrow(pack, f"cell int, blk long, {lists}, mat binary"))
     packed.write.mode("overwrite").partitionBy("cell").parquet(path)
-    return CellIndex(path, centres, radii, T.StructType([vectors.schema[c] for c in payload]), np.dtype(dtype).str)
+    return CellIndex(path, centres, radii, sizes, T.StructType([vectors.schema[c] for c in payload]), dtype.str)
 
 
-def _without_blk(pack):
-    return lambda group: pack(group.drop_columns("blk"))
+def _binary(m: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binaries."""
+    ends = np.arange(len(m) + 1, dtype=np.int32) * np.int32(m.shape[1] * m.itemsize if len(m) else 0)
+    return pa.Array.from_buffers(pa.binary(), len(m), [None, pa.py_buffer(ends), pa.py_buffer(m.tobytes())])
 
 
 def topk(index: CellIndex, queries: DataFrame, k: int = 3, *, probes: int = 8, exact: bool = False,
@@ -166,57 +171,43 @@ def topk(index: CellIndex, queries: DataFrame, k: int = 3, *, probes: int = 8, e
     ``vector_topk``; else a query meets the vectors of its ``probes`` nearest
     cells only, so the work is queries x probes x cell size."""
     spark = queries.sparkSession
-    q = guard.spread(queries.select(F.col(query_id).cast("long").alias("qid"),
-                                    F.col(query_vec).cast("array<double>").alias("v"))
-                     .where(F.col("v").isNotNull()))
+    q = guard.spread(_typed(queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("v"))))
     pay = index.payload.fields
     if not len(index.centres):
         schema = T.StructType([T.StructField(query_id, T.LongType()), T.StructField(product_id, T.LongType()),
                                T.StructField("score", T.DoubleType()), T.StructField("rank", T.LongType()), *pay])
         return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast((index.centres, index.radii))
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, _ = shared.value
-        for b in batches:
-            if b.num_rows:
-                near = _nearest(_vectors(b.column(1), b.num_rows), c, probes)
-                n = near.shape[1]
-                at = pa.array(np.repeat(np.arange(b.num_rows), n))
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), *[x.take(at) for x in b.columns]],
-                                                 ["cell", "qid", "v"])
+    own, n = own_dtype(q, "v").str, q.count()
+
+    def nearest(m: np.ndarray, _least, c: np.ndarray, _r) -> np.ndarray:
+        want = np.zeros((len(m), len(c)), bool)
+        np.put_along_axis(want, _nearest(m, c, probes), True, axis=1)
+        return want
 
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("pid").asc())
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
-    visits = q.mapInArrow(nearest, "cell int, qid long, v array<double>")
-    found = best(_met(index, visits, k, exclude_self, pay))
+    def met(asked: DataFrame, wanted) -> DataFrame:
+        return _met(index, _visits(index, asked, own, wanted), own, n, k, exclude_self, pay)
+
+    found = best(met(q.withColumn("kth", F.lit(None).cast("double")), nearest))
     if exact:
         found = cut_lineage(found)
         kth = found.where(F.col("rank") == k).select("qid", F.col("score").alias("kth"))
 
-        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            c, r = shared.value
-            for b in batches:
-                if b.num_rows:
-                    m = _vectors(b.column(1), b.num_rows)
-                    norm = np.sqrt((m * m).sum(axis=1))
-                    bound = m @ c.T + norm[:, None] * r[None, :]
-                    least = b.column(2).to_numpy(zero_copy_only=False)
-                    least = np.where(np.isnan(least), -np.inf, least)
-                    # a margin for rounding; cells visited already are left out
-                    todo = bound >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
-                    np.put_along_axis(todo, _nearest(m, c, probes), False, axis=1)
-                    row, cell = np.nonzero(todo)
-                    at = pa.array(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell, pa.int32()), b.column(0).take(at), b.column(1).take(at)], ["cell", "qid", "v"])
-
-        more = q.join(kth, "qid", "left").select("qid", "v", "kth").mapInArrow(
-            others, "cell int, qid long, v array<double>")
-        found = best(found.drop("rank").unionByName(_met(index, more, k, exclude_self, pay)))
+        def others(m: np.ndarray, least: np.ndarray, c: np.ndarray, r: np.ndarray) -> np.ndarray:
+            norm = np.sqrt((m * m).sum(axis=1))
+            bound = m @ c.T + norm[:, None] * r[None, :]
+            least = np.where(np.isnan(least), -np.inf, least)
+            # a margin for rounding; cells visited already are left out
+            todo = bound >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
+            np.put_along_axis(todo, _nearest(m, c, probes), False, axis=1)
+            return todo
+
+        more = q.join(kth, "qid", "left").select("qid", "v", "kth")
+        found = best(found.drop("rank").unionByName(met(more, others)))
     return found.select(F.col("qid").alias(query_id), F.col("pid").alias(product_id),
                         F.round("score", digits).alias("score"), F.col("rank").cast("long").alias("rank"),
                         *index.payload.names)
@@ -241,80 +232,104 @@ def calibrate(index: CellIndex, queries: DataFrame, k: int = 3, *, target: float
         return 1
     order = _nearest(_vectors(rows["v"], rows.num_rows), index.centres, len(index.centres), _one_core)
     place = {q: np.argsort(o) for q, o in zip(rows["qid"].to_pylist(), order)}
-    every = F.explode(F.sequence(F.lit(0), F.lit(len(index.centres) - 1))).alias("cell")
-    met = _met(index, spark.createDataFrame(rows).repartition("qid").select(every, "qid", "v"), k, exclude_self, [])
+    asked = spark.createDataFrame(rows).repartition("qid").withColumn("kth", F.lit(None).cast("double"))
+    every = _visits(index, asked, "<f8", lambda m, _least, c, _r: np.ones((len(m), len(c)), bool))
+    met = _met(index, every, "<f8", rows.num_rows, k, exclude_self, [])
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("pid").asc())
     true = met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("qid", "cell").collect()
     needed = np.sort([int(place[r.qid][r.cell]) + 1 for r in true])
     return int(needed[max(0, int(np.ceil(target * len(needed))) - 1)]) if len(needed) else 1
 
 
-def _met(index: CellIndex, visits: DataFrame, k: int, exclude_self: bool, pay: list[T.StructField]) -> DataFrame:
-    """(qid, pid, score, cell, payload): the k best of each block that a query's
-    cells hold. Queries of a cell are packed in blocks and meet the cell's
-    blocks in an equi-join on the cell, so each row of it is a matrix product."""
+def _groups(index: CellIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of vectors before each cell, its first and its last group): the
+    blocks of all cells in order are cut into groups of about GROUP_ROWS
+    vectors, so small cells share a group and a hot one has several."""
+    before = np.concatenate([[0], np.cumsum(index.sizes)[:-1]])
+    return before, before // GROUP_ROWS, (before + np.maximum(index.sizes, 1) - 1) // GROUP_ROWS
+
+
+def _visits(index: CellIndex, asked: DataFrame, own: str, wanted) -> DataFrame:
+    """(grp, qid, vec, mask): a row for each group of cells that a query visits,
+    ``mask`` telling which of the group's cells. ``asked``: (qid, v, kth);
+    ``wanted(vectors, kths, centres, radii)`` tells the cells of each query."""
+    _, first, last = _groups(index)
+    of = [(g, int(np.argmax(last >= g)), int(np.searchsorted(first, g, side="right")))
+          for g in range(int(last[-1]) + 1)]
+    shared = asked.sparkSession.sparkContext.broadcast((index.centres, index.radii))
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, r = shared.value
+        for b in (part for whole in batches for part in _slices(whole)):
+            m = _vectors(b.column(1), b.num_rows)
+            want = wanted(m, b.column(2).to_numpy(zero_copy_only=False).astype(np.float64), c, r)
+            for g, lo, hi in of:
+                at = np.flatnonzero(want[:, lo:hi].any(axis=1))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), g, np.int32)), b.column(0).take(pa.array(at)),
+                         _binary(m[at].astype(own)), _binary(np.packbits(want[at, lo:hi], axis=1))],
+                        ["grp", "qid", "vec", "mask"])
+
+    return asked.mapInArrow(visits, "grp int, qid long, vec binary, mask binary")
+
+
+def _met(index: CellIndex, visits: DataFrame, q_own: str, queries: int, k: int, exclude_self: bool,
+         pay: list[T.StructField]) -> DataFrame:
+    """(qid, pid, score, cell, payload): the k best of each group of cells for
+    each query that visits some of them. A group's blocks meet the queries about
+    GROUP_ROWS at a time (``queries`` in all), so a task's memory depends neither
+    on the tables nor on how many cells a query visits, and a query's vector
+    travels once for each group, not for each cell."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = visits.sparkSession
     own = np.dtype(index.dtype)
     arrow = [to_arrow_type(f.dataType) for f in pay]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-
-        def row(cell, parts):
-            qids = np.concatenate([p[0] for p in parts])
-            return (cell, qids.tobytes(), np.concatenate([p[1] for p in parts]).tobytes())
-
-        def out(rows):
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
-                zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["cell", "qids", "qmat"])
-
-        size = 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            cell, qid = b.column(0).to_numpy(), b.column(1).to_numpy()
-            m = _vectors(b.column(2), b.num_rows)
-            order = np.argsort(cell, kind="stable")
-            for at in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
-                held.setdefault(int(cell[at[0]]), []).append((qid[at], m[at]))
-            size += b.num_rows
-            if size >= 4 * BLOCK_ROWS:
-                yield out([row(c, p) for c, p in held.items()])
-                held, size = {}, 0
-        if held:
-            yield out([row(c, p) for c, p in held.items()])
-
-    packed = visits.mapInArrow(pack, "cell int, qids binary, qmat binary")
-    cells = spark.read.parquet(index.path)
-    joined = cells.join(packed, "cell")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                ids = b.column("__id")[i].values.to_numpy(zero_copy_only=False)
-                mat = np.frombuffer(b.column("mat")[i].as_buffer(), own).reshape(len(ids), -1).astype(np.float64)
-                qids = np.frombuffer(b.column("qids")[i].as_buffer(), np.int64)
-                qmat = np.frombuffer(b.column("qmat")[i].as_buffer(), np.float64).reshape(len(qids), -1)
-                if mat.shape[1] != qmat.shape[1]:
-                    raise ValueError("vectors of different lengths")
-                s = mat @ qmat.T + 0.0
-                if exclude_self:
-                    s[ids[:, None] == qids[None, :]] = -np.inf
-                pos = _topk_cols(ids, s, k)
-                got = np.take_along_axis(s, pos, axis=0)
-                keep = np.isfinite(got)
-                flat = pa.array(pos[keep])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.broadcast_to(qids[None, :], pos.shape)[keep]), pa.array(ids[pos][keep]),
-                     pa.array(got[keep]), pa.array(np.full(int(keep.sum()), b.column("cell")[i].as_py()), pa.int32()),
-                     *[b.column(f.name)[i].values.take(flat).cast(t) for f, t in zip(pay, arrow)]],
-                    ["qid", "pid", "score", "cell", *[f.name for f in pay]])
-
+    before, first, last = _groups(index)
+    cores = spark.sparkContext.defaultParallelism       # that few groups can keep busy, too
+    parts = max(1, -(-queries // GROUP_ROWS), min(-(-2 * cores // int(last[-1] + 1)), -(-queries // BLOCK_ROWS)))
+    names = ["qid", "pid", "score", "cell", *[f.name for f in pay]]
     schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("pid", T.LongType()),
                            T.StructField("score", T.DoubleType()), T.StructField("cell", T.IntegerType()), *pay])
-    return joined.mapInArrow(score, schema)
+    place = spark.createDataFrame([(c, int(before[c]), int(last[c])) for c in range(len(before))],
+                                  "cell int, before long, last long")
+    blocks = (spark.read.parquet(index.path).join(F.broadcast(place), "cell")
+              .withColumn("grp", F.least(F.floor((F.col("before") + F.col("blk") * BLOCK_ROWS) / GROUP_ROWS), "last")
+                          .cast("int"))
+              .select("grp", "cell", "__id", "mat", *[f.name for f in pay])
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    asked = visits.withColumn("part", F.pmod(F.xxhash64("qid"), F.lit(parts)).cast("int"))
+
+    def matrix(col: pa.ChunkedArray, dtype) -> np.ndarray:
+        return np.frombuffer(b"".join(x.as_buffer() for x in col), dtype).reshape(len(col), -1)
+
+    def score(held: pa.Table, asking: pa.Table) -> pa.Table:
+        if not held.num_rows or not asking.num_rows:
+            return pa.table([pa.array([], f.type) for f in out], names)
+        lo = int(np.argmax(last >= held["grp"][0].as_py()))         # the first cell of the mask
+        mask = np.unpackbits(matrix(asking["mask"], np.uint8), axis=1).astype(bool)
+        best = Best(asking["qid"].to_numpy(), matrix(asking["vec"], q_own), k, 1 + len(pay))
+        for b in held.to_batches():
+            for i in range(b.num_rows):
+                cell = b.column("cell")[i].as_py()
+                ids = b.column("__id")[i].values.to_numpy(zero_copy_only=False)
+                mat = np.frombuffer(b.column("mat")[i].as_buffer(), own).reshape(len(ids), -1)
+                values = [b.column(f.name)[i].values for f in pay]
+
+                def some(rows, cell=cell, values=values):
+                    at = pa.array(rows)
+                    return [[cell] * len(rows), *[v.take(at).to_pylist() for v in values]]
+
+                cols = np.flatnonzero(mask[:, cell - lo])
+                if len(cols):
+                    best.meet(ids, mat, some, cols, exclude_self)
+        qid, pid, scores, found = best.found()
+        return pa.table([pa.array(qid), pa.array(pid), pa.array(scores),
+                         *[pa.array(list(x), f.type) for x, f in zip(found, out[3:])]], names)
+
+    out = [pa.field(n, t) for n, t in zip(names, (pa.int64(), pa.int64(), pa.float64(), pa.int32(), *arrow))]
+    return blocks.groupBy("grp", "part").cogroup(asked.groupBy("grp", "part")).applyInArrow(score, schema)
 
 
 def recall(approximate: DataFrame, exact: DataFrame, query_id: str = "query_id",

@@ -300,6 +300,7 @@ def l2_normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
 
 
 MAX_WORDS = 200_000         # words whose bucket a task remembers at a time
+WORDS_AT_A_TIME = 250_000   # of a batch that are looked at together
 
 
 def _words(text_col: str) -> Column:
@@ -308,29 +309,39 @@ def _words(text_col: str) -> Column:
                     lambda w: w != "")
 
 
-class _Buckets(dict):
-    """Word -> bucket: the first 32 bits of its MD5 modulo dim. A task
-    hashes a word once, as long as it is among the last MAX_WORDS new ones."""
+def _bucket(word: str, dim: int) -> int:
+    """The first 32 bits of a word's MD5 modulo dim."""
+    return int.from_bytes(hashlib.md5(word.encode("utf-8", "surrogatepass")).digest()[:4], "big") % dim
 
-    def __init__(self, dim: int):
-        super().__init__()
-        self.dim = dim
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        digest = hashlib.md5(word.encode("utf-8", "surrogatepass")).digest()
-        b = self[word] = int.from_bytes(digest[:4], "big") % self.dim
-        return b
+def _buckets(words: pa.ListArray, dim: int, known: dict[str, int]) -> pa.ListArray:
+    """The bucket of each word. Words stay in Arrow's memory: WORDS_AT_A_TIME of
+    them are numbered there, and only those met for the first time (as long as
+    they are among the last MAX_WORDS new ones) become strings and are hashed."""
+    flat = words.flatten()
+    out = np.empty(len(flat), np.int32)
+    for lo in range(0, len(flat), WORDS_AT_A_TIME):
+        coded = flat.slice(lo, WORDS_AT_A_TIME).dictionary_encode()
+        of = np.empty(len(coded.dictionary), np.int32)
+        for i, word in enumerate(coded.dictionary.to_pylist()):
+            if (bucket := known.get(word)) is None:
+                if len(known) >= MAX_WORDS:
+                    known.clear()
+                bucket = known[word] = _bucket(word, dim)
+            of[i] = bucket
+        out[lo:lo + WORDS_AT_A_TIME] = of[coded.indices.to_numpy()]
+    ends = words.offsets.to_numpy()
+    return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(out, pa.int32()))
 
 
 def hash_words(df: DataFrame, text_col: str, dim: int, out: str = "__buckets") -> DataFrame:
     """``df`` with the bucket of each word of the text, in order."""
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def bucket(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = _Buckets(dim)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def bucket(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, int] = {}
         for words in it:
-            yield pd.Series([np.array([of[w] for w in row], np.int32) for row in words])
+            yield _buckets(words, dim, known)
+        pa.default_memory_pool().release_unused()       # the worker lives on
 
     return df.withColumn(out, bucket(_words(text_col)))
 

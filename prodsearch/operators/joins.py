@@ -100,19 +100,25 @@ def option_only_fallback(base: DataFrame, options: DataFrame, keys: Sequence[str
                          groups: Sequence[str], null_safe: bool = False,
                          suffixes: tuple[str, str] = ("_x", "_y"),
                          hot_rows: int | None = None,
-                         salt_cols: Sequence[str] | None = None) -> DataFrame:
+                         salt_cols: Sequence[str] | None = None,
+                         has_base: str | None = None) -> DataFrame:
     """Per group: base LEFT JOIN options when the group has any base row;
     the options unchanged (base columns null) when it has none.
 
     Both branches are joins (left outer, and left anti against the distinct
-    base groups), so no per-group count reaches the driver.
+    base groups), so no per-group count reaches the driver. ``has_base``: an
+    option column that tells already whether the row's group has any base row;
+    the options are then parted by it (and it is dropped).
     """
     groups, keys = list(groups), list(keys)
+    if has_base is not None:
+        orphans = options.where(~F.col(has_base)).drop(has_base)
+        options = options.where(F.col(has_base)).drop(has_base)
     joined = left_join_records(base, options, groups + keys, null_safe, suffixes, hot_rows,
                                salt_cols)
     b_cols = set(base.columns) - set(groups) - set(keys)
-    base_groups = base.select(*groups).distinct()
-    orphans = options.join(base_groups, groups, "left_anti")
+    if has_base is None:
+        orphans = options.join(base.select(*groups).distinct(), groups, "left_anti")
     orphans = orphans.withColumnsRenamed(
         {c: c + suffixes[1] for c in set(options.columns) & b_cols})
     return joined.unionByName(orphans, allowMissingColumns=True)

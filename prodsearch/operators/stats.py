@@ -13,14 +13,15 @@ from ..functions import text as TX
 
 def division_counts(df: DataFrame, division: str | Sequence[str], group: Sequence[str],
                     reported: Column, records: str = "records",
-                    reported_out: str = "reported") -> DataFrame:
+                    reported_out: str = "reported", rows: Column | None = None) -> DataFrame:
     """Per division: joined records and the sum of the totals each group
     reported. A group's reported total is taken once (max over its rows);
     only groups that produced rows count. Two hash aggregates with partial
-    (map-side) combining, so hot divisions cost nothing extra."""
+    (map-side) combining, so hot divisions cost nothing extra. ``rows``: the
+    number of records that a row stands for (one if None)."""
     by = [division] if isinstance(division, str) else list(division)
     g = (df.groupBy(*by, *[c for c in group if c not in by])
-         .agg(F.count(F.lit(1)).alias("__n"), F.max(reported).alias("__total")))
+         .agg((F.count(F.lit(1)) if rows is None else F.sum(rows)).alias("__n"), F.max(reported).alias("__total")))
     return (g.where(F.col("__n") > 0).groupBy(*by)
             .agg(F.sum("__n").cast("long").alias(records),
                  F.sum("__total").cast("long").alias(reported_out)))

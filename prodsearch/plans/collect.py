@@ -26,9 +26,15 @@ def _suffix_keys(rec: Column, names: Column, suffix: str) -> Column:
         F.array_contains(names, k), F.concat(k, F.lit(suffix))).otherwise(k))
 
 
-def _column_names(records: DataFrame, group: list[str], rec: str) -> DataFrame:
-    """(group, name): the columns a merge of the group's records would have."""
-    return records.select(*group, F.explode(F.map_keys(rec)).alias("name")).distinct()
+def _names(records: Column) -> Column:
+    """The distinct keys of a page's records."""
+    keys = F.transform(F.coalesce(records, F.array().cast("array<map<string,string>>")),
+                       lambda r: F.coalesce(F.map_keys(r), F.array().cast("array<string>")))
+    return F.array_distinct(F.flatten(keys))
+
+
+def _n(records: Column) -> Column:
+    return F.coalesce(F.size(records), F.lit(0))
 
 
 def merge_records(pages_df: DataFrame, null_safe: bool = False,
@@ -44,29 +50,36 @@ def merge_records(pages_df: DataFrame, null_safe: bool = False,
     group = [*group_extra, *P.GROUP]
     by = [*group, "prdt_div"]
     good = P.complete_groups(pages_df, group).select(*group)
-    ok_pages = P.one_per_page(pages_df, group).join(good, group, "left_semi")
+    pages = P.one_per_page(pages_df, group).withColumn("prdt_div", P.division(pages_df))
     div_key = F.when(F.col("prdt_div") == S.COMPANY_DIVISION, F.lit(S.COMPANY_KEY)).otherwise(
         F.lit(S.PRODUCT_KEY))
-    base = (P.explode_records(ok_pages, "baseList", group)
+    # what the rows of a group need to know of each other, from its pages: the
+    # columns that both sides have and whether there are base records
+    sides = {x: F.col(f"result.{x}List") for x in ("base", "option")}
+    about = (pages.groupBy(*by).agg(
+                F.array_intersect(*[F.flatten(F.collect_set(_names(c))) for c in sides.values()]).alias("both"),
+                F.max(F.greatest(_n(sides["base"]), F.lit(0)) > 0).alias("has_base"))
+             .withColumn("both", F.filter("both", lambda x: x != div_key)).join(good, group, "left_semi"))
+    options = pages.groupBy(*by).agg(F.sum(F.greatest(_n(sides["option"]), F.lit(0))).alias("n"))
+    if hot_rows is not None and (options.agg(F.max("n")).first()[0] or 0) <= hot_rows:
+        hot_rows = None                 # no key has more rows than its group
+    ok_pages = pages.join(about, by)
+    base = (P.explode_records(ok_pages, "baseList", [*group, "both"])
             .withColumn("k", F.col("rec")[div_key])
+            .withColumn("rec", _suffix_keys(F.col("rec"), F.col("both"), "_x"))
             .withColumnsRenamed({"rec": "brec", "pageNo": "bpage", "pos": "bpos"}))
-    opt = (P.explode_records(ok_pages, "optionList", group)
+    opt = (P.explode_records(ok_pages, "optionList", [*group, "has_base"])
            .withColumn("k", F.col("rec")[div_key])
            .withColumnsRenamed({"rec": "orec", "pageNo": "opage", "pos": "opos"}))
     merged = joins.option_only_fallback(base, opt, keys=["k"], groups=by,
                                         null_safe=null_safe, hot_rows=hot_rows,
-                                        salt_cols=["opage", "opos"])
-    # a group has as many rows here as the merge would have columns
-    both = (_column_names(base, by, "brec").join(_column_names(opt, by, "orec"), [*by, "name"], "left_semi")
-            .where(F.col("name") != div_key).groupBy(*by).agg(F.collect_set("name").alias("both")))
-    merged = merged.join(both, by, "left")
+                                        salt_cols=["opage", "opos"], has_base="has_base")
     empty = F.create_map().cast(S.RECORD)
     names = F.coalesce("both", F.array().cast("array<string>"))
-    b = F.coalesce(F.col("brec"), empty)
     o = F.when(F.col("brec").isNull(), F.col("orec")).otherwise(
         F.map_filter(F.coalesce(F.col("orec"), empty), lambda k, _v: k != div_key))
     rec = F.when(F.col("brec").isNull(), o).otherwise(
-        F.map_concat(_suffix_keys(b, names, "_x"), _suffix_keys(o, names, "_y")))
+        F.map_concat("brec", _suffix_keys(o, names, "_y")))
     # the order records were accumulated in: sectors in code order, base rows
     # in page order, each followed by its options in page order
     order = F.struct("region_code", "bpage", "bpos", "opage", "opos")
@@ -77,8 +90,9 @@ def record_counts(recs: DataFrame, pages_df: DataFrame, extra: Sequence[str] = (
     """Records per division with the totals their groups reported."""
     group = [*extra, *P.GROUP]
     totals = P.complete_groups(pages_df, group).select(*group, "total_count")
-    return stats.division_counts(recs.join(totals, group), [*extra, "prdt_div"], group,
-                                 F.col("total_count"))
+    per = recs.groupBy(*group, "prdt_div").agg(F.count(F.lit(1)).alias("n"))
+    return stats.division_counts(per.join(totals, group), [*extra, "prdt_div"], group,
+                                 F.col("total_count"), rows=F.col("n"))
 
 
 def collect_landing(spark: SparkSession, root: str, snapshot_ts: str,

@@ -86,12 +86,15 @@ def complete_groups(pages: DataFrame, group: Sequence[str] = GROUP,
     that was landed again intact is no failure. An envelope without
     max_page_no has one page, one without prdt_div the API's division."""
     ok = ~envelope_error()
-    g = (pages.groupBy(*group)
-         .agg(F.max(F.when(ok, F.coalesce("result.max_page_no", F.lit(1)))).alias("max_page_no"),
-              F.max("result.total_count").alias("total_count"),
-              F.max(F.when(ok, division(pages))).alias("prdt_div"),
-              F.count_distinct(F.when(ok, F.col(page))).alias("pages_ok"),
-              F.count_distinct(F.when(envelope_error(), F.col(page))).alias("pages_bad")))
+    each = pages.groupBy(*group, F.col(page).alias("__page")).agg(
+        F.max(F.when(ok, F.coalesce("result.max_page_no", F.lit(1)))).alias("max_page_no"),
+        F.max("result.total_count").alias("total_count"),
+        F.max(F.when(ok, division(pages))).alias("prdt_div"),
+        F.max(ok).alias("__ok"), F.max(envelope_error()).alias("__bad"))
+    g = each.groupBy(*group).agg(
+        *[F.max(c).alias(c) for c in ("max_page_no", "total_count", "prdt_div")],
+        F.count(F.when(F.col("__ok"), F.col("__page"))).alias("pages_ok"),
+        F.count(F.when(F.col("__bad"), F.col("__page"))).alias("pages_bad"))
     return g.where((F.col("pages_ok") == F.col("max_page_no")) & (F.col("total_count") > 0))
 
 

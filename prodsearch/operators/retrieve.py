@@ -53,7 +53,7 @@ def _topk_cols(ids: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
     return part
 
 
-SCORE_ROWS = 512            # products whose scores a task holds at a time,
+SCORE_ROWS = 256            # products whose scores a task holds at a time,
 SCORE_COLS = 2_048          # for as many queries
 
 
@@ -179,13 +179,15 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
     the winners, so callers never join the results back to the products.
 
     Plan: both sides are packed, where they are read, into rows of up to
-    BLOCK_ROWS vectors. The stated query set meets the products block by
-    block in a grid of such rows; a cell's matrix product is made in pieces (see
-    ``Best``), and a task keeps only the k best per query over its cells. Nothing is collected and
-    no job runs before the caller's action; Spark broadcasts the packed
-    queries if they are small by its own estimate; products in fewer partitions
-    than there are cores are dealt over all of them. A final ``row_number <= k``
-    per query merges the tasks' candidates.
+    BLOCK_ROWS vectors. The query blocks are dealt over twice as many partitions
+    as there are cores, product blocks in fewer partitions than there are cores
+    over all of them, so that no worker packs while another scores for the same
+    task and a task meets a few blocks of each side. The stated query set meets
+    the products block by block in a grid of such rows; a cell's matrix product
+    is made in pieces (see ``Best``), and a task keeps only the k best per query
+    over its cells. Nothing is collected and no job runs before the caller's
+    action; Spark broadcasts the packed queries if they are small by its own
+    estimate. A final ``row_number <= k`` per query merges the tasks' candidates.
     """
     payload = list(payload)
     q = _typed(queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("v")))
@@ -199,7 +201,9 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
 
     pay_arrow = [to_arrow_type(f.dataType) for f in pay_fields]
     p_own, q_own = own_dtype(p, "v"), own_dtype(q, "v")
-    cells = _packed(guard.spread(p), "v", ["pid", *payload], "p_").crossJoin(_packed(q, "v", ["qid"], "q_"))
+    cores = products.sparkSession.sparkContext.defaultParallelism
+    cells = guard.spread(_packed(p, "v", ["pid", *payload], "p_")).crossJoin(
+        _packed(q, "v", ["qid"], "q_").repartition(2 * cores))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[bytes, Best] = {}
@@ -217,6 +221,8 @@ def vector_topk(products: DataFrame, queries: DataFrame, k: int = 3, *,
                 held.meet(ids, mat, lambda rows, v=values: [x.take(pa.array(rows)).to_pylist() for x in v],
                           exclude_self=exclude_self)
                 held.qmat = None
+        batch = qids = qmat = ids = mat = values = held = None
+        pa.default_memory_pool().release_unused()       # the worker lives on
         for held in best.values():
             qcol, pcol, scores, pay = held.found()
             yield pa.RecordBatch.from_arrays(
